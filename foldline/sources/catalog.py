@@ -13,12 +13,17 @@ from ..sinks.tables import TableLoadError, identifier, table_location, table_nam
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
-    """The rows of a registered table (its Parquet files at its location)."""
+    """The rows of a registered table (its Parquet files at its location).
+
+    The file listing is refreshed first: the table may have been rewritten by
+    another session (a streaming query's batch, another job).
+    """
     name = table_name(database, table)
     if not spark.catalog.tableExists(f"{database}.{table}"):
         raise TableLoadError(f"table {database}.{table} is not registered")
     if table_location(spark, database, table) is None:
         raise TableLoadError(f"table {database}.{table} has no location")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
