@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import col, positive_int, resolve
 from ..functions.values import finite_double
-from ..session import checkpoint_root
+from ..session import scratch_dir
 
 # Histogram bins default to 10 and must lie in 1..100; a box plot
 # shows at most 20 categories; whiskers reach 1.5 interquartile ranges; the
@@ -46,17 +46,30 @@ QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 def _values(df: DataFrame, columns: Sequence[str], max_rows: int | None) -> DataFrame:
     """P3 + P4 (+ L1): the selected columns without null/NaN rows, optionally capped.
 
-    A capped frame is checkpointed so that every later pass sees the same
-    ``max_rows`` rows (``limit`` alone picks arbitrary rows per evaluation).
+    A capped frame is written once to the shared checkpoint folder so that every
+    later pass sees the same ``max_rows`` rows (``limit`` alone may pick other
+    rows on each evaluation).
     """
     data = df.select(*[col(c) for c in columns]).dropna(how="any", subset=list(columns))
     if max_rows is not None:
-        data = data.limit(positive_int(max_rows, "max_rows"))
-        checkpoint_root(df.sparkSession)
-        data = data.checkpoint(eager=True)
+        data = _freeze(data.limit(positive_int(max_rows, "max_rows")), "capped-rows")
     return data
 
 
+def _freeze(df: DataFrame, purpose: str, partition_column: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a retry re-reads the files instead of recomputing
+    nondeterministic steps such as sampled range bounds or ``limit``).
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    writer = df.write.mode("errorifexists")
+    if partition_column:
+        writer = writer.partitionBy(partition_column)
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def limit_rows(df: DataFrame, max_rows: int, order_by: Sequence[str] | None = None) -> DataFrame:
     """L1: at most ``max_rows`` rows; with ``order_by`` the same rows every time."""
     n = positive_int(max_rows, "max_rows")
@@ -150,8 +163,8 @@ def _box_input(
     category: str | None,
     weight: str | None,
     max_rows: int | None,
-) -> tuple[DataFrame, str]:
-    """(category string, value double, w) rows after P4/P5 and the D4 cap."""
+) -> DataFrame:
+    """(category string, value double, w) rows after P4 and P5."""
     vname = resolve(df, value)
     cname = resolve(df, category) if category is not None else None
     wname = resolve(df, weight) if weight is not None else None
@@ -160,58 +173,84 @@ def _box_input(
     # Without a category the single group is named after the value column.
     cat = col(cname).cast("string") if cname else F.lit(vname)
     w = col(wname).cast("bigint") if wname else F.lit(1).cast("bigint")
-    rows = data.select(cat.alias("category"), finite_double(vname).alias("value"), w.alias("w"))
-    check_category_count(rows, "category")
-    return rows, vname
+    return data.select(cat.alias("category"), finite_double(vname).alias("value"), w.alias("w"))
+
+
+def _rank(p: float, upper: bool) -> Column:
+    """0-based rank of the lower/upper neighbour of quantile ``p`` among ``n`` values."""
+    h = (F.col("n") - 1) * F.lit(p)
+    return F.ceil(h) if upper else F.floor(h)
+
+
+def _targets() -> list[Column]:
+    return [_rank(p, upper) for _, p in QUARTILES for upper in (False, True)]
 
 
 def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame, DataFrame]:
-    """Exact quartiles per category; also returns the checkpointed distinct values."""
+    """Exact quartiles per category; also returns the checkpointed distinct values.
+
+    1. fold to distinct (category, value) with their count w (partial aggregate);
+    2. range-partition on (category, value) and write the result as a Parquet
+       table (partitioned by ``_pid``) in the shared checkpoint folder, freezing
+       each row's partition id (the sampled bounds must not change on a retry);
+    3. per (_pid, category) totals -> offsets of each partition within its
+       category and the category size n (a table of <= partitions + categories
+       rows; the D4 cap is checked on it before it is broadcast);
+    4. only the partitions that hold one of the six wanted ranks per category
+       get a running sum (window over (_pid, category)); the broadcast join on
+       the partition column lets dynamic partition pruning skip the files of all
+       other partitions, so at most 6 * categories partitions are read and
+       shuffled;
+    5. the rows whose rank span [start, end) holds a wanted rank give the
+       neighbours, interpolated linearly.
+    """
     spark = rows.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     distinct_values = rows.groupBy("category", "value").agg(F.sum("w").alias("w"))
     ranged = distinct_values.repartitionByRange(parts, "category", "value").withColumn(
         "_pid", F.spark_partition_id()
     )
-    # The range bounds are sampled; freeze every row's partition id once so that
-    # recomputation (retries, lost executors) cannot move rows between partitions.
-    checkpoint_root(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = _freeze(ranged, "quartile-ranks", "_pid")
 
     totals = ranged.groupBy("_pid", "category").agg(F.sum("w").alias("part_w"))
+    check_category_count(totals, "category")
     by_cat = Window.partitionBy("category")
     before = Window.partitionBy("category").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_pid",
         "category",
+        "part_w",
         F.coalesce(F.sum("part_w").over(before), F.lit(0)).alias("offset"),
         F.sum("part_w").over(by_cat).alias("n"),
     )
+
+    def inside(k: Column, start: Column, end: Column) -> Column:
+        return (start <= k) & (k < end)
+
+    part_start, part_end = F.col("offset"), F.col("offset") + F.col("part_w")
+    holds_target = F.lit(False)
+    for k in _targets():
+        holds_target = holds_target | inside(k, part_start, part_end)
+    # At most 6 rows per category (one partition per wanted rank).
+    needed = offsets.where(holds_target).select("_pid", "category", "offset", "n")
+
     running = Window.partitionBy("_pid", "category").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    # offsets: at most (partitions + categories) rows.
     ranked = (
-        ranged.withColumn("_cum", F.sum("w").over(running))
-        .join(F.broadcast(offsets), ["_pid", "category"])
-        .withColumn("_end", F.col("offset") + F.col("_cum"))
+        ranged.join(F.broadcast(needed), ["_pid", "category"])
+        .withColumn("_end", F.col("offset") + F.sum("w").over(running))
         .withColumn("_start", F.col("_end") - F.col("w"))
     )
-
-    def rank_of(p: float, upper: bool) -> Column:
-        h = (F.col("n") - 1) * F.lit(p)
-        return F.ceil(h) if upper else F.floor(h)
-
-    def holds(k: Column) -> Column:
-        return (F.col("_start") <= k) & (k < F.col("_end"))
-
+    row_start, row_end = F.col("_start"), F.col("_end")
     wanted = F.lit(False)
-    for _, p in QUARTILES:
-        wanted = wanted | holds(rank_of(p, False)) | holds(rank_of(p, True))
+    for k in _targets():
+        wanted = wanted | inside(k, row_start, row_end)
     aggs = []
     for label, p in QUARTILES:
-        aggs.append(F.max(F.when(holds(rank_of(p, False)), F.col("value"))).alias(f"{label}_lo"))
-        aggs.append(F.max(F.when(holds(rank_of(p, True)), F.col("value"))).alias(f"{label}_hi"))
+        for upper, suffix in ((False, "lo"), (True, "hi")):
+            hit = inside(_rank(p, upper), row_start, row_end)
+            aggs.append(F.max(F.when(hit, F.col("value"))).alias(f"{label}_{suffix}"))
     picked = ranked.where(wanted).groupBy("category", "n").agg(*aggs)
     quart = []
     for label, p in QUARTILES:
@@ -224,6 +263,7 @@ def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame
 
 
 def _approx_quartiles(rows: DataFrame, accuracy: int) -> tuple[DataFrame, DataFrame]:
+    check_category_count(rows, "category")
     probs = F.array(*[F.lit(p) for _, p in QUARTILES])
     q = rows.groupBy("category").agg(
         F.sum("w").alias("n"),
@@ -246,7 +286,7 @@ def quartiles(
     partitions: int | None = None,
 ) -> DataFrame:
     """Per-category ``n, q1, median, q3`` (the first half of D2)."""
-    rows, _ = _box_input(df, value, category, weight, max_rows)
+    rows = _box_input(df, value, category, weight, max_rows)
     stats, _ = (
         _exact_quartiles(rows, partitions) if exact else _approx_quartiles(rows, accuracy)
     )
@@ -278,27 +318,24 @@ def box_stats(
     """
     if weight is not None and not exact:
         raise ValueError("weights need exact=True")
-    rows, _ = _box_input(df, value, category, weight, max_rows)
+    rows = _box_input(df, value, category, weight, max_rows)
     stats, values = (
         _exact_quartiles(rows, partitions) if exact else _approx_quartiles(rows, accuracy)
     )
     fenced = _with_fences(stats)
-    # fenced: at most MAX_CATEGORIES rows (checked above).
+    # fenced has at most MAX_CATEGORIES rows (checked above); the whiskers are
+    # one partial aggregate over the values with the statistics carried along.
+    keys = ["category", "n", "q1", "median", "q3"]
     reach = (
-        values.join(F.broadcast(fenced.select("category", "fence_low", "fence_high")), "category")
-        .groupBy("category")
+        values.join(F.broadcast(fenced), "category")
+        .groupBy(*keys)
         .agg(
             F.min(F.when(F.col("value") >= F.col("fence_low"), F.col("value"))).alias("_wl"),
             F.max(F.when(F.col("value") <= F.col("fence_high"), F.col("value"))).alias("_wh"),
         )
     )
-    out = fenced.join(F.broadcast(reach), "category", "left")
-    return out.select(
-        "category",
-        "n",
-        "q1",
-        "median",
-        "q3",
+    return reach.select(
+        *keys,
         F.least(F.col("q1"), F.coalesce("_wl", "q1")).alias("whisker_low"),
         F.greatest(F.col("q3"), F.coalesce("_wh", "q3")).alias("whisker_high"),
     )
