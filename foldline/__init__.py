@@ -23,7 +23,7 @@ from .operators import (
     row_count,
     scatter_points,
 )
-from .plans import FlowResult, flow, print_rows, transform, transform_frame
+from .plans import FlowResult, flow, land_source, print_file, print_rows, transform, transform_frame
 from .session import build_session, checkpoint_root, scratch_dir
 from .sinks import TableLoadError, publish_file, save_table
 from .sources import (
@@ -66,6 +66,7 @@ __all__ = [
     "flow",
     "format_for",
     "histogram",
+    "land_source",
     "limit_rows",
     "list_databases",
     "list_tables",
@@ -74,6 +75,7 @@ __all__ = [
     "ordered_categories",
     "outliers",
     "preview_table",
+    "print_file",
     "print_rows",
     "project",
     "publish_file",

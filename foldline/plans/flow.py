@@ -8,23 +8,32 @@ both outputs hold the same rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.names import positive_int
-from ..sinks.files import publish_file
+from ..operators.columns import cell_text
+from ..sinks.files import file_system, publish_file, swap_in
 from ..sinks.tables import save_table
 from ..sources.catalog import read_table
+from ..sources.files import (
+    file_name_from_location,
+    format_for,
+    read_headerless_csv,
+    read_source,
+    require_nonempty,
+)
 from .transform import transform
 
 
 def print_rows(df: DataFrame, max_rows: int) -> int:
     """L3: print the row count and up to ``max_rows`` rows, untruncated.
 
-    The reference prints every row; pulling a whole table to the driver does
-    not scale, so the number of printed rows is required.
+    Printing every row would pull a whole table to the driver, so the number
+    of printed rows is required.
     """
     n = positive_int(max_rows, "max_rows")
     total = df.count()
@@ -33,6 +42,58 @@ def print_rows(df: DataFrame, max_rows: int) -> int:
     return total
 
 
+def land_source(
+    spark: SparkSession,
+    source: str,
+    input_dir: str,
+    column_names: Sequence[str] | None = None,
+    file_format: str | None = None,
+    read_options: Mapping | None = None,
+) -> str:
+    """Copy a CSV/JSON source into ``input_dir`` under its own file name.
+
+    Any path Spark can read works as a source (the surveyed program downloaded
+    over HTTPS instead, which is not built). With ``column_names`` a headerless
+    CSV gets those names as its header. Values are copied as text (no type
+    inference), in parallel, into a staging folder that is then moved into
+    place, so a failed landing leaves the previous copy intact. An empty source
+    is refused (S6).
+    """
+    fmt = format_for(source, file_format)
+    if column_names is not None and fmt != "csv":
+        raise ValueError("column names can only be given for CSV sources")
+    require_nonempty(spark, source)
+    name = file_name_from_location(source)
+    out = input_dir.rstrip("/")
+    final, staged = f"{out}/{name}", f"{out}/._landing-{uuid.uuid4().hex}"
+    options = dict(read_options or {})
+    if fmt == "json":
+        spark.read.text(source).write.text(staged)
+    else:
+        if column_names is not None:
+            data = read_headerless_csv(spark, source, column_names, ["string"] * len(column_names), options)
+        else:
+            options.update(header=True, inferSchema=False)
+            data = spark.read.options(**options).csv(source)
+        data.write.option("header", True).csv(staged)
+    fs, staged_path, _ = file_system(spark, staged)
+    try:
+        swap_in(spark, staged, final)
+    finally:
+        if fs.exists(staged_path):
+            fs.delete(staged_path, True)
+    return final
+
+
+def print_file(spark: SparkSession, path: str, max_rows: int, read_options: Mapping | None = None) -> int:
+    """Print a published CSV/JSON dataset as text cells (P6 + L3)."""
+    options = dict(read_options or {})
+    if format_for(path) == "csv":
+        options["inferSchema"] = False
+    data = read_source(spark, path, read_options=options)
+    return print_rows(cell_text(data), max_rows)
+
+
 @dataclass
 class FlowResult:
     table_location: str

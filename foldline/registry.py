@@ -27,7 +27,7 @@ from .operators import (
     row_count,
     scatter_points,
 )
-from .plans import transform, transform_frame
+from .plans import land_source, transform, transform_frame
 from .session import scratch_dir
 from .sinks import publish_file, save_table
 from .sources import read_headerless_csv, read_table, require_nonempty
@@ -112,6 +112,16 @@ def headerless_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_headerless_csv(spark, path, ["id", "nation"], ["bigint", "int"])
 
 
+def land_and_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing step: a headerless CSV is copied into the input area with the
+    given names as header, then read by W1 without consolidation."""
+    root = scratch_dir(spark, "landing")
+    source = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    raw = publish_file(source, "supplier.csv", f"{root}/source", write_options={"header": False})
+    landed = land_source(spark, raw, f"{root}/input", ["id", "nation"])
+    return transform(spark, landed, schema="id bigint, nation int", count_duplicates=False)
+
+
 # ----------------------------------------------------------- projections, values
 
 
@@ -277,6 +287,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip_consolidate": csv_roundtrip_consolidate,
     "json_roundtrip_consolidate": json_roundtrip_consolidate,
     "headerless_csv": headerless_csv,
+    "land_and_transform": land_and_transform,
     "rename_positional": rename_positional,
     "drop_incomplete": drop_incomplete_query,
     "numeric_from_text": numeric_from_text,
@@ -316,6 +327,8 @@ FROM customer WHERE c_mktsegment = 'FURNITURE' GROUP BY c_nationkey, c_mktsegmen
     "json_roundtrip_consolidate": """
 SELECT event_type, count(*) AS occurrences FROM events GROUP BY event_type""",
     "headerless_csv": """
+SELECT s_suppkey AS id, s_nationkey AS nation FROM supplier""",
+    "land_and_transform": """
 SELECT s_suppkey AS id, s_nationkey AS nation FROM supplier""",
     "rename_positional": """
 SELECT r_regionkey AS id, r_name AS label FROM region""",

@@ -25,7 +25,8 @@ def output_name(source: str) -> str:
     return OUTPUT_PREFIX + file_name_from_location(source)
 
 
-def _fs(spark, path: str):
+def file_system(spark, path: str):
+    """(Hadoop FileSystem, Path, JVM view) for ``path``."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -38,7 +39,7 @@ def swap_in(spark, staged: str, final: str) -> None:
     The old folder is first renamed aside and deleted only after the new one
     is in place, so a failure leaves either version complete.
     """
-    fs, staged_path, jvm = _fs(spark, staged)
+    fs, staged_path, jvm = file_system(spark, staged)
     Path = jvm.org.apache.hadoop.fs.Path
     final_path = Path(final)
     retired_path = Path(f"{final.rstrip('/')}._old-{uuid.uuid4().hex}")
@@ -78,7 +79,7 @@ def publish_file(
     out = output_dir.rstrip("/")
     final = f"{out}/{name}"
     staged = f"{out}/._stage-{uuid.uuid4().hex}"
-    fs, out_path, jvm = _fs(spark, out)
+    fs, out_path, jvm = file_system(spark, out)
     staged_path = jvm.org.apache.hadoop.fs.Path(staged)
     fs.mkdirs(out_path)
     try:

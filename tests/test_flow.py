@@ -43,3 +43,39 @@ def test_print_rows_requires_a_limit(spark, capsys):
     assert print_rows(df, 3) == 30
     out = capsys.readouterr().out
     assert "only showing top 3 rows" in out
+
+
+def test_land_headerless_csv_with_names(spark, tmp_dir):
+    from foldline.plans import land_source
+    src = os.path.join(tmp_dir, "src", "iris.csv")
+    os.makedirs(os.path.dirname(src))
+    with open(src, "w") as handle:
+        handle.write("5.1,3.5,Iris-setosa\n4.9,3.0,Iris-setosa\n")
+    landed = land_source(spark, src, os.path.join(tmp_dir, "in"), ["sl", "sw", "species"])
+    assert landed.endswith("/in/iris.csv")
+    back = read_source(spark, landed)
+    assert back.columns == ["sl", "sw", "species"] and back.count() == 2
+    assert dict(back.dtypes)["sl"] == "double"
+    # landing again replaces the old copy
+    with open(src, "w") as handle:
+        handle.write("1.0,2.0,x\n")
+    land_source(spark, src, os.path.join(tmp_dir, "in"), ["sl", "sw", "species"])
+    assert read_source(spark, landed).count() == 1
+
+
+def test_land_json_and_guards(spark, tmp_dir, capsys):
+    from foldline.plans import land_source, print_file
+    src = os.path.join(tmp_dir, "e.json")
+    with open(src, "w") as handle:
+        handle.write('{"a": 1, "b": [1, 2]}\n{"a": 2, "b": null}\n')
+    landed = land_source(spark, src, os.path.join(tmp_dir, "in"))
+    assert read_source(spark, landed).count() == 2
+    assert print_file(spark, landed, 5) == 2
+    assert "[1,2]" in capsys.readouterr().out
+    import pytest
+    with pytest.raises(ValueError):
+        land_source(spark, src, os.path.join(tmp_dir, "in"), ["x"])
+    empty = os.path.join(tmp_dir, "empty.csv")
+    open(empty, "w").close()
+    with pytest.raises(ValueError):
+        land_source(spark, empty, os.path.join(tmp_dir, "in"))
