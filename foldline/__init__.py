@@ -42,6 +42,7 @@ from .sources import (
 from .streaming import (
     ChangeListener,
     fingerprint,
+    listen,
     refresh_if_changed,
     source_fingerprint,
     start_ingest,
@@ -69,6 +70,7 @@ __all__ = [
     "land_source",
     "limit_rows",
     "list_databases",
+    "listen",
     "list_tables",
     "multiplicity_name",
     "numeric_columns",

@@ -117,9 +117,12 @@ def flow(
     filter_column: str | None = None,
     filter_value=None,
     schema=None,
-    preview_rows: int = 20,
+    preview_rows: int | None = 20,
 ) -> FlowResult:
-    """Transform -> table (K2) -> file (K1) from the table -> preview."""
+    """Transform -> table (K2) -> file (K1) from the table -> preview.
+
+    ``preview_rows=None`` skips the preview (the row count is then not taken).
+    """
     if not database or not table:
         raise ValueError("database and table must both be given")
     result = transform(
@@ -135,5 +138,5 @@ def flow(
     location = save_table(result, database, table, warehouse_dir=warehouse_dir, mode="overwrite")
     stored = read_table(spark, database, table)
     path = publish_file(stored, source, output_dir, file_format, write_options)
-    rows = print_rows(stored, preview_rows)
+    rows = print_rows(stored, preview_rows) if preview_rows is not None else -1
     return FlowResult(location, path, rows)

@@ -4,19 +4,25 @@ Structured Streaming ingest (new files)."""
 from .ingest import start_ingest, stop_ingest
 from .refresh import (
     ChangeListener,
+    SourceState,
     fingerprint,
+    listen,
     read_state,
     refresh_if_changed,
     source_fingerprint,
+    source_listing,
     write_state,
 )
 
 __all__ = [
     "ChangeListener",
+    "SourceState",
     "fingerprint",
+    "listen",
     "read_state",
     "refresh_if_changed",
     "source_fingerprint",
+    "source_listing",
     "start_ingest",
     "stop_ingest",
     "write_state",

@@ -132,3 +132,41 @@ def test_ingest_stop(spark, tmp_dir):
     time.sleep(1)
     assert stop_ingest(query, 30)
     assert not stop_ingest(query)
+
+
+def test_unchanged_listing_skips_the_scan(spark, tmp_dir):
+    from foldline.streaming import read_state, source_listing
+    path = os.path.join(tmp_dir, "x.csv")
+    with open(path, "w") as handle:
+        handle.write("a\n1\n")
+    state = os.path.join(tmp_dir, "state")
+    assert source_listing(spark, os.path.join(tmp_dir, "nope")) is None
+    assert refresh_if_changed(spark, path, state, lambda s: None)
+    first = read_state(spark, state)
+    # same bytes rewritten with a new modification time: listing changes,
+    # content does not, so only the listing is recorded
+    os.utime(path, (time.time() + 100, time.time() + 100))
+    assert not refresh_if_changed(spark, path, state, lambda s: 1 / 0)
+    second = read_state(spark, state)
+    assert second.content == first.content and second.listing != first.listing
+    assert not refresh_if_changed(spark, path, state, lambda s: 1 / 0)
+
+
+def test_listen_runs_the_flow_on_change(spark, tmp_dir):
+    from foldline.streaming import listen
+    src = os.path.join(tmp_dir, "iris.csv")
+    with open(src, "w") as handle:
+        handle.write("a,b\n1,x\n1,x\n2,y\n")
+    listener = listen(
+        spark, src, "https://example.org/iris.csv", os.path.join(tmp_dir, "out"), "listen_db", "iris",
+        os.path.join(tmp_dir, "state"), poll_interval=0.1, warehouse_dir=os.path.join(tmp_dir, "wh"),
+    )
+    assert listener.run(max_rounds=2).refreshes == 1
+    assert sorted(r.occurrences for r in read_table(spark, "listen_db", "iris").collect()) == [1, 2]
+    with open(src, "w") as handle:
+        handle.write("a,b\n1,x\n")
+    assert listener.run(max_rounds=1).refreshes == 2
+    assert [r.occurrences for r in read_table(spark, "listen_db", "iris").collect()] == [1]
+    import pytest
+    with pytest.raises(ValueError):
+        listen(spark, src, "s.csv", tmp_dir, "", "t", os.path.join(tmp_dir, "s2"))
