@@ -187,7 +187,7 @@ def _targets() -> list[Column]:
 
 
 def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame, DataFrame]:
-    """Exact quartiles per category; also returns the checkpointed distinct values.
+    """Exact quartiles per category; also returns the frozen distinct values.
 
     1. fold to distinct (category, value) with their count w (partial aggregate);
     2. range-partition on (category, value) and write the result as a Parquet
@@ -195,7 +195,7 @@ def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame
        each row's partition id (the sampled bounds must not change on a retry);
     3. per (_pid, category) totals -> offsets of each partition within its
        category and the category size n (a table of <= partitions + categories
-       rows; the D4 cap is checked on it before it is broadcast);
+       rows, on which the D4 cap is checked);
     4. only the partitions that hold one of the six wanted ranks per category
        get a running sum (window over (_pid, category)); the broadcast join on
        the partition column lets dynamic partition pruning skip the files of all
@@ -204,12 +204,15 @@ def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame
     5. the rows whose rank span [start, end) holds a wanted rank give the
        neighbours, interpolated linearly.
     """
-    spark = rows.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     distinct_values = rows.groupBy("category", "value").agg(F.sum("w").alias("w"))
-    ranged = distinct_values.repartitionByRange(parts, "category", "value").withColumn(
-        "_pid", F.spark_partition_id()
-    )
+    # Without an explicit count AQE may merge neighbouring ranges up to the
+    # advisory partition size; merged ranges are still ordered, which is all
+    # the rank computation needs.
+    if partitions:
+        ranged = distinct_values.repartitionByRange(partitions, "category", "value")
+    else:
+        ranged = distinct_values.repartitionByRange("category", "value")
+    ranged = ranged.withColumn("_pid", F.spark_partition_id())
     ranged = _freeze(ranged, "quartile-ranks", "_pid")
 
     totals = ranged.groupBy("_pid", "category").agg(F.sum("w").alias("part_w"))
@@ -231,7 +234,8 @@ def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame
     holds_target = F.lit(False)
     for k in _targets():
         holds_target = holds_target | inside(k, part_start, part_end)
-    # At most 6 rows per category (one partition per wanted rank).
+    # At most 6 rows per category (one partition per wanted rank), so at most
+    # 120 rows are broadcast.
     needed = offsets.where(holds_target).select("_pid", "category", "offset", "n")
 
     running = Window.partitionBy("_pid", "category").orderBy("value").rowsBetween(
