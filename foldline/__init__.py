@@ -43,6 +43,7 @@ from .streaming import (
     ChangeListener,
     fingerprint,
     listen,
+    read_ingested,
     refresh_if_changed,
     source_fingerprint,
     start_ingest,
@@ -84,6 +85,7 @@ __all__ = [
     "quartiles",
     "read_headerless_csv",
     "read_source",
+    "read_ingested",
     "read_table",
     "refresh_if_changed",
     "rename_columns",

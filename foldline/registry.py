@@ -31,7 +31,7 @@ from .plans import land_source, transform, transform_frame
 from .session import scratch_dir
 from .sinks import publish_file, save_table
 from .sources import read_headerless_csv, read_table, require_nonempty
-from .streaming import fingerprint, read_state, refresh_if_changed, start_ingest
+from .streaming import fingerprint, read_ingested, read_state, refresh_if_changed, start_ingest
 
 CHECK_DATABASE = "foldline_checks"
 
@@ -275,6 +275,32 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, CHECK_DATABASE, name)
 
 
+def incremental_ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 without a state store: each batch writes its own folded rows into
+    its batch_id partition; the reader sums the ledger."""
+    root = scratch_dir(spark, "ingest-ledger")
+    inbox = f"{root}/inbox"
+    events = table(spark, sf_dir, "events").select("event_type", "user_id")
+    events.repartition(4).write.mode("overwrite").option("header", True).csv(inbox)
+    name = _unique("event_users_ledger")
+    query = start_ingest(
+        spark,
+        inbox,
+        "event_type string, user_id bigint",
+        CHECK_DATABASE,
+        name,
+        warehouse_dir=f"{root}/warehouse",
+        checkpoint_location=f"{root}/checkpoint",
+        available_now=True,
+        max_files_per_trigger=1,
+        output="ledger",
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"ingest failed: {query.exception()}")
+    return read_ingested(spark, CHECK_DATABASE, name)
+
+
 # ---------------------------------------------------------------------- registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -303,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fingerprint": fingerprint_query,
     "refresh_if_changed": refresh_if_changed_query,
     "incremental_ingest": incremental_ingest,
+    "incremental_ingest_ledger": incremental_ingest_ledger,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -394,6 +421,8 @@ FROM documents""",
     "refresh_if_changed": """
 SELECT o_orderstatus, count(*) AS occurrences FROM orders GROUP BY o_orderstatus""",
     "incremental_ingest": """
+SELECT event_type, user_id, count(*) AS occurrences FROM events GROUP BY event_type, user_id""",
+    "incremental_ingest_ledger": """
 SELECT event_type, user_id, count(*) AS occurrences FROM events GROUP BY event_type, user_id""",
 }
 

@@ -88,6 +88,7 @@ def save_table(
     warehouse_dir: str | None = None,
     mode: str = "overwrite",
     ntz_as_timestamp: bool = False,
+    partition_column: str | None = None,
 ) -> str:
     """K2/K3 after K4-K7: store ``df`` in ``database.table`` and return its location.
 
@@ -96,6 +97,10 @@ def save_table(
     existing table must have the same ordered column names (case-insensitive)
     and types (K4) and the expected location (K5); otherwise TableLoadError is
     raised and no data is written.
+
+    With ``partition_column`` (which must be the frame's last column) the table
+    is partitioned by it and an overwrite replaces only the partitions present
+    in ``df`` (dynamic partition overwrite); other partitions stay.
     """
     identifier(database, "database")
     identifier(table, "table")
@@ -105,6 +110,8 @@ def save_table(
     if not fields:
         raise ValueError("the frame has no columns")
     check_unique([f.name for f in fields])
+    if partition_column is not None and fields[-1].name != partition_column:
+        raise ValueError("the partition column must be the frame's last column")
     headings = [_column_heading(f.name) for f in fields]
     types = [column_type(f.dataType, ntz_as_timestamp) for f in fields]
     if ntz_as_timestamp:
@@ -124,9 +131,10 @@ def save_table(
     qualified = table_name(database, table)
     columns_sql = ", ".join(f"{h} {t}" for h, t in zip(headings, types))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)} LOCATION '{_sql_text(db_location)}'")
+    partitioning = f"PARTITIONED BY ({quote(partition_column)}) " if partition_column else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {qualified} ({columns_sql}) USING PARQUET "
-        f"LOCATION '{_sql_text(location)}'"
+        f"{partitioning}LOCATION '{_sql_text(location)}'"
     )
 
     incoming = tuple((f.name.casefold(), t) for f, t in zip(fields, types))
@@ -142,7 +150,16 @@ def save_table(
             f"table {database}.{table} lives at {registered!r}, expected {location!r}; "
             "nothing was written"
         )
-    df.write.insertInto(qualified, overwrite=(mode == "overwrite"))
+    if partition_column is None:
+        df.write.insertInto(qualified, overwrite=(mode == "overwrite"))
+        return location
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(qualified, overwrite=(mode == "overwrite"))
+    finally:
+        spark.conf.set(key, previous)
     return location
 
 

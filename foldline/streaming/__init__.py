@@ -1,7 +1,7 @@
 """Change-driven processing: fingerprint refresh (in-place rewrites) and
 Structured Streaming ingest (new files)."""
 
-from .ingest import start_ingest, stop_ingest
+from .ingest import read_ingested, start_ingest, stop_ingest
 from .refresh import (
     ChangeListener,
     SourceState,
@@ -19,6 +19,7 @@ __all__ = [
     "SourceState",
     "fingerprint",
     "listen",
+    "read_ingested",
     "read_state",
     "refresh_if_changed",
     "source_fingerprint",

@@ -1,13 +1,19 @@
 """T3-T6 for sources that grow by new files: Structured Streaming.
 
-``readStream`` picks up each new file once (the checkpoint records which), the
-consolidation runs as a streaming aggregate (partial aggregate per micro-batch,
-then a shuffle into the state store, one row of state per distinct row), and
+``readStream`` picks up each new file once (the checkpoint records which).
+Two ways to keep the consolidated result:
+
+``output="complete"`` (default): the consolidation is a streaming aggregate
+(partial aggregate per micro-batch, then a shuffle into the state store, one
+row of state per distinct row; RocksDB keeps it off the JVM heap), and
 ``foreachBatch`` replaces the table with the complete multiset after every
-batch. Overwriting makes a retried batch harmless.
+batch. The table always holds the finished result; each trigger rewrites it.
 
-State grows with the number of distinct rows, spread over the shuffle
-partitions; the RocksDB state store keeps it off the JVM heap.
+``output="ledger"``: no state store. Each micro-batch folds only its own rows
+and writes them into its own ``batch_id`` partition of the table (dynamic
+partition overwrite, so a retried batch replaces its earlier attempt). A
+trigger costs O(batch) however large the result has grown; readers fold the
+ledger with ``read_ingested`` (one more partial aggregate).
 """
 
 from __future__ import annotations
@@ -15,14 +21,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.names import col, cols
 from ..plans.transform import transform_frame
 from ..session import scratch_dir
 from ..sinks.tables import save_table
+from ..sources.catalog import read_table
 from ..sources.files import normalize_format
 
+BATCH_COLUMN = "batch_id"
+OUTPUTS = ("complete", "ledger")
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -44,6 +55,7 @@ def start_ingest(
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
     rocksdb_state: bool = True,
+    output: str = "complete",
 ) -> StreamingQuery:
     """Keep ``database.table`` equal to the consolidation of all files so far.
 
@@ -54,24 +66,43 @@ def start_ingest(
     """
     if not isinstance(poll_interval, (int, float)) or poll_interval <= 0:
         raise ValueError("poll_interval must be greater than zero")
+    if output not in OUTPUTS:
+        raise ValueError(f"output must be one of {OUTPUTS}")
     fmt = normalize_format(file_format)
     options = dict(read_options or {})
     if fmt == "csv":
         options.setdefault("header", True)
     if max_files_per_trigger is not None:
         options["maxFilesPerTrigger"] = int(max_files_per_trigger)
-    if rocksdb_state:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-
     stream = spark.readStream.format(fmt).schema(schema).options(**options).load(input_dir)
-    consolidated = transform_frame(stream, column_names, filter_column, filter_value, True)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        save_table(batch, database, table, warehouse_dir=warehouse_dir, mode="overwrite")
+    if output == "complete":
+        if rocksdb_state:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        result = transform_frame(stream, column_names, filter_column, filter_value, True)
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            save_table(batch, database, table, warehouse_dir=warehouse_dir, mode="overwrite")
+
+        output_mode = "complete"
+    else:
+        result = transform_frame(stream, column_names, filter_column, filter_value, False)
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            folded = transform_frame(batch, count_duplicates=True)
+            if BATCH_COLUMN in folded.columns:
+                raise ValueError(f"input column {BATCH_COLUMN!r} collides with the ledger")
+            folded = folded.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+            save_table(
+                folded, database, table, warehouse_dir=warehouse_dir, mode="overwrite",
+                partition_column=BATCH_COLUMN,
+            )
+
+        output_mode = "append"
 
     location = checkpoint_location or scratch_dir(spark, "ingest-checkpoint")
     writer = (
-        consolidated.writeStream.outputMode("complete")
+        result.writeStream.outputMode(output_mode)
         .foreachBatch(write_batch)
         .option("checkpointLocation", location)
         .queryName(f"ingest_{database}_{table}")
@@ -92,3 +123,17 @@ def stop_ingest(query: StreamingQuery | None, wait_timeout: float = 30.0) -> boo
     if query.isActive:
         raise TimeoutError(f"the ingest did not stop within {wait_timeout} seconds")
     return True
+
+
+def read_ingested(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """The consolidated rows of an ingest table, for either output mode.
+
+    A ledger (``batch_id`` partitions) is folded: occurrences of the same row
+    in different batches are summed (a partial aggregate, no hot-key issue).
+    """
+    data = read_table(spark, database, table)
+    if data.columns[-1] != BATCH_COLUMN:
+        return data
+    # Ledger layout: row columns, the multiplicity, then batch_id.
+    *keys, count = data.columns[:-1]
+    return data.groupBy(*cols(keys)).agg(F.sum(col(count)).alias(count))
