@@ -134,3 +134,15 @@ def test_type_gate_and_identifiers(spark, tmp_dir):
 def test_read_missing_table(spark):
     with pytest.raises(TableLoadError):
         read_table(spark, "no_such_db_x", "nothing")
+
+
+def test_nested_columns_in_file_sinks(spark, tmp_dir):
+    from pyspark.errors import PySparkException
+    nested = spark.createDataFrame([(1, {"x": 1}, [1, 2])], "a int, s struct<x:int>, l array<int>")
+    path = publish_file(nested, "n.json", os.path.join(tmp_dir, "json"))
+    back = spark.read.schema(nested.schema).json(path)
+    assert back.collect() == nested.collect()
+    with pytest.raises(PySparkException):
+        publish_file(nested, "n.csv", os.path.join(tmp_dir, "csv"))
+    # a failed publish leaves no staging folder and no output behind
+    assert os.listdir(os.path.join(tmp_dir, "csv")) == []

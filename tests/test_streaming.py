@@ -197,3 +197,21 @@ def test_ledger_ingest_is_idempotent_per_batch(spark, tmp_dir):
                partition_column="batch_id")
     again = read_ingested(spark, "ledger_db", "ev")
     assert again.agg(F.sum("occurrences")).first()[0] == events.count()
+
+
+def test_file_stream_ignores_in_place_rewrite(spark, tmp_dir):
+    """Why T2 exists: the streaming file source never re-reads a rewritten file."""
+    from foldline.streaming import read_ingested
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    path = os.path.join(inbox, "a.csv")
+    with open(path, "w") as handle:
+        handle.write("v\n1\n")
+    opts = dict(warehouse_dir=os.path.join(tmp_dir, "wh"), checkpoint_location=os.path.join(tmp_dir, "ck"),
+                available_now=True)
+    start_ingest(spark, inbox, "v string", "rewrite_db", "t", **opts).awaitTermination()
+    with open(path, "w") as handle:
+        handle.write("v\n2\n")
+    os.utime(path, (time.time() + 60, time.time() + 60))
+    start_ingest(spark, inbox, "v string", "rewrite_db", "t", **opts).awaitTermination()
+    assert [tuple(r) for r in read_ingested(spark, "rewrite_db", "t").collect()] == [("1", 1)]
