@@ -65,6 +65,12 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hpath).toString().rstrip("/")
 
 
+def _mkdirs(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+
+
 def table_location(spark: SparkSession, database: str, table: str) -> str | None:
     """M4: the registered location of a table (None when it has none)."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(database, table)}").collect()
@@ -131,6 +137,8 @@ def save_table(
     qualified = table_name(database, table)
     columns_sql = ", ".join(f"{h} {t}" for h, t in zip(headings, types))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)} LOCATION '{_sql_text(db_location)}'")
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        _mkdirs(spark, location)
     partitioning = f"PARTITIONED BY ({quote(partition_column)}) " if partition_column else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {qualified} ({columns_sql}) USING PARQUET "

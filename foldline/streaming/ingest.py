@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.names import col, cols
+from ..functions.names import col, cols, positive_int
 from ..plans.transform import transform_frame
 from ..session import scratch_dir
 from ..sinks.tables import save_table
@@ -56,6 +56,7 @@ def start_ingest(
     max_files_per_trigger: int | None = None,
     rocksdb_state: bool = True,
     output: str = "complete",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep ``database.table`` equal to the consolidation of all files so far.
 
@@ -63,6 +64,13 @@ def start_ingest(
     processes what is there and stops. Progress (T5) lives in
     ``checkpoint_location`` (by default a fresh folder below the session's
     checkpoint root); restarting with the same location resumes.
+
+    ``state_partitions`` (complete output) is the number of state-store
+    partitions, fixed for the life of the checkpoint; by default the cluster's
+    default parallelism (one per core), which keeps every core busy without
+    paying per-partition state-store costs many times per core. It and the
+    state-store provider apply to this query only: the stream copies the
+    session's settings when it starts, and the caller's values are restored.
     """
     if not isinstance(poll_interval, (int, float)) or poll_interval <= 0:
         raise ValueError("poll_interval must be greater than zero")
@@ -76,9 +84,12 @@ def start_ingest(
         options["maxFilesPerTrigger"] = int(max_files_per_trigger)
     stream = spark.readStream.format(fmt).schema(schema).options(**options).load(input_dir)
 
+    query_conf: dict[str, str] = {}
     if output == "complete":
         if rocksdb_state:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+            query_conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+        parts = state_partitions or spark.sparkContext.defaultParallelism
+        query_conf["spark.sql.shuffle.partitions"] = str(positive_int(parts, "state_partitions"))
         result = transform_frame(stream, column_names, filter_column, filter_value, True)
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -111,7 +122,17 @@ def start_ingest(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{float(poll_interval)} seconds")
-    return writer.start()
+    previous = {key: spark.conf.get(key, None) for key in query_conf}
+    for key, value in query_conf.items():
+        spark.conf.set(key, value)
+    try:
+        return writer.start()
+    finally:
+        for key, value in previous.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def stop_ingest(query: StreamingQuery | None, wait_timeout: float = 30.0) -> bool:

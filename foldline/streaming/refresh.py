@@ -106,6 +106,10 @@ class SourceState:
 
 def read_state(spark: SparkSession, state_path: str) -> SourceState | None:
     """T5: the stored state, or None before the first successful run."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(state_path)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
     try:
         row = spark.read.parquet(state_path).first()
     except AnalysisException:

@@ -215,3 +215,18 @@ def test_file_stream_ignores_in_place_rewrite(spark, tmp_dir):
     os.utime(path, (time.time() + 60, time.time() + 60))
     start_ingest(spark, inbox, "v string", "rewrite_db", "t", **opts).awaitTermination()
     assert [tuple(r) for r in read_ingested(spark, "rewrite_db", "t").collect()] == [("1", 1)]
+
+
+def test_ingest_leaves_caller_settings_alone(spark, tmp_dir):
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.csv"), "w") as handle:
+        handle.write("v\n1\n1\n")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    q = start_ingest(spark, inbox, "v string", "conf_db", "t", warehouse_dir=os.path.join(tmp_dir, "wh"),
+                     checkpoint_location=os.path.join(tmp_dir, "ck"), available_now=True, state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == provider
+    assert [tuple(r) for r in read_table(spark, "conf_db", "t").collect()] == [("1", 2)]
