@@ -16,7 +16,6 @@ with idempotent outputs).
 
 from __future__ import annotations
 
-import hashlib
 import threading
 import time
 import uuid
@@ -69,28 +68,33 @@ def source_fingerprint(spark: SparkSession, path: str) -> tuple[int, str] | None
 
 
 def source_listing(spark: SparkSession, path: str) -> str | None:
-    """Digest of the data files at ``path`` (relative name, size, mtime); None when absent.
+    """Digest of the data files at ``path`` (path, size, mtime); None when absent.
 
-    Metadata only: one recursive listing through the Hadoop FileSystem API.
-    Hidden and underscore files (``_SUCCESS``, staging folders) are ignored.
+    Metadata only: a ``binaryFile`` scan that selects no ``content`` never
+    opens the files. Spark's file index does the (parallel) listing and the
+    digest is an order-insensitive aggregate (count, sum of row hashes) on the
+    executors, so nothing per file passes through Python. Hidden and
+    underscore files (``_SUCCESS``, staging folders) are ignored.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    base = fs.makeQualified(root).toString().rstrip("/")
-    entries = []
-    files = fs.listFiles(root, True)
-    while files.hasNext():
-        status = files.next()
-        name = status.getPath().toString()
-        relative = name[len(base):].lstrip("/") if name.startswith(base) else name
-        if any(part.startswith((".", "_")) for part in relative.split("/") if part):
-            continue
-        entries.append(f"{relative}\t{status.getLen()}\t{status.getModificationTime()}")
-    digest = hashlib.sha256("\n".join(sorted(entries)).encode("utf-8")).hexdigest()
-    return f"{len(entries)}:{digest}"
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .load(path)
+            .select("path", "length", "modificationTime")
+        )
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error) or "does not exist" in str(error):
+            return None
+        raise
+    row = files.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(
+            F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")),
+            F.lit(0).cast("decimal(38,0)"),
+        ).alias("h"),
+    ).first()
+    return f"{row['n']}:{row['h']}"
 
 
 @dataclass(frozen=True)
