@@ -84,12 +84,9 @@ def publish_file(
     fs.mkdirs(out_path)
     try:
         df.write.mode("overwrite").format(fmt).options(**options).save(staged)
-        parts = [
-            s.getPath().getName()
-            for s in fs.listStatus(staged_path)
-            if s.getPath().getName().startswith("part-")
-        ]
-        if not parts:
+        # One glob call; the parts are not walked one by one from Python.
+        parts = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/part-*"))
+        if parts is None or len(parts) == 0:
             raise RuntimeError("the writer produced no data file")
         swap_in(spark, staged, final)
         return final
