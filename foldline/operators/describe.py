@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import col, positive_int, resolve
 from ..functions.values import finite_double
-from ..session import scratch_dir
+from ..session import scratch_dir, session_conf
 
 # Histogram bins default to 10 and must lie in 1..100; a box plot
 # shows at most 20 categories; whiskers reach 1.5 interquartile ranges; the
@@ -208,12 +208,22 @@ def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame
     # Without an explicit count AQE may merge neighbouring ranges up to the
     # advisory partition size; merged ranges are still ordered, which is all
     # the rank computation needs.
+    spark = rows.sparkSession
     if partitions:
         ranged = distinct_values.repartitionByRange(partitions, "category", "value")
+        settings: dict[str, str] = {}
     else:
         ranged = distinct_values.repartitionByRange("category", "value")
+        # AQE only merges partitions, so start the range split wide enough for
+        # a large input (4 per core) and let small inputs shrink to a few.
+        start = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            4 * spark.sparkContext.defaultParallelism,
+        )
+        settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(start)}
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
-    ranged = _freeze(ranged, "quartile-ranks", "_pid")
+    with session_conf(spark, settings):
+        ranged = _freeze(ranged, "quartile-ranks", "_pid")
 
     totals = ranged.groupBy("_pid", "category").agg(F.sum("w").alias("part_w"))
     check_category_count(totals, "category")

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +83,19 @@ def local_path(uri: str) -> str:
     if uri.startswith("file:"):
         return uri[len("file:"):]
     return os.fspath(uri)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Set SQL settings for the actions run inside the block, then restore them."""
+    previous = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in previous.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.names import check_unique, quote
+from ..session import session_conf
 
 # Database and table identifiers, and the flat column types a
 # table accepts (decimal/char/varchar with their parameters, no spaces).
@@ -158,16 +159,9 @@ def save_table(
             f"table {database}.{table} lives at {registered!r}, expected {location!r}; "
             "nothing was written"
         )
-    if partition_column is None:
+    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic"} if partition_column else {}
+    with session_conf(spark, settings):
         df.write.insertInto(qualified, overwrite=(mode == "overwrite"))
-        return location
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        df.write.insertInto(qualified, overwrite=(mode == "overwrite"))
-    finally:
-        spark.conf.set(key, previous)
     return location
 
 

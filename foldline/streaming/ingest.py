@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.names import col, cols, positive_int
 from ..plans.transform import transform_frame
-from ..session import scratch_dir
+from ..session import scratch_dir, session_conf
 from ..sinks.tables import save_table
 from ..sources.catalog import read_table
 from ..sources.files import normalize_format
@@ -122,17 +122,8 @@ def start_ingest(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{float(poll_interval)} seconds")
-    previous = {key: spark.conf.get(key, None) for key in query_conf}
-    for key, value in query_conf.items():
-        spark.conf.set(key, value)
-    try:
+    with session_conf(spark, query_conf):
         return writer.start()
-    finally:
-        for key, value in previous.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
 
 
 def stop_ingest(query: StreamingQuery | None, wait_timeout: float = 30.0) -> bool:
