@@ -21,17 +21,17 @@ def test_transform_reads_filters_and_folds(spark, tmp_dir):
 
 def test_flow_table_then_file(spark, tmp_dir, capsys):
     rows = "sepal_length,sepal_width,petal_length,petal_width,species\n"
-    rows += "5.1,3.5,1.4,0.2,Iris-setosa\n5.1,3.5,1.4,0.2,Iris-setosa\n7.0,3.2,4.7,1.4,Iris-versicolor\n"
-    src = os.path.join(tmp_dir, "iris.csv")
+    rows += "5.1,3.5,1.4,0.2,kind-a\n5.1,3.5,1.4,0.2,kind-a\n7.0,3.2,4.7,1.4,kind-b\n"
+    src = os.path.join(tmp_dir, "samples.csv")
     with open(src, "w") as handle:
         handle.write(rows)
     result = flow(
-        spark, src, "https://example.org/iris.csv", os.path.join(tmp_dir, "out"), "iris_db", "iris",
-        warehouse_dir=os.path.join(tmp_dir, "wh"), filter_column="species", filter_value="Iris-setosa",
+        spark, src, "https://example.org/samples.csv", os.path.join(tmp_dir, "out"), "sample_db", "samples",
+        warehouse_dir=os.path.join(tmp_dir, "wh"), filter_column="species", filter_value="kind-a",
         preview_rows=5,
     )
     assert result.rows == 1
-    stored = read_table(spark, "iris_db", "iris").collect()
+    stored = read_table(spark, "sample_db", "samples").collect()
     assert [r.occurrences for r in stored] == [2]
     published = read_source(spark, result.file_path).collect()
     assert [tuple(r) for r in published] == [tuple(r) for r in stored]
@@ -47,12 +47,12 @@ def test_print_rows_requires_a_limit(spark, capsys):
 
 def test_land_headerless_csv_with_names(spark, tmp_dir):
     from foldline.plans import land_source
-    src = os.path.join(tmp_dir, "src", "iris.csv")
+    src = os.path.join(tmp_dir, "src", "samples.csv")
     os.makedirs(os.path.dirname(src))
     with open(src, "w") as handle:
-        handle.write("5.1,3.5,Iris-setosa\n4.9,3.0,Iris-setosa\n")
+        handle.write("5.1,3.5,kind-a\n4.9,3.0,kind-a\n")
     landed = land_source(spark, src, os.path.join(tmp_dir, "in"), ["sl", "sw", "species"])
-    assert landed.endswith("/in/iris.csv")
+    assert landed.endswith("/in/samples.csv")
     back = read_source(spark, landed)
     assert back.columns == ["sl", "sw", "species"] and back.count() == 2
     assert dict(back.dtypes)["sl"] == "double"

@@ -24,9 +24,9 @@ def _parts(path):
 
 
 def test_output_name():
-    assert output_name("https://h/x/iris.csv") == "transformed_iris.csv"
+    assert output_name("https://h/x/samples.csv") == "transformed_samples.csv"
     with pytest.raises(ValueError):
-        output_name("https://h/x/iris.parquet")
+        output_name("https://h/x/samples.parquet")
 
 
 def test_publish_csv_roundtrip_and_replace(spark, tmp_dir):

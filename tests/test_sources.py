@@ -13,13 +13,13 @@ from tests.conftest import write_text
 
 
 def test_format_dispatch():
-    assert format_for("hdfs://nn/x/iris.csv") == "csv"
+    assert format_for("hdfs://nn/x/samples.csv") == "csv"
     assert format_for("https://host/a/Data.JSON") == "json"
-    assert format_for("file:/x/iris.CSV") == "csv"
-    assert format_for("/x/iris.csv", "JSON") == "json"
+    assert format_for("file:/x/samples.CSV") == "csv"
+    assert format_for("/x/samples.csv", "JSON") == "json"
     assert format_for("/x/whatever", ".csv") == "csv"
     assert file_name_from_location("https://h/p/my%20file.csv".replace("%20", "_")) == "my_file.csv"
-    for bad in ["/x/iris.txt", "/x/.hidden.csv", "/x/dir/"]:
+    for bad in ["/x/samples.txt", "/x/.hidden.csv", "/x/dir/"]:
         with pytest.raises(ValueError):
             format_for(bad)
     with pytest.raises(ValueError):
@@ -27,7 +27,7 @@ def test_format_dispatch():
 
 
 def test_csv_defaults_header_and_inference(spark, tmp_dir):
-    path = write_text(os.path.join(tmp_dir, "iris.csv"), "a,b,c\n1,2.5,x\n3,4.5,y\n")
+    path = write_text(os.path.join(tmp_dir, "samples.csv"), "a,b,c\n1,2.5,x\n3,4.5,y\n")
     df = read_source(spark, path)
     assert df.columns == ["a", "b", "c"]
     assert dict(df.dtypes) == {"a": "int", "b": "double", "c": "string"}
@@ -55,7 +55,7 @@ def test_json_lines_and_corrupt_records(spark, tmp_dir):
 
 
 def test_headerless_csv(spark, tmp_dir):
-    path = write_text(os.path.join(tmp_dir, "iris.csv"), "5.1,3.5,1.4,0.2,Iris-setosa\n4.9,3.0,1.4,0.2,Iris-setosa\n")
+    path = write_text(os.path.join(tmp_dir, "samples.csv"), "5.1,3.5,1.4,0.2,kind-a\n4.9,3.0,1.4,0.2,kind-a\n")
     names = ["sepal_length", "sepal_width", "petal_length", "petal_width", "species"]
     df = read_headerless_csv(spark, path, names)
     assert df.columns == names

@@ -154,19 +154,19 @@ def test_unchanged_listing_skips_the_scan(spark, tmp_dir):
 
 def test_listen_runs_the_flow_on_change(spark, tmp_dir):
     from foldline.streaming import listen
-    src = os.path.join(tmp_dir, "iris.csv")
+    src = os.path.join(tmp_dir, "samples.csv")
     with open(src, "w") as handle:
         handle.write("a,b\n1,x\n1,x\n2,y\n")
     listener = listen(
-        spark, src, "https://example.org/iris.csv", os.path.join(tmp_dir, "out"), "listen_db", "iris",
+        spark, src, "https://example.org/samples.csv", os.path.join(tmp_dir, "out"), "listen_db", "samples",
         os.path.join(tmp_dir, "state"), poll_interval=0.1, warehouse_dir=os.path.join(tmp_dir, "wh"),
     )
     assert listener.run(max_rounds=2).refreshes == 1
-    assert sorted(r.occurrences for r in read_table(spark, "listen_db", "iris").collect()) == [1, 2]
+    assert sorted(r.occurrences for r in read_table(spark, "listen_db", "samples").collect()) == [1, 2]
     with open(src, "w") as handle:
         handle.write("a,b\n1,x\n")
     assert listener.run(max_rounds=1).refreshes == 2
-    assert [r.occurrences for r in read_table(spark, "listen_db", "iris").collect()] == [1]
+    assert [r.occurrences for r in read_table(spark, "listen_db", "samples").collect()] == [1]
     import pytest
     with pytest.raises(ValueError):
         listen(spark, src, "s.csv", tmp_dir, "", "t", os.path.join(tmp_dir, "s2"))
