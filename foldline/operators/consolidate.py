@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import cols, free_name
 
+# Fixed value: the multiplicity column (suffixed _2, _3, ... when taken).
 COUNT_COLUMN = "occurrences"
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 
 from ..sources.files import file_name_from_location, format_for
 
+# Fixed value: published outputs are named after their source with this prefix.
 OUTPUT_PREFIX = "transformed_"
 
 
