@@ -1,6 +1,7 @@
 """Sources: S1-S3, S5, S6 file scans; S4 and M1-M5 catalog reads."""
 
 from .catalog import (
+    attach_table,
     describe_extended,
     describe_table,
     list_databases,
@@ -19,6 +20,7 @@ from .files import (
 )
 
 __all__ = [
+    "attach_table",
     "describe_extended",
     "describe_table",
     "file_name_from_location",

@@ -27,6 +27,22 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(name)
 
 
+def attach_table(spark: SparkSession, database: str, table: str, warehouse_dir: str) -> DataFrame:
+    """Register the external table stored at ``<warehouse>/<db>.db/<table>`` if this
+    session's catalog does not know it yet (a new process has an empty
+    in-memory catalog), then read it (S4). The schema comes from the Parquet
+    files."""
+    warehouse = warehouse_dir.rstrip("/")
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        location = f"{warehouse}/{identifier(database, 'database')}.db"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)} LOCATION '{location}'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table_name(database, table)} USING PARQUET "
+            f"LOCATION '{location}/{identifier(table, 'table')}'"
+        )
+    return read_table(spark, database, table)
+
+
 def list_databases(spark: SparkSession) -> DataFrame:
     """M1."""
     return spark.sql("SHOW DATABASES")
