@@ -116,8 +116,11 @@ def histogram(
 
     Returns every bin (empty ones with frequency 0): ``bin`` int,
     ``bin_start``, ``bin_end`` double, ``frequency`` (row count, or the sum of
-    ``weight``). When all values are equal the range is widened to
-    ``value +- 0.5`` and all rows land in bin ``bins // 2``, as NumPy does.
+    ``weight``). Binning follows NumPy's rule exactly: the edges are
+    ``i * step + lo`` (the last edge is ``hi``), a value's first guess is
+    ``floor((v - lo) / (hi - lo) * bins)``, corrected by one bin when it falls
+    on the wrong side of an edge. When all values are equal the range is
+    widened to ``value +- 0.5``.
     """
     name = resolve(df, column)
     if not isinstance(bins, int) or isinstance(bins, bool) or not 1 <= bins <= MAX_BINS:
@@ -131,23 +134,22 @@ def histogram(
     if row is None or row["n"] == 0:
         raise ValueError("the frame holds no data for the diagram")
     lo, hi = float(row["lo"]), float(row["hi"])
-    spark = df.sparkSession
-
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
-        bin_expr = F.lit(bins // 2)
-    else:
-        width = (hi - lo) / bins
-        bin_expr = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
-    counts = points.groupBy(bin_expr.cast("int").alias("bin")).agg(F.sum("f").alias("frequency"))
-
     span = hi - lo
-    edges = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    edges = edges.select(
-        "bin",
-        (F.lit(lo) + (F.col("bin") * F.lit(span)) / F.lit(bins)).alias("bin_start"),
-        (F.lit(lo) + ((F.col("bin") + 1) * F.lit(span)) / F.lit(bins)).alias("bin_end"),
-    )
+    step = span / bins
+
+    def edge(i: Column) -> Column:
+        return F.when(i == F.lit(bins), F.lit(hi)).otherwise(i.cast("double") * F.lit(step) + F.lit(lo))
+
+    v = F.col("v")
+    guess = F.least(F.floor((v - F.lit(lo)) / F.lit(span) * F.lit(bins)), F.lit(bins - 1)).cast("int")
+    below = F.when(v < edge(guess), guess - 1).otherwise(guess)
+    above = F.when((below != F.lit(bins - 1)) & (v >= edge(below + 1)), below + 1).otherwise(below)
+    counts = points.groupBy(above.alias("bin")).agg(F.sum("f").alias("frequency"))
+
+    edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    edges = edges.select("bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"))
     # Both sides have at most MAX_BINS rows.
     joined = edges.join(F.broadcast(counts), "bin", "left")
     zero = F.lit(0).cast(counts.schema["frequency"].dataType)

@@ -365,20 +365,28 @@ SELECT user_id, value FROM events WHERE event_type <> 'error'""",
 SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size FROM part""",
     "histogram_totalprice": """
 WITH m AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
-h AS (SELECT least(CAST(floor((o_totalprice - lo) / ((hi - lo) / 10)) AS INTEGER), 9) AS b,
-             count(*) AS n
-      FROM orders CROSS JOIN m GROUP BY 1)
+g AS (SELECT o_totalprice AS v, lo, hi, (hi - lo) / 10 AS step,
+             least(CAST(floor((o_totalprice - lo) / (hi - lo) * 10) AS INTEGER), 9) AS i0
+      FROM orders, m),
+c AS (SELECT v, lo, hi, step, CASE WHEN v < i0 * step + lo THEN i0 - 1 ELSE i0 END AS i1 FROM g),
+h AS (SELECT CASE WHEN i1 <> 9 AND v >= (CASE WHEN i1 + 1 = 10 THEN hi ELSE (i1 + 1) * step + lo END)
+                  THEN i1 + 1 ELSE i1 END AS b, count(*) AS n
+      FROM c GROUP BY 1)
 SELECT CAST(r.i AS INTEGER) AS bin,
-       round(lo + r.i * (hi - lo) / 10, 4) AS bin_start,
-       round(lo + (r.i + 1) * (hi - lo) / 10, 4) AS bin_end,
+       round(r.i * ((hi - lo) / 10) + lo, 4) AS bin_start,
+       round(CASE WHEN r.i + 1 = 10 THEN hi ELSE (r.i + 1) * ((hi - lo) / 10) + lo END, 4) AS bin_end,
        CAST(coalesce(n, 0) AS BIGINT) AS frequency
-FROM range(10) r(i) CROSS JOIN m LEFT JOIN h ON h.b = r.i""",
+FROM range(10) r(i), m LEFT JOIN h ON h.b = r.i""",
     "histogram_weighted": """
-WITH c AS (SELECT l_quantity AS v, count(*) AS occurrences FROM lineitem GROUP BY l_quantity),
-m AS (SELECT min(v) AS lo, max(v) AS hi FROM c),
-h AS (SELECT least(CAST(floor((v - lo) / ((hi - lo) / 7)) AS INTEGER), 6) AS b,
-             sum(occurrences) AS f
-      FROM c CROSS JOIN m GROUP BY 1)
+WITH w AS (SELECT l_quantity AS v, count(*) AS occurrences FROM lineitem GROUP BY l_quantity),
+m AS (SELECT min(v) AS lo, max(v) AS hi FROM w),
+g AS (SELECT v, occurrences, lo, hi, (hi - lo) / 7 AS step,
+             least(CAST(floor((v - lo) / (hi - lo) * 7) AS INTEGER), 6) AS i0
+      FROM w, m),
+c AS (SELECT v, occurrences, lo, hi, step, CASE WHEN v < i0 * step + lo THEN i0 - 1 ELSE i0 END AS i1 FROM g),
+h AS (SELECT CASE WHEN i1 <> 6 AND v >= (CASE WHEN i1 + 1 = 7 THEN hi ELSE (i1 + 1) * step + lo END)
+                  THEN i1 + 1 ELSE i1 END AS b, sum(occurrences) AS f
+      FROM c GROUP BY 1)
 SELECT CAST(r.i AS INTEGER) AS bin, CAST(coalesce(f, 0) AS BIGINT) AS frequency
 FROM range(7) r(i) LEFT JOIN h ON h.b = r.i""",
     "box_stats": """

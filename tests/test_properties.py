@@ -44,8 +44,11 @@ def test_box_stats_match_numpy(spark, data, parts):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(values, min_size=1, max_size=80), st.integers(1, 100))
-def test_histogram_matches_numpy(spark, vals, bins):
+@given(st.lists(values, min_size=1, max_size=80), st.integers(1, 100), st.booleans())
+def test_histogram_matches_numpy(spark, vals, bins, with_edges):
+    if with_edges and max(vals) > min(vals):
+        # values lying exactly on NumPy's bin edges are the hard cases
+        vals = vals + np.linspace(min(vals), max(vals), bins + 1).tolist()
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r.frequency for r in histogram(df, "v", bins=bins).orderBy("bin").collect()]
     expect, _ = np.histogram(np.asarray(vals), bins=bins)
