@@ -273,7 +273,10 @@ def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame
         h = (F.col("n") - 1) * F.lit(p)
         frac = h - F.floor(h)
         lo_v, hi_v = F.col(f"{label}_lo"), F.col(f"{label}_hi")
-        quart.append((lo_v + frac * (hi_v - lo_v)).alias(label))
+        # NumPy's linear interpolation, including its form for frac >= 0.5.
+        from_low = lo_v + (hi_v - lo_v) * frac
+        from_high = hi_v - (hi_v - lo_v) * (F.lit(1.0) - frac)
+        quart.append(F.when(frac >= F.lit(0.5), from_high).otherwise(from_low).alias(label))
     stats = picked.select("category", F.col("n").cast("bigint").alias("n"), *quart)
     return stats, ranged.select("category", "value", "w")
 

@@ -89,7 +89,7 @@ def _check_box(stats_rows, expected):
     for r in stats_rows:
         n, q1, med, q3, wl, wh, _ = expected[r.category]
         assert r.n == n
-        assert np.allclose([r.q1, r.median, r.q3, r.whisker_low, r.whisker_high], [q1, med, q3, wl, wh])
+        assert [r.q1, r.median, r.q3, r.whisker_low, r.whisker_high] == [q1, med, q3, wl, wh]
 
 
 def test_box_stats_on_driver_table(spark):
