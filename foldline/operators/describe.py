@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import col, positive_int, resolve
 from ..functions.values import finite_double
@@ -96,7 +97,7 @@ def ordered_categories(df: DataFrame, category: str) -> DataFrame:
     partition key sees at most 20 rows.
     """
     name = resolve(df, category)
-    cats = df.select(col(name).cast("string").alias("category")).dropna().distinct()
+    cats = df.dropna(subset=[name]).select(category_text(df, name).alias("category")).distinct()
     check_category_count(cats, "category")
     order = Window.orderBy(F.lower("category"), F.col("category"))
     return cats.select("category", F.row_number().over(order).cast("bigint").alias("position"))
@@ -173,11 +174,18 @@ def _box_input(
     wanted = [c for c in (cname, vname, wname) if c]
     data = _values(df, wanted, max_rows)
     # Without a category the single group is named after the value column.
-    cat = col(cname).cast("string") if cname else F.lit(vname)
+    cat = category_text(data, cname) if cname else F.lit(vname)
     w = col(wname).cast("bigint") if wname else F.lit(1).cast("bigint")
     return data.select(cat.alias("category"), finite_double(vname).alias("value"), w.alias("w"))
 
 
+def category_text(df: DataFrame, name: str) -> Column:
+    """A category as text; booleans read True/False as the plotted labels do."""
+    if isinstance(df.schema[name].dataType, T.BooleanType):
+        return F.when(col(name), F.lit("True")).otherwise(F.lit("False"))
+    return col(name).cast("string")
+
+
 def _rank(p: float, upper: bool) -> Column:
     """0-based rank of the lower/upper neighbour of quantile ``p`` among ``n`` values."""
     h = (F.col("n") - 1) * F.lit(p)
@@ -379,7 +387,7 @@ def outliers(
     fences = _with_fences(stats).select(
         F.col("category").alias("_cat"), "fence_low", "fence_high"
     )
-    key = col(cname).cast("string") if cname else F.lit(vname)
+    key = category_text(df, cname) if cname else F.lit(vname)
     clean = df.dropna(how="any", subset=[c for c in (cname, vname) if c])
     v = finite_double(vname)
     flagged = clean.join(F.broadcast(fences), key == F.col("_cat")).where(

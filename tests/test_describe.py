@@ -173,3 +173,10 @@ def test_max_rows_cap_is_consistent(spark):
     h = histogram(df, "o_totalprice", bins=5, max_rows=100)
     assert sum(r.frequency for r in h.collect()) == 100
     assert limit_rows(df, 5, order_by=["o_orderkey"]).count() == 5
+
+
+def test_boolean_categories_read_like_python(spark):
+    df = spark.createDataFrame([(True, 1.0), (False, 2.0), (True, 3.0)], "flag boolean, v double")
+    assert {r.category for r in box_stats(df, "v", "flag").collect()} == {"True", "False"}
+    assert [r.category for r in ordered_categories(df, "flag").orderBy("position").collect()] == ["False", "True"]
+    assert len(outliers(df, "v", "flag").collect()) == 0
