@@ -167,8 +167,7 @@ def histogram_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram(folded, "l_quantity", bins=7, weight="occurrences").select("bin", "frequency")
 
 
-def box_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = box_stats(table(spark, sf_dir, "orders"), "o_totalprice", category="o_orderpriority")
+def _rounded_box(stats: DataFrame) -> DataFrame:
     return stats.select(
         "category",
         "n",
@@ -180,11 +179,30 @@ def box_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def box_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_box(box_stats(table(spark, sf_dir, "orders"), "o_totalprice", category="o_orderpriority"))
+
+
+def box_stats_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 on consolidated rows weighted by multiplicity = D2 on the source rows."""
+    folded = consolidate(table(spark, sf_dir, "lineitem").select("l_linestatus", "l_quantity"))
+    return _rounded_box(box_stats(folded, "l_quantity", category="l_linestatus", weight="occurrences"))
+
+
+def box_stats_single_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 without a category: one group named after the value column."""
+    return _rounded_box(box_stats(table(spark, sf_dir, "events"), "value"))
+
+
 def outliers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = outliers(table(spark, sf_dir, "events"), "value", category="event_type")
     return flagged.select("event_type", "event_id", "value")
 
 
+def outliers_single_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers(table(spark, sf_dir, "events"), "value").select("event_id", "value")
+
+
 def scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A repeatable 1000-point sample (the cap is the feature)."""
     return scatter_points(
@@ -320,7 +338,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "histogram_totalprice": histogram_totalprice,
     "histogram_weighted": histogram_weighted,
     "box_stats": box_stats_query,
+    "box_stats_weighted": box_stats_weighted,
+    "box_stats_single_group": box_stats_single_group,
     "outliers": outliers_query,
+    "outliers_single_group": outliers_single_group,
     "scatter_sample": scatter_sample,
     "categories_ordered": categories_ordered,
     "table_overwrite": table_overwrite,
@@ -401,12 +422,38 @@ SELECT category, n, round(q1, 4) AS q1, round(med, 4) AS median, round(q3, 4) AS
   greatest(q3, max(o_totalprice) FILTER (WHERE o_totalprice <= q3 + 1.5 * (q3 - q1))) AS whisker_high
 FROM q JOIN orders ON o_orderpriority = category
 GROUP BY category, n, q1, med, q3""",
+    "box_stats_weighted": """
+WITH q AS (
+  SELECT l_linestatus AS category, count(*) AS n,
+         quantile_cont(l_quantity, 0.25) AS q1,
+         quantile_cont(l_quantity, 0.5) AS med,
+         quantile_cont(l_quantity, 0.75) AS q3
+  FROM lineitem GROUP BY l_linestatus)
+SELECT category, n, round(q1, 4) AS q1, round(med, 4) AS median, round(q3, 4) AS q3,
+  least(q1, min(l_quantity) FILTER (WHERE l_quantity >= q1 - 1.5 * (q3 - q1))) AS whisker_low,
+  greatest(q3, max(l_quantity) FILTER (WHERE l_quantity <= q3 + 1.5 * (q3 - q1))) AS whisker_high
+FROM q JOIN lineitem ON l_linestatus = category
+GROUP BY category, n, q1, med, q3""",
+    "box_stats_single_group": """
+WITH q AS (
+  SELECT count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med,
+         quantile_cont(value, 0.75) AS q3
+  FROM events)
+SELECT 'value' AS category, n, round(q1, 4) AS q1, round(med, 4) AS median, round(q3, 4) AS q3,
+  least(q1, min(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1))) AS whisker_low,
+  greatest(q3, max(value) FILTER (WHERE value <= q3 + 1.5 * (q3 - q1))) AS whisker_high
+FROM q, events
+GROUP BY n, q1, med, q3""",
     "outliers": """
 WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
            FROM events GROUP BY event_type)
 SELECT e.event_type, e.event_id, e.value
 FROM events e JOIN q ON e.event_type = q.event_type
 WHERE e.value < q.q1 - 1.5 * (q.q3 - q.q1) OR e.value > q.q3 + 1.5 * (q.q3 - q.q1)""",
+    "outliers_single_group": """
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
+SELECT event_id, value FROM events, q
+WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""",
     "scatter_sample": """
 SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_custkey AS DOUBLE) AS o_custkey
 FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 1000""",
