@@ -180,3 +180,23 @@ def test_boolean_categories_read_like_python(spark):
     assert {r.category for r in box_stats(df, "v", "flag").collect()} == {"True", "False"}
     assert [r.category for r in ordered_categories(df, "flag").orderBy("position").collect()] == ["False", "True"]
     assert len(outliers(df, "v", "flag").collect()) == 0
+
+
+def test_aqe_merged_ranges_stay_ordered(spark):
+    """Default path: AQE picks the number of ranges; force many small merged ones."""
+    import glob
+    import os
+
+    from foldline.session import checkpoint_root, session_conf
+    rows = [("hot", float((i * 7919) % 5003)) for i in range(6000)] + [("cold", float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "cat string, v double")
+    groups = {}
+    for c, v in rows:
+        groups.setdefault(c, []).append(v)
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+                              "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1"}):
+        got = box_stats(df, "v", "cat").collect()
+    _check_box(got, _brute_box(groups))
+    root = checkpoint_root(spark).replace("file:", "")
+    newest = max(glob.glob(f"{root}/foldline-scratch/quartile-ranks-*"), key=os.path.getmtime)
+    assert len([d for d in os.listdir(newest) if d.startswith("_pid=")]) > 1
