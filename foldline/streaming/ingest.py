@@ -66,11 +66,12 @@ def start_ingest(
     checkpoint root); restarting with the same location resumes.
 
     ``state_partitions`` (complete output) is the number of state-store
-    partitions, fixed for the life of the checkpoint; by default the cluster's
-    default parallelism (one per core), which keeps every core busy without
-    paying per-partition state-store costs many times per core. It and the
-    state-store provider apply to this query only: the stream copies the
-    session's settings when it starts, and the caller's values are restored.
+    partitions, fixed for the life of the checkpoint. By default it is
+    ``spark.sql.shuffle.partitions`` on a cluster (the executors present at
+    start say little under dynamic allocation) and the number of cores on a
+    local master. It and the state-store provider apply to this query only:
+    the stream copies the session's settings when it starts, and the caller's
+    values are restored.
     """
     if not isinstance(poll_interval, (int, float)) or poll_interval <= 0:
         raise ValueError("poll_interval must be greater than zero")
@@ -88,7 +89,7 @@ def start_ingest(
     if output == "complete":
         if rocksdb_state:
             query_conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
-        parts = state_partitions or spark.sparkContext.defaultParallelism
+        parts = state_partitions or _default_state_partitions(spark)
         query_conf["spark.sql.shuffle.partitions"] = str(positive_int(parts, "state_partitions"))
         result = transform_frame(stream, column_names, filter_column, filter_value, True)
 
@@ -126,6 +127,13 @@ def start_ingest(
         return writer.start()
 
 
+def _default_state_partitions(spark: SparkSession) -> int:
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stop_ingest(query: StreamingQuery | None, wait_timeout: float = 30.0) -> bool:
     """Stop a running ingest; False when none is active."""
     if query is None or not query.isActive:
