@@ -27,10 +27,10 @@ from .operators import (
     row_count,
     scatter_points,
 )
-from .plans import land_source, transform, transform_frame
+from .plans import flow, land_source, transform, transform_frame
 from .session import scratch_dir
 from .sinks import publish_file, save_table
-from .sources import read_headerless_csv, read_table, require_nonempty
+from .sources import read_headerless_csv, read_source, read_table, require_nonempty
 from .streaming import fingerprint, read_ingested, read_state, refresh_if_changed, start_ingest
 
 CHECK_DATABASE = "foldline_checks"
@@ -122,6 +122,30 @@ def land_and_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(spark, landed, schema="id bigint, nation int", count_duplicates=False)
 
 
+def flow_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV source -> transform with filter -> table -> file published from
+    the table; the published file is read back."""
+    root = scratch_dir(spark, "flow")
+    source = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority")
+    path = publish_file(source, "orders.csv", f"{root}/source", write_options={"header": False})
+    result = flow(
+        spark,
+        path,
+        "https://example.org/exports/orders.csv",
+        f"{root}/output",
+        CHECK_DATABASE,
+        _unique("orders_flow"),
+        warehouse_dir=f"{root}/warehouse",
+        read_options={"header": False},
+        schema="o_orderstatus string, o_orderpriority string",
+        column_names=["status", "priority"],
+        filter_column="priority",
+        filter_value="1-URGENT",
+        preview_rows=None,
+    )
+    return read_source(spark, result.file_path, schema="status string, priority string, occurrences bigint")
+
+
 # ----------------------------------------------------------- projections, values
 
 
@@ -332,6 +356,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_roundtrip_consolidate": json_roundtrip_consolidate,
     "headerless_csv": headerless_csv,
     "land_and_transform": land_and_transform,
+    "flow_end_to_end": flow_end_to_end,
     "rename_positional": rename_positional,
     "drop_incomplete": drop_incomplete_query,
     "numeric_from_text": numeric_from_text,
@@ -378,6 +403,9 @@ SELECT event_type, count(*) AS occurrences FROM events GROUP BY event_type""",
 SELECT s_suppkey AS id, s_nationkey AS nation FROM supplier""",
     "land_and_transform": """
 SELECT s_suppkey AS id, s_nationkey AS nation FROM supplier""",
+    "flow_end_to_end": """
+SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS occurrences
+FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_orderstatus, o_orderpriority""",
     "rename_positional": """
 SELECT r_regionkey AS id, r_name AS label FROM region""",
     "drop_incomplete": """
