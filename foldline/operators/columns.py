@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import check_unique, col, require_text, resolve
+from ..functions.names import check_unique, col, drop_nulls, require_text, resolve
 from ..functions.values import cell_text as _cell_text
 from ..functions.values import finite_double
 
@@ -53,8 +53,7 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with null or NaN in any of ``columns`` (all if None)."""
-    subset = [resolve(df, c) for c in (columns or df.columns)]
-    return df.dropna(how="any", subset=subset)
+    return drop_nulls(df, [resolve(df, c) for c in (columns or df.columns)])
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import col, positive_int, resolve
+from ..functions.names import col, drop_nulls, positive_int, resolve
 from ..functions.values import finite_double
 from ..session import scratch_dir, session_conf
 
@@ -51,7 +51,7 @@ def _values(df: DataFrame, columns: Sequence[str], max_rows: int | None) -> Data
     later pass sees the same ``max_rows`` rows (``limit`` alone may pick other
     rows on each evaluation).
     """
-    data = df.select(*[col(c) for c in columns]).dropna(how="any", subset=list(columns))
+    data = drop_nulls(df.select(*[col(c) for c in columns]), columns)
     if max_rows is not None:
         data = _freeze(data.limit(positive_int(max_rows, "max_rows")), "capped-rows")
     return data
@@ -97,7 +97,7 @@ def ordered_categories(df: DataFrame, category: str) -> DataFrame:
     partition key sees at most 20 rows.
     """
     name = resolve(df, category)
-    cats = df.dropna(subset=[name]).select(category_text(df, name).alias("category")).distinct()
+    cats = drop_nulls(df, [name]).select(category_text(df, name).alias("category")).distinct()
     check_category_count(cats, "category")
     order = Window.orderBy(F.lower("category"), F.col("category"))
     return cats.select("category", F.row_number().over(order).cast("bigint").alias("position"))
@@ -388,7 +388,7 @@ def outliers(
         F.col("category").alias("_cat"), "fence_low", "fence_high"
     )
     key = category_text(df, cname) if cname else F.lit(vname)
-    clean = df.dropna(how="any", subset=[c for c in (cname, vname) if c])
+    clean = drop_nulls(df, [c for c in (cname, vname) if c])
     v = finite_double(vname)
     flagged = clean.join(F.broadcast(fences), key == F.col("_cat")).where(
         (v < F.col("fence_low")) | (v > F.col("fence_high"))
@@ -415,7 +415,7 @@ def scatter_points(
     xn, yn = resolve(df, x), resolve(df, y)
     kn = resolve(df, key) if key is not None else None
     n = positive_int(max_rows, "max_rows")
-    data = df.dropna(how="any", subset=[xn, yn])
+    data = drop_nulls(df, [xn, yn])
     out = [finite_double(xn).alias(xn), finite_double(yn).alias(yn)]
     if kn is None:
         return data.select(*out).limit(n)

@@ -200,3 +200,15 @@ def test_aqe_merged_ranges_stay_ordered(spark):
     root = checkpoint_root(spark).replace("file:", "")
     newest = max(glob.glob(f"{root}/foldline-scratch/quartile-ranks-*"), key=os.path.getmtime)
     assert len([d for d in os.listdir(newest) if d.startswith("_pid=")]) > 1
+
+
+def test_dotted_and_spaced_names_everywhere(spark):
+    from foldline.operators.columns import drop_incomplete
+    df = spark.createDataFrame([(1.0, "x"), (None, "y"), (3.0, "x"), (2.0, None)], "`a.b` double, `c d` string")
+    assert drop_incomplete(df, ["a.b"]).count() == 3
+    assert sum(r.frequency for r in histogram(df, "a.b", bins=2).collect()) == 3
+    assert [r.n for r in box_stats(df, "a.b", "c d").collect()] == [2]
+    assert outliers(df, "a.b", "c d").count() == 0
+    pts = scatter_points(df.withColumn("k", df["`a.b`"]), "a.b", "k", key="c d").collect()
+    assert len(pts) == 3
+    assert ordered_categories(df, "c d").count() == 2
