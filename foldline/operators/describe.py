@@ -175,7 +175,14 @@ def _box_input(
     data = _values(df, wanted, max_rows)
     # Without a category the single group is named after the value column.
     cat = category_text(data, cname) if cname else F.lit(vname)
-    w = col(wname).cast("bigint") if wname else F.lit(1).cast("bigint")
+    if wname is None:
+        w = F.lit(1).cast("bigint")
+    else:
+        if not isinstance(data.schema[wname].dataType, T.IntegralType):
+            raise ValueError(f"weight column {wname!r} must hold whole counts (an integer type)")
+        # A row with weight <= 0 stands for no observations.
+        data = data.where(col(wname) > 0)
+        w = col(wname).cast("bigint")
     return data.select(cat.alias("category"), finite_double(vname).alias("value"), w.alias("w"))
 
 

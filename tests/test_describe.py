@@ -212,3 +212,12 @@ def test_dotted_and_spaced_names_everywhere(spark):
     pts = scatter_points(df.withColumn("k", df["`a.b`"]), "a.b", "k", key="c d").collect()
     assert len(pts) == 3
     assert ordered_categories(df, "c d").count() == 2
+
+
+def test_box_weights_must_be_counts(spark):
+    df = spark.createDataFrame([(1.0, 2, 1.5), (5.0, 0, 0.5), (3.0, 1, 1.0)], "v double, w int, f double")
+    with pytest.raises(ValueError):
+        box_stats(df, "v", weight="f")
+    r = box_stats(df, "v", weight="w").first()
+    # the zero-weight value 5.0 is no observation: data is [1, 1, 3]
+    assert (r.n, r.q1, r.median, r.q3, r.whisker_high) == (3, 1.0, 1.0, 2.0, 3.0)
