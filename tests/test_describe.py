@@ -138,6 +138,8 @@ def test_box_without_category_and_approx(spark):
     assert abs(approx.median - exact[0].median) <= (exact[0].q3 - exact[0].q1)
     with pytest.raises(ValueError):
         box_stats(df, "value", weight="user_id", exact=False)
+    with pytest.raises(ValueError):
+        quartiles(df, "value", weight="user_id", exact=False)
 
 
 def test_category_cap(spark):
