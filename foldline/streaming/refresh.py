@@ -30,17 +30,12 @@ from ..functions.names import cols
 from ..functions.values import md5_prefix_value
 from ..sinks.files import swap_in
 
-# Hex digits of each line's md5 that enter the sum: 15 digits (60 bits) keep
-# an accidental match of count and sum very unlikely; the sum is a
-# decimal(38,0), which cannot overflow for any realistic number of lines.
-FINGERPRINT_HEX_DIGITS = 15
-
-
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits: int = 8) -> DataFrame:
     """T1 on a frame: one row ``n`` (rows) and ``h`` (sum of row hashes).
 
     A row's hash is the first ``hex_digits`` hex digits of the md5 of its text
-    (one column) or of its JSON form (several columns).
+    (one column) or of its JSON form (several columns). This form is portable:
+    any SQL engine with md5 computes the same value.
     """
     names = list(columns or df.columns)
     if len(names) == 1:
@@ -56,14 +51,23 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits:
 
 
 def source_fingerprint(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """T1 on files: ``(lines, hash sum)`` of everything at ``path``; None when absent."""
+    """T1 on files: ``(lines, hash sum)`` of everything at ``path``; None when absent.
+
+    Used only for change detection, so it takes the cheaper 64-bit xxhash per
+    line (summed exactly as a decimal, order-insensitive) rather than md5.
+    """
     try:
         lines = spark.read.text(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "does not exist" in str(error):
             return None
         raise
-    row = fingerprint(lines, ["value"], FINGERPRINT_HEX_DIGITS).first()
+    row = lines.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(
+            F.sum(F.xxhash64("value").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")
+        ).alias("h"),
+    ).first()
     return int(row["n"]), str(row["h"])
 
 
