@@ -146,3 +146,11 @@ def test_nested_columns_in_file_sinks(spark, tmp_dir):
         publish_file(nested, "n.csv", os.path.join(tmp_dir, "csv"))
     # a failed publish leaves no staging folder and no output behind
     assert os.listdir(os.path.join(tmp_dir, "csv")) == []
+
+
+def test_publish_compressed_parts(spark, tmp_dir):
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    path = publish_file(nation, "nation.csv", tmp_dir, write_options={"compression": "gzip"})
+    parts = _parts(path)
+    assert parts and all(p.endswith(".csv.gz") for p in parts)
+    assert read_source(spark, path, schema=nation.schema).count() == 25
