@@ -67,17 +67,19 @@ def land_source(
     out = input_dir.rstrip("/")
     final, staged = f"{out}/{name}", f"{out}/._landing-{uuid.uuid4().hex}"
     options = dict(read_options or {})
-    if fmt == "json":
-        spark.read.text(source).write.text(staged)
-    else:
-        if column_names is not None:
-            data = read_headerless_csv(spark, source, column_names, ["string"] * len(column_names), options)
-        else:
-            options.update(header=True, inferSchema=False)
-            data = spark.read.options(**options).csv(source)
-        data.write.option("header", True).csv(staged)
     fs, staged_path, _ = file_system(spark, staged)
     try:
+        if fmt == "json":
+            spark.read.text(source).write.text(staged)
+        else:
+            if column_names is not None:
+                data = read_headerless_csv(
+                    spark, source, column_names, ["string"] * len(column_names), options
+                )
+            else:
+                options.update(header=True, inferSchema=False)
+                data = spark.read.options(**options).csv(source)
+            data.write.option("header", True).csv(staged)
         swap_in(spark, staged, final)
     finally:
         if fs.exists(staged_path):
