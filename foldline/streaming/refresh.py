@@ -28,7 +28,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.names import cols
 from ..functions.values import md5_prefix_value
-from ..sinks.files import swap_in
+from ..sinks.files import file_system, swap_in
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits: int = 8) -> DataFrame:
     """T1 on a frame: one row ``n`` (rows) and ``h`` (sum of row hashes).
@@ -134,8 +134,13 @@ def write_state(spark: SparkSession, state_path: str, state: SourceState) -> Non
     frame = spark.createDataFrame(
         [(state.n, state.h, state.listing)], "n bigint, h string, listing string"
     )
-    frame.coalesce(1).write.mode("overwrite").parquet(staged)
-    swap_in(spark, staged, state_path)
+    fs, staged_path, _ = file_system(spark, staged)
+    try:
+        frame.coalesce(1).write.mode("overwrite").parquet(staged)
+        swap_in(spark, staged, state_path)
+    finally:
+        if fs.exists(staged_path):
+            fs.delete(staged_path, True)
 
 
 def refresh_if_changed(
