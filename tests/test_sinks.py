@@ -154,3 +154,13 @@ def test_publish_compressed_parts(spark, tmp_dir):
     parts = _parts(path)
     assert parts and all(p.endswith(".csv.gz") for p in parts)
     assert read_source(spark, path, schema=nation.schema).count() == 25
+
+
+def test_timestamp_ntz_kept_unless_asked(spark, tmp_dir):
+    orders = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderdate")
+    save_table(orders, "ntz_db", "native", warehouse_dir=tmp_dir)
+    assert dict(read_table(spark, "ntz_db", "native").dtypes)["o_orderdate"] == "timestamp_ntz"
+    save_table(orders, "ntz_db", "converted", warehouse_dir=tmp_dir, ntz_as_timestamp=True)
+    back = read_table(spark, "ntz_db", "converted")
+    assert dict(back.dtypes)["o_orderdate"] == "timestamp"
+    assert back.count() == orders.count()
