@@ -60,3 +60,26 @@ def test_partial_aggregation_plan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_returnflag", "l_linestatus")
     plan = consolidate(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "Exchange hashpartitioning" in plan
+
+
+def _norm_key(v):
+    import math
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return 0.0 if v == 0.0 else v
+    return v
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([0.0, -0.0, float("nan"), 1.5, None]),
+                          st.sampled_from(["a", None])), max_size=40))
+def test_float_keys_fold_like_a_normalised_multiset(spark, rows):
+    from collections import Counter
+    df = spark.createDataFrame(rows, "v double, s string")
+    got = Counter()
+    for r in consolidate(df).collect():
+        got[(_norm_key(r.v), r.s)] += r.occurrences
+    expect = Counter((_norm_key(v), s) for v, s in rows)
+    assert got == expect
+    assert len(consolidate(df).collect()) == len(expect)
