@@ -19,6 +19,8 @@ from ..sources.files import file_name_from_location, format_for
 
 # Fixed value: published outputs are named after their source with this prefix.
 OUTPUT_PREFIX = "transformed_"
+# Largest result (rows) that single_file=True sends through one task.
+SINGLE_FILE_MAX_ROWS = 1_000_000
 
 
 def output_name(source: str) -> str:
@@ -61,12 +63,20 @@ def publish_file(
     output_dir: str,
     file_format: str | None = None,
     write_options: Mapping | None = None,
+    single_file: bool = False,
+    single_file_max_rows: int = SINGLE_FILE_MAX_ROWS,
 ) -> str:
     """Write ``df`` as CSV or JSON to ``<output_dir>/transformed_<name>``.
 
     The format follows the output name unless given; a given format does not
     change the name. CSV gets a header unless the options say otherwise.
     Returns the published path.
+
+    By default the output is a folder of part files written in parallel. With
+    ``single_file=True`` the rows are counted first; a result of at most
+    ``single_file_max_rows`` rows is moved to one task (``repartition(1)``, so
+    the work before it stays parallel) and published as one file; a larger
+    result is published as a folder like the default.
     """
     name = output_name(source)
     fmt = format_for(name, file_format)
@@ -81,15 +91,23 @@ def publish_file(
     final = f"{out}/{name}"
     staged = f"{out}/._stage-{uuid.uuid4().hex}"
     fs, out_path, jvm = file_system(spark, out)
-    staged_path = jvm.org.apache.hadoop.fs.Path(staged)
+    Path = jvm.org.apache.hadoop.fs.Path
+    staged_path = Path(staged)
     fs.mkdirs(out_path)
+    one_file = single_file and df.count() <= single_file_max_rows
+    data = df.repartition(1) if one_file else df
     try:
-        df.write.mode("overwrite").format(fmt).options(**options).save(staged)
+        data.write.mode("overwrite").format(fmt).options(**options).save(staged)
         # One glob call; the parts are not walked one by one from Python.
-        parts = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/part-*"))
+        parts = fs.globStatus(Path(f"{staged}/part-*"))
         if parts is None or len(parts) == 0:
             raise RuntimeError("the writer produced no data file")
-        swap_in(spark, staged, final)
+        if one_file:
+            if len(parts) != 1:
+                raise RuntimeError("expected exactly one part file")
+            swap_in(spark, parts[0].getPath().toString(), final)
+        else:
+            swap_in(spark, staged, final)
         return final
     finally:
         if fs.exists(staged_path):

@@ -164,3 +164,19 @@ def test_timestamp_ntz_kept_unless_asked(spark, tmp_dir):
     back = read_table(spark, "ntz_db", "converted")
     assert dict(back.dtypes)["o_orderdate"] == "timestamp"
     assert back.count() == orders.count()
+
+
+def test_single_file_for_bounded_results(spark, tmp_dir):
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    path = publish_file(nation, "nation.csv", tmp_dir, single_file=True)
+    assert os.path.isfile(path.replace("file:", ""))
+    assert read_source(spark, path, schema=nation.schema).count() == 25
+    # republishing replaces the file; a result over the bound becomes a folder
+    lineitem = spark.read.parquet(f"{SF}/lineitem.parquet")
+    big = publish_file(lineitem, "nation.csv", tmp_dir, single_file=True, single_file_max_rows=100)
+    assert os.path.isdir(big.replace("file:", ""))
+    assert read_source(spark, big, schema=lineitem.schema).count() == lineitem.count()
+    assert sorted(os.listdir(tmp_dir)) == ["transformed_nation.csv"]
+    # an empty result still gives one (header-only) file
+    empty = publish_file(nation.limit(0), "empty.csv", tmp_dir, single_file=True)
+    assert os.path.isfile(empty.replace("file:", ""))
