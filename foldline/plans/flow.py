@@ -120,6 +120,7 @@ def flow(
     filter_value=None,
     schema=None,
     preview_rows: int | None = 20,
+    single_file: bool = False,
 ) -> FlowResult:
     """Transform -> table (K2) -> file (K1) from the table -> preview.
 
@@ -139,6 +140,6 @@ def flow(
     )
     location = save_table(result, database, table, warehouse_dir=warehouse_dir, mode="overwrite")
     stored = read_table(spark, database, table)
-    path = publish_file(stored, source, output_dir, file_format, write_options)
+    path = publish_file(stored, source, output_dir, file_format, write_options, single_file=single_file)
     rows = print_rows(stored, preview_rows) if preview_rows is not None else -1
     return FlowResult(location, path, rows)
