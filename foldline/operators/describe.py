@@ -2,21 +2,22 @@
 
 The statistics are computed by Spark over all rows (or over the first
 ``max_rows`` when a cap is asked for); only scalars such as min/max reach the
-driver. No image is rendered.
+driver. No image is rendered. Histogram bins and quartiles follow NumPy (and so
+the plotting library) bit for bit.
 
 Scale notes
 -----------
 * Histogram: one min/max/count aggregate, then a ``groupBy(bin)`` with at most
   100 keys; both are partial aggregates, so a hot value costs nothing extra.
-* Box statistics: exact linear-interpolated quartiles without ever holding a
-  category in one task. Rows are folded to distinct ``(category, value)`` with
-  a count (partial aggregate), range-partitioned on ``(category, value)`` so a
-  big category spans many partitions, and each row gets its rank span
-  ``[start, end)`` from a per-partition prefix sum. The table of per-partition
-  totals has at most ``partitions + categories`` rows, so broadcasting it is
-  bounded. The quartiles are the values whose span holds the wanted ranks.
-* Categories are capped at 20 (as in the reference), which bounds every table
-  that is broadcast back onto the data.
+* Box statistics: exact quartiles without ever holding a category in one task.
+  Rows are folded to distinct ``(category, value)`` with a count (partial
+  aggregate), range-partitioned on ``(category, value)`` so a big category
+  spans many partitions, frozen as Parquet, and each row gets its rank span
+  ``[start, end)`` from per-partition prefix sums. Only the partitions that
+  hold a wanted rank (at most 6 per category, broadcast as at most 120 rows)
+  are read again, through dynamic partition pruning.
+* Categories are capped at 20 (a fixed limit of the surveyed diagrams), which
+  bounds every table that is broadcast back onto the data.
 """
 
 from __future__ import annotations
