@@ -139,6 +139,8 @@ def histogram(
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     span = hi - lo
+    if span == float("inf"):
+        raise ValueError(f"the range of {name!r} [{lo}, {hi}] is too wide to bin")
     step = span / bins
 
     def edge(i: Column) -> Column:

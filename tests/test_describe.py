@@ -223,3 +223,9 @@ def test_box_weights_must_be_counts(spark):
     r = box_stats(df, "v", weight="w").first()
     # the zero-weight value 5.0 is no observation: data is [1, 1, 3]
     assert (r.n, r.q1, r.median, r.q3, r.whisker_high) == (3, 1.0, 1.0, 2.0, 3.0)
+
+
+def test_histogram_range_too_wide(spark):
+    df = spark.createDataFrame([(-1e308,), (1e308,)], "v double")
+    with pytest.raises(ValueError):
+        histogram(df, "v", bins=3)
