@@ -139,9 +139,11 @@ def histogram(
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     span = hi - lo
-    if span == float("inf"):
-        raise ValueError(f"the range of {name!r} [{lo}, {hi}] is too wide to bin")
     step = span / bins
+    # The (at most 101) edges as the job computes them; they must rise strictly.
+    edge_values = [i * step + lo for i in range(bins)] + [hi]
+    if span == float("inf") or any(a >= b for a, b in zip(edge_values, edge_values[1:])):
+        raise ValueError(f"cannot make {bins} finite-sized bins over [{lo}, {hi}] of {name!r}")
 
     def edge(i: Column) -> Column:
         return F.when(i == F.lit(bins), F.lit(hi)).otherwise(i.cast("double") * F.lit(step) + F.lit(lo))

@@ -229,3 +229,9 @@ def test_histogram_range_too_wide(spark):
     df = spark.createDataFrame([(-1e308,), (1e308,)], "v double")
     with pytest.raises(ValueError):
         histogram(df, "v", bins=3)
+
+
+def test_histogram_bins_finer_than_floats(spark):
+    df = spark.createDataFrame([(1.0,), (1.0 + 2.2e-16,)], "v double")
+    with pytest.raises(ValueError):
+        histogram(df, "v", bins=50)
