@@ -76,3 +76,22 @@ def test_empty_source_guard(spark, tmp_dir):
         require_nonempty(spark, empty)
     header_only = write_text(os.path.join(tmp_dir, "h.csv"), "a,b\n")
     require_nonempty(spark, header_only)
+
+
+def test_multiline_json_and_csv(spark, tmp_dir):
+    doc = write_text(os.path.join(tmp_dir, "doc.json"), '[{"a": 1,\n  "b": "x"},\n {"a": 2, "b": "y"}]\n')
+    df = read_source(spark, doc, read_options={"multiLine": True})
+    assert sorted(tuple(r) for r in df.select("a", "b").collect()) == [(1, "x"), (2, "y")]
+    text = write_text(os.path.join(tmp_dir, "t.csv"), 'id,text\n1,"line one\nline two"\n2,plain\n')
+    rows = read_source(spark, text, read_options={"multiLine": True, "escape": '"'}).collect()
+    assert [r.text for r in sorted(rows, key=lambda r: r.id)] == ["line one\nline two", "plain"]
+
+
+def test_documents_with_line_breaks_round_trip(spark, tmp_dir):
+    from foldline.operators.consolidate import consolidate
+    from foldline.sinks.files import publish_file
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang")
+    path = publish_file(docs, "documents.csv", tmp_dir)
+    back = read_source(spark, path, read_options={"multiLine": True, "escape": '"'}, schema=docs.schema)
+    a, b = consolidate(docs), consolidate(back)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
