@@ -1,7 +1,7 @@
 """Column-level helpers: name quoting/resolution and value expressions."""
 
 from .names import check_unique, col, cols, free_name, positive_int, quote, resolve
-from .values import cell_text, finite_double, md5_prefix_value
+from .values import cell_text, finite_double, md5_leading_digits
 
 __all__ = [
     "cell_text",
@@ -10,7 +10,7 @@ __all__ = [
     "cols",
     "finite_double",
     "free_name",
-    "md5_prefix_value",
+    "md5_leading_digits",
     "positive_int",
     "quote",
     "resolve",

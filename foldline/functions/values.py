@@ -49,8 +49,8 @@ def cell_text(name: str, data_type: T.DataType) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def md5_prefix_value(expr: Column, hex_digits: int = 8) -> Column:
-    """First ``hex_digits`` of the md5 of the text as a non-negative number."""
+def md5_leading_digits(expr: Column, hex_digits: int = 8) -> Column:
+    """The leading ``hex_digits`` of the md5 digest of the whole text, as a number."""
     return F.conv(F.substring(F.md5(expr.cast("string")), 1, hex_digits), 16, 10).cast(
         "decimal(38,0)"
     )

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.names import cols
-from ..functions.values import md5_prefix_value
+from ..functions.values import md5_leading_digits
 from ..sinks.files import file_system, swap_in
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits: int = 8) -> DataFrame:
@@ -44,7 +44,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits:
         text = F.to_json(F.struct(*cols(names)), {"ignoreNullFields": "false"})
     return df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(md5_prefix_value(text, hex_digits)), F.lit(0).cast("decimal(38,0)"))
+        F.coalesce(F.sum(md5_leading_digits(text, hex_digits)), F.lit(0).cast("decimal(38,0)"))
         .cast("decimal(38,0)")
         .alias("h"),
     )
