@@ -83,3 +83,34 @@ def test_float_keys_fold_like_a_normalised_multiset(spark, rows):
     expect = Counter((_norm_key(v), s) for v, s in rows)
     assert got == expect
     assert len(consolidate(df).collect()) == len(expect)
+
+
+def _shuffle_records(df):
+    """(partitioning, records written) of each exchange in the executed plan."""
+    plan = df._jdf.queryExecution().executedPlan()
+    stack, out = [plan.finalPhysicalPlan()], []
+    while stack:
+        node = stack.pop()
+        name = node.getClass().getSimpleName()
+        if name == "ShuffleQueryStageExec":
+            stack.append(node.plan())
+        if name == "ShuffleExchangeExec":
+            out.append((node.outputPartitioning().toString(),
+                        node.metrics().apply("shuffleRecordsWritten").value()))
+        kids = node.children()
+        stack.extend(kids.apply(i) for i in range(kids.size()))
+    return out
+
+
+def test_hot_row_crosses_the_shuffle_once_per_task(spark):
+    from pyspark.sql import functions as F
+    n = 30000
+    base = spark.range(n).select((F.col("id") % 1000).cast("string").alias("k"))
+    hot = spark.range(n // 2).select(F.lit("HOT").alias("k"))  # a third of all rows
+    df = base.unionByName(hot).repartition(6)
+    out = consolidate(df)
+    rows = {r.k: r.occurrences for r in out.collect()}
+    assert rows["HOT"] == n // 2 and len(rows) == 1001
+    hashed = [recs for part, recs in _shuffle_records(out) if part.startswith("hashpartitioning")]
+    # 6 map tasks x 1001 distinct rows at most, instead of 45,000 input rows
+    assert hashed and hashed[0] <= 6 * 1001
