@@ -112,6 +112,15 @@ def test_box_stats_hot_category_spans_partitions(spark):
         groups.setdefault(c, []).append(v)
     expected = _brute_box(groups)
     _check_box(box_stats(df, "v", "cat", partitions=16).collect(), expected)
+    # the hot category is spread over many range partitions of the rank table
+    import glob
+    import os
+
+    from foldline.session import checkpoint_root
+    root = checkpoint_root(spark).replace("file:", "")
+    ranks = max(glob.glob(f"{root}/foldline-scratch/quartile-ranks-*"), key=os.path.getmtime)
+    spread = spark.read.parquet(ranks).where("category = 'hot'").select("_pid").distinct().count()
+    assert spread >= 8
     flagged = outliers(df, "v", "cat", partitions=16).collect()
     got = {}
     for r in flagged:
