@@ -13,6 +13,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else float(f"{v:.9g}")
@@ -47,6 +50,9 @@ def test_query_matches_oracle(spark, duck, name):
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, rows) == _canon(ocols, orows)
+    spark_types = dict(df.dtypes)
+    for column, duck_type in zip(ocols, (str(d[1]) for d in rel.description)):
+        assert TYPES.get(spark_types[column], spark_types[column].upper()) == duck_type, column
 
 
 def test_entry_smoke(spark):
