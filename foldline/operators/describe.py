@@ -208,7 +208,9 @@ def _targets() -> list[Column]:
     return [_rank(p, upper) for _, p in QUARTILES for upper in (False, True)]
 
 
-def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame, DataFrame]:
+def _exact_quartiles(
+    rows: DataFrame, partitions: int | None, single_group: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Exact quartiles per category; also returns the frozen distinct values.
 
     1. fold to distinct (category, value) with their count w (partial aggregate);
@@ -248,7 +250,8 @@ def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame
         ranged = _freeze(ranged, "quartile-ranks", "_pid")
 
     totals = ranged.groupBy("_pid", "category").agg(F.sum("w").alias("part_w"))
-    check_category_count(totals, "category")
+    if not single_group:  # one group needs no cap check
+        check_category_count(totals, "category")
     by_cat = Window.partitionBy("category")
     before = Window.partitionBy("category").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -301,8 +304,11 @@ def _exact_quartiles(rows: DataFrame, partitions: int | None) -> tuple[DataFrame
     return stats, ranged.select("category", "value", "w")
 
 
-def _approx_quartiles(rows: DataFrame, accuracy: int) -> tuple[DataFrame, DataFrame]:
-    check_category_count(rows, "category")
+def _approx_quartiles(
+    rows: DataFrame, accuracy: int, single_group: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    if not single_group:
+        check_category_count(rows, "category")
     probs = F.array(*[F.lit(p) for _, p in QUARTILES])
     q = rows.groupBy("category").agg(
         F.sum("w").alias("n"),
@@ -329,7 +335,9 @@ def quartiles(
         raise ValueError("weights need exact=True")
     rows = _box_input(df, value, category, weight, max_rows)
     stats, _ = (
-        _exact_quartiles(rows, partitions) if exact else _approx_quartiles(rows, accuracy)
+        _exact_quartiles(rows, partitions, category is None)
+        if exact
+        else _approx_quartiles(rows, accuracy, category is None)
     )
     return stats
 
@@ -361,7 +369,9 @@ def box_stats(
         raise ValueError("weights need exact=True")
     rows = _box_input(df, value, category, weight, max_rows)
     stats, values = (
-        _exact_quartiles(rows, partitions) if exact else _approx_quartiles(rows, accuracy)
+        _exact_quartiles(rows, partitions, category is None)
+        if exact
+        else _approx_quartiles(rows, accuracy, category is None)
     )
     fenced = _with_fences(stats)
     # fenced has at most MAX_CATEGORIES rows (checked above); the whiskers are
