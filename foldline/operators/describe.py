@@ -152,14 +152,19 @@ def histogram(
     guess = F.least(F.floor((v - F.lit(lo)) / F.lit(span) * F.lit(bins)), F.lit(bins - 1)).cast("int")
     below = F.when(v < edge(guess), guess - 1).otherwise(guess)
     above = F.when((below != F.lit(bins - 1)) & (v >= edge(below + 1)), below + 1).otherwise(below)
-    counts = points.groupBy(above.alias("bin")).agg(F.sum("f").alias("frequency"))
-
-    edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    edges = edges.select("bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"))
-    # Both sides have at most MAX_BINS rows.
-    joined = edges.join(F.broadcast(counts), "bin", "left")
-    zero = F.lit(0).cast(counts.schema["frequency"].dataType)
-    return joined.select("bin", "bin_start", "bin_end", F.coalesce("frequency", zero).alias("frequency"))
+    # One zero row per bin (at most MAX_BINS rows, generated by Spark) makes
+    # every bin appear in the single aggregate, so empty bins need no join.
+    zeros = df.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"), F.lit(0).cast(points.schema["f"].dataType).alias("f")
+    )
+    binned = points.select(above.alias("bin"), "f").unionByName(zeros)
+    counts = binned.groupBy("bin").agg(F.sum("f").alias("frequency"))
+    return counts.select(
+        "bin",
+        edge(F.col("bin")).alias("bin_start"),
+        edge(F.col("bin") + 1).alias("bin_end"),
+        "frequency",
+    )
 
 
 # ---------------------------------------------------------------- box statistics

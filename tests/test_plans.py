@@ -26,9 +26,10 @@ def test_box_stats_prunes_rank_partitions(spark):
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_histogram_joins_only_bins(spark):
+def test_histogram_is_one_aggregate_without_joins(spark):
     plan = _plan(entry.queries()["histogram_totalprice"](spark, SF))
-    assert "BroadcastHashJoin" in plan and "ReadSchema: struct<o_totalprice:double>" in plan
+    assert "Join" not in plan and "ReadSchema: struct<o_totalprice:double>" in plan
+    assert "partial_sum" in plan and "Range (0, 10" in plan
 
 
 def test_no_plan_uses_cartesian_or_nested_loop_joins(spark):
