@@ -256,6 +256,9 @@ def _exact_quartiles(
 
     totals = ranged.groupBy("_pid", "category").agg(F.sum("w").alias("part_w"))
     if not single_group:  # one group needs no cap check
+        # Small (<= partitions + categories rows); written once so that the cap
+        # check and the rank offsets below do not both scan the rank table.
+        totals = _freeze(totals, "rank-totals")
         check_category_count(totals, "category")
     by_cat = Window.partitionBy("category")
     before = Window.partitionBy("category").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
