@@ -96,6 +96,18 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return start, raw
 
 
+def slices(column: pa.Array, max_bytes: int = 4 << 20):
+    """(first row, rows) of consecutive parts of a string column of about max_bytes, so that work
+    on a batch takes memory for a few megabytes of text, or for its longest text."""
+    offsets, _ = text_buffers(column)
+    at = 0
+    while at < len(column):
+        end = int(np.searchsorted(offsets, offsets[at] + max_bytes, side="right")) - 1
+        end = min(len(column), max(at + 1, end))
+        yield at, column.slice(at, end - at)
+        at = end
+
+
 class Words:
     """All words of a batch: hashes, byte spans and the document of each word."""
 

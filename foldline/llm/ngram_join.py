@@ -2,8 +2,8 @@
 
 Which texts have word-shingle sets with a Jaccard similarity of at least ``threshold``?
 
-1. ``shingle_sets``: each text's distinct 5-word shingles (64-bit hashes), their number and a
-   digest of the set. Texts with one digest are one class; copies never multiply work.
+1. One pass takes each text's distinct 5-word shingles (64-bit hashes), their number and a digest
+   of the set. Texts with one digest are one class; copies never multiply work.
 2. Every class sends the shingles of its *prefix* (the first ``n - ceil(t n) + 1`` in one global
    order) to be grouped by shingle; two sets with a similarity of t or more share a prefix
    shingle, so no link is lost. Shingles that whole batches share come last in that order, which
@@ -30,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, batch_words, materialize, mix64, shingles
+from .common import as_long, batch_words, materialize, mix64, shingles, slices
 from .components import connected_components
 
 THRESHOLD = Fraction(3, 4)
 WIDTH = 5
 BLOCK = 4096
-COMMON_IN_BATCH = 32
+ORDER_SAMPLE = 20_000
+COMMON_IN_SAMPLE = 8
 COMMON_KEPT = 100_000
 
 
@@ -51,9 +52,10 @@ def _set_digest(values: np.ndarray) -> int:
 
 
 def _sets(column: pa.Array):
-    values, first = shingles(batch_words(column), WIDTH)
-    for i in range(len(first) - 1):
-        yield np.unique(values[first[i]: first[i + 1]])
+    for _, part in slices(column):
+        values, first = shingles(batch_words(part), WIDTH)
+        for i in range(len(first) - 1):
+            yield np.unique(values[first[i]: first[i + 1]])
 
 
 def _bitmap(values: np.ndarray) -> bytes:
@@ -64,90 +66,89 @@ def _bitmap(values: np.ndarray) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-def shingle_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(kind 0) id, n, digest per row of ``docs``, and (kind 1) shingles common within a batch."""
+def _prefix_length(n: int, threshold: Fraction) -> int:
+    return n - math.ceil(threshold * n) + 1
 
-    def run(batches):
-        for batch in batches:
-            ids, n, digests, seen, common = [], [], [], set(), []
-            for values in _sets(batch.column(1)):
-                digest = _set_digest(values)
-                n.append(len(values)), digests.append(digest)
-                if digest not in seen:
-                    seen.add(digest)
-                    common.append(values)
-            found, df = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            if common:
-                found, df = np.unique(np.concatenate(common), return_counts=True)
-                found, df = found[df >= COMMON_IN_BATCH], df[df >= COMMON_IN_BATCH]
-            size = len(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * size, pa.int32()), batch.column(0).cast(pa.int64()),
-                 pa.array(n, pa.int64()), pa.array(digests, pa.int64())],
-                ["kind", "id", "n", "digest"])
-            if len(found):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([1] * len(found), pa.int32()), pa.nulls(len(found), pa.int64()),
-                     pa.array(df, pa.int64()), pa.array(as_long(found), pa.int64())],
-                    ["kind", "id", "n", "digest"])
 
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    return source.mapInArrow(run, "kind int, id long, n long, digest long")
+def _common_shingles(source: DataFrame, threshold: Fraction) -> np.ndarray:
+    """Shingles that lead many different texts, from a sample of about ORDER_SAMPLE rows; at most
+    COMMON_KEPT of them, sorted. They only move to the end of the global order,
+    which makes groups smaller: any choice, and so any sample, gives the same links."""
+    total = source.count()
+    share = min(1.0, ORDER_SAMPLE / max(total, 1))
+    picked = source.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < round(share * (1 << 20)))
 
+    def run(batches):
+        for batch in batches:
+            distinct = {_set_digest(v): v[: _prefix_length(len(v), threshold)] for v in _sets(batch.column(0)) if len(v)}
+            if distinct:
+                found, df = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
+                found, df = found[df > 1], df[df > 1]
+                yield pa.RecordBatch.from_arrays([pa.array(as_long(found)), pa.array(df)], ["token", "df"])
 
-def _common_shingles(sets: DataFrame) -> np.ndarray:
-    """The shingles counted most often as common within batches: at most COMMON_KEPT, sorted.
-    They only move shingles to the end of the global order; any choice gives the same links."""
     rows = (
-        sets.where("kind = 1").groupBy("digest").agg(F.sum("n").alias("df"))
-        .orderBy(F.desc("df"), "digest").limit(COMMON_KEPT).select("digest").collect()
+        picked.select("text").mapInArrow(run, "token long, df long").groupBy("token")
+        .agg(F.sum("df").alias("df")).where(F.col("df") >= COMMON_IN_SAMPLE)
+        .orderBy(F.desc("df"), "token").limit(COMMON_KEPT).select("token").collect()
     )
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 
-def _prefix_rows(docs: DataFrame, threshold: Fraction, common: np.ndarray) -> DataFrame:
+def _prefix_rows(source: DataFrame, threshold: Fraction, common: np.ndarray) -> DataFrame:
+    """One pass over the texts: (kind 0) row id, digest and size of each row; (kind 1) prefix
+    shingle, digest and size of each different text of a task."""
+
     def run(batches):
         seen = set()  # digests this task has sent: copies send their shingles once a task
         for batch in batches:
-            tokens, ids, sizes = [], [], []
-            for values in _sets(batch.column(0)):
-                n = len(values)
-                if not n:
-                    continue
-                digest = _set_digest(values)
-                if digest in seen:
+            kinds, tokens, ids, sizes, waiting = [], [], [], [], 0
+            rows_digest, rows_size = [], []
+            for values in _sets(batch.column(1)):
+                n, digest = len(values), _set_digest(values)
+                rows_digest.append(digest), rows_size.append(n)
+                if not n or digest in seen:
                     continue
                 seen.add(digest)
-                keep = n - math.ceil(threshold * n) + 1
+                keep = _prefix_length(n, threshold)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, values), len(common) - 1)
                     last = common[at] == values
                     if last.any():
                         values = np.concatenate([values[~last], values[last]])
-                tokens.append(values[:keep])
-                ids.append(np.full(keep, digest, np.int64))
-                sizes.append(np.full(keep, n, np.int32))
-            if tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_long(np.concatenate(tokens))), pa.array(np.concatenate(ids)),
-                     pa.array(np.concatenate(sizes))], ["token", "id", "n"])
+                tokens.append(values[:keep]), ids.append(np.full(keep, digest)), sizes.append(np.full(keep, n))
+                waiting += keep
+                if waiting > 200_000:
+                    yield _prefix_batch(1, as_long(np.concatenate(tokens)), np.concatenate(ids), np.concatenate(sizes))
+                    tokens, ids, sizes, waiting = [], [], [], 0
+            if waiting:
+                yield _prefix_batch(1, as_long(np.concatenate(tokens)), np.concatenate(ids), np.concatenate(sizes))
+            yield _prefix_batch(0, batch.column(0), rows_digest, rows_size)
+
+    return source.mapInArrow(run, "kind int, token long, id long, n int")
+
 
-    return docs.select("text").mapInArrow(run, "token long, id long, n int")
+def _prefix_batch(kind, tokens, ids, sizes):
+    tokens = tokens if isinstance(tokens, pa.Array) else pa.array(tokens)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(tokens), kind, np.int32)), tokens, pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())],
+        ["kind", "token", "id", "n"])
 
 
 def _runs(batches):
-    """Whole groups of equal tokens from batches sorted by token, carried across batches."""
+    """Whole groups of equal tokens, with each (token, id) once, from batches of (token, id, n)
+    sorted by token and id; a group is carried across batches until it ends."""
     rest = None
-    for batch in batches:
-        part = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+    for part in batches:
         if rest is not None:
             part = [np.concatenate([a, b]) for a, b in zip(rest, part)]
         if not len(part[0]):
             continue
+        new = np.ones(len(part[0]), bool)
+        new[1:] = (part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])
+        part = [p[new] for p in part]
         starts = np.concatenate([[0], np.flatnonzero(part[0][1:] != part[0][:-1]) + 1])
-        last = starts[-1]
-        yield [p[:last] for p in part], starts
-        rest = [p[last:] for p in part]
+        yield [p[: starts[-1]] for p in part], starts
+        rest = [p[starts[-1]:] for p in part]
     if rest is not None and len(rest[0]):
         yield rest, np.array([0, len(rest[0])])
 
@@ -164,38 +165,57 @@ def _stars(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs (kind 0: a, b) of each tile's pivots with its others, and members (kind 1:
-    key, id, n) of groups of three or more; groups with equal members have equal keys."""
-    grow = float(1 / threshold)
+    """Pairs (kind 0: a, b) of each tile's pivots with its others, members (kind 1: key, id, n) of
+    groups of three or more (equal members give equal keys), and rows (kind 2: id, digest, n)."""
+    up, down = threshold.numerator, threshold.denominator
+
+    def out(kind, key, a, b):
+        key = key if isinstance(key, pa.Array) else pa.array(key)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(key), kind, np.int32)), key, pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+            ["kind", "key", "a", "b"])
 
     def run(batches):
-        for part, starts in _runs(batches):
-            if len(starts) < 2:
-                continue
+        passed = []
+
+        def grouped():
+            for batch in batches:
+                own = batch.column(0).to_numpy()
+                rows = int(np.searchsorted(own, 1))
+                if rows:
+                    part = batch.slice(0, rows)
+                    passed.append(out(2, part.column(1), part.column(2), part.column(3).cast(pa.int64())))
+                part = batch.slice(rows)
+                yield [part.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3)]
+
+        for part, starts in _runs(grouped()):
+            yield from passed
+            passed.clear()
             pairs, members = [], []
-            lengths = np.diff(starts)
-            for s in np.flatnonzero(lengths > 1):
-                ids, at = np.unique(part[1][starts[s]: starts[s + 1]], return_index=True)
-                sizes = part[2][starts[s]: starts[s + 1]][at]
-                if len(ids) < 2:
-                    continue
+            lengths, (_, all_ids, all_sizes) = np.diff(starts), part
+            two = starts[:-1][lengths == 2]
+            if len(two):
+                low = np.minimum(all_sizes[two], all_sizes[two + 1]).astype(np.int64)
+                high = np.maximum(all_sizes[two], all_sizes[two + 1]).astype(np.int64)
+                two = two[low * down >= high * up]
+                pairs.append(np.stack([all_ids[two], all_ids[two + 1]]))
+            for s in np.flatnonzero(lengths > 2):
+                ids, sizes = all_ids[starts[s]: starts[s + 1]], all_sizes[starts[s]: starts[s + 1]].astype(np.int64)
                 order = np.lexsort((ids, sizes))
                 by_size, by_id, at = sizes[order], ids[order], 0
                 while at < len(ids):
-                    end = int(np.searchsorted(by_size, by_size[at] * grow + 1e-6, "right"))
+                    end = int(np.searchsorted(by_size, by_size[at] * down // up, "right"))
                     if end - at > 1:
-                        pairs.append(_stars(by_id[at:end]))
+                        pairs.append(np.stack(_stars(by_id[at:end])))
                     at = end
-                if len(ids) > 2:
-                    key = np.full(len(ids), _set_digest(ids.view(np.uint64)))
-                    members.append((key, ids, sizes.astype(np.int64)))
-            for kind, found in ((0, pairs), (1, members)):
-                if found:  # one family's shingles give the same pairs and members again and again
-                    rows = np.unique(np.concatenate([np.stack(x) for x in found], axis=1), axis=1)
-                    key, *ends = rows if kind else (np.zeros(rows.shape[1], np.int64), *rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(key), kind, np.int32)), *map(pa.array, (key, *ends))],
-                        ["kind", "key", "a", "b"])
+                key = np.full(len(ids), _set_digest(ids.view(np.uint64)))
+                members.append(np.stack([key, ids, sizes]))
+            if pairs:  # one family's shingles give the same pairs and members again and again
+                found = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
+                yield out(0, np.zeros(found.shape[1], np.int64), *found)
+            if members:
+                yield out(1, *np.unique(np.concatenate(members, axis=1), axis=1))
+        yield from passed
 
     return sorted_rows.mapInArrow(run, "kind int, key long, a long, b long")
 
@@ -337,11 +357,11 @@ def ngram_jaccard_join(
     whatever their names, are not read.
     """
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    classes = materialize(shingle_sets(source, "id", "text"), "ngram-classes")
-    rows = classes.where("kind = 0").select("id", "n", "digest")
-    prefix = _prefix_rows(source, threshold, _common_shingles(classes))
-    tiles = materialize(
-        _tiles(prefix.repartition("token").sortWithinPartitions("token"), threshold), "ngram-tiles")
+    prefix = _prefix_rows(source, threshold, _common_shingles(source, threshold))
+    dealt = prefix.repartition(F.when(F.col("kind") == 0, F.xxhash64("token", "id")).otherwise(F.col("token")))
+    tiles = materialize(_tiles(dealt.sortWithinPartitions("kind", "token", "id"), threshold), "ngram-tiles")
+    rows = tiles.where("kind = 2").select(
+        F.col("key").alias("id"), F.col("b").alias("n"), F.col("a").alias("digest"))
     sets = _class_sets(source, rows, tiles)
     links = materialize(_verified(tiles.where("kind = 0"), sets, threshold), "ngram-links")
     labels = connected_components(links)

@@ -5,7 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import find_items
 from .ngram_join import ngram_jaccard_join
+from .oracles import ORACLE_SQL  # noqa: F401
+from .quality import quality_report
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items whose 5-word shingles lie to 75 % or more in a document: one row a pair."""
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every whole document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_report(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +30,7 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_decontaminate": op6_decontaminate,
+    "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
-
-ORACLE_SQL: dict[str, str] = {}
