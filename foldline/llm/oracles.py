@@ -9,6 +9,28 @@ _SHINGLES = """SELECT DISTINCT {keys}, unnest(CASE
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM {source}"""
 
 ORACLE_SQL = {
+    "op1_mix": """
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+  CAST('0x' || substr(md5(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, '')))), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank, CAST(sum(source_size) OVER () AS BIGINT) AS total,
+  3 * source_size AS cap FROM s),
+w AS (SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM r),
+l AS (SELECT *, row_number() OVER o AS place,
+  CAST(total - coalesce(CAST(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS DOUBLE)
+  / CAST(sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS level
+  FROM w WINDOW o AS (ORDER BY cap / weight, rank)),
+t AS (SELECT *, CASE WHEN cap < weight * level OR NOT EXISTS (SELECT 1 FROM l WHERE cap >= weight * level) THEN CAST(cap AS DOUBLE)
+  ELSE weight * (SELECT arg_min(level, place) FROM l WHERE cap >= weight * level) END AS target FROM l),
+q AS (SELECT d.*, t.source_size, t.target, t.rank, t.total,
+  CAST(sum(size) OVER (PARTITION BY t.rank ORDER BY h) AS BIGINT) AS sent
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, (g.i * source_size + sent) / target AS finish FROM q, range(3) g(i) WHERE target > 0),
+c AS (SELECT *, sum(size) OVER (ORDER BY finish, rank, h) AS upto FROM e),
+k AS (SELECT rank, h, count(DISTINCT i) FILTER (WHERE upto <= total) AS n FROM c GROUP BY rank, h)
+SELECT doc_id, size, source_size, target, CAST(size * coalesce(k.n, 0) AS BIGINT) AS taken
+FROM q LEFT JOIN k ON k.rank = q.rank AND k.h = q.h""",
     "op6_decontaminate": f"""
 WITH dw AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(text="text")} AS w FROM documents),
 iw AS (SELECT row_number() OVER () AS k, item_id, {_WORDS.format(text="text")} AS w FROM benchmark),

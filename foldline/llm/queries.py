@@ -6,9 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import find_items
+from .mixing import mix_report
 from .ngram_join import ngram_jaccard_join
 from .oracles import ORACLE_SQL  # noqa: F401
 from .quality import quality_report
+from .sharding import shard_report
+
+
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a fair-queued mix of all documents takes of each."""
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
+def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents on a bounded ring of 40 shards; law rows."""
+    return shard_report(table(spark, sf_dir, "documents"))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +42,8 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mix": op1_mix,
+    "op2_shard": op2_shard,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
