@@ -6,10 +6,12 @@ ASCII bytes, cutting UTF-8 bytes and cutting characters give the same words.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_root
@@ -46,6 +48,32 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_shared(uri: str, data: bytes) -> None:
+    """Write one file of a task's output below the shared folder (any file system pyarrow knows)."""
+    with _open_shared(uri, "wb") as out:
+        out.write(data)
+
+
+def read_shared(uri: str, start: int, length: int) -> bytes:
+    """At most ``length`` bytes of a shared file from ``start`` on."""
+    with _open_shared(uri, "rb") as source:
+        source.seek(start)
+        return source.read(length)
+
+
+def _open_shared(uri: str, mode: str):
+    if uri.startswith(("file:", "/")):
+        path = "/" + uri.removeprefix("file:").lstrip("/")
+        if mode == "wb":
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+        return open(path, mode)
+    system, path = pa.fs.FileSystem.from_uri(uri)
+    if mode == "wb":
+        system.create_dir(path.rpartition("/")[0], recursive=True)
+        return system.open_output_stream(path)
+    return system.open_input_file(path)
+
+
 # ------------------------------------------------------------------ word hashing
 
 _SPACE = np.zeros(256, bool)

@@ -9,8 +9,10 @@ from .decontaminate import find_items
 from .mixing import mix_report
 from .ngram_join import ngram_jaccard_join
 from .oracles import ORACLE_SQL  # noqa: F401
+from .pii import pii_report
 from .quality import quality_report
 from .sharding import shard_report
+from .token_files import token_round_trip
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,11 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole document: base counts and digest, and all spans."""
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items whose 5-word shingles lie to 75 % or more in a document: one row a pair."""
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -41,10 +48,17 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as Simple-8b files and read back."""
+    return token_round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
+    "op4_pii": op4_pii,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_token_files": op10_token_files,
 }
