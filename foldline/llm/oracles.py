@@ -31,6 +31,14 @@ c AS (SELECT *, sum(size) OVER (ORDER BY finish, rank, h) AS upto FROM e),
 k AS (SELECT rank, h, count(DISTINCT i) FILTER (WHERE upto <= total) AS n FROM c GROUP BY rank, h)
 SELECT doc_id, size, source_size, target, CAST(size * coalesce(k.n, 0) AS BIGINT) AS taken
 FROM q LEFT JOIN k ON k.rank = q.rank AND k.h = q.h""",
+    "op5_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+r AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM r)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f""",
     "op6_decontaminate": f"""
 WITH dw AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(text="text")} AS w FROM documents),
 iw AS (SELECT row_number() OVER () AS k, item_id, {_WORDS.format(text="text")} AS w FROM benchmark),

@@ -13,6 +13,7 @@ from .pii import pii_report
 from .quality import quality_report
 from .sharding import shard_report
 from .token_files import token_round_trip
+from .warc import warc_round_trip
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back from the archives."""
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items whose 5-word shingles lie to 75 % or more in a document: one row a pair."""
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -57,6 +63,7 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
     "op4_pii": op4_pii,
+    "op5_warc": op5_warc,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
