@@ -12,6 +12,7 @@ from .oracles import ORACLE_SQL  # noqa: F401
 from .pii import pii_report
 from .quality import quality_report
 from .sharding import shard_report
+from .site_tree import extract_main_text
 from .token_files import token_round_trip
 from .warc import warc_round_trip
 
@@ -26,6 +27,11 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every whole page."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole document: base counts and digest, and all spans."""
     return pii_report(table(spark, sf_dir, "documents"))
@@ -62,6 +68,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
+    "op3_main_text": op3_main_text,
     "op4_pii": op4_pii,
     "op5_warc": op5_warc,
     "op6_decontaminate": op6_decontaminate,
