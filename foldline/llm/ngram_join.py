@@ -59,8 +59,8 @@ def _sets(column: pa.Array):
 
 
 def _bitmap(values: np.ndarray) -> bytes:
-    """Hashed bitmap of a set; its width is a power of two of at least two bits a shingle."""
-    bits = 1 << max(9, (2 * len(values) - 1).bit_length())
+    """Hashed bitmap of a set; its width is a power of two of at least eight bits a shingle."""
+    bits = 1 << max(9, (8 * len(values) - 1).bit_length())
     flags = np.zeros(bits, bool)
     flags[(values & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
@@ -154,11 +154,10 @@ def _runs(batches):
 
 
 def _stars(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of about log2(m) pivots with all m members: the first, and those of least hash, which
+    """Pairs of about log2(m) pivots with all m members. Pivots are the ids of least hash, which
     are mostly the same in all groups that one family of texts shares."""
-    count = len(ids).bit_length() - 1
     ranked = np.argsort(mix64(ids.view(np.uint64)), kind="stable")
-    pivots = ids[np.unique(np.concatenate([[0], ranked[: max(0, count - 1)]]))]
+    pivots = ids[ranked[: len(ids).bit_length() - (len(ids) == 2)]]
     a, b = np.repeat(pivots, len(ids)), np.tile(ids, len(pivots))
     keep = (a < b) | ((a > b) & ~np.isin(b, pivots))
     return a[keep], b[keep]
