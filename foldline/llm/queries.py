@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import find_items
+from .language_model import score_documents
 from .mixing import mix_report
 from .ngram_join import ngram_jaccard_join
 from .oracles import ORACLE_SQL  # noqa: F401
@@ -47,6 +48,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every whole document under a recurrent language model."""
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every whole document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -72,6 +78,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_warc": op5_warc,
     "op6_decontaminate": op6_decontaminate,
+    "op7_lm_score": op7_lm_score,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_token_files": op10_token_files,

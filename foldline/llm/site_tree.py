@@ -146,7 +146,8 @@ def page_blocks(page: str) -> list[tuple[str, str, str, bool, bool]]:
             inner.append(name)
             if dropped and not stack[-1][2]:
                 text.append(" ")
-                at = _skip(page, at, name)
+                end = _skip(page, at, name)
+                at = at if end == len(page) else end  # without an end tag nothing is left out
                 continue
         stack.append((name, path if inline else f"{path}/{label}", dropped, article, inline))
     flush()
