@@ -1,16 +1,67 @@
-"""Corpus pipeline (stages are added as their operators land)."""
+"""Corpus pipeline: quality rules, n-gram Jaccard join, benchmark decontamination, mixing, sharding.
+
+Each stage takes all rows its predecessor kept and returns the columns of documents (the last adds
+shard and slot). A driver that wants each stage on disk writes it between calls; ``run`` writes them
+to the shared folder.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foldline.llm.common import materialize, table
+from foldline.llm.decontaminate import drop_contaminated
+from foldline.llm.mixing import mix_documents
+from foldline.llm.ngram_join import ngram_jaccard_join
+from foldline.llm.quality import quality_filter
+from foldline.llm.sharding import shard_documents
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_filter(docs)
+
+
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by shingle similarity: the one of the smallest doc_id.
+
+    Rows repeated with one doc_id and text stay once. A row without an id is not dropped for a
+    neighbour's sake, since nothing names it; such rows stay once for each text."""
+    groups = ngram_jaccard_join(docs.select("doc_id", "text"))
+    drop = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(drop, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mix_documents(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and slot."""
+    return shard_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", keep_quality),
+    ("ngram_jaccard_join", keep_distinct),
+    ("decontaminate", drop_benchmark),
+    ("mix", mix_sources),
+    ("shard", shard),
+]
 
-STAGES: list = []
-ORACLE_SQL = None
+ORACLE_SQL = None  # the tests hold every stage against a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table at ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the whole documents table at ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,0 +1,211 @@
+"""Quality rules, personal data, decontamination and n-gram join against plain versions."""
+
+import hashlib
+import random
+import sys
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+import brute  # noqa: E402
+
+from foldline.llm import common, ngram_join, quality  # noqa: E402
+from foldline.llm.components import connected_components  # noqa: E402
+from foldline.llm.decontaminate import drop_contaminated, find_items  # noqa: E402
+from foldline.llm.ngram_join import ngram_jaccard_join  # noqa: E402
+from foldline.llm.pii import estimate_reliabilities, pii_report, pii_spans, train_classifier  # noqa: E402
+from foldline.llm.quality import quality_filter, quality_report  # noqa: E402
+
+
+def sentences(seed, n, vocabulary=60):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(["Ab", "cd", "é", "x"]) + str(rng.randrange(vocabulary)) for _ in range(n))
+
+
+def near(text, seed, changes):
+    rng, w = random.Random(seed), text.split(" ")
+    for _ in range(changes):
+        w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    base = [sentences(i, 80 + 7 * i) for i in range(6)]
+    out = [None, "", " \n\t", "one", "one", "a b c d", "A B C D", "a b c d e"]
+    for i, b in enumerate(base):
+        out += [b, b, b.upper(), *(near(b, 10 * i + k, k) for k in range(1, 6))]
+    out += [sentences(99, 4000), near(sentences(99, 4000), 1, 60), near(base[0], 5, 2) + " shared passage of five words"]
+    return out
+
+
+def test_words_and_shingles_of_any_chunking(monkeypatch):
+    rng = random.Random(0)
+    alphabet = ["a", "B", "é", " ", "\n", "\t", "xyz", "\x1f", "\x0b", "  "]
+    rows = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(200)]
+    rows += [None, "", " ", "x" * 200 + " y"]
+    for size in (23, 1 << 20):
+        monkeypatch.setattr(common, "CHUNK_BYTES", size)
+        found = common.batch_words(pa.array(rows))
+        values, first = common.shingles(found)
+        names, grams = {}, {}
+        for i, text in enumerate(rows):
+            w = brute.words(text)
+            own = found.hash[found.of(i)]
+            assert len(own) == len(w)
+            assert all(names.setdefault(a, b) == b for a, b in zip(w, own))
+            expected = [tuple(w[j:j + 5]) for j in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else []
+            got = values[first[i]: first[i + 1]]
+            assert len(got) == len(expected)
+            assert all(grams.setdefault(a, b) == b for a, b in zip(expected, got))
+        assert len(set(names.values())) == len(names) and len(set(grams.values())) == len(grams)
+
+
+def test_connected_components(spark):
+    chain = [(i, i + 1) for i in range(10, 40)] + [(5, 40), (100, 101), (102, 101), (7, 7)]
+    got = dict(connected_components(spark.createDataFrame(chain, "a long, b long")).distinct().collect())
+    assert got == {**{i: 5 for i in [5, *range(10, 41)]}, 100: 100, 101: 100, 102: 100}
+
+
+def test_ngram_join_matches_brute_force(spark, texts, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)  # several blocks a tile
+    rows = [(i * 3, t, "extra") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_jaccard_join(docs).collect()}
+    roots, sizes = brute.components(texts)
+    assert got == {i * 3: (sizes[i], roots[i] * 3) for i in range(len(texts))}
+
+
+def test_second_pass_alone_finds_all_links(spark, texts, monkeypatch):
+    """Without any first-pass pairs the bitmap tiles alone must connect families of three or more."""
+    monkeypatch.setattr(ngram_join, "_stars", lambda ids: (ids[:1], ids[1:2]))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = dict(ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").collect())
+    assert got == dict(enumerate(brute.components(texts)[0]))
+
+
+def test_ngram_join_nulls_repeats_and_empty(spark):
+    rows = [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (9, None), (None, "")]
+    got = ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        [(None, 2, 4), (4, 2, 4), (4, 2, 4), (9, 0, 9), (None, 0, None)], key=repr)
+    assert ngram_jaccard_join(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_bitmap_bound_is_never_too_low():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+        a, b = np.unique(pool[: rng.integers(1, 300)]), np.unique(pool[rng.integers(0, 200): 350])
+        maps = [np.frombuffer(ngram_join._bitmap(x), np.uint64) for x in (a, b)]
+        width = min(map(len, maps))
+        bound = ngram_join._bounds(*(ngram_join._folded(m, width) for m in maps), len(a), len(b))
+        assert bound >= len(np.intersect1d(a, b))
+
+
+def test_decontamination_matches_brute_force(spark, texts):
+    items = [(1, " ".join(texts[8].split()[10:40])), (2, "ONE"), (3, None), (4, sentences(77, 20)), (4, "a b c d"), (5, "")]
+    planted = texts + [sentences(50, 3000) + " " + near(items[3][1], 2, 1) + " tail", items[3][1]]
+    docs = spark.createDataFrame(list(enumerate(planted)), "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = []
+    for d, text in enumerate(planted):
+        have = brute.shingle_set(text)
+        for i, item in items:
+            want = brute.shingle_set(item)
+            if want and 100 * len(want & have) >= 75 * len(want):
+                expected.append((d, i, len(want), len(want & have)))
+    assert sorted(map(tuple, find_items(docs, bench).collect())) == sorted(expected)
+    hit = {e[0] for e in expected}
+    assert len(hit) >= 5
+    kept = drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [d for d in range(len(planted)) if d not in hit]
+
+
+def test_decontamination_in_blocks_and_empty(spark, monkeypatch):
+    from foldline.llm import decontaminate
+
+    items = [(i, sentences(200 + i, 25)) for i in range(8)]
+    docs = spark.createDataFrame([(i, sentences(5, 30) + " " + t) for i, t in items], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, find_items(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 40)
+    assert sorted(map(tuple, find_items(docs, bench).collect())) == whole and len(whole) == 8
+    assert find_items(docs, bench.limit(0)).collect() == [] == find_items(docs.limit(0), bench).collect()
+    assert drop_contaminated(docs, bench.limit(0)).count() == 8
+
+
+def test_quality_counts_and_verdict(spark, texts):
+    prose = " ".join(["the cat of and to in house that was for on tree are with"] + [sentences(3, 9)] * 0)
+    rows = [t for t in texts] + [
+        "a b c " * 40, "x y\nx y\n\nz\n  \nx y", "## ** | <a> $%& " * 30, " lead  and\ttrail \x0b", "ÄÖ é😀 " * 60]
+    docs = spark.createDataFrame(
+        [(i, t, ["en", "de", None, "xx"][i % 4], 1) for i, t in enumerate(rows)], "doc_id long, text string, lang string, kept int")
+    got = {r["doc_id"]: r for r in quality_report(docs).collect()}
+    assert len(got) == len(rows)
+    for i, t in enumerate(rows):
+        r, expected = got[i], brute.quality_counts(t)
+        assert tuple(r[c] for c in quality.COUNTS) == expected, (i, t)
+        assert r["base_failed"] == (expected[0] < 50 or 100 * expected[4] > 50 * expected[0])
+        assert not (r["kept"] and r["base_failed"])
+    assert prose
+    kept = quality_filter(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, r in got.items() if r["kept"])
+    assert quality_report(docs.limit(0)).collect() == []
+
+
+def test_quality_separates_junk_from_prose(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = quality_report(docs.select("doc_id", "text", "lang")).where(~F.col("base_failed")).join(labels, "doc_id")
+    got = {(r["quality"], r["kept"]): r["n"] for r in rows.groupBy("quality", "kept").agg(F.count("*").alias("n")).collect()}
+    assert got.get((1, False), 0) <= 0.01 * got[1, True]
+    assert got.get((0, True), 0) <= 0.2 * got[0, False]
+
+
+def test_distance_is_jensen_shannon(spark):
+    row = spark.createDataFrame([([3, 1, 0, 4], [0.25, 0.25, 0.5, 0.0])], "c array<int>, r array<double>")
+    got = row.select(quality._distance("c", "r")).first()[0]
+    p, q = np.array([3, 1, 0, 4]) / 8, np.array([0.25, 0.25, 0.5, 0.0])
+    m = (p + q) / 2
+    kl = lambda x: sum(a * np.log2(a / b) for a, b in zip(x, m) if a)
+    assert abs(got - np.sqrt((kl(p) + kl(q)) / 2)) < 1e-12
+
+
+def test_personal_data_base_spans(spark):
+    rng = random.Random(4)
+    alphabet = list("0123456789") * 3 + list(" -+().@a.bZé😀")
+    rows = [None, "", "a@b.c_x@y.z", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111 4111-1111-1111-1111", "+1 (017) 555-7713",
+            "é😀 x@y.de, 10.0.0.1", "1234567890" * 3, " ".join(f"10.{i % 300}.3.4" for i in range(500)), "a" * 5000]
+    rows += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(5, 200))) for _ in range(400)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(rows)], "doc_id long, text string, spans int")
+    got = {r["doc_id"]: r for r in pii_report(docs).collect()}
+    for i, t in enumerate(rows):
+        expected = brute.base_spans(t)
+        assert got[i]["base_sha256"] == hashlib.sha256(expected.encode()).hexdigest(), (t, expected)
+        assert [got[i][f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [expected.count(f"{k}:") for k in ("email", "ip", "card", "phone")]
+        assert set(filter(None, expected.split(","))) <= set(got[i]["spans"].split(","))
+    assert pii_spans(docs.limit(0)).collect() == []
+
+
+def test_personal_data_method_adds_spans(spark):
+    rows = [(i, f"please write an e-mail to me{i} [at] host{i} [dot] com today, or x{i}@mail.org") for i in range(30)]
+    got = pii_report(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    for (_, text), r in zip(rows, got):
+        start = text.index("me")
+        assert f"email:{text.index('me' + text[start + 2])}:" in r["spans"] and r["n_email"] == 1
+
+
+def test_reliabilities_and_classifier():
+    counts = {"phone:++++++": 500, "phone:0-00-0": 400, "phone:0++0+0": 50, "phone:00-0-0": 80}
+    chance = estimate_reliabilities(counts)
+    assert chance["phone:++++++"] > 0.95 > 0.1 > chance["phone:0-00-0"]
+    scores = train_classifier(counts, chance)
+    assert scores["phone:++++++"] > 0.8 > 0.4 > scores["phone:0-00-0"]
+    assert estimate_reliabilities({}) == {} == train_classifier({}, {})
