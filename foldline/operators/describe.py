@@ -1,23 +1,19 @@
 """The data behind histogram, box-plot and scatter diagrams.
 
-The statistics are computed by Spark over all rows (or over the first
-``max_rows`` when a cap is asked for); only scalars such as min/max reach the
-driver. No image is rendered. Histogram bins and quartiles follow NumPy (and so
-the plotting library) bit for bit.
+The statistics are computed by Spark over all rows (or over the first ``max_rows`` when a cap is
+asked for); only scalars and rows of per-category state of a checked size reach the driver. No image
+is rendered. Histogram bins and quartiles follow NumPy (and so the plotting library) bit for bit.
 
 Scale notes
 -----------
-* Histogram: one min/max/count aggregate, then a ``groupBy(bin)`` with at most
-  100 keys; both are partial aggregates, so a hot value costs nothing extra.
-* Box statistics: exact quartiles without ever holding a category in one task.
-  Rows are folded to distinct ``(category, value)`` with a count (partial
-  aggregate), range-partitioned on ``(category, value)`` so a big category
-  spans many partitions, frozen as Parquet, and each row gets its rank span
-  ``[start, end)`` from per-partition prefix sums. Only the partitions that
-  hold a wanted rank (at most 6 per category, broadcast as at most 120 rows)
-  are read again, through dynamic partition pruning.
-* Categories are capped at 20 (a fixed limit of the surveyed diagrams), which
-  bounds every table that is broadcast back onto the data.
+* Histogram: one min/max/count aggregate, then a ``groupBy(bin)`` with at most 100 keys; both are
+  partial aggregates, so a hot value costs nothing extra.
+* Box statistics: exact quartiles by narrowing, without a shuffle of rows and without scratch files.
+  A first pass brackets the wanted ranks per category (a quantile sketch, or equal cells for weighted
+  rows); a second folds all rows outside the brackets to a few counts per category, and rows inside
+  to distinct values, both as partial aggregates. Running counts over that small table give the ranks.
+* Any number of categories: per-category state goes to the rows as literals (one group), as a
+  broadcast of at most ``SMALL_STATE`` rows, or, beyond, by a join that Spark plans by size.
 """
 
 from __future__ import annotations
@@ -30,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.names import col, drop_nulls, positive_int, resolve
 from ..functions.values import finite_double
-from ..session import scratch_dir, session_conf
+from ..session import scratch_dir
 
 # Histogram bins default to 10 and must lie in 1..100; a box plot
 # shows at most 20 categories; whiskers reach 1.5 interquartile ranges; the
@@ -39,20 +35,29 @@ DEFAULT_BINS = 10
 MAX_BINS = 100
 MAX_CATEGORIES = 20
 WHISKER_REACH = 1.5
+# Rows of per-category state that may be broadcast; more go through a planned join.
+SMALL_STATE = 10_000
+# Cells into which a pass over weighted rows divides the range that still holds a wanted rank.
+CELLS = 1000
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 
 
 # --------------------------------------------------------------------- helpers
 
 
-def _values(df: DataFrame, columns: Sequence[str], max_rows: int | None) -> DataFrame:
+def _values(
+    df: DataFrame, columns: Sequence[str], max_rows: int | None, weight: str | None = None
+) -> DataFrame:
     """P3 + P4 (+ L1): the selected columns without null/NaN rows, optionally capped.
 
+    Rows are never dropped for their weight; ``_require_rows`` refuses bad weights.
+
     A capped frame is written once to the shared checkpoint folder so that every
     later pass sees the same ``max_rows`` rows (``limit`` alone may pick other
     rows on each evaluation).
     """
-    data = drop_nulls(df.select(*[col(c) for c in columns]), columns)
+    wanted = [*columns, weight] if weight else columns
+    data = drop_nulls(df.select(*[col(c) for c in wanted]), columns)
     if max_rows is not None:
         data = _freeze(data.limit(positive_int(max_rows, "max_rows")), "capped-rows")
     return data
@@ -72,6 +77,19 @@ def _freeze(df: DataFrame, purpose: str, partition_column: str | None = None) ->
     return df.sparkSession.read.parquet(path)
 
 
+def _bad_weights(weight: str) -> Column:
+    """Number of weights that are no count; part of the aggregate that runs anyway."""
+    w = F.col(weight)
+    return F.count(F.when(w.isNull() | (w < 0) | F.isnan(w.cast("double")), 1)).alias("bad_weights")
+
+
+def _require_rows(row) -> None:
+    if row is None or row["n"] == 0:
+        raise ValueError("the frame holds no data for the diagram")
+    if row["bad_weights"]:
+        raise ValueError(f"{row['bad_weights']} rows have a null or negative weight")
+
+
 def limit_rows(df: DataFrame, max_rows: int, order_by: Sequence[str] | None = None) -> DataFrame:
     """L1: at most ``max_rows`` rows; with ``order_by`` the same rows every time."""
     n = positive_int(max_rows, "max_rows")
@@ -87,21 +105,26 @@ def category_count(df: DataFrame, category: str | Column, limit: int = MAX_CATEG
 
 
 def check_category_count(df: DataFrame, category: str | Column, limit: int = MAX_CATEGORIES) -> None:
+    """D4 for a caller that is about to draw one picture; no operator here enforces it."""
     if category_count(df, category, limit) > limit:
         raise ValueError(f"a box plot can show at most {limit} categories")
 
 
 def ordered_categories(df: DataFrame, category: str) -> DataFrame:
-    """L2: distinct categories with their case-insensitive display position.
+    """L2: distinct categories with their case-insensitive display position, any number of them.
 
-    Capped at 20 categories (D4) first, so the ordering window without a
-    partition key sees at most 20 rows.
+    Categories are counted by the first characters of their sort key; a running count over these
+    (few) prefixes plus the place within a prefix gives the position.
     """
     name = resolve(df, category)
     cats = drop_nulls(df, [name]).select(category_text(df, name).alias("category")).distinct()
-    check_category_count(cats, "category")
-    order = Window.orderBy(F.lower("category"), F.col("category"))
-    return cats.select("category", F.row_number().over(order).cast("bigint").alias("position"))
+    cats = cats.withColumn("_key", F.lower("category")).withColumn("_prefix", F.left("_key", F.lit(3)))
+    prefixes = cats.groupBy("_prefix").count()
+    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = prefixes.select("_prefix", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_prefix").orderBy("_key", "category"))
+    placed = cats.withColumn("_place", place).join(offsets, "_prefix")
+    return placed.select("category", (F.col("_before") + F.col("_place")).cast("bigint").alias("position"))
 
 
 # ------------------------------------------------------------------- histogram
@@ -125,16 +148,16 @@ def histogram(
     widened to ``value +- 0.5``.
     """
     name = resolve(df, column)
-    if not isinstance(bins, int) or isinstance(bins, bool) or not 1 <= bins <= MAX_BINS:
-        raise ValueError(f"bins must be an integer between 1 and {MAX_BINS}")
+    positive_int(bins, "bins", MAX_BINS)
     wname = resolve(df, weight) if weight is not None else None
-    data = _values(df, [name] + ([wname] if wname else []), max_rows)
+    data = _values(df, [name], max_rows, wname)
     freq = col(wname) if wname else F.lit(1).cast("bigint")
     points = data.select(finite_double(name).alias("v"), freq.alias("f"))
 
-    row = points.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if row is None or row["n"] == 0:
-        raise ValueError("the frame holds no data for the diagram")
+    row = points.agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"), _bad_weights("f")
+    ).first()
+    _require_rows(row)
     lo, hi = float(row["lo"]), float(row["hi"])
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
@@ -177,21 +200,17 @@ def _box_input(
     weight: str | None,
     max_rows: int | None,
 ) -> DataFrame:
-    """(category string, value double, w) rows after P4 and P5."""
+    """(category string, value double, w) rows after P4 and P5. A zero weight is no observation."""
     vname = resolve(df, value)
     cname = resolve(df, category) if category is not None else None
     wname = resolve(df, weight) if weight is not None else None
-    wanted = [c for c in (cname, vname, wname) if c]
-    data = _values(df, wanted, max_rows)
+    data = _values(df, [c for c in (cname, vname) if c], max_rows, wname)
     # Without a category the single group is named after the value column.
     cat = category_text(data, cname) if cname else F.lit(vname)
-    if wname is None:
-        w = F.lit(1).cast("bigint")
-    else:
+    w = F.lit(1).cast("bigint")
+    if wname is not None:
         if not isinstance(data.schema[wname].dataType, T.IntegralType):
             raise ValueError(f"weight column {wname!r} must hold whole counts (an integer type)")
-        # A row with weight <= 0 stands for no observations.
-        data = data.where(col(wname) > 0)
         w = col(wname).cast("bigint")
     return data.select(cat.alias("category"), finite_double(vname).alias("value"), w.alias("w"))
 
@@ -203,129 +222,131 @@ def category_text(df: DataFrame, name: str) -> Column:
     return col(name).cast("string")
 
 
-def _rank(p: float, upper: bool) -> Column:
-    """0-based rank of the lower/upper neighbour of quantile ``p`` among ``n`` values."""
-    h = (F.col("n") - 1) * F.lit(p)
-    return F.ceil(h) if upper else F.floor(h)
+def _attach(rows: DataFrame, state: DataFrame, single: bool) -> DataFrame:
+    """``rows`` with the columns of ``state`` (one row per category).
+
+    One group: literals. At most SMALL_STATE rows: a broadcast of just these rows, so the data
+    stays where it is. More: an ordinary join. ``state`` is evaluated here, once, up to that bound.
+    """
+    found = state.limit(SMALL_STATE + 1).collect()
+    if single:
+        row = found[0]
+        fields = [f for f in state.schema.fields if f.name != "category"]
+        return rows.select("*", *[_literal(row[f.name], f.dataType).alias(f.name) for f in fields])
+    if len(found) <= SMALL_STATE:
+        state = F.broadcast(rows.sparkSession.createDataFrame(found, state.schema))
+    return rows.join(state, "category")
 
 
-def _targets() -> list[Column]:
-    return [_rank(p, upper) for _, p in QUARTILES for upper in (False, True)]
+def _literal(value, data_type: T.DataType) -> Column:
+    if isinstance(value, (list, tuple)):
+        return F.array(*[F.lit(v) for v in value]).cast(data_type)
+    return F.lit(value).cast(data_type)
 
 
-def _exact_quartiles(
-    rows: DataFrame, partitions: int | None, single_group: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Exact quartiles per category; also returns the frozen distinct values.
+def _sketch_brackets(rows: DataFrame, accuracy: int) -> DataFrame:
+    """Per category: number of rows and a bracket of values around each quartile.
 
-    1. fold to distinct (category, value) with their count w (partial aggregate);
-    2. range-partition on (category, value) and write the result as a Parquet
-       table (partitioned by ``_pid``) in the shared checkpoint folder, freezing
-       each row's partition id (the sampled bounds must not change on a retry);
-    3. per (_pid, category) totals -> offsets of each partition within its
-       category and the category size n (a table of <= partitions + categories
-       rows, on which the D4 cap is checked);
-    4. only the partitions that hold one of the six wanted ranks per category
-       get a running sum (window over (_pid, category)); the broadcast join on
-       the partition column lets dynamic partition pruning skip the files of all
-       other partitions, so at most 6 * categories partitions are read and
-       shuffled;
-    5. the rows whose rank span [start, end) holds a wanted rank give the
-       neighbours, interpolated linearly.
+    A sketch of accuracy a finds a quantile up to 1/a of the rows; brackets reach 4/a to both sides.
+    """
+    reach = 4.0 / accuracy
+    points = [min(1.0, max(0.0, p + side * reach)) for _, p in QUARTILES for side in (-1, 1)]
+    found = F.percentile_approx("value", F.array(*map(F.lit, points)), F.lit(accuracy))
+    state = rows.groupBy("category").agg(F.sum("w").alias("n"), found.alias("_q"))
+    low = F.array(*[F.col("_q")[2 * i] for i in range(len(QUARTILES))])
+    high = F.array(*[F.col("_q")[2 * i + 1] for i in range(len(QUARTILES))])
+    return state.select("category", "n", low.alias("low"), high.alias("high"))
+
+
+def _cell_brackets(rows: DataFrame, single: bool) -> DataFrame:
+    """As ``_sketch_brackets`` for weighted rows: ranges are cut into CELLS equal cells whose
+    weights are summed; the cells that hold the wanted ranks are cut once more."""
+    state = rows.groupBy("category").agg(
+        F.sum("w").alias("n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    names = [label for label, _ in QUARTILES]
+    state = state.select(
+        "category", "n",
+        F.array(*[F.col("_lo") for _ in names]).alias("low"), F.array(*[F.col("_hi") for _ in names]).alias("high"))
+    for _ in range(2):
+        marked = _attach(rows, state, single)
+        marked = marked.select("category", "value", "w", "n", F.posexplode(F.arrays_zip("low", "high")).alias("i", "b"))
+        low, high, v = F.col("b.low"), F.col("b.high"), F.col("value")
+        width = (high - low) / F.lit(float(CELLS))
+        cell = F.when(v < low, F.lit(-1)).when(v > high, F.lit(CELLS)).when(width <= 0, F.lit(0)).otherwise(
+            F.least(F.floor((v - low) / width), F.lit(CELLS - 1)).cast("int"))
+        cells = marked.groupBy("category", "n", "i", cell.alias("cell")).agg(
+            F.sum("w").alias("w"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        upto = F.sum("w").over(Window.partitionBy("category", "i").orderBy("cell"))
+        cells = cells.withColumn("end", upto).withColumn("start", F.col("end") - F.col("w"))
+        h = F.element_at(F.array(*[F.lit(p) for _, p in QUARTILES]), F.col("i") + 1) * (F.col("n") - 1)
+        hit = (F.col("end") > F.floor(h)) & (F.col("start") <= F.ceil(h))
+        bounds = cells.where(hit).groupBy("category", "n", "i").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        ordered = F.array_sort(F.collect_list(F.struct("i", "lo", "hi")))  # one row a quartile
+        state = bounds.groupBy("category", "n").agg(ordered.alias("b")).select(
+            "category", "n", F.col("b.lo").alias("low"), F.col("b.hi").alias("high"))
+    return state
+
+
+def _exact_quartiles(rows: DataFrame, weighted: bool, accuracy: int, single: bool) -> DataFrame:
+    """``category, n, q1, median, q3``: the values at the ranks next to each quartile, interpolated
+    as NumPy does.
+
+    Rows outside the brackets of their category are counted per gap between brackets, rows inside
+    per value. A wanted rank lies on such a value, or on the first or last row of a gap, whose
+    smallest and largest values are kept; anything else would be a failed bracket and raises.
     """
-    distinct_values = rows.groupBy("category", "value").agg(F.sum("w").alias("w"))
-    # Without an explicit count AQE may merge neighbouring ranges up to the
-    # advisory partition size; merged ranges are still ordered, which is all
-    # the rank computation needs.
-    spark = rows.sparkSession
-    if partitions:
-        ranged = distinct_values.repartitionByRange(partitions, "category", "value")
-        settings: dict[str, str] = {}
-    else:
-        ranged = distinct_values.repartitionByRange("category", "value")
-        # AQE only merges partitions, so start the range split wide enough for
-        # a large input (4 per core) and let small inputs shrink to a few.
-        start = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            4 * spark.sparkContext.defaultParallelism,
+    if weighted:
+        rows = rows.where("w > 0")
+    brackets = _cell_brackets(rows, single) if weighted else _sketch_brackets(rows, accuracy)
+    marked = _attach(rows, brackets, single)
+    v = F.col("value")
+    inside, gap = F.lit(False), F.lit(0)
+    for i in range(len(QUARTILES)):
+        low, high = F.get("low", F.lit(i)), F.get("high", F.lit(i))
+        inside = inside | ((v >= low) & (v <= high))
+        gap = gap + F.when(v > high, 1).otherwise(0)
+    folded = marked.groupBy("category", "n", F.when(inside, v).alias("own"), F.when(~inside, gap).alias("gap")).agg(
+        F.sum("w").alias("w"), F.min("value").alias("first"), F.max("value").alias("last"))
+    running = Window.partitionBy("category").orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
+    spans = folded.withColumn("end", F.sum("w").over(running)).withColumn("start", F.col("end") - F.col("w"))
+
+    def at(k: Column) -> Column:
+        """The value at rank ``k`` if this span holds it."""
+        value = (
+            F.when((k == F.col("start")) | (F.col("first") == F.col("last")), F.col("first"))
+            .when(k == F.col("end") - 1, F.col("last"))
+            .otherwise(F.raise_error(F.lit("a quartile lies outside its bracket; raise the accuracy")).cast("double"))
         )
-        settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(start)}
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
-    with session_conf(spark, settings):
-        ranged = _freeze(ranged, "quartile-ranks", "_pid")
-
-    totals = ranged.groupBy("_pid", "category").agg(F.sum("w").alias("part_w"))
-    if not single_group:  # one group needs no cap check
-        # Small (<= partitions + categories rows); written once so that the cap
-        # check and the rank offsets below do not both scan the rank table.
-        totals = _freeze(totals, "rank-totals")
-        check_category_count(totals, "category")
-    by_cat = Window.partitionBy("category")
-    before = Window.partitionBy("category").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_pid",
-        "category",
-        "part_w",
-        F.coalesce(F.sum("part_w").over(before), F.lit(0)).alias("offset"),
-        F.sum("part_w").over(by_cat).alias("n"),
-    )
-
-    def inside(k: Column, start: Column, end: Column) -> Column:
-        return (start <= k) & (k < end)
+        return F.when((F.col("start") <= k) & (k < F.col("end")), value)
 
-    part_start, part_end = F.col("offset"), F.col("offset") + F.col("part_w")
-    holds_target = F.lit(False)
-    for k in _targets():
-        holds_target = holds_target | inside(k, part_start, part_end)
-    # At most 6 rows per category (one partition per wanted rank), so at most
-    # 120 rows are broadcast.
-    needed = offsets.where(holds_target).select("_pid", "category", "offset", "n")
-
-    running = Window.partitionBy("_pid", "category").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = (
-        ranged.join(F.broadcast(needed), ["_pid", "category"])
-        .withColumn("_end", F.col("offset") + F.sum("w").over(running))
-        .withColumn("_start", F.col("_end") - F.col("w"))
-    )
-    row_start, row_end = F.col("_start"), F.col("_end")
-    wanted = F.lit(False)
-    for k in _targets():
-        wanted = wanted | inside(k, row_start, row_end)
-    aggs = []
+    neighbours = []
     for label, p in QUARTILES:
-        for upper, suffix in ((False, "lo"), (True, "hi")):
-            hit = inside(_rank(p, upper), row_start, row_end)
-            aggs.append(F.max(F.when(hit, F.col("value"))).alias(f"{label}_{suffix}"))
-    picked = ranked.where(wanted).groupBy("category", "n").agg(*aggs)
-    quart = []
+        h = (F.col("n") - 1) * F.lit(p)
+        neighbours += [F.max(at(F.floor(h))).alias(f"{label}_lo"), F.max(at(F.ceil(h))).alias(f"{label}_hi")]
+    picked = spans.groupBy("category", "n").agg(*neighbours)
+    out = []
     for label, p in QUARTILES:
         h = (F.col("n") - 1) * F.lit(p)
-        frac = h - F.floor(h)
-        lo_v, hi_v = F.col(f"{label}_lo"), F.col(f"{label}_hi")
-        # NumPy's linear interpolation, including its form for frac >= 0.5.
-        from_low = lo_v + (hi_v - lo_v) * frac
-        from_high = hi_v - (hi_v - lo_v) * (F.lit(1.0) - frac)
-        quart.append(F.when(frac >= F.lit(0.5), from_high).otherwise(from_low).alias(label))
-    stats = picked.select("category", F.col("n").cast("bigint").alias("n"), *quart)
-    return stats, ranged.select("category", "value", "w")
-
-
-def _approx_quartiles(
-    rows: DataFrame, accuracy: int, single_group: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    if not single_group:
-        check_category_count(rows, "category")
-    probs = F.array(*[F.lit(p) for _, p in QUARTILES])
-    q = rows.groupBy("category").agg(
-        F.sum("w").alias("n"),
-        F.percentile_approx("value", probs, accuracy).alias("_q"),
-    )
-    stats = q.select(
-        "category", "n", *[F.col("_q")[i].alias(label) for i, (label, _) in enumerate(QUARTILES)]
-    )
-    return stats, rows
+        share, low, high = h - F.floor(h), F.col(f"{label}_lo"), F.col(f"{label}_hi")
+        # NumPy's linear interpolation, including its form for shares from one half on.
+        from_low, from_high = low + (high - low) * share, high - (high - low) * (F.lit(1.0) - share)
+        out.append(F.when(share >= F.lit(0.5), from_high).otherwise(from_low).alias(label))
+    return picked.select("category", F.col("n").cast("bigint").alias("n"), *out)
+
+
+def _quartiles_of(rows: DataFrame, weighted: bool, exact: bool, accuracy: int, single: bool) -> DataFrame:
+    if rows.isEmpty():
+        raise ValueError("the frame holds no data for the diagram")
+    if weighted:
+        if not exact:
+            raise ValueError("weights need exact=True")
+        _require_rows(rows.agg(F.count(F.when(F.col("w") != 0, 1)).alias("n"), _bad_weights("w")).first())
+    if exact:
+        return _exact_quartiles(rows, weighted, accuracy, single)
+    probabilities = F.array(*[F.lit(p) for _, p in QUARTILES])
+    found = rows.groupBy("category").agg(
+        F.sum("w").alias("n"), F.percentile_approx("value", probabilities, accuracy).alias("_q"))
+    return found.select("category", "n", *[F.col("_q")[i].alias(label) for i, (label, _) in enumerate(QUARTILES)])
 
 
 def quartiles(
@@ -336,18 +357,16 @@ def quartiles(
     max_rows: int | None = None,
     exact: bool = True,
     accuracy: int = 10000,
-    partitions: int | None = None,
 ) -> DataFrame:
-    """Per-category ``n, q1, median, q3`` (the first half of D2)."""
-    if weight is not None and not exact:
-        raise ValueError("weights need exact=True")
+    """Per-category ``n, q1, median, q3`` (the first half of D2).
+
+    ``accuracy`` is that of the quantile sketch: the result with ``exact=False``, and the width of
+    the brackets otherwise (about 8/accuracy of a category's rows are folded by value around each
+    quartile). Weights must be whole counts, not null and not negative. A frame without rows raises
+    ValueError. A floating category reads as Spark casts it to text (``1.0E7``).
+    """
     rows = _box_input(df, value, category, weight, max_rows)
-    stats, _ = (
-        _exact_quartiles(rows, partitions, category is None)
-        if exact
-        else _approx_quartiles(rows, accuracy, category is None)
-    )
-    return stats
+    return _quartiles_of(rows, weight is not None, exact, positive_int(accuracy, "accuracy"), category is None)
 
 
 def _with_fences(stats: DataFrame) -> DataFrame:
@@ -365,33 +384,19 @@ def box_stats(
     max_rows: int | None = None,
     exact: bool = True,
     accuracy: int = 10000,
-    partitions: int | None = None,
 ) -> DataFrame:
     """``category, n, q1, median, q3, whisker_low, whisker_high`` per category.
 
-    Whiskers are the most extreme data values within 1.5 IQR of the box, never
-    inside the box (the plotting library's rule). ``exact=False`` uses
-    ``percentile_approx`` (bounded sketch per group) instead of exact ranks.
+    Whiskers are the most extreme data values within 1.5 IQR of the box, never inside the box (the
+    plotting library's rule). Arguments and errors are those of ``quartiles``.
     """
-    if weight is not None and not exact:
-        raise ValueError("weights need exact=True")
     rows = _box_input(df, value, category, weight, max_rows)
-    stats, values = (
-        _exact_quartiles(rows, partitions, category is None)
-        if exact
-        else _approx_quartiles(rows, accuracy, category is None)
-    )
-    fenced = _with_fences(stats)
-    # fenced has at most MAX_CATEGORIES rows (checked above); the whiskers are
-    # one partial aggregate over the values with the statistics carried along.
+    stats = _quartiles_of(rows, weight is not None, exact, positive_int(accuracy, "accuracy"), category is None)
     keys = ["category", "n", "q1", "median", "q3"]
-    reach = (
-        values.join(F.broadcast(fenced), "category")
-        .groupBy(*keys)
-        .agg(
-            F.min(F.when(F.col("value") >= F.col("fence_low"), F.col("value"))).alias("_wl"),
-            F.max(F.when(F.col("value") <= F.col("fence_high"), F.col("value"))).alias("_wh"),
-        )
+    marked = _attach(rows.where("w > 0").drop("w"), _with_fences(stats), category is None)
+    reach = marked.groupBy(*keys).agg(
+        F.min(F.when(F.col("value") >= F.col("fence_low"), F.col("value"))).alias("_wl"),
+        F.max(F.when(F.col("value") <= F.col("fence_high"), F.col("value"))).alias("_wh"),
     )
     return reach.select(
         *keys,
@@ -406,26 +411,23 @@ def outliers(
     category: str | None = None,
     exact: bool = True,
     accuracy: int = 10000,
-    partitions: int | None = None,
 ) -> DataFrame:
     """D3: the input rows lying beyond the whiskers (the box plot's fliers).
 
-    The per-category fences (at most 20 rows) are broadcast onto the data, so
-    the rows are filtered where they are, without a shuffle of the data.
+    The fences go to the rows (see ``_attach``), which are filtered where they are.
     """
     vname = resolve(df, value)
     cname = resolve(df, category) if category is not None else None
-    stats = quartiles(df, vname, cname, exact=exact, accuracy=accuracy, partitions=partitions)
-    fences = _with_fences(stats).select(
-        F.col("category").alias("_cat"), "fence_low", "fence_high"
-    )
-    key = category_text(df, cname) if cname else F.lit(vname)
+    stats = quartiles(df, vname, cname, exact=exact, accuracy=accuracy)
+    fences = _with_fences(stats).select("category", "fence_low", "fence_high")
     clean = drop_nulls(df, [c for c in (cname, vname) if c])
-    v = finite_double(vname)
-    flagged = clean.join(F.broadcast(fences), key == F.col("_cat")).where(
-        (v < F.col("fence_low")) | (v > F.col("fence_high"))
+    packed = clean.select(
+        (category_text(clean, cname) if cname else F.lit(vname)).alias("category"),
+        finite_double(vname).alias("_v"),
+        F.struct(*[col(c) for c in df.columns]).alias("_row"),
     )
-    return flagged.select(*[col(c) for c in df.columns])
+    beyond = (F.col("_v") < F.col("fence_low")) | (F.col("_v") > F.col("fence_high"))
+    return _attach(packed, fences, cname is None).where(beyond).select("_row.*")
 
 
 # ---------------------------------------------------------------------- scatter
@@ -436,20 +438,24 @@ def scatter_points(
     x: str,
     y: str,
     key: str | None = None,
-    max_rows: int = 10_000,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Up to ``max_rows`` (x, y) pairs as doubles.
+    """All (x, y) pairs as doubles, or a sample of ``max_rows`` where one is asked for.
 
-    With ``key`` the sample is repeatable: the rows with the smallest
-    ``md5(key)`` (ties by key), a top-k that keeps at most ``max_rows`` rows per
-    task before one small merge. Without it, any ``max_rows`` rows.
+    With ``key`` (kept as first column) the sample is repeatable: the rows with the smallest
+    ``md5(key)`` (ties by key), a top-k that keeps at most ``max_rows`` rows per task before one
+    merge. Without it, any ``max_rows`` rows. A frame without rows raises ValueError.
     """
     xn, yn = resolve(df, x), resolve(df, y)
     kn = resolve(df, key) if key is not None else None
-    n = positive_int(max_rows, "max_rows")
     data = drop_nulls(df, [xn, yn])
+    if data.isEmpty():
+        raise ValueError("the frame holds no data for the diagram")
     out = [finite_double(xn).alias(xn), finite_double(yn).alias(yn)]
-    if kn is None:
-        return data.select(*out).limit(n)
-    ordered = data.orderBy(F.md5(col(kn).cast("string")), col(kn)).limit(n)
-    return ordered.select(col(kn), *out)
+    out = out if kn is None else [col(kn), *out]
+    if max_rows is None:
+        return data.select(*out)
+    n = positive_int(max_rows, "max_rows")
+    if kn is not None:
+        data = data.orderBy(F.md5(col(kn).cast("string")), col(kn))
+    return data.limit(n).select(*out)
