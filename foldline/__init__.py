@@ -29,7 +29,7 @@ from .sinks import TableLoadError, publish_file, save_table
 from .sources import (
     describe_extended,
     describe_table,
-    format_for,
+    SourceName,
     list_databases,
     list_tables,
     preview_table,
@@ -66,7 +66,7 @@ __all__ = [
     "filter_equals",
     "fingerprint",
     "flow",
-    "format_for",
+    "SourceName",
     "histogram",
     "land_source",
     "limit_rows",

@@ -24,15 +24,13 @@ def _pipeline_args(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("input_path", help="CSV/JSON source read by the transform")
     parser.add_argument("source", help="name (or URL) the output file is named after")
     parser.add_argument("output_dir")
-    parser.add_argument("database")
-    parser.add_argument("table")
-    parser.add_argument("--warehouse", required=True, help="folder holding <db>.db/<table>")
+    parser.add_argument("--database", help="with --table: also store a table")
+    parser.add_argument("--table")
+    parser.add_argument("--warehouse", help="folder holding <db>.db/<table>")
     parser.add_argument("--format", choices=("csv", "json"))
     parser.add_argument("--names", help="comma-separated positional column names")
     parser.add_argument("--filter-column")
     parser.add_argument("--filter-value")
-    parser.add_argument("--single-file", action="store_true",
-                        help="publish one file when the result has at most a million rows")
 
 
 def _table_args(parser: argparse.ArgumentParser) -> None:
@@ -85,7 +83,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("x")
     p.add_argument("y")
     p.add_argument("--key")
-    p.add_argument("--max-rows", type=int, default=10_000)
+    p.add_argument("--max-rows", type=int, help="sample size (default: all pairs)")
     p.add_argument("--rows", type=int, default=20, help="points to print")
     return parser
 
@@ -103,7 +101,6 @@ def main(argv: list[str] | None = None) -> int:
                 column_names=_names(args.names),
                 filter_column=args.filter_column,
                 filter_value=args.filter_value,
-                single_file=args.single_file,
             )
             if args.command == "flow":
                 result = flow(
@@ -113,8 +110,8 @@ def main(argv: list[str] | None = None) -> int:
                 print(f"table: {result.table_location}\nfile: {result.file_path}")
             else:
                 listener = listen(
-                    spark, args.input_path, args.source, args.output_dir, args.database, args.table,
-                    args.state, poll_interval=args.poll_interval, **options,
+                    spark, args.input_path, args.source, args.output_dir, args.state,
+                    database=args.database, table=args.table, poll_interval=args.poll_interval, **options,
                 )
                 try:
                     status = listener.run(max_rounds=args.max_rounds)

@@ -1,9 +1,7 @@
-"""Run W1 once, publish to a table and a file, print a preview.
+"""Run W1 once, publish to a table and a file (or a file alone), print a preview.
 
-The reference evaluates the consolidation four times (count, show, file sink,
-table sink), each time from the source. Here the table is written once and the
-file and preview are derived from the table, so the source is read once and
-both outputs hold the same rows.
+The consolidation is evaluated once: the table is written first, if one is wanted, and the file and
+the preview are derived from it; otherwise the preview is read from the published file.
 """
 
 from __future__ import annotations
@@ -20,11 +18,11 @@ from ..sinks.files import file_system, publish_file, swap_in
 from ..sinks.tables import save_table
 from ..sources.catalog import read_table
 from ..sources.files import (
-    file_name_from_location,
-    format_for,
+    SourceName,
     read_headerless_csv,
     read_source,
     require_nonempty,
+    source_format,
 )
 from .transform import transform
 
@@ -53,33 +51,40 @@ def land_source(
     """Copy a CSV/JSON source into ``input_dir`` under its own file name.
 
     Any path Spark can read works as a source (the surveyed program downloaded
-    over HTTPS instead, which is not built). With ``column_names`` a headerless
-    CSV gets those names as its header. Values are copied as text (no type
-    inference), in parallel, into a staging folder that is then moved into
-    place, so a failed landing leaves the previous copy intact. An empty source
-    is refused (S6).
+    over HTTPS instead, which is not built). Everything is staged, then moved into place, so a
+    failed landing leaves the previous copy intact. An empty source is refused (S6).
+
+    Every value is kept. JSON Lines are copied line by line, in parallel; JSON that the options
+    call ``multiLine`` is copied file by file. CSV is parsed as text with the caller's options,
+    blanks kept, and written with the same separator, quote and escape and a header in every part
+    (with ``column_names``, those names over a headerless source), so reading with the same options
+    gives the same values. A CSV row with another number of values than the header fails the landing.
     """
-    fmt = format_for(source, file_format)
+    target = SourceName.of(source, file_format)
+    fmt = target.format
     if column_names is not None and fmt != "csv":
         raise ValueError("column names can only be given for CSV sources")
     require_nonempty(spark, source)
-    name = file_name_from_location(source)
     out = input_dir.rstrip("/")
-    final, staged = f"{out}/{name}", f"{out}/._landing-{uuid.uuid4().hex}"
+    final, staged = f"{out}/{target.name}", f"{out}/._landing-{uuid.uuid4().hex}"
     options = dict(read_options or {})
+    folded = {k.casefold(): v for k, v in options.items()}
     fs, staged_path, _ = file_system(spark, staged)
     try:
-        if fmt == "json":
-            spark.read.text(source).write.text(staged)
-        else:
+        if fmt == "csv":
+            options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "mode": "FAILFAST"}
             if column_names is not None:
-                data = read_headerless_csv(
-                    spark, source, column_names, ["string"] * len(column_names), options
-                )
+                data = read_headerless_csv(spark, source, column_names, ["string"] * len(column_names), options)
             else:
-                options.update(header=True, inferSchema=False)
-                data = spark.read.options(**options).csv(source)
-            data.write.option("header", True).csv(staged)
+                data = spark.read.options(**(options | {"header": True, "inferSchema": False})).csv(source)
+            dialect = {k: v for k, v in folded.items() if k in ("sep", "delimiter", "quote", "escape", "nullvalue", "emptyvalue", "encoding")}
+            dialect |= {"header": True, "ignoreleadingwhitespace": False, "ignoretrailingwhitespace": False}
+            data.write.options(**dialect).csv(staged)
+        elif str(folded.get("multiline", False)).casefold() == "true":
+            whole = spark.read.text(source, wholetext=True)
+            whole.write.option("maxRecordsPerFile", 1).text(staged)
+        else:
+            spark.read.text(source, lineSep="\n").write.option("lineSep", "\n").text(staged)
         swap_in(spark, staged, final)
     finally:
         if fs.exists(staged_path):
@@ -90,7 +95,7 @@ def land_source(
 def print_file(spark: SparkSession, path: str, max_rows: int, read_options: Mapping | None = None) -> int:
     """Print a published CSV/JSON dataset as text cells (P6 + L3)."""
     options = dict(read_options or {})
-    if format_for(path) == "csv":
+    if source_format(path) == "csv":
         options["inferSchema"] = False
     data = read_source(spark, path, read_options=options)
     return print_rows(cell_text(data), max_rows)
@@ -98,18 +103,25 @@ def print_file(spark: SparkSession, path: str, max_rows: int, read_options: Mapp
 
 @dataclass
 class FlowResult:
-    table_location: str
+    table_location: str | None
     file_path: str
     rows: int
 
 
+def table_wanted(database: str | None, table: str | None) -> bool:
+    """Both names ask for a table, none for a file alone; one without the other is an error."""
+    if bool(database) != bool(table):
+        raise ValueError("give database and table, or neither")
+    return bool(database)
+
+
 def flow(
     spark: SparkSession,
     input_path: str,
     source: str,
     output_dir: str,
-    database: str,
-    table: str,
+    database: str | None = None,
+    table: str | None = None,
     *,
     warehouse_dir: str | None = None,
     file_format: str | None = None,
@@ -120,14 +132,12 @@ def flow(
     filter_value=None,
     schema=None,
     preview_rows: int | None = 20,
-    single_file: bool = False,
 ) -> FlowResult:
-    """Transform -> table (K2) -> file (K1) from the table -> preview.
+    """Transform -> table (K2), if named -> file (K1) -> preview.
 
-    ``preview_rows=None`` skips the preview (the row count is then not taken).
+    ``preview_rows=None`` skips the preview (the row count is then not taken, -1).
     """
-    if not database or not table:
-        raise ValueError("database and table must both be given")
+    with_table = table_wanted(database, table)
     result = transform(
         spark,
         input_path,
@@ -138,8 +148,12 @@ def flow(
         filter_value=filter_value,
         schema=schema,
     )
-    location = save_table(result, database, table, warehouse_dir=warehouse_dir, mode="overwrite")
-    stored = read_table(spark, database, table)
-    path = publish_file(stored, source, output_dir, file_format, write_options, single_file=single_file)
-    rows = print_rows(stored, preview_rows) if preview_rows is not None else -1
-    return FlowResult(location, path, rows)
+    location, kind = None, result.schema
+    if with_table:
+        location = save_table(result, database, table, warehouse_dir=warehouse_dir, mode="overwrite")
+        result = read_table(spark, database, table)
+    path = publish_file(result, source, output_dir, file_format, write_options)
+    if preview_rows is None:
+        return FlowResult(location, path, -1)
+    shown = result if with_table else read_source(spark, path, file_format, write_options, kind)
+    return FlowResult(location, path, print_rows(shown, preview_rows))

@@ -20,9 +20,11 @@ from .operators import (
     consolidate,
     drop_incomplete,
     histogram,
+    limit_rows,
     numeric_columns,
     ordered_categories,
     outliers,
+    project,
     rename_columns,
     row_count,
     scatter_points,
@@ -30,7 +32,7 @@ from .operators import (
 from .plans import flow, land_source, transform, transform_frame
 from .session import scratch_dir
 from .sinks import publish_file, save_table
-from .sources import read_headerless_csv, read_source, read_table, require_nonempty
+from .sources import attach_table, preview_table, read_headerless_csv, read_source, read_table, require_nonempty
 from .streaming import fingerprint, read_ingested, read_state, refresh_if_changed, start_ingest
 
 CHECK_DATABASE = "foldline_checks"
@@ -265,7 +267,7 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint(table(spark, sf_dir, "documents"), ["text"], hex_digits=8)
+    return fingerprint(table(spark, sf_dir, "documents"), ["text"])
 
 
 def refresh_if_changed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,6 +345,145 @@ def incremental_ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ingested(spark, CHECK_DATABASE, name)
 
 
+# -------------------------------------------------- many categories, whole outputs
+
+
+def box_stats_many_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 with a category for every supplier."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice")
+    return _rounded_box(box_stats(lines, "l_extendedprice", category="l_suppkey"))
+
+
+def outliers_many_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 with a category for every customer; prices spread by their fourth power."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber", 
+        (F.col("l_extendedprice") * F.col("l_extendedprice") * F.col("l_extendedprice") * F.col("l_extendedprice")).alias("v"))
+    return outliers(lines, "v", category="l_suppkey").select("l_suppkey", "l_orderkey", "l_linenumber")
+
+
+def scatter_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scatter_points(table(spark, sf_dir, "orders"), "o_totalprice", "o_custkey", key="o_orderkey")
+
+
+def categories_ordered_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered_categories(table(spark, sf_dir, "customer"), "c_name")
+
+
+def project_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3."""
+    return project(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderstatus"])
+
+
+def limit_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 with an order (the limit is the feature)."""
+    return limit_rows(table(spark, sf_dir, "orders"), 50, ["o_orderkey"]).select("o_orderkey", "o_custkey")
+
+
+def preview_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a stored table, previewed."""
+    warehouse, name = scratch_dir(spark, "warehouse"), _unique("region")
+    save_table(table(spark, sf_dir, "region"), CHECK_DATABASE, name, warehouse_dir=warehouse)
+    return preview_table(spark, CHECK_DATABASE, name, 1000).select("r_regionkey", "r_name")
+
+
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 -> S1 with inferred types."""
+    out = scratch_dir(spark, "csv-inferred")
+    path = publish_file(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "customer.csv", out)
+    return read_source(spark, path).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_mktsegment")
+
+
+def json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 as JSON -> S2 with inferred types (columns come back in alphabetical order)."""
+    out = scratch_dir(spark, "json-inferred")
+    path = publish_file(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), "nation.json", out)
+    return read_source(spark, path).select("n_name", "n_nationkey")
+
+
+def cell_text_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6 on a struct and an array."""
+    rows = table(spark, sf_dir, "nation").select(
+        "n_nationkey", F.struct(F.col("n_name").alias("name")).alias("s"), F.array("n_regionkey").alias("l"))
+    return cell_text(rows)
+
+
+# ------------------------------------------------------------- restarts and landing
+
+
+def _ingest_in_two_starts(spark: SparkSession, sf_dir: str, output: str) -> DataFrame:
+    """Events arrive in two halves; between two starts with one checkpoint the catalog forgets the
+    table, as a new process would not know it."""
+    root, name = scratch_dir(spark, "ingest-restart"), _unique("event_users")
+    events = table(spark, sf_dir, "events").select("event_type", "user_id")
+    half = F.pmod(F.xxhash64("event_type", "user_id"), F.lit(2))
+    for part in (0, 1):
+        chunk = events.where(half == part).repartition(2)
+        chunk.write.mode("append").option("header", True).csv(f"{root}/inbox")
+        query = start_ingest(
+            spark, f"{root}/inbox", "event_type string, user_id bigint", CHECK_DATABASE, name,
+            f"{root}/checkpoint", warehouse_dir=f"{root}/warehouse", available_now=True,
+            max_files_per_trigger=1, output=output)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"ingest failed: {query.exception()}")
+        if part == 0:
+            spark.sql(f"DROP TABLE {CHECK_DATABASE}.{name}")
+    spark.sql(f"DROP TABLE {CHECK_DATABASE}.{name}")
+    attach_table(spark, CHECK_DATABASE, name, f"{root}/warehouse")
+    return read_ingested(spark, CHECK_DATABASE, name)
+
+
+def ingest_restart_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingest_in_two_starts(spark, sf_dir, "ledger")
+
+
+def ingest_restart_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingest_in_two_starts(spark, sf_dir, "complete")
+
+
+def refresh_reordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON source whose lines change places, nothing else, is refreshed."""
+    root, name = scratch_dir(spark, "reordered"), _unique("reordered")
+    source, state = f"{root}/docs.json", f"{root}/state"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+
+    def action(session: SparkSession) -> None:
+        folded = transform(session, source, schema="doc_id bigint, lang string", count_duplicates=False)
+        save_table(folded, CHECK_DATABASE, name, warehouse_dir=f"{root}/warehouse")
+
+    ran = []
+    for order in (F.asc("doc_id"), F.desc("doc_id")):
+        # one ordered file, so that only the places of the lines differ
+        docs.repartition(1).sortWithinPartitions(order).write.mode("overwrite").json(source)
+        ran += [refresh_if_changed(spark, source, state, action), refresh_if_changed(spark, source, state, action)]
+    if ran != [True, False, True, False]:
+        raise RuntimeError(f"refresh sequence went wrong: {ran}")
+    return read_table(spark, CHECK_DATABASE, name)
+
+
+def land_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing of texts with line breaks, quotes, outer blanks and the separator itself."""
+    root = scratch_dir(spark, "land-documents")
+    options = {"sep": ";", "escape": '"', "multiLine": True}
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit('  "'), F.col("text"), F.lit('; "" \t')).alias("body"))
+    raw = {"sep": ";", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    source = publish_file(rows, "documents.csv", f"{root}/source", write_options=raw)
+    landed = land_source(spark, source, f"{root}/input", read_options=options)
+    return read_source(spark, landed, read_options=options, schema="doc_id bigint, body string")
+
+
+def flow_file_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 without a table."""
+    root = scratch_dir(spark, "flow-file")
+    source = publish_file(
+        table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority"), "orders.csv", f"{root}/source")
+    schema = "o_orderstatus string, o_orderpriority string"
+    result = flow(spark, source, "https://example.org/orders.csv", f"{root}/output", schema=schema, preview_rows=None)
+    return read_source(spark, result.file_path, schema=f"{schema}, occurrences bigint")
+
+
 # ---------------------------------------------------------------------- registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -376,6 +517,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refresh_if_changed": refresh_if_changed_query,
     "incremental_ingest": incremental_ingest,
     "incremental_ingest_ledger": incremental_ingest_ledger,
+    "box_stats_many_categories": box_stats_many_categories,
+    "outliers_many_categories": outliers_many_categories,
+    "scatter_all_pairs": scatter_all_pairs,
+    "categories_ordered_many": categories_ordered_many,
+    "project": project_query,
+    "limit_ordered": limit_ordered,
+    "preview_ordered": preview_ordered,
+    "csv_inferred": csv_inferred,
+    "json_inferred": json_inferred,
+    "cell_text_nested": cell_text_nested,
+    "ingest_restart_ledger": ingest_restart_ledger,
+    "ingest_restart_complete": ingest_restart_complete,
+    "refresh_reordered_lines": refresh_reordered_lines,
+    "land_documents": land_documents,
+    "flow_file_only": flow_file_only,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -499,7 +655,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, coalesce(c_name, '') AS c_name,
        CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer""",
     "fingerprint": """
 SELECT count(*) AS n,
-       CAST(coalesce(sum(CAST(('0x' || substr(md5("text"), 1, 8)) AS BIGINT)), 0) AS DECIMAL(38,0)) AS h
+       CAST(coalesce(sum(CAST(('0x' || substr(md5("text"), 1, 16)) AS UBIGINT)), 0) AS DECIMAL(38,0)) AS h
 FROM documents""",
     "refresh_if_changed": """
 SELECT o_orderstatus, count(*) AS occurrences FROM orders GROUP BY o_orderstatus""",
@@ -509,4 +665,42 @@ SELECT event_type, user_id, count(*) AS occurrences FROM events GROUP BY event_t
 SELECT event_type, user_id, count(*) AS occurrences FROM events GROUP BY event_type, user_id""",
 }
 
+_BOX = """
+WITH q AS (SELECT {key} AS k, count(*) AS n, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS med,
+  quantile_cont({value}, 0.75) AS q3 FROM {source} GROUP BY {key})"""
+
+ORACLE_SQL |= {
+    "box_stats_many_categories": _BOX.format(key="l_suppkey", value="l_extendedprice", source="lineitem") + """
+SELECT CAST(k AS VARCHAR) AS category, n, round(q1, 4) AS q1, round(med, 4) AS median, round(q3, 4) AS q3,
+  least(q1, min(l_extendedprice) FILTER (WHERE l_extendedprice >= q1 - 1.5 * (q3 - q1))) AS whisker_low,
+  greatest(q3, max(l_extendedprice) FILTER (WHERE l_extendedprice <= q3 + 1.5 * (q3 - q1))) AS whisker_high
+FROM q JOIN lineitem ON l_suppkey = k GROUP BY k, n, q1, med, q3""",
+    "outliers_many_categories": _BOX.format(key="l_suppkey", value="v", source="lines").replace(
+        "WITH q", "WITH lines AS (SELECT *, l_extendedprice * l_extendedprice * l_extendedprice * l_extendedprice AS v FROM lineitem), q") + """
+SELECT l_suppkey, l_orderkey, l_linenumber FROM lines JOIN q ON l_suppkey = k
+WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)""",
+    "scatter_all_pairs": """
+SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_custkey AS DOUBLE) AS o_custkey FROM orders""",
+    "categories_ordered_many": """
+SELECT c_name AS category, row_number() OVER (ORDER BY lower(c_name), c_name) AS position
+FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL)""",
+    "project": "SELECT o_custkey, o_orderstatus FROM orders",
+    "limit_ordered": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 50",
+    "preview_ordered": "SELECT r_regionkey, r_name FROM region",
+    "csv_inferred": "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_mktsegment FROM customer",
+    "json_inferred": "SELECT n_name, CAST(n_nationkey AS BIGINT) AS n_nationkey FROM nation",
+    "cell_text_nested": """
+SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, '{"name":"' || n_name || '"}' AS s,
+  '[' || n_regionkey || ']' AS l FROM nation""",
+    "ingest_restart_ledger": """
+SELECT event_type, user_id, count(*) AS occurrences FROM events GROUP BY event_type, user_id""",
+    "ingest_restart_complete": """
+SELECT event_type, user_id, count(*) AS occurrences FROM events GROUP BY event_type, user_id""",
+    "refresh_reordered_lines": "SELECT doc_id, lang FROM documents",
+    "land_documents": """
+SELECT doc_id, '  "' || "text" || '; "" ' || chr(9) AS body FROM documents""",
+    "flow_file_only": """
+SELECT o_orderstatus, o_orderpriority, count(*) AS occurrences FROM orders GROUP BY o_orderstatus, o_orderpriority""",
+}
+
 FLAGSHIP = "consolidate_filtered"

@@ -8,7 +8,7 @@ session has none, which is the case in unit tests on a local master.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -60,7 +60,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # one machine, one file system
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster needs a shared "
                 "folder for checkpoints and staged output"
@@ -71,18 +71,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
+    """A fresh, unique folder below the shared checkpoint root, removed when the application ends."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{_SCRATCH_CHILD}/{purpose}-{uuid.uuid4().hex}"
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return os.fspath(uri)
+    path = f"{root}/{_SCRATCH_CHILD}/{purpose}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 @contextmanager

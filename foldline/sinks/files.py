@@ -1,11 +1,11 @@
 """K1: publish a result under a fixed name, replacing the previous version.
 
-The reference writes exactly one part file (``coalesce(1)``), which funnels the
-whole result through one task. Here the data is written by all tasks in
-parallel into a hidden staging folder next to the target, and the folder is
-then moved into place with file-system renames, so readers see either the old
-or the new complete dataset. The published name (``transformed_<source>``) is a
-folder of part files that ``spark.read`` reads as one dataset.
+The data is written by all tasks in parallel into a hidden staging folder next to the target. Only a
+complete staging folder is moved into place, with two renames: a failure before them leaves the old
+version, a failure between them is undone. A reader that comes between the two renames finds no
+folder; on an object store, where a rename copies, that gap lasts as long as the copy. Readers that
+must never see it use a table (``sinks.tables``), whose overwrites switch in one step. The published
+name (``transformed_<source>``) is a folder of part files that ``spark.read`` reads as one dataset.
 """
 
 from __future__ import annotations
@@ -15,17 +15,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from ..sources.files import file_name_from_location, format_for
+from ..sources.files import SourceName
 
 # Fixed value: published outputs are named after their source with this prefix.
 OUTPUT_PREFIX = "transformed_"
-# Largest result (rows) that single_file=True sends through one task.
-SINGLE_FILE_MAX_ROWS = 1_000_000
 
 
 def output_name(source: str) -> str:
     """``transformed_<file name of the source>``."""
-    return OUTPUT_PREFIX + file_name_from_location(source)
+    return OUTPUT_PREFIX + SourceName.of(source).name
 
 
 def file_system(spark, path: str):
@@ -63,52 +61,23 @@ def publish_file(
     output_dir: str,
     file_format: str | None = None,
     write_options: Mapping | None = None,
-    single_file: bool = False,
-    single_file_max_rows: int = SINGLE_FILE_MAX_ROWS,
 ) -> str:
-    """Write ``df`` as CSV or JSON to ``<output_dir>/transformed_<name>``.
+    """Write ``df`` as CSV or JSON to ``<output_dir>/transformed_<name>``, a folder of part files
+    written in parallel; returns its path.
 
-    The format follows the output name unless given; a given format does not
-    change the name. CSV gets a header unless the options say otherwise.
-    Returns the published path.
-
-    By default the output is a folder of part files written in parallel. With
-    ``single_file=True`` the rows are counted first; a result of at most
-    ``single_file_max_rows`` rows is moved to one task (``repartition(1)``, so
-    the work before it stays parallel) and published as one file; a larger
-    result is published as a folder like the default.
+    The format follows the output name unless given; a given format does not change the name. CSV
+    gets a header unless the options say otherwise.
     """
-    name = output_name(source)
-    fmt = format_for(name, file_format)
+    target = SourceName.of(output_name(source), file_format)
     options = dict(write_options or {})
-    if fmt == "csv":
-        options.setdefault("header", True)
-    if fmt == "json":
-        options.setdefault("ignoreNullFields", False)
-
-    spark = df.sparkSession
+    options.setdefault(*(("header", True) if target.format == "csv" else ("ignoreNullFields", False)))
     out = output_dir.rstrip("/")
-    final = f"{out}/{name}"
     staged = f"{out}/._stage-{uuid.uuid4().hex}"
-    fs, out_path, jvm = file_system(spark, out)
-    Path = jvm.org.apache.hadoop.fs.Path
-    staged_path = Path(staged)
-    fs.mkdirs(out_path)
-    one_file = single_file and df.count() <= single_file_max_rows
-    data = df.repartition(1) if one_file else df
+    fs, staged_path, jvm = file_system(df.sparkSession, staged)
     try:
-        data.write.mode("overwrite").format(fmt).options(**options).save(staged)
-        # One glob call; the parts are not walked one by one from Python.
-        parts = fs.globStatus(Path(f"{staged}/part-*"))
-        if parts is None or len(parts) == 0:
-            raise RuntimeError("the writer produced no data file")
-        if one_file:
-            if len(parts) != 1:
-                raise RuntimeError("expected exactly one part file")
-            swap_in(spark, parts[0].getPath().toString(), final)
-        else:
-            swap_in(spark, staged, final)
-        return final
+        df.write.format(target.format).options(**options).save(staged)
+        swap_in(df.sparkSession, staged, f"{out}/{target.name}")
     finally:
         if fs.exists(staged_path):
             fs.delete(staged_path, True)
+    return f"{out}/{target.name}"

@@ -1,13 +1,20 @@
 """K2-K7: schema-guarded external Parquet tables in the session catalog.
 
-The guards run on metadata only; nothing is written unless all pass. The
-write itself is ``insertInto`` (parallel, positional), which is safe because
-K4 has already matched names and types in order.
+A table lives below ``<warehouse>/<database>.db/<table>``. Every overwrite writes a new version
+folder there; only when it is complete does the small file ``CURRENT`` name it and the catalog entry
+switch to it, so readers and interrupted jobs see the old or the new table, never an empty one. The
+version before stays until the next overwrite, for readers that have just planned. A new process
+finds the current version through ``CURRENT`` (``register_table``). Appends and partitioned tables
+write into the folder they are registered at, positionally, which is safe because the guards have
+matched names and types in order. The guards use metadata only and run before anything is written.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,6 +31,8 @@ TABLE_TYPE = re.compile(
     re.IGNORECASE,
 )
 WRITE_MODES = ("append", "overwrite")
+# Name of the small file that names a table's current version folder.
+POINTER = "CURRENT"
 
 
 class TableLoadError(RuntimeError):
@@ -59,26 +68,73 @@ def _column_heading(name: str) -> str:
     return quote(name)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _file_system(spark, path)
     return fs.makeQualified(hpath).toString().rstrip("/")
 
 
-def _mkdirs(spark: SparkSession, path: str) -> None:
+def stored_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that match a path pattern."""
+    fs, hpath = _file_system(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(hpath) or []]
+
+
+def _read_pointer(spark: SparkSession, base: str) -> str | None:
+    """The version folder that ``CURRENT`` names, if there is one."""
+    if not stored_folders(spark, f"{base}/{POINTER}"):
+        return None
+    return f"{base}/{spark.read.text(f'{base}/{POINTER}').first()[0].strip()}"
+
+
+def _write_pointer(spark: SparkSession, base: str, version: str) -> None:
+    """Replace ``CURRENT`` by one rename."""
+    fs, staged = _file_system(spark, f"{base}/{POINTER}-{uuid.uuid4().hex}")
+    out = fs.create(staged)
+    out.write(bytearray(f"{version}\n", "ascii"))
+    out.close()
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    flags = spark.sparkContext._gateway.new_array(rename, 1)
+    flags[0] = rename.OVERWRITE
+    context.rename(staged, jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}"), flags)
 
 
 def table_location(spark: SparkSession, database: str, table: str) -> str | None:
-    """M4: the registered location of a table (None when it has none)."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(database, table)}").collect()
-    for row in rows:
-        if (row["col_name"] or "").strip().rstrip(":").casefold() == "location":
-            return (row["data_type"] or "").strip().rstrip("/") or None
-    return None
+    """M4: the registered location of a table (None when it has none), from its catalog entry."""
+    entry = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(database, table)} AS JSON").first()[0]
+    return (json.loads(entry).get("location") or "").rstrip("/") or None
+
+
+def register_table(spark: SparkSession, database: str, table: str, warehouse_dir: str) -> bool:
+    """Make the table stored below ``warehouse_dir`` known to this session's catalog: its current
+    version, or its folder with all partitions. False if nothing is stored there."""
+    base = f"{warehouse_dir.rstrip('/')}/{identifier(database, 'database')}.db/{identifier(table, 'table')}"
+    current = _read_pointer(spark, base)
+    if current is None and not stored_folders(spark, f"{base}/*"):
+        return False
+    _create_database(spark, database, warehouse_dir)
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        name = table_name(database, table)
+        spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{_sql_text(current or base)}'")
+        _recover_partitions(spark, database, table)
+    return True
+
+
+def _recover_partitions(spark: SparkSession, database: str, table: str) -> None:
+    if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}")):
+        spark.sql(f"MSCK REPAIR TABLE {table_name(database, table)}")
+
+
+def _create_database(spark: SparkSession, database: str, warehouse_dir: str) -> None:
+    location = _sql_text(f"{warehouse_dir.rstrip('/')}/{database}.db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)} LOCATION '{location}'")
 
 
 def table_schema(spark: SparkSession, database: str, table: str) -> tuple:
@@ -95,74 +151,87 @@ def save_table(
     warehouse_dir: str | None = None,
     mode: str = "overwrite",
     ntz_as_timestamp: bool = False,
-    partition_column: str | None = None,
+    partition_columns: Sequence[str] = (),
 ) -> str:
-    """K2/K3 after K4-K7: store ``df`` in ``database.table`` and return its location.
+    """K2/K3 after K4-K7: store ``df`` in ``database.table`` and return the table's folder.
 
-    The database and an external Parquet table at
-    ``<warehouse>/<database>.db/<table>`` are created when absent (K7). An
-    existing table must have the same ordered column names (case-insensitive)
-    and types (K4) and the expected location (K5); otherwise TableLoadError is
-    raised and no data is written.
+    Database and table are created when absent (K7). An existing table must have the same ordered
+    column names (case-insensitive) and types (K4) and live below the expected folder (K5); otherwise
+    TableLoadError is raised and no data is written.
 
-    With ``partition_column`` (which must be the frame's last column) the table
-    is partitioned by it and an overwrite replaces only the partitions present
-    in ``df`` (dynamic partition overwrite); other partitions stay.
+    With ``partition_columns`` (the frame's last columns) an overwrite replaces only the partitions
+    present in ``df``; Spark stages them and moves them in when the job commits.
     """
-    identifier(database, "database")
-    identifier(table, "table")
     if mode not in WRITE_MODES:
         raise ValueError("mode must be 'append' or 'overwrite'")
+    qualified = table_name(database, table)
     fields = list(df.schema.fields)
     if not fields:
         raise ValueError("the frame has no columns")
     check_unique([f.name for f in fields])
-    if partition_column is not None and fields[-1].name != partition_column:
-        raise ValueError("the partition column must be the frame's last column")
+    parts = list(partition_columns)
+    if parts and [f.name for f in fields[-len(parts):]] != parts:
+        raise ValueError("the partition columns must be the frame's last columns")
     headings = [_column_heading(f.name) for f in fields]
     types = [column_type(f.dataType, ntz_as_timestamp) for f in fields]
-    if ntz_as_timestamp:
-        df = df.select(
-            *[
-                df[quote(f.name)].cast("timestamp").alias(f.name)
-                if isinstance(f.dataType, T.TimestampNTZType)
-                else df[quote(f.name)]
-                for f in fields
-            ]
-        )
+    df = df.select(*[df[quote(f.name)].cast(t).alias(f.name) for f, t in zip(fields, types)])
 
     spark = df.sparkSession
     warehouse = (warehouse_dir or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-    db_location = f"{warehouse}/{database}.db"
-    location = f"{db_location}/{table}"
-    qualified = table_name(database, table)
+    base = f"{warehouse}/{database}.db/{table}"
+    known = spark.catalog.tableExists(f"{database}.{table}")
+    if not known and not parts:
+        known = register_table(spark, database, table, warehouse)
+    if known:
+        _guard(spark, database, table, tuple((f.name.casefold(), t) for f, t in zip(fields, types)), base)
     columns_sql = ", ".join(f"{h} {t}" for h, t in zip(headings, types))
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)} LOCATION '{_sql_text(db_location)}'")
-    if not spark.catalog.tableExists(f"{database}.{table}"):
-        _mkdirs(spark, location)
-    partitioning = f"PARTITIONED BY ({quote(partition_column)}) " if partition_column else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {qualified} ({columns_sql}) USING PARQUET "
-        f"{partitioning}LOCATION '{_sql_text(location)}'"
-    )
-
-    incoming = tuple((f.name.casefold(), t) for f, t in zip(fields, types))
+    if parts:
+        if not known:
+            _create_database(spark, database, warehouse)
+            fs, folder = _file_system(spark, base)
+            fs.mkdirs(folder)
+            keys = ", ".join(quote(c) for c in parts)
+            spark.sql(
+                f"CREATE TABLE {qualified} ({columns_sql}) USING PARQUET "
+                f"PARTITIONED BY ({keys}) LOCATION '{_sql_text(base)}'")
+            _recover_partitions(spark, database, table)  # those that another process stored
+        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            df.write.insertInto(qualified, overwrite=(mode == "overwrite"))
+        return base
+    if known and mode == "append":
+        df.write.insertInto(qualified)
+        return base
+    _sql_text(base)
+    before = _read_pointer(spark, base)
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{base}/{version}")
+    _write_pointer(spark, base, version)
+    if known:
+        spark.sql(f"ALTER TABLE {qualified} SET LOCATION '{base}/{version}'")
+        spark.catalog.refreshTable(qualified)
+    else:
+        _create_database(spark, database, warehouse)
+        spark.sql(f"CREATE TABLE {qualified} ({columns_sql}) USING PARQUET LOCATION '{base}/{version}'")
+    kept = {version, (before or "").rpartition("/")[2]}
+    for old in stored_folders(spark, f"{base}/v-*"):
+        if old.rpartition("/")[2] not in kept:
+            fs, hpath = _file_system(spark, old)
+            fs.delete(hpath, True)
+    return base
+
+
+def _guard(spark: SparkSession, database: str, table: str, incoming: tuple, base: str) -> None:
+    """K4 and K5 on the catalog entry."""
+    problems = []
     existing = table_schema(spark, database, table)
     if existing != incoming:
-        raise TableLoadError(
-            f"frame schema {incoming} does not match table {database}.{table} {existing}; "
-            "nothing was written"
-        )
-    registered = table_location(spark, database, table)
-    if registered is None or _qualified(spark, registered) != _qualified(spark, location):
-        raise TableLoadError(
-            f"table {database}.{table} lives at {registered!r}, expected {location!r}; "
-            "nothing was written"
-        )
-    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic"} if partition_column else {}
-    with session_conf(spark, settings):
-        df.write.insertInto(qualified, overwrite=(mode == "overwrite"))
-    return location
+        problems.append(f"its columns are {existing}, those of the frame {incoming}")
+    place = table_location(spark, database, table)
+    where, expected = _qualified(spark, place) if place else None, _qualified(spark, base)
+    if where is None or (where != expected and where.rpartition("/")[0] != expected):
+        problems.append(f"it is stored at {place!r}, not below {base!r}")
+    if problems:
+        raise TableLoadError(f"nothing was written to {database}.{table}: " + "; ".join(problems))
 
 
 def _sql_text(value: str) -> str:

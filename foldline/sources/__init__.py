@@ -11,9 +11,9 @@ from .catalog import (
     show_table,
 )
 from .files import (
-    file_name_from_location,
-    format_for,
-    normalize_format,
+    SourceName,
+    checked_format,
+    source_format,
     read_headerless_csv,
     read_source,
     require_nonempty,
@@ -23,11 +23,11 @@ __all__ = [
     "attach_table",
     "describe_extended",
     "describe_table",
-    "file_name_from_location",
-    "format_for",
+    "SourceName",
+    "checked_format",
     "list_databases",
     "list_tables",
-    "normalize_format",
+    "source_format",
     "preview_table",
     "read_headerless_csv",
     "read_source",

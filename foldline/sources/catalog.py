@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.names import positive_int, quote
-from ..sinks.tables import TableLoadError, identifier, table_location, table_name
+from ..sinks.tables import TableLoadError, identifier, register_table, table_location, table_name
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
@@ -28,18 +28,10 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
 
 
 def attach_table(spark: SparkSession, database: str, table: str, warehouse_dir: str) -> DataFrame:
-    """Register the external table stored at ``<warehouse>/<db>.db/<table>`` if this
-    session's catalog does not know it yet (a new process has an empty
-    in-memory catalog), then read it (S4). The schema comes from the Parquet
-    files."""
-    warehouse = warehouse_dir.rstrip("/")
+    """S4 in a new process, whose catalog may not know the table stored below ``warehouse_dir``:
+    register it (current version, or all partitions), then read it."""
     if not spark.catalog.tableExists(f"{database}.{table}"):
-        location = f"{warehouse}/{identifier(database, 'database')}.db"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)} LOCATION '{location}'")
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table_name(database, table)} USING PARQUET "
-            f"LOCATION '{location}/{identifier(table, 'table')}'"
-        )
+        register_table(spark, database, table, warehouse_dir)
     return read_table(spark, database, table)
 
 

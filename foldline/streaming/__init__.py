@@ -10,7 +10,6 @@ from .refresh import (
     read_state,
     refresh_if_changed,
     source_fingerprint,
-    source_listing,
     write_state,
 )
 
@@ -23,7 +22,6 @@ __all__ = [
     "read_state",
     "refresh_if_changed",
     "source_fingerprint",
-    "source_listing",
     "start_ingest",
     "stop_ingest",
     "write_state",

@@ -10,14 +10,18 @@ row of state per distinct row; RocksDB keeps it off the JVM heap), and
 batch. The table always holds the finished result; each trigger rewrites it.
 
 ``output="ledger"``: no state store. Each micro-batch folds only its own rows
-and writes them into its own ``batch_id`` partition of the table (dynamic
+and writes them into its own ``query_id``/``batch_id`` partition of the table (dynamic
 partition overwrite, so a retried batch replaces its earlier attempt). A
 trigger costs O(batch) however large the result has grown; readers fold the
 ledger with ``read_ingested`` (one more partial aggregate).
+
+The checkpoint location is required: with it a restart, also in a new process with an
+empty catalog, resumes where the last batch ended and finds the stored table again.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,14 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.names import col, cols, positive_int
+from ..functions.names import check_unique, col, cols, positive_int
 from ..plans.transform import transform_frame
-from ..session import scratch_dir, session_conf
-from ..sinks.tables import save_table
+from ..session import session_conf
+from ..sinks.tables import save_table, stored_folders
 from ..sources.catalog import read_table
-from ..sources.files import normalize_format
+from ..sources.files import checked_format
 
-BATCH_COLUMN = "batch_id"
+QUERY_COLUMN, BATCH_COLUMN = "query_id", "batch_id"
 OUTPUTS = ("complete", "ledger")
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -43,6 +47,7 @@ def start_ingest(
     schema: T.StructType | str,
     database: str,
     table: str,
+    checkpoint_location: str,
     *,
     file_format: str = "csv",
     read_options: Mapping | None = None,
@@ -50,7 +55,6 @@ def start_ingest(
     filter_column: str | None = None,
     filter_value=None,
     warehouse_dir: str | None = None,
-    checkpoint_location: str | None = None,
     poll_interval: float = 2.0,
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
@@ -61,23 +65,22 @@ def start_ingest(
     """Keep ``database.table`` equal to the consolidation of all files so far.
 
     ``poll_interval`` (T4) becomes a processing-time trigger; ``available_now``
-    processes what is there and stops. Progress (T5) lives in
-    ``checkpoint_location`` (by default a fresh folder below the session's
-    checkpoint root); restarting with the same location resumes.
-
-    ``state_partitions`` (complete output) is the number of state-store
-    partitions, fixed for the life of the checkpoint. By default it is
-    ``spark.sql.shuffle.partitions`` on a cluster (the executors present at
-    start say little under dynamic allocation) and the number of cores on a
-    local master. It and the state-store provider apply to this query only:
-    the stream copies the session's settings when it starts, and the caller's
-    values are restored.
+    processes what is there and stops. Progress (T5) lives in ``checkpoint_location``;
+    restarting with the same location resumes. A ledger that another checkpoint wrote is
+    refused, since both would count the same files.
+
+    ``state_partitions`` (complete output, by default ``spark.sql.shuffle.partitions``) is
+    the number of state-store partitions, fixed for the life of the checkpoint. It and the
+    state-store provider apply to this query only: the stream copies the session's settings
+    when it starts, and the caller's values are restored.
     """
+    if not checkpoint_location:
+        raise ValueError("a checkpoint location is required")
     if not isinstance(poll_interval, (int, float)) or poll_interval <= 0:
         raise ValueError("poll_interval must be greater than zero")
     if output not in OUTPUTS:
         raise ValueError(f"output must be one of {OUTPUTS}")
-    fmt = normalize_format(file_format)
+    fmt = checked_format(file_format)
     options = dict(read_options or {})
     if fmt == "csv":
         options.setdefault("header", True)
@@ -89,8 +92,8 @@ def start_ingest(
     if output == "complete":
         if rocksdb_state:
             query_conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
-        parts = state_partitions or _default_state_partitions(spark)
-        query_conf["spark.sql.shuffle.partitions"] = str(positive_int(parts, "state_partitions"))
+        if state_partitions is not None:
+            query_conf["spark.sql.shuffle.partitions"] = str(positive_int(state_partitions, "state_partitions"))
         result = transform_frame(stream, column_names, filter_column, filter_value, True)
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -102,21 +105,28 @@ def start_ingest(
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
             folded = transform_frame(batch, count_duplicates=True)
-            if BATCH_COLUMN in folded.columns:
-                raise ValueError(f"input column {BATCH_COLUMN!r} collides with the ledger")
-            folded = folded.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+            check_unique([*folded.columns, QUERY_COLUMN, BATCH_COLUMN])
+            query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            _refuse_foreign_ledger(batch.sparkSession, database, table, warehouse_dir, query_id)
+            folded = folded.withColumns({
+                QUERY_COLUMN: F.lit(query_id), BATCH_COLUMN: F.lit(batch_id).cast("bigint")})
             save_table(
                 folded, database, table, warehouse_dir=warehouse_dir, mode="overwrite",
-                partition_column=BATCH_COLUMN,
+                partition_columns=[QUERY_COLUMN, BATCH_COLUMN],
             )
 
         output_mode = "append"
 
-    location = checkpoint_location or scratch_dir(spark, "ingest-checkpoint")
+    gate = threading.Lock()  # held while a batch writes; ``stop_ingest`` waits for it
+
+    def gated(batch: DataFrame, batch_id: int) -> None:
+        with gate:
+            write_batch(batch, batch_id)
+
     writer = (
         result.writeStream.outputMode(output_mode)
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", location)
+        .foreachBatch(gated)
+        .option("checkpointLocation", checkpoint_location)
         .queryName(f"ingest_{database}_{table}")
     )
     if available_now:
@@ -124,21 +134,34 @@ def start_ingest(
     else:
         writer = writer.trigger(processingTime=f"{float(poll_interval)} seconds")
     with session_conf(spark, query_conf):
-        return writer.start()
+        query = writer.start()
+    query.write_gate = gate
+    return query
 
 
-def _default_state_partitions(spark: SparkSession) -> int:
-    sc = spark.sparkContext
-    if sc.master.startswith("local"):
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _refuse_foreign_ledger(
+    spark: SparkSession, database: str, table: str, warehouse_dir: str | None, query_id: str
+) -> None:
+    warehouse = (warehouse_dir or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    for folder in stored_folders(spark, f"{warehouse}/{database}.db/{table}/{QUERY_COLUMN}=*"):
+        if not folder.endswith(f"{QUERY_COLUMN}={query_id}"):
+            raise ValueError(f"the ledger {database}.{table} belongs to another checkpoint: {folder}")
 
 
 def stop_ingest(query: StreamingQuery | None, wait_timeout: float = 30.0) -> bool:
-    """Stop a running ingest; False when none is active."""
+    """Let the batch that is being written finish, then stop; False when none is active.
+
+    Work that the query began after that batch is repeated by the next start."""
     if query is None or not query.isActive:
         return False
-    query.stop()
+    gate = getattr(query, "write_gate", None)
+    if gate is not None and not gate.acquire(timeout=wait_timeout):
+        raise TimeoutError(f"the current batch did not end within {wait_timeout} seconds")
+    try:
+        query.stop()
+    finally:
+        if gate is not None:
+            gate.release()
     query.awaitTermination(wait_timeout)
     if query.isActive:
         raise TimeoutError(f"the ingest did not stop within {wait_timeout} seconds")
@@ -148,12 +171,12 @@ def stop_ingest(query: StreamingQuery | None, wait_timeout: float = 30.0) -> boo
 def read_ingested(spark: SparkSession, database: str, table: str) -> DataFrame:
     """The consolidated rows of an ingest table, for either output mode.
 
-    A ledger (``batch_id`` partitions) is folded: occurrences of the same row
+    A ledger (``query_id``/``batch_id`` partitions) is folded: occurrences of the same row
     in different batches are summed (a partial aggregate, no hot-key issue).
     """
     data = read_table(spark, database, table)
-    if data.columns[-1] != BATCH_COLUMN:
+    if data.columns[-2:] != [QUERY_COLUMN, BATCH_COLUMN]:
         return data
-    # Ledger layout: row columns, the multiplicity, then batch_id.
-    *keys, count = data.columns[:-1]
+    # Ledger layout: row columns, the multiplicity, then query_id and batch_id.
+    *keys, count = data.columns[:-2]
     return data.groupBy(*cols(keys)).agg(F.sum(col(count)).alias(count))

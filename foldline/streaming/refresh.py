@@ -1,17 +1,12 @@
 """T1, T2, T4-T6 for sources rewritten in place: fingerprint, refresh, poll loop.
 
-Spark's streaming file source only notices *new* files, so a source that is
-overwritten under the same path is tracked by a content fingerprint instead.
-The fingerprint is one distributed aggregate over the lines (count plus the sum
-of a per-line hash), so it costs a scan but no shuffle, and it does not depend
-on how the lines are split over files or partitions.
-
-Polling must stay cheap on large inputs, so every round first compares a digest
-of the file listing (names, sizes, modification times; metadata only). The
-content scan runs only when the listing changed, and the action only when the
-content changed. The last state is kept in a one-row Parquet table in a shared
-folder and is replaced only after the refresh action succeeded (at-least-once
-with idempotent outputs).
+Spark's streaming file source only notices *new* files, so a source that is overwritten under the
+same path is tracked by a content fingerprint instead: one distributed aggregate over the lines, each
+hashed with its position, so exchanged lines count as a change. It costs a scan but no shuffle. Files
+that are split or named differently may give another fingerprint for equal content: such an extra
+refresh is harmless, whereas sizes and times alone could hide a change, so they decide nothing. The
+last state is kept in a one-row Parquet table in a shared folder and is replaced only after the
+refresh action succeeded (at-least-once with idempotent outputs).
 """
 
 from __future__ import annotations
@@ -30,12 +25,14 @@ from ..functions.names import cols
 from ..functions.values import md5_leading_digits
 from ..sinks.files import file_system, swap_in
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits: int = 8) -> DataFrame:
+
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits: int = 16) -> DataFrame:
     """T1 on a frame: one row ``n`` (rows) and ``h`` (sum of row hashes).
 
     A row's hash is the first ``hex_digits`` hex digits of the md5 of its text
     (one column) or of its JSON form (several columns). This form is portable:
-    any SQL engine with md5 computes the same value.
+    any SQL engine with md5 computes the same value. It does not depend on the order
+    of the rows.
     """
     names = list(columns or df.columns)
     if len(names) == 1:
@@ -53,63 +50,27 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits:
 def source_fingerprint(spark: SparkSession, path: str) -> tuple[int, str] | None:
     """T1 on files: ``(lines, hash sum)`` of everything at ``path``; None when absent.
 
-    Used only for change detection, so it takes the cheaper 64-bit xxhash per
-    line (summed exactly as a decimal, order-insensitive) rather than md5.
+    Each line is hashed (64 bits) with its scan position, so the sum depends on the order.
     """
     try:
-        lines = spark.read.text(path)
+        lines = spark.read.text(path, lineSep="\n")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "does not exist" in str(error):
             return None
         raise
-    row = lines.agg(
+    row = lines.select(F.monotonically_increasing_id().alias("place"), "value").agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(
-            F.sum(F.xxhash64("value").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")
+            F.sum(F.xxhash64("place", "value").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")
         ).alias("h"),
     ).first()
     return int(row["n"]), str(row["h"])
 
 
-def source_listing(spark: SparkSession, path: str) -> str | None:
-    """Digest of the data files at ``path`` (path, size, mtime); None when absent.
-
-    Metadata only: a ``binaryFile`` scan that selects no ``content`` never
-    opens the files. Spark's file index does the (parallel) listing and the
-    digest is an order-insensitive aggregate (count, sum of row hashes) on the
-    executors, so nothing per file passes through Python. Hidden and
-    underscore files (``_SUCCESS``, staging folders) are ignored.
-    """
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(path)
-            .select("path", "length", "modificationTime")
-        )
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "does not exist" in str(error):
-            return None
-        raise
-    row = files.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(
-            F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")),
-            F.lit(0).cast("decimal(38,0)"),
-        ).alias("h"),
-    ).first()
-    return f"{row['n']}:{row['h']}"
-
-
 @dataclass(frozen=True)
 class SourceState:
     n: int
     h: str
-    listing: str | None = None
-
-    @property
-    def content(self) -> tuple[int, str]:
-        return self.n, self.h
 
 
 def read_state(spark: SparkSession, state_path: str) -> SourceState | None:
@@ -124,16 +85,13 @@ def read_state(spark: SparkSession, state_path: str) -> SourceState | None:
         return None
     if row is None:
         return None
-    listing = row["listing"] if "listing" in row.asDict() else None
-    return SourceState(int(row["n"]), str(row["h"]), listing)
+    return SourceState(int(row["n"]), str(row["h"]))
 
 
 def write_state(spark: SparkSession, state_path: str, state: SourceState) -> None:
     """T5: replace the stored state (staged write, then rename)."""
     staged = f"{state_path.rstrip('/')}._stage-{uuid.uuid4().hex}"
-    frame = spark.createDataFrame(
-        [(state.n, state.h, state.listing)], "n bigint, h string, listing string"
-    )
+    frame = spark.createDataFrame([(state.n, state.h)], "n bigint, h string")
     fs, staged_path, _ = file_system(spark, staged)
     try:
         frame.coalesce(1).write.mode("overwrite").parquet(staged)
@@ -151,24 +109,14 @@ def refresh_if_changed(
 ) -> bool:
     """Run ``action`` when the content at ``input_path`` changed.
 
-    Returns True when the action ran. An unchanged listing skips without
-    reading data; a changed listing with unchanged content (a rewrite of the
-    same bytes, a touched file) only records the new listing. The fingerprint
-    is taken before the action, so a change made while it runs is picked up by
-    the next call.
+    Returns True when the action ran. The fingerprint is taken before the action, so a
+    change made while it runs is picked up by the next call.
     """
-    listing = source_listing(spark, input_path)
-    if listing is None:
-        return False
-    last = read_state(spark, state_path)
-    if last is not None and last.listing == listing:
-        return False
     content = source_fingerprint(spark, input_path)
     if content is None:
         return False
-    current = SourceState(content[0], content[1], listing)
-    if last is not None and last.content == current.content:
-        write_state(spark, state_path, current)
+    current = SourceState(*content)
+    if read_state(spark, state_path) == current:
         return False
     action(spark)
     write_state(spark, state_path, current)
@@ -251,25 +199,25 @@ def listen(
     input_path: str,
     source: str,
     output_dir: str,
-    database: str,
-    table: str,
     state_path: str,
     *,
+    database: str | None = None,
+    table: str | None = None,
     poll_interval: float = 2.0,
     **flow_options,
 ) -> ChangeListener:
     """A listener that reruns the whole flow (W2 without preview) on each change.
 
-    Database and table are checked before anything runs. Returns the listener;
+    Without database and table only the file is published; one of them alone is refused
+    before anything runs. Returns the listener;
     call ``run()`` to poll in this thread or ``start()`` for a background one.
     """
-    from ..plans.flow import flow
+    from ..plans.flow import flow, table_wanted
 
-    if not database or not table:
-        raise ValueError("database and table must both be given")
+    table_wanted(database, table)
     flow_options.setdefault("preview_rows", None)
 
     def action(session: SparkSession) -> None:
-        flow(session, input_path, source, output_dir, database, table, **flow_options)
+        flow(session, input_path, source, output_dir, database=database, table=table, **flow_options)
 
     return ChangeListener(spark, input_path, state_path, action, poll_interval)

@@ -36,7 +36,7 @@ def main() -> None:
     if sys.argv[2] == "flaky":
         udf = F.udf(flaky, "double")
         orders = orders.withColumn("o_totalprice", udf("o_totalprice"))
-    box = box_stats(orders, "o_totalprice", "o_orderpriority", partitions=5).collect()
+    box = box_stats(orders, "o_totalprice", "o_orderpriority").collect()
     folded = consolidate(orders.select("o_orderpriority", "o_orderstatus")).collect()
     hist = histogram(orders, "o_totalprice", bins=8).collect()
     print(json.dumps({

@@ -40,14 +40,14 @@ def test_listener_and_ingest_arguments(spark, tmp_dir):
         with pytest.raises(ValueError):
             ChangeListener(spark, tmp_dir, tmp_dir + "/s", lambda s: None, bad)
     with pytest.raises(ValueError):
-        start_ingest(spark, tmp_dir, "a string", "db", "t", poll_interval=0)
+        start_ingest(spark, tmp_dir, "a string", "db", "t", tmp_dir + "/ck", poll_interval=0)
     with pytest.raises(ValueError):
-        start_ingest(spark, tmp_dir, "a string", "db", "t", output="update")
+        start_ingest(spark, tmp_dir, "a string", "db", "t", tmp_dir + "/ck", output="update")
     with pytest.raises(ValueError):
-        start_ingest(spark, tmp_dir, "a string", "db", "t", file_format="parquet")
+        start_ingest(spark, tmp_dir, "a string", "db", "t", tmp_dir + "/ck", file_format="parquet")
 
 
-def test_partition_column_must_be_last(spark, tmp_dir):
+def test_partition_columns_must_be_last(spark, tmp_dir):
     df = spark.createDataFrame([(1, 2)], "p int, a int")
     with pytest.raises(ValueError):
-        save_table(df, "argdb", "t", warehouse_dir=tmp_dir, partition_column="p")
+        save_table(df, "argdb", "t", warehouse_dir=tmp_dir, partition_columns=["p"])

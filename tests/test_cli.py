@@ -23,9 +23,9 @@ def test_land_flow_then_describe_in_new_processes(tmp_dir):
         handle.write("5.1,3.5,kind-a\n5.1,3.5,kind-a\n4.9,3.0,kind-a\n7.0,3.2,kind-b\n")
     landed = _cli("land", src, os.path.join(tmp_dir, "in"), "--names", "length,width,kind").strip()
     wh = os.path.join(tmp_dir, "wh")
-    out = _cli("flow", landed, "samples.csv", os.path.join(tmp_dir, "out"), "cli_db", "samples",
-               "--warehouse", wh, "--filter-column", "kind", "--filter-value", "kind-a", "--single-file")
-    assert os.path.isfile(os.path.join(tmp_dir, "out", "transformed_samples.csv"))
+    out = _cli("flow", landed, "samples.csv", os.path.join(tmp_dir, "out"), "--database", "cli_db",
+               "--table", "samples", "--warehouse", wh, "--filter-column", "kind", "--filter-value", "kind-a")
+    assert os.path.isdir(os.path.join(tmp_dir, "out", "transformed_samples.csv"))
     assert "Data (2 rows):" in out
     shown = _cli("show-table", "cli_db", "samples", "--warehouse", wh)
     assert "occurrences" in shown and "cli_db" in shown

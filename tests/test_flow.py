@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from foldline.operators.consolidate import consolidate
 from foldline.plans import flow, print_rows, transform
 from foldline.sinks.files import publish_file
@@ -79,3 +81,44 @@ def test_land_json_and_guards(spark, tmp_dir, capsys):
     open(empty, "w").close()
     with pytest.raises(ValueError):
         land_source(spark, empty, os.path.join(tmp_dir, "in"))
+
+
+def test_landing_keeps_every_value(spark, tmp_dir):
+    from foldline.plans import land_source
+    src = os.path.join(tmp_dir, "v.csv")
+    with open(src, "w", newline="") as handle:
+        handle.write('x;x;c\n 1 ;"a;b";"two\nlines"\n2;"say ""hi""";\n')
+    options = {"sep": ";", "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    landed = land_source(spark, src, os.path.join(tmp_dir, "in"), read_options=options)
+    read = lambda p: sorted(map(tuple, read_source(spark, p, read_options=options, schema="x string, y string, c string").collect()))
+    assert read(landed) == read(src) == [(" 1 ", "a;b", "two\nlines"), ("2", 'say "hi"', None)]
+    ragged = os.path.join(tmp_dir, "r.csv")
+    with open(ragged, "w") as handle:
+        handle.write("a,b\n1,2,3\n")
+    with pytest.raises(Exception):
+        land_source(spark, ragged, os.path.join(tmp_dir, "in"))
+    assert not os.path.exists(os.path.join(tmp_dir, "in", "r.csv"))
+
+
+def test_landing_json_lines_and_documents(spark, tmp_dir):
+    from foldline.plans import land_source
+    lines, whole = os.path.join(tmp_dir, "l.json"), os.path.join(tmp_dir, "w.json")
+    with open(lines, "w", newline="") as handle:
+        handle.write('{"a": " x\\n "}\r\n{"a": "y"}\n')
+    with open(whole, "w") as handle:
+        handle.write('[{"a": 1,\n "b": 2},\n {"a": 3}]')
+    landed = land_source(spark, lines, os.path.join(tmp_dir, "in"))
+    assert [r.a for r in read_source(spark, landed).collect()] == [" x\n ", "y"]
+    multi = land_source(spark, whole, os.path.join(tmp_dir, "in"), read_options={"multiLine": True})
+    assert sorted(map(tuple, read_source(spark, multi, read_options={"multiLine": True}).collect())) == [(1, 2), (3, None)]
+
+
+def test_flow_without_a_table(spark, tmp_dir, capsys):
+    src = os.path.join(tmp_dir, "s.csv")
+    with open(src, "w") as handle:
+        handle.write("a,b\n1,x\n1,x\n")
+    result = flow(spark, src, "s.csv", os.path.join(tmp_dir, "out"), preview_rows=5)
+    assert result.table_location is None and result.rows == 1
+    assert [tuple(r) for r in read_source(spark, result.file_path).collect()] == [(1, "x", 2)]
+    with pytest.raises(ValueError):
+        flow(spark, src, "s.csv", os.path.join(tmp_dir, "out"), "db_only")

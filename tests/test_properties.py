@@ -30,7 +30,7 @@ def test_box_stats_match_numpy(spark, data, parts):
     groups = {}
     for c, v in data:
         groups.setdefault(c, []).append(v)
-    got = {r.category: r for r in box_stats(df, "v", "cat", partitions=parts).collect()}
+    got = {r.category: r for r in box_stats(df, "v", "cat").collect()}
     assert set(got) == set(groups)
     for c, vals in groups.items():
         n, q1, med, q3, wl, wh, fl = _brute(vals)
@@ -38,7 +38,7 @@ def test_box_stats_match_numpy(spark, data, parts):
         assert r.n == n
         # bit-for-bit equal to NumPy (and so to the plotting library)
         assert [r.q1, r.median, r.q3, r.whisker_low, r.whisker_high] == [q1, med, q3, wl, wh]
-    flagged = sorted((r.cat, r.v) for r in outliers(df, "v", "cat", partitions=parts).collect())
+    flagged = sorted((r.cat, r.v) for r in outliers(df, "v", "cat").collect())
     expect = sorted((c, v) for c, vals in groups.items() for v in _brute(vals)[6])
     assert flagged == expect
 

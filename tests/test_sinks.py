@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foldline.sinks.files import output_name, publish_file
 from foldline.sinks.tables import TableLoadError, column_type, save_table, table_location
 from foldline.sources.catalog import (
+    attach_table,
     describe_extended,
     describe_table,
     list_databases,
@@ -81,7 +82,7 @@ def test_table_overwrite_append_and_catalog(spark, tmp_dir):
         ("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")]
     extended = {r.col_name: r.data_type for r in describe_extended(spark, db, tb).collect()}
     assert extended["Type"] == "EXTERNAL" and extended["Provider"].lower() == "parquet"
-    assert table_location(spark, db, tb).endswith(f"{db}.db/{tb}")
+    assert f"/{db}.db/{tb}/v-" in table_location(spark, db, tb)
     assert preview_table(spark, db, tb, 7).count() == 7
     with pytest.raises(ValueError):
         save_table(nation, db, tb, warehouse_dir=tmp_dir, mode="ignore")
@@ -145,7 +146,8 @@ def test_nested_columns_in_file_sinks(spark, tmp_dir):
     with pytest.raises(PySparkException):
         publish_file(nested, "n.csv", os.path.join(tmp_dir, "csv"))
     # a failed publish leaves no staging folder and no output behind
-    assert os.listdir(os.path.join(tmp_dir, "csv")) == []
+    assert not os.path.exists(os.path.join(tmp_dir, "csv", "transformed_n.csv"))
+    assert not [f for f in os.listdir(tmp_dir) if f.startswith("._stage")]
 
 
 def test_publish_compressed_parts(spark, tmp_dir):
@@ -166,17 +168,34 @@ def test_timestamp_ntz_kept_unless_asked(spark, tmp_dir):
     assert back.count() == orders.count()
 
 
-def test_single_file_for_bounded_results(spark, tmp_dir):
-    nation = spark.read.parquet(f"{SF}/nation.parquet")
-    path = publish_file(nation, "nation.csv", tmp_dir, single_file=True)
-    assert os.path.isfile(path.replace("file:", ""))
-    assert read_source(spark, path, schema=nation.schema).count() == 25
-    # republishing replaces the file; a result over the bound becomes a folder
-    lineitem = spark.read.parquet(f"{SF}/lineitem.parquet")
-    big = publish_file(lineitem, "nation.csv", tmp_dir, single_file=True, single_file_max_rows=100)
-    assert os.path.isdir(big.replace("file:", ""))
-    assert read_source(spark, big, schema=lineitem.schema).count() == lineitem.count()
-    assert sorted(os.listdir(tmp_dir)) == ["transformed_nation.csv"]
-    # an empty result still gives one (header-only) file
-    empty = publish_file(nation.limit(0), "empty.csv", tmp_dir, single_file=True)
-    assert os.path.isfile(empty.replace("file:", ""))
+def test_overwrite_switches_versions(spark, tmp_dir):
+    """A failing overwrite leaves the old rows; a good one keeps one version back; a table may be
+    overwritten from itself; a new process finds the current version."""
+    db, frame = _db(), spark.createDataFrame([(i, str(i)) for i in range(10)], "a int, b string")
+    base = save_table(frame, db, "t", warehouse_dir=tmp_dir)
+    failing = frame.select("a", F.when(F.col("a") > 5, F.raise_error(F.lit("boom"))).otherwise(F.col("b")).alias("b"))
+    with pytest.raises(Exception, match="boom"):
+        save_table(failing, db, "t", warehouse_dir=tmp_dir)
+    assert read_table(spark, db, "t").count() == 10
+    for n in (9, 8, 7):
+        save_table(read_table(spark, db, "t").where(F.col("a") < n), db, "t", warehouse_dir=tmp_dir)
+        assert read_table(spark, db, "t").count() == n
+    assert len([f for f in os.listdir(base) if f.startswith("v-")]) == 2
+    spark.sql(f"DROP TABLE {db}.t")
+    assert attach_table(spark, db, "t", tmp_dir).count() == 7
+    spark.sql(f"DROP TABLE {db}.t")
+    save_table(frame, db, "t", warehouse_dir=tmp_dir, mode="append")
+    assert read_table(spark, db, "t").count() == 17
+
+
+def test_attach_finds_all_partitions_and_odd_paths(spark, tmp_dir):
+    db = _db()
+    frame = spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string")
+    save_table(frame, db, "t", warehouse_dir=tmp_dir, partition_columns=["p"])
+    save_table(frame.where("a = 1").withColumn("a", F.lit(5)), db, "t", warehouse_dir=tmp_dir, partition_columns=["p"])
+    spark.sql(f"DROP TABLE {db}.t")
+    assert sorted(map(tuple, attach_table(spark, db, "t", tmp_dir).collect())) == [(2, "y"), (5, "x")]
+    with pytest.raises(TableLoadError):
+        attach_table(spark, db, "missing", tmp_dir)
+    with pytest.raises(ValueError):
+        save_table(frame, db, "q", warehouse_dir=os.path.join(tmp_dir, "it's"))

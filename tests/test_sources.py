@@ -3,8 +3,8 @@ import os
 import pytest
 
 from foldline.sources.files import (
-    file_name_from_location,
-    format_for,
+    SourceName,
+    source_format,
     read_headerless_csv,
     read_source,
     require_nonempty,
@@ -13,17 +13,17 @@ from tests.conftest import write_text
 
 
 def test_format_dispatch():
-    assert format_for("hdfs://nn/x/samples.csv") == "csv"
-    assert format_for("https://host/a/Data.JSON") == "json"
-    assert format_for("file:/x/samples.CSV") == "csv"
-    assert format_for("/x/samples.csv", "JSON") == "json"
-    assert format_for("/x/whatever", ".csv") == "csv"
-    assert file_name_from_location("https://h/p/my%20file.csv".replace("%20", "_")) == "my_file.csv"
+    assert source_format("hdfs://nn/x/samples.csv") == "csv"
+    assert source_format("https://host/a/Data.JSON") == "json"
+    assert source_format("file:/x/samples.CSV") == "csv"
+    assert source_format("/x/samples.csv", "JSON") == "json"
+    assert source_format("/x/whatever", ".csv") == "csv"
+    assert SourceName.of("https://h/p/my%5Ffile.csv") == SourceName("my_file.csv", "csv")
     for bad in ["/x/samples.txt", "/x/.hidden.csv", "/x/dir/"]:
         with pytest.raises(ValueError):
-            format_for(bad)
+            source_format(bad)
     with pytest.raises(ValueError):
-        format_for("/x/a.csv", "parquet")
+        source_format("/x/a.csv", "parquet")
 
 
 def test_csv_defaults_header_and_inference(spark, tmp_dir):

@@ -1,6 +1,8 @@
 import os
 import time
 
+import pytest
+
 from foldline.operators.consolidate import consolidate
 from foldline.sinks.files import publish_file
 from foldline.sources.catalog import read_table
@@ -134,22 +136,24 @@ def test_ingest_stop(spark, tmp_dir):
     assert not stop_ingest(query)
 
 
-def test_unchanged_listing_skips_the_scan(spark, tmp_dir):
-    from foldline.streaming import read_state, source_listing
-    path = os.path.join(tmp_dir, "x.csv")
-    with open(path, "w") as handle:
-        handle.write("a\n1\n")
-    state = os.path.join(tmp_dir, "state")
-    assert source_listing(spark, os.path.join(tmp_dir, "nope")) is None
-    assert refresh_if_changed(spark, path, state, lambda s: None)
-    first = read_state(spark, state)
-    # same bytes rewritten with a new modification time: listing changes,
-    # content does not, so only the listing is recorded
-    os.utime(path, (time.time() + 100, time.time() + 100))
-    assert not refresh_if_changed(spark, path, state, lambda s: 1 / 0)
-    second = read_state(spark, state)
-    assert second.content == first.content and second.listing != first.listing
-    assert not refresh_if_changed(spark, path, state, lambda s: 1 / 0)
+def test_content_decides_not_size_or_time(spark, tmp_dir):
+    path, state = os.path.join(tmp_dir, "x.csv"), os.path.join(tmp_dir, "state")
+
+    def write(text):
+        with open(path, "w") as handle:
+            handle.write(text)
+        os.utime(path, (1_600_000_000, 1_600_000_000))
+
+    def refreshed():
+        return refresh_if_changed(spark, path, state, lambda s: None)
+
+    write("a,b\n1,2\n3,4\n")
+    assert refreshed() and not refreshed()
+    os.utime(path, (1_700_000_000, 1_700_000_000))
+    assert not refreshed()  # touched only
+    for text in ("a,b\n1,2\n3,5\n", "1,2\na,b\n3,5\n", "1,2\n3,5\na,b\n"):
+        write(text)  # same size and time: a changed value, the header moved, lines exchanged
+        assert refreshed() and not refreshed()
 
 
 def test_listen_runs_the_flow_on_change(spark, tmp_dir):
@@ -158,8 +162,8 @@ def test_listen_runs_the_flow_on_change(spark, tmp_dir):
     with open(src, "w") as handle:
         handle.write("a,b\n1,x\n1,x\n2,y\n")
     listener = listen(
-        spark, src, "https://example.org/samples.csv", os.path.join(tmp_dir, "out"), "listen_db", "samples",
-        os.path.join(tmp_dir, "state"), poll_interval=0.1, warehouse_dir=os.path.join(tmp_dir, "wh"),
+        spark, src, "https://example.org/samples.csv", os.path.join(tmp_dir, "out"),
+        os.path.join(tmp_dir, "state"), database="listen_db", table="samples", poll_interval=0.1, warehouse_dir=os.path.join(tmp_dir, "wh"),
     )
     assert listener.run(max_rounds=2).refreshes == 1
     assert sorted(r.occurrences for r in read_table(spark, "listen_db", "samples").collect()) == [1, 2]
@@ -169,7 +173,10 @@ def test_listen_runs_the_flow_on_change(spark, tmp_dir):
     assert [r.occurrences for r in read_table(spark, "listen_db", "samples").collect()] == [1]
     import pytest
     with pytest.raises(ValueError):
-        listen(spark, src, "s.csv", tmp_dir, "", "t", os.path.join(tmp_dir, "s2"))
+        listen(spark, src, "s.csv", tmp_dir, os.path.join(tmp_dir, "s2"), table="t")
+    alone = listen(spark, src, "s.csv", os.path.join(tmp_dir, "o2"), os.path.join(tmp_dir, "s3"), poll_interval=0.1)
+    assert alone.run(max_rounds=1).refreshes == 1
+    assert os.path.isdir(os.path.join(tmp_dir, "o2", "transformed_s.csv"))
 
 
 def test_ledger_ingest_is_idempotent_per_batch(spark, tmp_dir):
@@ -183,7 +190,7 @@ def test_ledger_ingest_is_idempotent_per_batch(spark, tmp_dir):
     q.awaitTermination()
     assert q.exception() is None
     raw = read_table(spark, "ledger_db", "ev")
-    assert raw.columns == ["event_type", "user_id", "occurrences", "batch_id"]
+    assert raw.columns == ["event_type", "user_id", "occurrences", "query_id", "batch_id"]
     assert raw.select("batch_id").distinct().count() == 3
     got = read_ingested(spark, "ledger_db", "ev")
     expect = consolidate(events)
@@ -194,7 +201,7 @@ def test_ledger_ingest_is_idempotent_per_batch(spark, tmp_dir):
     replay = raw.where("batch_id = 0")
     replay = spark.createDataFrame(replay.collect(), replay.schema)
     save_table(replay, "ledger_db", "ev", warehouse_dir=os.path.join(tmp_dir, "wh"),
-               partition_column="batch_id")
+               partition_columns=["query_id", "batch_id"])
     again = read_ingested(spark, "ledger_db", "ev")
     assert again.agg(F.sum("occurrences")).first()[0] == events.count()
 
@@ -230,3 +237,38 @@ def test_ingest_leaves_caller_settings_alone(spark, tmp_dir):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == provider
     assert [tuple(r) for r in read_table(spark, "conf_db", "t").collect()] == [("1", 2)]
+
+
+def _events_in(spark, inbox, rows, mode="append"):
+    spark.createDataFrame(rows, "v string").coalesce(1).write.mode(mode).option("header", True).csv(inbox)
+
+
+def test_ingest_needs_its_checkpoint(spark, tmp_dir):
+    inbox, opts = os.path.join(tmp_dir, "inbox"), dict(warehouse_dir=os.path.join(tmp_dir, "wh"), available_now=True, output="ledger")
+    _events_in(spark, inbox, [("a",), ("a",)])
+    with pytest.raises(ValueError):
+        start_ingest(spark, inbox, "v string", "own_db", "t", "", **opts)
+    start_ingest(spark, inbox, "v string", "own_db", "t", os.path.join(tmp_dir, "ck1"), **opts).awaitTermination()
+    other = start_ingest(spark, inbox, "v string", "own_db", "t", os.path.join(tmp_dir, "ck2"), **opts)
+    with pytest.raises(Exception, match="another checkpoint"):
+        other.awaitTermination()
+    from foldline.streaming import read_ingested
+    assert [tuple(r) for r in read_ingested(spark, "own_db", "t").collect()] == [("a", 2)]
+
+
+def test_stop_lets_the_running_batch_finish(spark, tmp_dir):
+    inbox = os.path.join(tmp_dir, "inbox")
+    _events_in(spark, inbox, [(str(i),) for i in range(1000)])
+    args = (spark, inbox, "v string", "halt_db", "t", os.path.join(tmp_dir, "ck"))
+    opts = dict(warehouse_dir=os.path.join(tmp_dir, "wh"))
+    start_ingest(*args, available_now=True, **opts).awaitTermination()
+    assert read_table(spark, "halt_db", "t").count() == 1000
+    spark.range(300_000).selectExpr("cast(id as string) v").coalesce(1).write.mode("append").option("header", True).csv(inbox)
+    query = start_ingest(*args, poll_interval=0.1, **opts)
+    deadline = time.monotonic() + 60
+    while not query.write_gate.locked() and time.monotonic() < deadline:
+        time.sleep(0.02)
+    assert stop_ingest(query, 120)
+    assert read_table(spark, "halt_db", "t").count() in (1000, 300_000)
+    start_ingest(*args, available_now=True, **opts).awaitTermination()
+    assert read_table(spark, "halt_db", "t").count() == 300_000
