@@ -28,6 +28,7 @@ from .simple8b import decode, encode
 MAGIC = b"S8BTOK01"
 FILE_IDS = 4_000_000
 CACHE_WORDS = 400_000
+SLICE_DOCS = 256
 NULL_ID = -(1 << 63)
 END_ID = 0
 _GLUED = re.compile(r" (?=\s|$)")
@@ -167,8 +168,8 @@ def write_token_files(
                 ["file", "part", "place", "documents", "ids"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, SLICE_DOCS):
+                part = batch.slice(at, SLICE_DOCS)
                 flat, counts = encoder.encode(part.column(1).to_pylist())
                 ids.append(flat), sizes.append(counts)
                 names.append(part.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False))
