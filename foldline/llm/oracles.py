@@ -8,7 +8,52 @@ _SHINGLES = """SELECT DISTINCT {keys}, unnest(CASE
     WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM {source}"""
 
+_TERM = "(CASE WHEN {x} > 0 THEN {x} * log2({x} / (({p} + {q}) / 2)) ELSE 0.0 END)"
+
+
+def _distance(counts: str, reference: str) -> str:
+    """Jensen-Shannon distance of a list of counts and a list of pooled counts."""
+    p, q = f"({counts}[i] / list_sum({counts}))", f"({reference}[i] / list_sum({reference}))"
+    terms = _TERM.format(x=p, p=p, q=q) + " + " + _TERM.format(x=q, p=p, q=q)
+    return f"sqrt(greatest(list_sum(list_transform(range(1, len({counts}) + 1), lambda i: {terms})) / 2, 0))"
+
+
+def _quality_sql() -> str:
+    from .quality import CLASSES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE, MIN_CHARS, MIN_COMMON, MIN_WORDS
+
+    lists = " ".join(f"WHEN l = '{lang}' THEN {words!r}" for lang, words in COMMON_WORDS.items())
+    langs = ", ".join(f"'{lang}'" for lang in COMMON_WORDS)
+    classes = ", ".join(f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))" for _, pattern in CLASSES)
+    pooled = ", ".join(f"[{', '.join(f'sum({name}[{i + 1}])' for i in range(size))}] AS {name}"
+                       for name, size in (("chars", len(CLASSES) + 2), ("common", len(next(iter(COMMON_WORDS.values()))) + 1)))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+  CASE WHEN lang IN ({langs}) THEN lang ELSE '' END AS l FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words, CASE {lists} END AS list,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+c AS (SELECT *, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, [{classes}] AS cls,
+  list_transform(list, lambda x: len(list_filter(words, lambda y: y = x))) AS bins FROM w),
+h AS (SELECT *, list_concat(cls, [length(t) - word_chars, word_chars - list_sum(cls)]) AS chars,
+  list_concat(bins, [n_words - list_sum(bins)]) AS common FROM c),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS s
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w))),
+rep AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, i + k AS at FROM g, range(3) x(k) WHERE n > 1) GROUP BY r),
+ref AS (SELECT l, {pooled} FROM h WHERE n_words >= {MIN_WORDS} GROUP BY l),
+j AS (SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(cls[3] AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, length(t) AS size, h.chars, h.common, ref.chars AS ref_chars,
+  CASE WHEN h.l <> '' AND list_sum(ref.common) > 0 THEN ref.common END AS ref_common
+  FROM h LEFT JOIN rep USING (r) LEFT JOIN ref ON ref.l = h.l),
+v AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  CASE WHEN size >= {MIN_CHARS} AND ref_chars IS NOT NULL THEN {_distance("chars", "ref_chars")} ELSE 0 END AS cd,
+  CASE WHEN n_words >= {MIN_COMMON} AND ref_common IS NOT NULL THEN {_distance("common", "ref_common")} ELSE 0 END AS wd FROM j)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND cd <= {MAX_CHAR_DISTANCE} AND wd <= {MAX_WORD_DISTANCE} AS kept FROM v"""
+
+
 ORACLE_SQL = {
+    "op8_quality_rules": _quality_sql(),
     "op1_mix": """
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
   CAST('0x' || substr(md5(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, '')))), 1, 15) AS BIGINT) AS h
