@@ -17,7 +17,13 @@ COUNT = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTH = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 
 
+PART = 256 * BLOCK  # values coded together; small enough for the processor's cache
+_SMALL = np.array([v.bit_length() for v in range(1 << 16)], np.int8)
+
+
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
+    if not len(values) or values.max() < len(_SMALL):
+        return _SMALL[values.astype(np.int64)]
     bits = np.zeros(len(values), np.int8)
     for shift in (32, 16, 8, 4, 2, 1):
         large = (values >> np.uint64(shift)) > 0
@@ -29,6 +35,19 @@ def _bit_lengths(values: np.ndarray) -> np.ndarray:
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, first word of each block and their total, exceptions) of uint64 values."""
     values = np.ascontiguousarray(values, np.uint64)
+    words, firsts, exceptions, count, known = [], [], [], 0, 0
+    for at in range(0, len(values), PART):
+        part, first, odd = _encode_part(values[at: at + PART], known)
+        words.append(part)
+        firsts.append(first + count)
+        exceptions.append(odd)
+        count, known = count + len(part), known + len(odd)
+    empty = np.zeros(0, np.uint64)
+    first = np.concatenate([*firsts, np.array([count])]).astype(np.int64)
+    return np.concatenate([empty, *words]), first, np.concatenate([empty, *exceptions])
+
+
+def _encode_part(values: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     total = len(values)
     blocks = -(-total // BLOCK)
     bits = _bit_lengths(values)
@@ -36,40 +55,41 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     exceptions = values[escaped]
     if len(exceptions):
         values = values.copy()
-        values[escaped] = np.arange(len(exceptions), dtype=np.uint64)
-    # widest packing from each position: the distance to the next value that is too wide
-    place = np.arange(total, dtype=np.int64)
-    end = np.minimum((place // BLOCK + 1) * BLOCK, total)
+        values[escaped] = np.arange(known, known + len(exceptions), dtype=np.uint64)
+    # widest packing from each position: enough values before the next that is too wide
+    place = np.arange(total, dtype=np.int32)
+    end = np.minimum((place // BLOCK + 1) * BLOCK, total).astype(np.int32)
+    left = end - place
     choice = np.zeros(total, np.int8)
     for s in range(len(COUNT) - 1, 0, -1):
-        if s < len(COUNT) - 1 and not (bits <= WIDTH[s]).any():
-            break
-        stop = np.where(bits > WIDTH[s], place, total)
-        stop = np.minimum(np.minimum.accumulate(stop[::-1])[::-1], end)
-        choice[(stop - place >= COUNT[s]) | ((stop == end) & (stop > place))] = s
+        wide = bits > WIDTH[s]
+        if wide.any():
+            after = np.minimum.accumulate(np.where(wide, place, np.int32(total))[::-1])[::-1]
+            room = np.minimum(after, end) - place
+            choice[(room >= COUNT[s]) | ((room == left) & (room > 0))] = s
+        else:
+            choice[:] = s
     choice[escaped] = 0
     # all blocks step from word to word together
     at = np.arange(blocks, dtype=np.int64) * BLOCK
     last = np.minimum(at + BLOCK, total)
-    starts, owners, live = [], [], np.arange(blocks)
-    while len(live):
-        starts.append(at[live])
-        owners.append(live)
-        at[live] += COUNT[choice[at[live]]]
-        live = live[at[live] < last[live]]
-    start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    start.sort()
+    starts = []
+    while len(at):
+        starts.append(at)
+        at = at + COUNT[choice[at]]
+        live = at < last
+        at, last = at[live], last[live]
+    start = np.sort(np.concatenate(starts))
     selector = choice[start].astype(np.int64)
     words = selector.astype(np.uint64) << np.uint64(60)
     limit = np.minimum((start // BLOCK + 1) * BLOCK, total)
     padded = np.concatenate([values, np.zeros(1, np.uint64)])
-    for s in range(len(COUNT)):
+    for s in np.unique(selector):
         rows = np.flatnonzero(selector == s)
-        for j in range(COUNT[s] if len(rows) else 0):
-            source = start[rows] + j
-            words[rows] |= padded[np.where(source < limit[rows], source, total)] << np.uint64(j * WIDTH[s])
-    first = np.concatenate([np.searchsorted(start, np.arange(blocks) * BLOCK), [len(words)]]).astype(np.int64)
-    return words, first, exceptions
+        source = start[rows, None] + np.arange(COUNT[s])
+        taken = padded[np.where(source < limit[rows, None], source, total)]
+        words[rows] |= np.bitwise_or.reduce(taken << (np.arange(COUNT[s], dtype=np.uint64) * np.uint64(WIDTH[s])), axis=1)
+    return words, np.searchsorted(start, np.arange(blocks) * BLOCK), exceptions
 
 
 def decode(words: np.ndarray, first: np.ndarray, exceptions: np.ndarray, total: int) -> np.ndarray:

@@ -12,8 +12,12 @@ each block (and the total), exceptions, words. A null document id is stored as t
 
 from __future__ import annotations
 
+import gc
+import itertools
 import os
 import re
+import sys
+import types
 import uuid
 import zlib
 
@@ -31,6 +35,13 @@ CACHE_WORDS = 400_000
 SLICE_DOCS = 256
 NULL_ID = -(1 << 63)
 END_ID = 0
+NO_SPACE = "\0"  # begins a part that stands without a space before it
+# Characters whose class no Unicode version changes; the part stands between plain spaces.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+PLAIN = re.compile(f"[!-~{_LETTERS}][\n!-~{_LETTERS}]*")
+# Fixed value: the byte-level pre-tokenizer's pattern, for texts of such characters.
+PIECE = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+")
 _GLUED = re.compile(r" (?=\s|$)")
 
 
@@ -40,13 +51,41 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Known:
+    """Ids of strings seen before: a place for each string, and its ids in one flat array."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.lengths = np.zeros(0, np.int64)
+        self.starts = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def add(self, names: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        base = len(self.place)
+        self.place.update(zip(names, range(base, base + len(names))))
+        starts = len(self.ids) + np.cumsum(lengths) - lengths
+        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def find(self, names: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.place.get, names, itertools.repeat(-1)), np.int64, len(names))
+
+    def flat(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the strings at these places, one after the other; their first ids and the total)"""
+        lengths = self.lengths[which]
+        first = np.concatenate([[0], np.cumsum(lengths)])
+        return self.ids[np.repeat(self.starts[which] - first[:-1], lengths) + np.arange(first[-1])], first
+
+
 class Encoder:
     """Ids of whole texts from a byte-level BPE tokenizer of the tokenizers library.
 
     The pre-tokenizer never joins what is left and right of the gap before a space that is followed
-    by something else than white space, so a text's ids are the ids of the parts between such gaps;
-    the library encodes each different part once. Texts that hold a special token's string go to
-    the library whole, as do all texts if the tokenizer is of another kind."""
+    by something else than white space, so a text's ids are the ids of the parts between such gaps.
+    Parts not seen before are cut into the pre-tokenizer's pieces, if they hold none but the plain
+    characters of PLAIN; the library encodes each different piece once, and other parts whole. Texts
+    that hold a special token's string go to the library whole, as do all texts if the tokenizer is
+    of another kind. At most CACHE_WORDS parts and pieces are remembered."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,65 +97,84 @@ class Encoder:
         self.by_part = (
             isinstance(before, pre_tokenizers.ByteLevel) and before.use_regex and not before.add_prefix_space
             and self.library.normalizer is None)
-        self.known: dict[str, int] = {}
-        self.lengths = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.parts, self.pieces = _Known(), _Known()
 
-    def _parts(self, text: str) -> list[str]:
-        if not text:
-            return []
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        """Parts without the space they begin with; parts without one begin with NO_SPACE."""
         head, *rest = text.split(" ")
+        parts = [NO_SPACE + head] if head else []
         if _GLUED.search(text) is None:
-            return [head, *[" " + r for r in rest]] if head else [" " + r for r in rest]
-        parts = [head]
+            return parts + rest
+        parts = [NO_SPACE + head]
         for r in rest:
             if r and not r[0].isspace():
-                parts.append(" " + r)
+                parts.append(r)
             else:
                 parts[-1] += " " + r
-        return [p for p in parts if p]
+        return [p for p in parts if p != NO_SPACE]
+
+    def _library_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        collecting = gc.isenabled()
+        gc.disable()  # hundreds of thousands of short lists, none in a cycle
+        try:
+            found = [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
+            ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
+            return np.fromiter(map(len, found), np.int64, len(found)), ids
+        finally:
+            if collecting:
+                gc.enable()
 
     def _learn(self, parts: list[str]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.lengths, self.starts, self.ids = {}, self.lengths[:0], self.starts[:0], self.ids[:0]
-        new = [p for p in dict.fromkeys(parts) if p not in self.known]
-        if not new:
-            return
-        found = [e.ids for e in self.library.encode_batch(new, add_special_tokens=False)]
-        lengths = np.array([len(f) for f in found], np.int64)
-        starts = len(self.ids) + np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        base = len(self.known)
-        self.known.update((p, base + i) for i, p in enumerate(new))
-        self.lengths, self.starts = np.concatenate([self.lengths, lengths]), np.concatenate([self.starts, starts])
-        self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], np.uint32)])
+        new = list(dict.fromkeys(parts))
+        plain = [p for p in new if PLAIN.fullmatch(p)]
+        if plain:
+            pieces = PIECE.findall(" " + " ".join(plain))
+            if len(self.pieces.place) > CACHE_WORDS:
+                self.pieces = _Known()
+            which = self.pieces.find(pieces)
+            if (which < 0).any():
+                unknown = list(dict.fromkeys(pieces[i] for i in np.flatnonzero(which < 0)))
+                self.pieces.add(unknown, *self._library_ids(unknown))
+                which = self.pieces.find(pieces)
+            ids, first = self.pieces.flat(which)
+            ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            upto = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)) + 1), "right")
+            self.parts.add(plain, np.diff(first[upto], prepend=0), ids)
+        odd = [p for p in new if not PLAIN.fullmatch(p)]
+        if odd:
+            self.parts.add(odd, *self._library_ids([p[1:] if p[:1] == NO_SPACE else " " + p for p in odd]))
+
+    def _places(self, parts: list[str]) -> np.ndarray:
+        which = self.parts.find(parts)
+        missing = np.flatnonzero(which < 0)
+        if len(missing):
+            wanted = [parts[i] for i in missing]
+            self._learn(wanted)
+            which[missing] = self.parts.find(wanted)
+        return which
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by END_ID; number of ids of each text with its end)."""
+        if len(self.parts.place) > CACHE_WORDS:
+            self.parts = _Known()
         whole, parts, counts = {}, [], []
         for i, text in enumerate(texts):
-            if not self.by_part or any(s in text for s in self.special):
+            own: list[str] = []
+            if not self.by_part or any(s in text for s in self.special) or NO_SPACE in text:
                 whole[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-                counts.append(0)
-            else:
-                own = self._parts(text)
-                parts.extend(own)
-                counts.append(len(own))
-        if len(set(parts).difference(self.known)) + len(self.known) > CACHE_WORDS:
-            self.known, self.lengths, self.starts, self.ids = {}, self.lengths[:0], self.starts[:0], self.ids[:0]
-        self._learn(parts)
-        which = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        lengths = self.lengths[which] if len(which) else np.zeros(0, np.int64)
-        first = np.concatenate([[0], np.cumsum(lengths)])
-        source = np.repeat(self.starts[which] - first[:-1], lengths) + np.arange(first[-1]) if len(which) else np.zeros(0, np.int64)
-        flat = self.ids[source]
+            elif text:
+                own = self._cut(text)
+            parts.extend(own)
+            counts.append(len(own))
+        flat, first = self.parts.flat(self._places(parts))
         edge = first[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        pieces, sizes, end = [], [], np.array([END_ID], np.uint32)
+        pieces, sizes, end = [flat[:0]], [], np.array([END_ID], np.uint32)
         for i in range(len(texts)):
             own = whole[i] if i in whole else flat[edge[i]: edge[i + 1]]
             pieces += [own, end]
             sizes.append(len(own) + 1)
-        return np.concatenate(pieces) if pieces else flat, np.array(sizes, np.int64)
+        return np.concatenate(pieces), np.array(sizes, np.int64)
 
 
 def pack_file(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
@@ -156,7 +214,10 @@ def write_token_files(
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, place = Encoder(tokenizer), 0
+        # one encoder a worker process: what it has learnt serves the process's later tasks
+        kept = sys.modules.setdefault("foldline_encoders", types.ModuleType("foldline_encoders")).__dict__
+        encoder, place = kept.setdefault(tokenizer, None) or Encoder(tokenizer), 0
+        kept[tokenizer] = encoder
         ids, sizes, names, waiting = [], [], [], 0
 
         def flush():
