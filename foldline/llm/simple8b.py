@@ -63,6 +63,10 @@ def _encode_part(values: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray
     choice = np.zeros(total, np.int8)
     for s in range(len(COUNT) - 1, 0, -1):
         wide = bits > WIDTH[s]
+        if COUNT[s] > 5:  # no run of so many narrow values: other selectors serve, also at a block's end
+            at = np.flatnonzero(wide)
+            if len(at) and np.diff(at, prepend=-1, append=total).max() <= COUNT[s]:
+                continue
         if wide.any():
             after = np.minimum.accumulate(np.where(wide, place, np.int32(total))[::-1])[::-1]
             room = np.minimum(after, end) - place

@@ -31,18 +31,22 @@ from .simple8b import decode, encode
 
 MAGIC = b"S8BTOK01"
 FILE_IDS = 4_000_000
-CACHE_WORDS = 400_000
+CACHE_ENTRIES = 1_000_000
+CACHE_CHARS = 20_000_000
 SLICE_DOCS = 256
 NULL_ID = -(1 << 63)
 END_ID = 0
-NO_SPACE = "\0"  # begins a part that stands without a space before it
-# Characters whose class no Unicode version changes; the part stands between plain spaces.
+# Characters whose class no Unicode version changes, the plain space and the line feed.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-PLAIN = re.compile(f"[!-~{_LETTERS}][\n!-~{_LETTERS}]*")
+PLAIN = re.compile(f"[\n -~{_LETTERS}]+")
 # Fixed value: the byte-level pre-tokenizer's pattern, for texts of such characters.
 PIECE = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+")
-_GLUED = re.compile(r" (?=\s|$)")
+GAP = re.compile(r"(?= \S)")
+# Rule of byte-level vocabularies: printable bytes of Latin-1 stand for themselves, the others for
+# the characters from 256 on, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_NAMES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 def default_tokenizer() -> str:
@@ -51,41 +55,14 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Known:
-    """Ids of strings seen before: a place for each string, and its ids in one flat array."""
-
-    def __init__(self):
-        self.place: dict[str, int] = {}
-        self.lengths = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def add(self, names: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        base = len(self.place)
-        self.place.update(zip(names, range(base, base + len(names))))
-        starts = len(self.ids) + np.cumsum(lengths) - lengths
-        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, ids])
-
-    def find(self, names: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.place.get, names, itertools.repeat(-1)), np.int64, len(names))
-
-    def flat(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of the strings at these places, one after the other; their first ids and the total)"""
-        lengths = self.lengths[which]
-        first = np.concatenate([[0], np.cumsum(lengths)])
-        return self.ids[np.repeat(self.starts[which] - first[:-1], lengths) + np.arange(first[-1])], first
-
-
 class Encoder:
     """Ids of whole texts from a byte-level BPE tokenizer of the tokenizers library.
 
-    The pre-tokenizer never joins what is left and right of the gap before a space that is followed
-    by something else than white space, so a text's ids are the ids of the parts between such gaps.
-    Parts not seen before are cut into the pre-tokenizer's pieces, if they hold none but the plain
-    characters of PLAIN; the library encodes each different piece once, and other parts whole. Texts
-    that hold a special token's string go to the library whole, as do all texts if the tokenizer is
-    of another kind. At most CACHE_WORDS parts and pieces are remembered."""
+    Texts are cut into strings that the tokenizer treats alone, and the library encodes each different
+    string once: the pre-tokenizer's own pieces where all characters are plain, else the parts between
+    gaps before a space that is followed by something else than white space, which it never joins.
+    Texts that hold a special token's string go to the library whole, as do all texts if the tokenizer
+    is of another kind. At most CACHE_ENTRIES strings of CACHE_CHARS characters are remembered."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -94,87 +71,97 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         before = self.library.pre_tokenizer
-        self.by_part = (
+        self.by_piece = (
             isinstance(before, pre_tokenizers.ByteLevel) and before.use_regex and not before.add_prefix_space
             and self.library.normalizer is None)
-        self.parts, self.pieces = _Known(), _Known()
+        self.by_piece = self.by_piece and self._own_bytes()
+        self._forget()
+
+    def _own_bytes(self) -> bool:
+        """Whether the model spells bytes as this class does, tried on all bytes of plain texts."""
+        probe = ["".join(map(chr, range(32, 127))), " éÿĀɏ", "\n \n", "the"]
+        return all(self._spelled(p) == self.library.encode(p, add_special_tokens=False).ids
+                   for text in probe for p in PIECE.findall(text))
+
+    def _spelled(self, piece: str) -> list[int]:
+        """Ids of one piece, by the library's model alone."""
+        return [t.id for t in self.library.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_NAMES))]
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.chars = 0
+        self.lengths = np.zeros(0, np.int64)
+        self.starts = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
 
     @staticmethod
     def _cut(text: str) -> list[str]:
-        """Parts without the space they begin with; parts without one begin with NO_SPACE."""
-        head, *rest = text.split(" ")
-        parts = [NO_SPACE + head] if head else []
-        if _GLUED.search(text) is None:
-            return parts + rest
-        parts = [NO_SPACE + head]
-        for r in rest:
-            if r and not r[0].isspace():
-                parts.append(r)
-            else:
-                parts[-1] += " " + r
-        return [p for p in parts if p != NO_SPACE]
-
-    def _library_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if PLAIN.fullmatch(text):
+            return PIECE.findall(text)
+        pieces = []
+        for part in GAP.split(text):
+            if PLAIN.fullmatch(part):
+                pieces += PIECE.findall(part)
+            elif part:
+                pieces.append(part)
+        return pieces
+
+    def _learn(self, names: list[str]) -> None:
+        known = dict.fromkeys(names)
+        odd = [n for n in known if not PLAIN.fullmatch(n)]
+        for n in odd:
+            del known[n]
+        new = [*known, *odd]
         collecting = gc.isenabled()
         gc.disable()  # hundreds of thousands of short lists, none in a cycle
         try:
-            found = [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
+            tokenize = self.library.model.tokenize
+            found = [[t.id for t in tokenize(n.encode().decode("latin-1").translate(BYTE_NAMES))] for n in known]
+            found += [e.ids for e in self.library.encode_batch(odd, add_special_tokens=False)]
             ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
-            return np.fromiter(map(len, found), np.int64, len(found)), ids
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
         finally:
             if collecting:
                 gc.enable()
+        base = len(self.place)
+        self.place.update(zip(new, range(base, base + len(new))))
+        self.chars += sum(map(len, new))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
 
-    def _learn(self, parts: list[str]) -> None:
-        new = list(dict.fromkeys(parts))
-        plain = [p for p in new if PLAIN.fullmatch(p)]
-        if plain:
-            pieces = PIECE.findall(" " + " ".join(plain))
-            if len(self.pieces.place) > CACHE_WORDS:
-                self.pieces = _Known()
-            which = self.pieces.find(pieces)
-            if (which < 0).any():
-                unknown = list(dict.fromkeys(pieces[i] for i in np.flatnonzero(which < 0)))
-                self.pieces.add(unknown, *self._library_ids(unknown))
-                which = self.pieces.find(pieces)
-            ids, first = self.pieces.flat(which)
-            ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-            upto = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)) + 1), "right")
-            self.parts.add(plain, np.diff(first[upto], prepend=0), ids)
-        odd = [p for p in new if not PLAIN.fullmatch(p)]
-        if odd:
-            self.parts.add(odd, *self._library_ids([p[1:] if p[:1] == NO_SPACE else " " + p for p in odd]))
-
-    def _places(self, parts: list[str]) -> np.ndarray:
-        which = self.parts.find(parts)
+    def _flat(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the strings, one after the other; the first of each and the total)"""
+        if len(self.place) > CACHE_ENTRIES or self.chars > CACHE_CHARS:
+            self._forget()
+        which = np.fromiter(map(self.place.get, names, itertools.repeat(-1)), np.int64, len(names))
         missing = np.flatnonzero(which < 0)
         if len(missing):
-            wanted = [parts[i] for i in missing]
+            wanted = [names[i] for i in missing]
             self._learn(wanted)
-            which[missing] = self.parts.find(wanted)
-        return which
+            which[missing] = np.fromiter(map(self.place.__getitem__, wanted), np.int64, len(wanted))
+        lengths = self.lengths[which]
+        first = np.concatenate([[0], np.cumsum(lengths)])
+        return self.ids[np.repeat(self.starts[which] - first[:-1], lengths) + np.arange(first[-1])], first
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by END_ID; number of ids of each text with its end)."""
-        if len(self.parts.place) > CACHE_WORDS:
-            self.parts = _Known()
-        whole, parts, counts = {}, [], []
+        whole, pieces, counts = {}, [], []
         for i, text in enumerate(texts):
-            own: list[str] = []
-            if not self.by_part or any(s in text for s in self.special) or NO_SPACE in text:
+            before = len(pieces)
+            if not self.by_piece or any(s in text for s in self.special):
                 whole[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-            elif text:
-                own = self._cut(text)
-            parts.extend(own)
-            counts.append(len(own))
-        flat, first = self.parts.flat(self._places(parts))
+            else:
+                pieces += self._cut(text)
+            counts.append(len(pieces) - before)
+        flat, first = self._flat(pieces)
         edge = first[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        pieces, sizes, end = [flat[:0]], [], np.array([END_ID], np.uint32)
+        parts, sizes, end = [flat[:0]], [], np.array([END_ID], np.uint32)
         for i in range(len(texts)):
             own = whole[i] if i in whole else flat[edge[i]: edge[i + 1]]
-            pieces += [own, end]
+            parts += [own, end]
             sizes.append(len(own) + 1)
-        return np.concatenate(pieces), np.array(sizes, np.int64)
+        return np.concatenate(parts), np.array(sizes, np.int64)
 
 
 def pack_file(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
