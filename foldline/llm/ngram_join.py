@@ -59,8 +59,8 @@ def _sets(column: pa.Array):
 
 
 def _bitmap(values: np.ndarray) -> bytes:
-    """Hashed bitmap of a set; its width is a power of two of at least eight bits a shingle."""
-    bits = 1 << max(9, (8 * len(values) - 1).bit_length())
+    """Hashed bitmap of a set; its width is a power of two of at least four bits a shingle."""
+    bits = 1 << max(9, (4 * len(values) - 1).bit_length())
     flags = np.zeros(bits, bool)
     flags[(values & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
@@ -220,7 +220,8 @@ def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
 
 
 def _class_sets(source: DataFrame, rows: DataFrame, tiles: DataFrame) -> DataFrame:
-    """(id = class digest, n, bitmap, shingles) of the classes that occur in tiles, written once.
+    """(id = class digest, n, bitmap, text) of the classes that occur in tiles, written once. Texts
+    take less room than their shingles, which only pairs that pass the bitmaps need.
 
     Each class is found by the smallest row id that has it."""
     wanted = (
@@ -235,18 +236,30 @@ def _class_sets(source: DataFrame, rows: DataFrame, tiles: DataFrame) -> DataFra
 
     def run(batches):
         for batch in batches:
-            columns = [[], [], [], []]
+            columns = [[], [], []]
             for found in _sets(batch.column(0)):
-                for column, value in zip(columns, (_set_digest(found), len(found), _bitmap(found), as_long(found))):
+                for column, value in zip(columns, (_set_digest(found), len(found), _bitmap(found))):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "n", "bitmap", "shingles"])
+                [*(pa.array(c, k) for c, k in zip(columns, kinds)), batch.column(0)], ["id", "n", "bitmap", "text"])
 
-    found = picked.select("text").mapInArrow(run, "id long, n long, bitmap binary, shingles array<long>")
+    found = picked.select("text").mapInArrow(run, "id long, n long, bitmap binary, text string")
     return materialize(found, "ngram-sets")
 
 
+def _shingle_arrays(texts: DataFrame) -> DataFrame:
+    """(id, shingles) of (id, text)."""
+
+    def run(batches):
+        for batch in batches:
+            values = [as_long(v) for v in _sets(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(values, pa.list_(pa.int64()))], ["id", "shingles"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
+
+
 def _bounds(here: np.ndarray, there: np.ndarray, size_here, sizes_there) -> np.ndarray:
     """Upper bounds of the overlap: a bit set on one side only stands for a shingle missing on the other."""
     missing = np.bitwise_count(here & ~there).sum(axis=-1, dtype=np.int64)
@@ -259,14 +272,14 @@ def _folded(bitmap: np.ndarray, words: int) -> np.ndarray:
 
 
 def _allowed(pairs: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs whose sizes and bitmaps allow the threshold (needs na, ma, nb, mb: sizes, bitmaps)."""
+    """Pairs whose sizes and bitmaps allow the threshold (needs na, va, nb, vb: sizes, bitmaps)."""
     up, down = threshold.numerator, threshold.denominator
 
     def run(batches):
         for batch in batches:
             na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
             bound = np.zeros(len(na), np.int64)
-            for i, (x, y) in enumerate(zip(batch.column("ma"), batch.column("mb"))):
+            for i, (x, y) in enumerate(zip(batch.column("va"), batch.column("vb"))):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 words = min(len(x), len(y))
                 bound[i] = _bounds(_folded(x, words), _folded(y, words), na[i], nb[i])
@@ -280,18 +293,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFra
     up, down = threshold.numerator, threshold.denominator
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def side(end, value, name):
-        return sets.select(F.col("id").alias(end), F.col("n").alias(f"n{end}"), F.col(value).alias(f"{name}{end}"))
+    def side(table, end, value):
+        names = {"id": end, "n": f"n{end}", value: f"v{end}"}
+        return table.select(*[F.col(c).alias(names[c]) for c in table.columns if c in names])
 
     sized = (
-        pairs.join(side("a", "bitmap", "m"), "a").join(side("b", "bitmap", "m"), "b")
+        pairs.join(side(sets, "a", "bitmap"), "a").join(side(sets, "b", "bitmap"), "b")
         .where(F.least("na", "nb") * down >= F.greatest("na", "nb") * up)
     )
     survivors = materialize(_allowed(sized, threshold), "ngram-allowed")
-    shared = F.size(F.array_intersect("va", "vb"))
+    ids = survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    arrays = materialize(_shingle_arrays(sets.join(ids, "id", "left_semi")), "ngram-arrays")
+    shared, both = F.size(F.array_intersect("va", "vb")), F.size("va") + F.size("vb")
     return (
-        survivors.join(side("a", "shingles", "v"), "a").join(side("b", "shingles", "v"), "b")
-        .where(shared * down >= (F.col("na") + F.col("nb") - shared) * up)
+        survivors.join(side(arrays, "a", "shingles"), "a").join(side(arrays, "b", "shingles"), "b")
+        .where(shared * down >= (both - shared) * up)
         .select("a", "b")
     )
 
