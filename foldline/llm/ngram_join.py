@@ -154,10 +154,10 @@ def _runs(batches):
 
 
 def _stars(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of about log2(m) pivots with all m members. Pivots are the ids of least hash, which
+    """Pairs of log2(m) pivots, two at least, with all m members. Pivots are the ids of least hash, which
     are mostly the same in all groups that one family of texts shares."""
     ranked = np.argsort(mix64(ids.view(np.uint64)), kind="stable")
-    pivots = ids[ranked[: len(ids).bit_length() - (len(ids) == 2)]]
+    pivots = ids[ranked[: min(len(ids) - 1, max(2, len(ids).bit_length() - 1))]]
     a, b = np.repeat(pivots, len(ids)), np.tile(ids, len(pivots))
     keep = (a < b) | ((a > b) & ~np.isin(b, pivots))
     return a[keep], b[keep]
@@ -232,7 +232,8 @@ def _class_sets(source: DataFrame, rows: DataFrame, tiles: DataFrame) -> DataFra
         rows.join(wanted, "digest", "left_semi").groupBy("digest")
         .agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("m")).select(F.col("m.id").alias("id"))
     )
-    picked = source.join(named, source["id"].eqNullSafe(named["id"]), "left_semi")
+    # merge hints: texts are shuffled alike at every size, no side is broadcast for being small today
+    picked = source.join(named.hint("merge"), source["id"].eqNullSafe(named["id"]), "left_semi")
 
     def run(batches):
         for batch in batches:
@@ -298,15 +299,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFra
         return table.select(*[F.col(c).alias(names[c]) for c in table.columns if c in names])
 
     sized = (
-        pairs.join(side(sets, "a", "bitmap"), "a").join(side(sets, "b", "bitmap"), "b")
+        pairs.hint("merge").join(side(sets, "a", "bitmap"), "a").hint("merge").join(side(sets, "b", "bitmap"), "b")
         .where(F.least("na", "nb") * down >= F.greatest("na", "nb") * up)
     )
     survivors = materialize(_allowed(sized, threshold), "ngram-allowed")
     ids = survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    arrays = materialize(_shingle_arrays(sets.join(ids, "id", "left_semi")), "ngram-arrays")
+    arrays = materialize(_shingle_arrays(sets.join(ids.hint("merge"), "id", "left_semi")), "ngram-arrays")
     shared, both = F.size(F.array_intersect("va", "vb")), F.size("va") + F.size("vb")
     return (
-        survivors.join(side(arrays, "a", "shingles"), "a").join(side(arrays, "b", "shingles"), "b")
+        survivors.hint("merge").join(side(arrays, "a", "shingles"), "a").hint("merge")
+        .join(side(arrays, "b", "shingles"), "b")
         .where(shared * down >= (both - shared) * up)
         .select("a", "b")
     )
