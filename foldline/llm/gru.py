@@ -65,54 +65,64 @@ def members(model: dict) -> list[np.ndarray]:
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 * np.tanh(0.5 * x) + 0.5
+
+
+def _cell(ut, x, h):
+    """One step on columns: ut is U transposed, x (3 hidden, lanes) the inputs, h (hidden, lanes)."""
+    hidden, u = len(h), ut @ h
+    zr = _sigmoid(x[: 2 * hidden] + u[: 2 * hidden])
+    z, r = zr[:hidden], zr[hidden:]
+    n = np.tanh(x[2 * hidden:] + r * u[2 * hidden:])
+    return n + z * (h - n), z, r, n, u[2 * hidden:]
 
 
 def _step(model, previous, h):
-    hidden = h.shape[1]
-    x, u = model["X"][previous], h @ model["U"]
-    zr = _sigmoid(x[:, : 2 * hidden] + u[:, : 2 * hidden])
-    z, r = zr[:, :hidden], zr[:, hidden:]
-    n = np.tanh(x[:, 2 * hidden:] + r * u[:, 2 * hidden:])
-    return (1 - z) * n + z * h, z, r, n, u[:, 2 * hidden:]
+    """One step on rows (lanes, hidden)."""
+    return tuple(a.T for a in _cell(model["U"].T, model["X"][previous].T, h.T))
 
 
 def _output(model, groups, hidden, target, grads=None):
-    """log P of each target given its state; with ``grads``, adds gradients and returns dH too."""
+    """log P of each target given its state; with ``grads``, adds gradients and returns dH too.
+
+    Works on columns sorted by the class of the target, so every class is one slice."""
     own = model["class"][target]
-    logits = hidden @ model["V"] + model["v"]
-    logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1)
-    rows = np.arange(len(target))
-    logp = (logits[rows, own] - np.log(total)).astype(np.float64)
+    order = np.argsort(own.astype(np.int16), kind="stable")
+    own, target, hidden = own[order], target[order], hidden.T[:, order]
+    edges = np.searchsorted(own, np.arange(len(groups) + 1))
+    at = np.arange(len(target))
+    e = model["V"].T @ hidden + model["v"][:, None]
+    e -= e.max(axis=0)
+    found = e[own, at]
+    total = np.exp(e, out=e).sum(axis=0)
+    logp = (found - np.log(total)).astype(np.float64)
     d_hidden = None
     if grads is not None:
-        d = e / total[:, None]
-        d[rows, own] -= 1
-        grads["V"] += hidden.T @ d
-        grads["v"] += d.sum(axis=0)
-        d_hidden = d @ model["V"].T
-    order = np.argsort(own, kind="stable")
-    edges = np.searchsorted(own[order], np.arange(len(groups) + 1))
+        e /= total
+        e[own, at] -= 1
+        grads["V"] += hidden @ e.T
+        grads["v"] += e.sum(axis=1)
+        d_hidden = model["V"] @ e
     for c, ids in enumerate(groups):
-        at = order[edges[c]: edges[c + 1]]
-        if len(ids) < 2 or not len(at):
+        a, b = edges[c], edges[c + 1]
+        if len(ids) < 2 or a == b:
             continue
-        inner = hidden[at] @ model["W"][ids].T + model["w"][ids]
-        inner -= inner.max(axis=1, keepdims=True)
-        e = np.exp(inner)
-        total = e.sum(axis=1)
-        place = np.searchsorted(ids, target[at])
-        rows = np.arange(len(at))
-        logp[at] += inner[rows, place] - np.log(total)
+        weights, part = model["W"][ids], hidden[:, a:b]
+        e = weights @ part + model["w"][ids][:, None]
+        e -= e.max(axis=0)
+        place, within = np.searchsorted(ids, target[a:b]), at[: b - a]
+        found = e[place, within]
+        total = np.exp(e, out=e).sum(axis=0)
+        logp[a:b] += found - np.log(total)
         if grads is not None:
-            d = e / total[:, None]
-            d[rows, place] -= 1
-            grads["W"][ids] += d.T @ hidden[at]
-            grads["w"][ids] += d.sum(axis=0)
-            d_hidden[at] += d @ model["W"][ids]
-    return logp, d_hidden
+            e /= total
+            e[place, within] -= 1
+            grads["W"][ids] += e @ part.T
+            grads["w"][ids] += e.sum(axis=1)
+            d_hidden[:, a:b] += weights.T @ e
+    back = np.empty_like(order)
+    back[order] = at
+    return logp[back], None if d_hidden is None else d_hidden[:, back].T
 
 
 def score(model: dict, ids: np.ndarray, first: np.ndarray, start: int, lanes: int = 2048, window: int = 32) -> np.ndarray:
@@ -124,89 +134,107 @@ def score(model: dict, ids: np.ndarray, first: np.ndarray, start: int, lanes: in
     order = np.argsort(-lengths, kind="stable")
     result = np.zeros(len(lengths), np.float64)
     hidden = model["U"].shape[0]
+    xt, ut = np.ascontiguousarray(model["X"].T), np.ascontiguousarray(model["U"].T)
     for a in range(0, len(order), lanes):
         docs = order[a: a + lanes]
         length, base = lengths[docs], first[docs]
-        h = np.zeros((len(docs), hidden), np.float32)
+        h = np.zeros((hidden, len(docs)), np.float32)
         previous = np.full(len(docs), start, ids.dtype)
         falling = -length
         for t0 in range(0, int(length[0]) if len(length) else 0, window):
             states, targets, who = [], [], []
             for t in range(t0, min(t0 + window, int(length[0]))):
                 live = int(np.searchsorted(falling, -t, "left"))  # texts longer than t
-                h = _step(model, previous[:live], h[:live])[0]
+                h = _cell(ut, xt.take(previous[:live], axis=1), h[:, :live])[0]
                 target = ids[base[:live] + t]
                 states.append(h), targets.append(target), who.append(docs[:live])
                 previous = target
-            logp, _ = _output(model, groups, np.concatenate(states), np.concatenate(targets))
+            logp, _ = _output(model, groups, np.concatenate(states, axis=1).T, np.concatenate(targets))
             who = np.concatenate(who)
             result += np.bincount(who, logp, len(result))
     return result
 
 
 def gradients(model: dict, groups, inputs, targets, mask, h0):
-    """(sum of log P, gradients, last state) of one window: arrays (steps, lanes)."""
-    hidden, steps = h0.shape[1], len(inputs)
-    trace, h = [], h0
+    """(sum of log P, gradients, last state) of one window: arrays (steps, lanes).
+
+    ``mask`` holds the first steps of each lane; the state after a lane's last step is not used."""
+    steps, lanes, hidden = *inputs.shape, h0.shape[1]
+    xt, ut = np.ascontiguousarray(model["X"].T), np.ascontiguousarray(model["U"].T)
+    states = np.empty((hidden, steps + 1, lanes), h0.dtype)
+    states[:, 0] = h0.T
+    trace = []
     for t in range(steps):
-        new, z, r, n, u = _step(model, inputs[t], h)
-        m = mask[t][:, None]
-        trace.append((h, z, r, n, u, m))
-        h = np.where(m, new, h)
-        trace[-1] += (h,)
-    states = np.stack([x[6] for x in trace])
+        new, *gates = _cell(ut, xt.take(inputs[t], axis=1), states[:, t])
+        states[:, t + 1] = new
+        trace.append(gates)
     grads = {k: np.zeros_like(model[k]) for k in PARAMETERS}
-    logp, flat = _output(model, groups, states[mask], targets[mask], grads)
-    d_out = np.zeros_like(states)
-    d_out[mask] = flat
-    carry = np.zeros_like(h0)
+    after = states[:, 1:].reshape(hidden, -1)
+    read = np.flatnonzero(mask)
+    logp, rows = _output(model, groups, after[:, read].T, targets.ravel()[read], grads)
+    d_out = np.zeros_like(after)
+    d_out[:, read] = rows.T
+    d_out = d_out.reshape(hidden, steps, lanes)
+    d_in = np.empty((3 * hidden, steps, lanes), h0.dtype)  # by input: z, r, n before their functions
+    d_n = np.empty((hidden, steps, lanes), h0.dtype)
+    carry = np.zeros((hidden, lanes), h0.dtype)
     for t in range(steps - 1, -1, -1):
-        before, z, r, n, u, m, _ = trace[t]
-        d = carry + d_out[t]
-        inner = np.where(m, d, 0)
-        dn = inner * (1 - z) * (1 - n * n)
-        dz = inner * (before - n) * z * (1 - z)
-        dr = dn * u * r * (1 - r)
-        gate = np.concatenate([dz, dr, dn * r], axis=1)
-        grads["U"] += before.T @ gate
-        np.add.at(grads["X"], inputs[t], np.concatenate([dz, dr, dn], axis=1))
-        carry = inner * z + np.where(m, 0, d) + gate @ model["U"].T
-    return logp.sum(), grads, h
+        z, r, n, u = trace[t]
+        d = carry + d_out[:, t]
+        dz = d * z
+        carry = dz.copy()
+        dn = (d - dz) * (1 - n * n)
+        dr = dn * r
+        d_n[:, t] = dn
+        gate = d_in[:, t]
+        gate[2 * hidden:] = dr
+        gate[hidden: 2 * hidden] = dr * u * (1 - r)
+        gate[:hidden] = dz * (1 - z) * (states[:, t] - n)
+        carry += model["U"] @ gate
+    grads["U"] += states[:, :-1].reshape(hidden, -1) @ d_in.reshape(3 * hidden, -1).T
+    d_in[2 * hidden:] = d_n
+    flat = inputs.ravel()
+    order = np.argsort(flat.astype(np.int16) if len(xt[0]) < 1 << 15 else flat, kind="stable")
+    flat = flat[order]
+    starts = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+    grads["X"][flat[starts]] = np.add.reduceat(d_in.reshape(3 * hidden, -1).take(order, axis=1), starts, axis=1).T
+    return logp.sum(), grads, states[:, -1].T
 
 
 def train(model: dict, ids: np.ndarray, first: np.ndarray, start: int, memory: dict | None = None,
           lanes: int = 64, window: int = 16, rate: float = 0.03) -> tuple[dict, dict]:
     """One pass over the texts by truncated backpropagation: lanes read whole texts one after the
-    other, the state is carried over windows and cleared between texts. Adagrad steps on the mean
-    gradient of a window; ``memory`` is its state, for a further call."""
+    other, longest first, the state is carried over windows and cleared between texts. Adagrad steps
+    on the mean gradient of a window; ``memory`` is its state, for a further call."""
     groups = members(model)
     memory = memory or {k: np.full_like(model[k], 1e-6) for k in PARAMETERS}
-    waiting = list(range(len(first) - 2, -1, -1))
-    hidden = model["U"].shape[0]
-    text, place = np.full(lanes, -1), np.zeros(lanes, np.int64)
+    lengths = np.diff(first)
+    waiting = np.argsort(-lengths, kind="stable")
+    waiting = waiting[: np.count_nonzero(lengths)]
+    lanes, hidden = min(lanes, len(waiting)), model["U"].shape[0]
+    text, waiting = waiting[:lanes], waiting[lanes:]
+    place, stop = first[text], first[text + 1]
     h, previous = np.zeros((lanes, hidden), np.float32), np.full(lanes, start, np.int64)
-    while True:
-        for lane in range(lanes):
-            while text[lane] < 0 and waiting:
-                doc = waiting.pop()
-                if first[doc + 1] > first[doc]:
-                    text[lane], place[lane] = doc, first[doc]
-                    h[lane], previous[lane] = 0, start
-        live = text >= 0
-        if not live.any():
-            return model, memory
-        stop = np.where(live, first[np.maximum(text, 0) + 1], 0)
+    while len(place):
         at = place + np.arange(window)[:, None]
-        mask = live & (at < stop)
+        mask = at < stop
         targets = ids[np.where(mask, at, 0)]
         inputs = np.concatenate([previous[None], targets[:-1]])
         _, grads, h = gradients(model, groups, inputs, targets, mask, h)
-        count = mask.sum()
+        count = np.float32(mask.sum())
         for k in PARAMETERS:
-            g = grads[k] / count
+            g = grads[k]
+            g /= count
             memory[k] += g * g
-            model[k] -= rate * g / np.sqrt(memory[k])
-        done = mask.sum(axis=0)
-        previous = np.where(done > 0, targets[np.maximum(done - 1, 0), np.arange(lanes)], previous)
-        place += done
-        text[live & (place >= stop)] = -1
+            g *= rate
+            g /= np.sqrt(memory[k])
+            model[k] -= g
+        place, previous, h = place + window, targets[-1].astype(np.int64), np.ascontiguousarray(h)
+        ended = np.flatnonzero(place >= stop)
+        if len(ended):
+            fresh, lost = ended[: len(waiting)], ended[len(waiting):]
+            text, waiting = waiting[: len(fresh)], waiting[len(fresh):]
+            place[fresh], stop[fresh], h[fresh], previous[fresh] = first[text], first[text + 1], 0, start
+            if len(lost):
+                place, stop, previous, h = (np.delete(x, lost, axis=0) for x in (place, stop, previous, h))
+    return model, memory

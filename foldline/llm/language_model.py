@@ -3,9 +3,8 @@
 Word counts cover all training documents; the counts of every word also enter the score. The network
 (``gru``) predicts the VOCABULARY - 2 most frequent words, the text's end, and one id for all other
 words, which are then scored by their own counts among such words, with one added to each. It is
-trained by data-parallel passes: every task trains a copy on its share of the training texts, copies
-are averaged by tokens, and the next pass starts from the average. Passes read the whole texts of
-every TRAIN_STEP-th training document (by hash), so what is learnt from grows with the corpus.
+trained by one data-parallel pass over the whole texts of all training documents: every task trains
+a copy on its rows, and the copies are averaged by tokens.
 
 Scoring looks words up in a broadcast table of the FREQUENT most frequent words (a fixed bound). All
 other occurrences are joined with the full count table by word, and their sums by document return to
@@ -27,8 +26,7 @@ from .gru import PARAMETERS, new_model, pack, score, train, unpack
 
 FREQUENT = 65_536
 VOCABULARY = 1024
-TRAIN_STEP = 32
-PASSES = 2
+TRAIN_TOKENS = 4 << 20  # tokens a task gathers before it trains on them
 AVERAGERS = 8
 HELD_OUT_OF, HELD_OUT = 7, 2
 END_WORD = int(mix64(np.array([0xE0D], np.uint64)).view(np.int64)[0])  # stands for the end token
@@ -82,6 +80,21 @@ def _encoded(column: pa.Array, table: _Table):
     return words, place, out, first
 
 
+def _gathered(batches, table: _Table):
+    """(ids with ends, first id of each text) of all rows of a task, about TRAIN_TOKENS at a time."""
+    parts, sizes, tokens = [], [], 0
+    for batch in batches:
+        for _, part in slices(batch.column(0), 2 << 20):
+            _, _, ids, first = _encoded(part, table)
+            parts.append(ids), sizes.append(np.diff(first))
+            tokens += len(ids)
+            if tokens >= TRAIN_TOKENS:
+                yield np.concatenate(parts), np.append(0, np.cumsum(np.concatenate(sizes)))
+                parts, sizes, tokens = [], [], 0
+    if tokens:
+        yield np.concatenate(parts), np.append(0, np.cumsum(np.concatenate(sizes)))
+
+
 def _table(counts: DataFrame) -> tuple[dict, dict]:
     """The broadcast table and the totals; at most FREQUENT + 1 rows reach the driver."""
     totals = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
@@ -109,13 +122,10 @@ def _train_pass(texts: DataFrame, shared, model: dict) -> dict:
     start = spark.sparkContext.broadcast(model)
 
     def learn(batches):
-        own, memory, table, tokens = None, None, _Table(shared.value), 0
-        for batch in batches:
-            for _, part in slices(batch.column(0), 2 << 20):
-                _, _, ids, first = _encoded(part, table)
-                own = own or {k: v.copy() for k, v in start.value.items()}
-                own, memory = train(own, ids, first, END, memory)
-                tokens += len(ids)
+        own, memory, tokens = {k: v.copy() for k, v in start.value.items()}, None, 0
+        for ids, first in _gathered(batches, _Table(shared.value)):
+            own, memory = train(own, ids, first, END, memory, lanes=min(256, max(16, len(first) // 16)))
+            tokens += len(ids)
         if tokens:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([tokens], pa.int64()), pa.array([pack(own).astype(np.float32).tobytes()], pa.binary())], ["tokens", "weights"])
@@ -165,9 +175,7 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     table, sizes = _table(counts)
     shared = spark.sparkContext.broadcast(table)
     model = new_model(sizes["unigram"])
-    share = learning.where(F.pmod(F.xxhash64("id", "text"), F.lit(TRAIN_STEP)) == 0)
-    for _ in range(PASSES):
-        model = _train_pass(share, shared, model)
+    model = _train_pass(learning, shared, model)
     network = spark.sparkContext.broadcast({k: model[k] for k in [*PARAMETERS, "class"]})
     end_log = math.log10(sizes["ends"] + 1)
 

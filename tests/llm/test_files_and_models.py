@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from foldline.llm import gru, warc  # noqa: E402
+from foldline.llm import gru, language_model, warc  # noqa: E402
 from foldline.llm.common import scratch  # noqa: E402
 from foldline.llm.language_model import score_documents  # noqa: E402
 from foldline.llm.mixing import mix_documents, mix_report, source_targets  # noqa: E402
@@ -352,3 +352,38 @@ def test_base_scores_and_held_out_gain(spark):
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > 1.02 * sum(r["base_score"] for r in held)
     assert score_documents(docs.limit(0)).collect() == []
+
+
+def test_network_learns_from_every_training_row(spark, monkeypatch):
+    rows = [(i, f"one two three four own{i} " * (2 + i % 5)) for i in range(40)] + [(None, "one two"), (41, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, train_pass = [], language_model._train_pass
+
+    def noted(texts, shared, model):
+        trained = train_pass(texts, shared, model)
+        seen.append((texts.collect(), model, trained))
+        return trained
+
+    monkeypatch.setattr(language_model, "_train_pass", noted)
+    monkeypatch.setattr(language_model, "TRAIN_TOKENS", 50)
+    got = score_documents(docs.repartition(3)).collect()
+    want = [i for i, _ in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    assert [sorted((r["id"] for r in read), key=repr) for read, _, _ in seen] == [sorted(want, key=repr)]
+    assert not np.allclose(seen[0][1]["W"], seen[0][2]["W"])
+    assert len(got) == len(rows)
+
+
+def test_training_reads_every_token(monkeypatch):
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(0, 70, 50)
+    first = np.append(0, np.cumsum(lengths))
+    ids = rng.integers(1, 12, first[-1])
+    read, gradients = [], gru.gradients
+
+    def noted(model, groups, inputs, targets, mask, h0):
+        read.extend(targets[mask])
+        return gradients(model, groups, inputs, targets, mask, h0)
+
+    monkeypatch.setattr(gru, "gradients", noted)
+    gru.train(gru.new_model(np.bincount(ids, minlength=12), classes=3, hidden=4), ids, first, 0, lanes=8, window=8)
+    assert Counter(read) == Counter(ids)
