@@ -9,7 +9,9 @@ Which texts have word-shingle sets with a Jaccard similarity of at least ``thres
    shingle, so no link is lost. Shingles that whole batches share come last in that order, which
    only makes groups smaller.
 3. A group is cut into tiles of sizes within a factor 1/t. Each tile pairs about log2(m) of its m
-   classes with the others, which connects families of near copies without all their pairs.
+   classes with the others, which connects families of near copies without all their pairs. Groups
+   of common shingles, and others of more than BLOCK rows, are not held in a task: Spark counts
+   them, folds groups of the same members, picks pivots as minima and joins blocks of members.
 4. Candidate pairs are bounded from above by the bit counts of hashed bitmaps, and survivors are
    verified by the exact intersection of their shingle arrays.
 5. Groups whose classes are still in more than one component go to a second pass, in tiles of two
@@ -36,6 +38,7 @@ from .components import connected_components
 THRESHOLD = Fraction(3, 4)
 WIDTH = 5
 BLOCK = 4096
+PIVOT_CELLS = 32
 ORDER_SAMPLE = 20_000
 COMMON_IN_SAMPLE = 8
 COMMON_KEPT = 100_000
@@ -95,8 +98,16 @@ def _common_shingles(source: DataFrame, threshold: Fraction) -> np.ndarray:
 
 
 def _prefix_rows(source: DataFrame, threshold: Fraction, common: np.ndarray) -> DataFrame:
-    """One pass over the texts: (kind 0) row id, digest and size of each row; (kind 1) prefix
-    shingle, digest and size of each different text of a task."""
+    """One pass over the texts: (kind 0) row id, digest and size of each row; (kind 1; 2 for the
+    shingles in ``common``) prefix shingle, digest and size of each different text of a task."""
+
+    def sent(parts):
+        tokens, ids, sizes = (np.concatenate(p) for p in parts)
+        kinds = np.ones(len(tokens), np.int32)
+        if len(common):
+            at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+            kinds[common[at] == tokens] = 2
+        return _prefix_batch(kinds, as_long(tokens), ids, sizes)
 
     def run(batches):
         seen = set()  # digests this task has sent: copies send their shingles once a task
@@ -118,10 +129,10 @@ def _prefix_rows(source: DataFrame, threshold: Fraction, common: np.ndarray) ->
                 tokens.append(values[:keep]), ids.append(np.full(keep, digest)), sizes.append(np.full(keep, n))
                 waiting += keep
                 if waiting > 200_000:
-                    yield _prefix_batch(1, as_long(np.concatenate(tokens)), np.concatenate(ids), np.concatenate(sizes))
+                    yield sent((tokens, ids, sizes))
                     tokens, ids, sizes, waiting = [], [], [], 0
             if waiting:
-                yield _prefix_batch(1, as_long(np.concatenate(tokens)), np.concatenate(ids), np.concatenate(sizes))
+                yield sent((tokens, ids, sizes))
             yield _prefix_batch(0, batch.column(0), rows_digest, rows_size)
 
     return source.mapInArrow(run, "kind int, token long, id long, n int")
@@ -130,17 +141,24 @@ def _prefix_rows(source: DataFrame, threshold: Fraction, common: np.ndarray) ->
 def _prefix_batch(kind, tokens, ids, sizes):
     tokens = tokens if isinstance(tokens, pa.Array) else pa.array(tokens)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(tokens), kind, np.int32)), tokens, pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())],
+        [pa.array(np.broadcast_to(kind, len(tokens)).astype(np.int32)), tokens, pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())],
         ["kind", "token", "id", "n"])
 
 
-def _runs(batches):
-    """Whole groups of equal tokens, with each (token, id) once, from batches of (token, id, n)
-    sorted by token and id; a group is carried across batches until it ends."""
-    rest = None
+def _runs(batches, most: int):
+    """(rows, starts of groups) of whole groups of equal tokens, with each (token, id) once, from
+    batches of (token, id, n) sorted by token and id. A group is carried across batches until it
+    ends or has more than ``most`` rows; the rows of such a group come as they are, without starts."""
+    rest, long = None, None
     for part in batches:
         if rest is not None:
             part = [np.concatenate([a, b]) for a, b in zip(rest, part)]
+            rest = None
+        if long is not None:
+            end = int(np.searchsorted(part[0], long, "right"))
+            if end:
+                yield [p[:end] for p in part], None
+            part = [p[end:] for p in part]
         if not len(part[0]):
             continue
         new = np.ones(len(part[0]), bool)
@@ -148,7 +166,10 @@ def _runs(batches):
         part = [p[new] for p in part]
         starts = np.concatenate([[0], np.flatnonzero(part[0][1:] != part[0][:-1]) + 1])
         yield [p[: starts[-1]] for p in part], starts
-        rest = [p[starts[-1]:] for p in part]
+        rest, long = [p[starts[-1]:] for p in part], None
+        if len(rest[0]) > most:
+            yield rest, None
+            rest, long = None, rest[0][0]
     if rest is not None and len(rest[0]):
         yield rest, np.array([0, len(rest[0])])
 
@@ -165,7 +186,8 @@ def _stars(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
     """Pairs (kind 0: a, b) of each tile's pivots with its others, members (kind 1: key, id, n) of
-    groups of three or more (equal members give equal keys), and rows (kind 2: id, digest, n)."""
+    groups of three or more (equal members give equal keys), rows (kind 2: id, digest, n), and what
+    ``_large_groups`` takes (kind 3: token, id, n): common shingles and groups above BLOCK rows."""
     up, down = threshold.numerator, threshold.denominator
 
     def out(kind, key, a, b):
@@ -174,6 +196,8 @@ def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
             [pa.array(np.full(len(key), kind, np.int32)), key, pa.array(a, pa.int64()), pa.array(b, pa.int64())],
             ["kind", "key", "a", "b"])
 
+    most = BLOCK
+
     def run(batches):
         passed = []
 
@@ -184,12 +208,19 @@ def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
                 if rows:
                     part = batch.slice(0, rows)
                     passed.append(out(2, part.column(1), part.column(2), part.column(3).cast(pa.int64())))
-                part = batch.slice(rows)
+                single = int(np.searchsorted(own, 2))
+                if single < len(own):
+                    part = batch.slice(single)
+                    passed.append(out(3, part.column(1), part.column(2), part.column(3).cast(pa.int64())))
+                part = batch.slice(rows, single - rows)
                 yield [part.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3)]
 
-        for part, starts in _runs(grouped()):
+        for part, starts in _runs(grouped(), most):
             yield from passed
             passed.clear()
+            if starts is None:
+                yield out(3, part[0], part[1], part[2].astype(np.int64))
+                continue
             pairs, members = [], []
             lengths, (_, all_ids, all_sizes) = np.diff(starts), part
             two = starts[:-1][lengths == 2]
@@ -219,6 +250,51 @@ def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
     return sorted_rows.mapInArrow(run, "kind int, key long, a long, b long")
 
 
+def _large_groups(tiles: DataFrame, threshold: Fraction) -> DataFrame:
+    """(kind, key, a, b) as of ``_tiles`` (kinds 0 and 1) for the groups of its kind 3.
+
+    Groups of the same members are folded to one. Members are banded by size; pivots are the least
+    ids (digests, so in random order) of a band and the band below, out of the minima of PIVOT_CELLS
+    cells. Members meet the pivots in blocks of about BLOCK rows, so no task holds a group."""
+    step = math.log(threshold.denominator / threshold.numerator)
+    rows = materialize(
+        tiles.where("kind = 3").select(F.col("key").alias("token"), F.col("a").alias("id"), F.col("b").alias("n"))
+        .distinct().withColumn("band", F.floor(F.log("n") / step)), "ngram-large")
+    same = (
+        rows.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"),
+                                  F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+        .where("m > 1").groupBy("m", "x", "y").agg(F.min("token").alias("token"))
+        .select("token", F.xxhash64("m", "x", "y").alias("key"))
+    )
+    cells = rows.groupBy("token", "band", F.pmod("id", F.lit(PIVOT_CELLS)).alias("cell")).agg(
+        F.min("id").alias("id"), F.count("*").alias("m"))
+    bands = cells.groupBy("token", "band").agg(
+        F.sort_array(F.collect_list("id")).alias("least"), F.sum("m").alias("m"))
+    bands = materialize(
+        bands.join(same.hint("merge"), "token")
+        .withColumn("least", F.slice("least", 1, F.greatest(F.lit(2), F.floor(F.log2("m"))).cast("int"))), "ngram-bands")
+    pivots = (
+        bands.select("token", "band", "key", "least")
+        .union(bands.select("token", F.col("band") + 1, "key", "least"))
+        .groupBy("token", "band", "key").agg(F.flatten(F.collect_list("least")).alias("pivots"))
+    )
+    blocks = bands.where(F.col("m") > BLOCK).select("token", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    dealt = (
+        rows.join(F.broadcast(blocks), ["token", "band"], "left")
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int")).drop("blocks")
+    )
+    copied = (
+        pivots.join(F.broadcast(blocks), ["token", "band"], "left")
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
+    )
+    met = materialize(
+        dealt.hint("merge").join(copied, ["token", "band", "block"]).select("key", "id", "n", "pivots"), "ngram-met")
+    pairs = met.select("id", F.explode("pivots").alias("pivot")).where("id <> pivot").select(
+        F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"), F.least("id", "pivot").alias("a"),
+        F.greatest("id", "pivot").alias("b")).distinct()
+    return pairs.union(met.select(F.lit(1), "key", "id", "n"))
+
+
 def _class_sets(source: DataFrame, rows: DataFrame, tiles: DataFrame) -> DataFrame:
     """(id = class digest, n, bitmap, text) of the classes that occur in tiles, written once. Texts
     take less room than their shingles, which only pairs that pass the bitmaps need.
@@ -375,10 +451,12 @@ def ngram_jaccard_join(
     """
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     prefix = _prefix_rows(source, threshold, _common_shingles(source, threshold))
-    dealt = prefix.repartition(F.when(F.col("kind") == 0, F.xxhash64("token", "id")).otherwise(F.col("token")))
+    dealt = prefix.repartition(F.when(F.col("kind") == 1, F.col("token")).otherwise(F.xxhash64("token", "id")))
     tiles = materialize(_tiles(dealt.sortWithinPartitions("kind", "token", "id"), threshold), "ngram-tiles")
     rows = tiles.where("kind = 2").select(
         F.col("key").alias("id"), F.col("b").alias("n"), F.col("a").alias("digest"))
+    if not tiles.where("kind = 3").isEmpty():
+        tiles = tiles.where("kind < 2").union(materialize(_large_groups(tiles, threshold), "ngram-large-tiles"))
     sets = _class_sets(source, rows, tiles)
     links = materialize(_verified(tiles.where("kind = 0"), sets, threshold), "ngram-links")
     labels = connected_components(links)

@@ -209,3 +209,32 @@ def test_reliabilities_and_classifier():
     scores = train_classifier(counts, chance)
     assert scores["phone:++++++"] > 0.8 > 0.4 > scores["phone:0-00-0"]
     assert estimate_reliabilities({}) == {} == train_classifier({}, {})
+
+
+# ------------------------------------------------------- n-gram join of large groups
+
+
+def test_groups_are_not_carried_beyond_their_bound():
+    rng = np.random.default_rng(5)
+    tokens = np.sort(np.concatenate([np.full(900, 7), np.full(30, 9), rng.integers(0, 20, 200)]))
+    ids = np.concatenate([np.arange(n) for n in np.unique(tokens, return_counts=True)[1]])
+    rows = [tokens, ids, ids + 1]
+    whole, loose = [], []
+    for part, starts in ngram_join._runs(([r[a: a + 50] for r in rows] for a in range(0, len(tokens), 50)), 100):
+        assert len(part[0]) <= 200
+        (loose if starts is None else whole).extend(zip(part[0], part[1]))
+    assert {t for t, _ in loose} == {7} and 7 not in {t for t, _ in whole}
+    assert sorted(whole + loose) == sorted(zip(tokens, ids))
+
+
+@pytest.mark.parametrize("common", [8, 10**9])
+def test_families_of_near_copies_are_linked_in_blocks(spark, monkeypatch, common):
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "COMMON_IN_SAMPLE", common)
+    rows = []
+    for family in range(2):
+        body = " ".join(f"f{family}w{i}" for i in range(60))
+        rows += [(1000 * family + i, f"{body} " + " ".join(f"own{family}x{i}y{k}" for k in range(i % 9))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_jaccard_join(docs).collect()}
+    assert got == {i: i // 1000 * 1000 for i, _ in rows}
