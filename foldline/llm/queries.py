@@ -14,8 +14,10 @@ from .pii import pii_report
 from .quality import quality_report
 from .sharding import shard_report
 from .site_tree import extract_main_text
+from .spelling import spelling_variants
 from .token_files import token_round_trip
 from .warc import warc_round_trip
+from .whitening import whitening_report
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +73,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened on the 16 leading components of the distinct vectors."""
+    return whitening_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of whole documents, their near words and the frequent forms they stand for."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
@@ -82,4 +94,6 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_token_files": op10_token_files,
+    "op11_whitening": op11_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
