@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import find_items
+from .language_id import identify_language
 from .language_model import score_documents
 from .mixing import mix_report
 from .ngram_join import ngram_jaccard_join
@@ -78,6 +79,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening_report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document, by known words first, then by character n-grams."""
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of whole documents, their near words and the frequent forms they stand for."""
     return spelling_variants(table(spark, sf_dir, "documents"))
@@ -95,5 +101,6 @@ QUERIES = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_token_files": op10_token_files,
     "op11_whitening": op11_whitening,
+    "op12_language_id": op12_language_id,
     "op13_spelling_variants": op13_spelling_variants,
 }
