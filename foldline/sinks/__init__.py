@@ -1,9 +1,10 @@
 """Sinks: K1 published files, K2-K7 guarded tables."""
 
 from .files import output_name, publish_file, swap_in
-from .tables import TableLoadError, column_type, save_table, table_location, table_schema
+from .tables import TableConflict, TableLoadError, column_type, save_table, table_location, table_schema, table_version
 
 __all__ = [
+    "TableConflict",
     "TableLoadError",
     "column_type",
     "output_name",
@@ -12,4 +13,5 @@ __all__ = [
     "swap_in",
     "table_location",
     "table_schema",
+    "table_version",
 ]

@@ -8,22 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.names import positive_int, quote
-from ..sinks.tables import TableLoadError, identifier, register_table, table_location, table_name
+from ..functions.names import positive_int
+from ..sinks.tables import TableLoadError, follow_pointer, register_table, table_location, table_name
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     """The rows of a registered table (its Parquet files at its location).
 
-    The file listing is refreshed first: the table may have been rewritten by
-    another session (a streaming query's batch, another job).
+    The catalog entry is brought up to the table's current version first, and its file listing
+    refreshed: another process may have overwritten the table or appended to it.
     """
     name = table_name(database, table)
     if not spark.catalog.tableExists(f"{database}.{table}"):
         raise TableLoadError(f"table {database}.{table} is not registered")
     if table_location(spark, database, table) is None:
         raise TableLoadError(f"table {database}.{table} has no location")
-    spark.catalog.refreshTable(name)
+    follow_pointer(spark, database, table)
     return spark.table(name)
 
 
@@ -42,7 +42,7 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """M2."""
-    return spark.sql(f"SHOW TABLES IN {quote(identifier(database, 'database'))}")
+    return spark.sql(f"SHOW TABLES IN {table_name(database)}")
 
 
 def describe_table(spark: SparkSession, database: str, table: str) -> DataFrame:
