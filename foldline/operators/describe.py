@@ -8,12 +8,14 @@ Scale notes
 -----------
 * Histogram: one min/max/count aggregate, then a ``groupBy(bin)`` with at most 100 keys; both are
   partial aggregates, so a hot value costs nothing extra.
-* Box statistics: exact quartiles by narrowing, without a shuffle of rows and without scratch files.
-  A first pass brackets the wanted ranks per category (a quantile sketch, or equal cells for weighted
-  rows); a second folds all rows outside the brackets to a few counts per category, and rows inside
-  to distinct values, both as partial aggregates. Running counts over that small table give the ranks.
-* Any number of categories: per-category state goes to the rows as literals (one group), as a
-  broadcast of at most ``SMALL_STATE`` rows, or, beyond, by a join that Spark plans by size.
+* Box statistics: exact quartiles by narrowing, without a shuffle of rows. A first pass brackets the
+  wanted ranks per category (a quantile sketch; all values for weighted rows). Each round then folds
+  the rows outside the brackets to a few counts and those inside to counts of CELLS cells, as partial
+  aggregates; running counts over these, a fixed number a category, give the ranks or the cells that
+  hold them, which are the next round's brackets. Small inputs are done after one round.
+* Any number of categories: per-category state is evaluated once a round and goes to the rows as
+  literals (one group), as a broadcast of at most ``SMALL_STATE`` rows, or, beyond, written to the
+  shared folder, by a join that Spark plans by size.
 """
 
 from __future__ import annotations
@@ -37,8 +39,8 @@ MAX_CATEGORIES = 20
 WHISKER_REACH = 1.5
 # Rows of per-category state that may be broadcast; more go through a planned join.
 SMALL_STATE = 10_000
-# Cells into which a pass over weighted rows divides the range that still holds a wanted rank.
-CELLS = 1000
+# Cells into which a round divides each range of values that still holds a wanted rank.
+CELLS = 4096
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 
 
@@ -113,18 +115,21 @@ def check_category_count(df: DataFrame, category: str | Column, limit: int = MAX
 def ordered_categories(df: DataFrame, category: str) -> DataFrame:
     """L2: distinct categories with their case-insensitive display position, any number of them.
 
-    Categories are counted by the first characters of their sort key; a running count over these
-    (few) prefixes plus the place within a prefix gives the position.
+    Categories are range-partitioned by sort key, ties by the category itself, and written with
+    their place in their partition; counts of the partitions (one row each) give the offsets.
     """
     name = resolve(df, category)
     cats = drop_nulls(df, [name]).select(category_text(df, name).alias("category")).distinct()
-    cats = cats.withColumn("_key", F.lower("category")).withColumn("_prefix", F.left("_key", F.lit(3)))
-    prefixes = cats.groupBy("_prefix").count()
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = prefixes.select("_prefix", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_prefix").orderBy("_key", "category"))
-    placed = cats.withColumn("_place", place).join(offsets, "_prefix")
-    return placed.select("category", (F.col("_before") + F.col("_place")).cast("bigint").alias("position"))
+    order = [F.lower("category"), F.col("category")]
+    ranged = cats.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The id has the partition in its upper 31 bits and the row's place in it in the lower 33.
+    placed = _freeze(ranged.withColumn("_id", F.monotonically_increasing_id()), "category-order")
+    part = F.shiftright("_id", 33).alias("_part")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(part).count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    rows = placed.select("category", part, place.alias("_place")).join(offsets, "_part")
+    return rows.select("category", (F.col("_before") + F.col("_place")).cast("bigint").alias("position"))
 
 
 # ------------------------------------------------------------------- histogram
@@ -223,19 +228,31 @@ def category_text(df: DataFrame, name: str) -> Column:
 
 
 def _attach(rows: DataFrame, state: DataFrame, single: bool) -> DataFrame:
-    """``rows`` with the columns of ``state`` (one row per category).
-
-    One group: literals. At most SMALL_STATE rows: a broadcast of just these rows, so the data
-    stays where it is. More: an ordinary join. ``state`` is evaluated here, once, up to that bound.
-    """
-    found = state.limit(SMALL_STATE + 1).collect()
-    if single:
-        row = found[0]
+    """``rows`` with the columns of ``state`` (one row per category); see ``_known``."""
+    return _joined(rows, *_known(state, single))
+
+
+def _known(state: DataFrame, single: bool) -> tuple[list | None, DataFrame]:
+    """``state``, evaluated once: its rows at the driver if they are SMALL_STATE at most, and a frame
+    of them; else None and the frame written to the shared folder."""
+    state = state.persist()
+    try:
+        found = state.limit(1 if single else SMALL_STATE + 1).collect()
+        if len(found) <= SMALL_STATE:
+            return found, state.sparkSession.createDataFrame(found, state.schema)
+        return None, _freeze(state, "category-state")
+    finally:
+        state.unpersist()
+
+
+def _joined(rows: DataFrame, found: list | None, state: DataFrame) -> DataFrame:
+    """One category: its state as literals. Up to SMALL_STATE: a broadcast of just these rows, so the
+    data stays where it is. More: an ordinary join."""
+    if found is not None and len(found) == 1:
         fields = [f for f in state.schema.fields if f.name != "category"]
-        return rows.select("*", *[_literal(row[f.name], f.dataType).alias(f.name) for f in fields])
-    if len(found) <= SMALL_STATE:
-        state = F.broadcast(rows.sparkSession.createDataFrame(found, state.schema))
-    return rows.join(state, "category")
+        own = F.col("category") == F.lit(found[0]["category"])
+        return rows.where(own).select("*", *[_literal(found[0][f.name], f.dataType).alias(f.name) for f in fields])
+    return rows.join(F.broadcast(state) if found is not None else state, "category")
 
 
 def _literal(value, data_type: T.DataType) -> Column:
@@ -244,105 +261,125 @@ def _literal(value, data_type: T.DataType) -> Column:
     return F.lit(value).cast(data_type)
 
 
-def _sketch_brackets(rows: DataFrame, accuracy: int) -> DataFrame:
-    """Per category: number of rows and a bracket of values around each quartile.
+def _first_brackets(rows: DataFrame, weighted: bool, accuracy: int) -> DataFrame:
+    """Per category: ``n`` (rows, or their weights), ``bad_weights``, and a bracket of values around
+    each quartile, ``low`` and ``high`` of one array entry a quartile.
 
-    A sketch of accuracy a finds a quantile up to 1/a of the rows; brackets reach 4/a to both sides.
-    """
-    reach = 4.0 / accuracy
-    points = [min(1.0, max(0.0, p + side * reach)) for _, p in QUARTILES for side in (-1, 1)]
-    found = F.percentile_approx("value", F.array(*map(F.lit, points)), F.lit(accuracy))
-    state = rows.groupBy("category").agg(F.sum("w").alias("n"), found.alias("_q"))
-    low = F.array(*[F.col("_q")[2 * i] for i in range(len(QUARTILES))])
-    high = F.array(*[F.col("_q")[2 * i + 1] for i in range(len(QUARTILES))])
-    return state.select("category", "n", low.alias("low"), high.alias("high"))
-
-
-def _cell_brackets(rows: DataFrame, single: bool) -> DataFrame:
-    """As ``_sketch_brackets`` for weighted rows: ranges are cut into CELLS equal cells whose
-    weights are summed; the cells that hold the wanted ranks are cut once more."""
-    state = rows.groupBy("category").agg(
-        F.sum("w").alias("n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-    names = [label for label, _ in QUARTILES]
-    state = state.select(
-        "category", "n",
-        F.array(*[F.col("_lo") for _ in names]).alias("low"), F.array(*[F.col("_hi") for _ in names]).alias("high"))
-    for _ in range(2):
-        marked = _attach(rows, state, single)
-        marked = marked.select("category", "value", "w", "n", F.posexplode(F.arrays_zip("low", "high")).alias("i", "b"))
-        low, high, v = F.col("b.low"), F.col("b.high"), F.col("value")
-        width = (high - low) / F.lit(float(CELLS))
-        cell = F.when(v < low, F.lit(-1)).when(v > high, F.lit(CELLS)).when(width <= 0, F.lit(0)).otherwise(
-            F.least(F.floor((v - low) / width), F.lit(CELLS - 1)).cast("int"))
-        cells = marked.groupBy("category", "n", "i", cell.alias("cell")).agg(
-            F.sum("w").alias("w"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        upto = F.sum("w").over(Window.partitionBy("category", "i").orderBy("cell"))
-        cells = cells.withColumn("end", upto).withColumn("start", F.col("end") - F.col("w"))
-        h = F.element_at(F.array(*[F.lit(p) for _, p in QUARTILES]), F.col("i") + 1) * (F.col("n") - 1)
-        hit = (F.col("end") > F.floor(h)) & (F.col("start") <= F.ceil(h))
-        bounds = cells.where(hit).groupBy("category", "n", "i").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        ordered = F.array_sort(F.collect_list(F.struct("i", "lo", "hi")))  # one row a quartile
-        state = bounds.groupBy("category", "n").agg(ordered.alias("b")).select(
-            "category", "n", F.col("b.lo").alias("low"), F.col("b.hi").alias("high"))
-    return state
+    Unweighted rows are bracketed by a quantile sketch: one of accuracy a finds a quantile up to
+    1/a of the rows, and brackets reach 4/a to both sides. Weighted rows start from all values."""
+    size = len(QUARTILES)
+    if weighted:
+        counted = F.when(F.col("w") > 0, F.col("value"))
+        state = rows.groupBy("category").agg(
+            F.sum(F.when(F.col("w") > 0, F.col("w"))).alias("n"), _bad_weights("w"),
+            F.min(counted).alias("_lo"), F.max(counted).alias("_hi"))
+        low, high = (F.array(*[F.col(c)] * size) for c in ("_lo", "_hi"))
+    else:
+        reach = 4.0 / accuracy
+        points = [min(1.0, max(0.0, p + side * reach)) for _, p in QUARTILES for side in (-1, 1)]
+        found = F.percentile_approx("value", F.array(*map(F.lit, points)), F.lit(accuracy))
+        state = rows.groupBy("category").agg(
+            F.sum("w").alias("n"), F.lit(0).cast("bigint").alias("bad_weights"), found.alias("_q"))
+        low, high = (F.array(*[F.col("_q")[2 * i + k] for i in range(size)]) for k in (0, 1))
+    return state.select("category", "n", "bad_weights", low.alias("low"), high.alias("high"))
+
+
+def _magnitude(v: Column) -> Column:
+    """A function that never falls as ``v`` rises, one unit for each doubling on either side of zero."""
+    size = F.log2(F.abs(v)) + F.lit(1075.0)
+    return F.when(v == 0, F.lit(0.0)).when(v > 0, size).otherwise(-size)
+
+
+def _cell(v: Column, low: Column, high: Column) -> Column:
+    """The cell of ``v`` among CELLS between low and high: equal steps between numbers of a like
+    size, equal steps of their logarithms else. The ends come into the first and the last cell."""
+    near = (low == high) | (F.abs(_magnitude(high) - _magnitude(low)) <= 1)
+    share = F.when(near, (v - low) / F.nullif(high - low, F.lit(0.0))).otherwise(
+        (_magnitude(v) - _magnitude(low)) / F.nullif(_magnitude(high) - _magnitude(low), F.lit(0.0)))
+    return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * CELLS), F.lit(CELLS - 1)).cast("int")
+
+
+def _spans(rows: DataFrame, known_state: list | None, state: DataFrame) -> DataFrame:
+    """The rows folded by category and span: one span a gap for rows outside the brackets of
+    ``state``, one a cell for those inside, with the summed weight, smallest and largest value. Spans
+    do not overlap, and a category has (number of quartiles) x (CELLS + 1) + 1 of them at most."""
+    marked = _joined(rows, known_state, state)
+    v, place, gap = F.col("value"), F.lit(None).cast("int"), F.lit(0)
+    for i in reversed(range(len(QUARTILES))):
+        low, high = F.get("low", F.lit(i)), F.get("high", F.lit(i))
+        place = F.when((v >= low) & (v <= high), F.lit(i * CELLS) + _cell(v, low, high)).otherwise(place)
+        gap = gap + F.when(v > high, 1).otherwise(0)
+    return marked.groupBy("category", F.coalesce(place, -1 - gap).alias("span")).agg(
+        F.sum("w").alias("w"), F.min("value").alias("first"), F.max("value").alias("last"))
+
+
+def _narrowed(rows: DataFrame, known_state: list | None, state: DataFrame) -> DataFrame:
+    """One round: from ``state``, each category's n, low, high and ``found`` (the values at the
+    wanted ranks, null while unknown), that state anew.
+
+    Running weights over a category's spans, a bounded number whatever its rows, give the span of
+    each wanted rank. A rank is known if its span has one value, or if it is the first or last of
+    its span; else its span is the next round's bracket."""
+    spans = _joined(_spans(rows, known_state, state), known_state, state)
+    running = Window.partitionBy("category").orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
+    spans = spans.withColumn("end", F.sum("w").over(running)).withColumn("start", F.col("end") - F.col("w"))
+    holding = []
+    for j, k in enumerate(_ranks()):
+        own = (F.col("start") <= k) & (k < F.col("end"))
+        known = F.when((k == F.col("start")) | (F.col("first") == F.col("last")), F.col("first")).when(
+            k == F.col("end") - 1, F.col("last"))
+        holding.append(F.max(F.when(own, F.struct("first", "last", known.alias("known")))).alias(f"s{j}"))
+    picked = spans.groupBy("category").agg(F.first("n").alias("n"), F.first("found").alias("found"), *holding)
+    known = [F.coalesce(F.get("found", F.lit(j)), F.col(f"s{j}.known")) for j in range(2 * len(QUARTILES))]
+    low, high = [], []
+    for i in range(len(QUARTILES)):
+        both = known[2 * i].isNotNull() & known[2 * i + 1].isNotNull()
+        low.append(F.coalesce(known[2 * i], F.col(f"s{2 * i}.first")))
+        high.append(F.when(both, known[2 * i]).otherwise(F.coalesce(known[2 * i + 1], F.col(f"s{2 * i + 1}.last"))))
+    return picked.select("category", "n", F.array(*low).alias("low"), F.array(*high).alias("high"), F.array(*known).alias("found"))
+
+
+def _ranks() -> list[Column]:
+    """The ranks (from 0) below and above each quartile."""
+    at = [(F.col("n") - 1) * F.lit(p) for _, p in QUARTILES]
+    return [side(h).cast("bigint") for h in at for side in (F.floor, F.ceil)]
 
 
 def _exact_quartiles(rows: DataFrame, weighted: bool, accuracy: int, single: bool) -> DataFrame:
     """``category, n, q1, median, q3``: the values at the ranks next to each quartile, interpolated
-    as NumPy does.
-
-    Rows outside the brackets of their category are counted per gap between brackets, rows inside
-    per value. A wanted rank lies on such a value, or on the first or last row of a gap, whose
-    smallest and largest values are kept; anything else would be a failed bracket and raises.
-    """
+    as NumPy does. Rounds of ``_narrowed`` go on until all ranks are known; each makes the brackets
+    CELLS times narrower, and at least splits the smallest from the largest value inside."""
+    found, state = _known(_first_brackets(rows, weighted, accuracy), single)
+    checks = found if found is not None else state.agg(F.sum("n").alias("n"), F.sum("bad_weights").alias("bad_weights")).collect()
+    _require_rows({"n": sum(r["n"] or 0 for r in checks), "bad_weights": sum(r["bad_weights"] or 0 for r in checks)})
     if weighted:
         rows = rows.where("w > 0")
-    brackets = _cell_brackets(rows, single) if weighted else _sketch_brackets(rows, accuracy)
-    marked = _attach(rows, brackets, single)
-    v = F.col("value")
-    inside, gap = F.lit(False), F.lit(0)
-    for i in range(len(QUARTILES)):
-        low, high = F.get("low", F.lit(i)), F.get("high", F.lit(i))
-        inside = inside | ((v >= low) & (v <= high))
-        gap = gap + F.when(v > high, 1).otherwise(0)
-    folded = marked.groupBy("category", "n", F.when(inside, v).alias("own"), F.when(~inside, gap).alias("gap")).agg(
-        F.sum("w").alias("w"), F.min("value").alias("first"), F.max("value").alias("last"))
-    running = Window.partitionBy("category").orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
-    spans = folded.withColumn("end", F.sum("w").over(running)).withColumn("start", F.col("end") - F.col("w"))
-
-    def at(k: Column) -> Column:
-        """The value at rank ``k`` if this span holds it."""
-        value = (
-            F.when((k == F.col("start")) | (F.col("first") == F.col("last")), F.col("first"))
-            .when(k == F.col("end") - 1, F.col("last"))
-            .otherwise(F.raise_error(F.lit("a quartile lies outside its bracket; raise the accuracy")).cast("double"))
-        )
-        return F.when((F.col("start") <= k) & (k < F.col("end")), value)
-
-    neighbours = []
-    for label, p in QUARTILES:
-        h = (F.col("n") - 1) * F.lit(p)
-        neighbours += [F.max(at(F.floor(h))).alias(f"{label}_lo"), F.max(at(F.ceil(h))).alias(f"{label}_hi")]
-    picked = spans.groupBy("category", "n").agg(*neighbours)
+    unknown = F.array_repeat(F.lit(None).cast("double"), 2 * len(QUARTILES))
+    state = state.where("n > 0").drop("bad_weights").withColumn("found", unknown)
+    if found is not None:
+        found = [T.Row(**{**r.asDict(), "found": [None] * (2 * len(QUARTILES))}) for r in found if r["n"]]
+    while True:
+        found, state = _known(_narrowed(rows, found, state), single)
+        is_open = F.exists("found", lambda x: x.isNull())
+        if not (any(None in r["found"] for r in found) if found is not None else not state.where(is_open).isEmpty()):
+            break
     out = []
-    for label, p in QUARTILES:
+    for i, (label, p) in enumerate(QUARTILES):
         h = (F.col("n") - 1) * F.lit(p)
-        share, low, high = h - F.floor(h), F.col(f"{label}_lo"), F.col(f"{label}_hi")
+        share, low, high = h - F.floor(h), F.get("found", F.lit(2 * i)), F.get("found", F.lit(2 * i + 1))
         # NumPy's linear interpolation, including its form for shares from one half on.
         from_low, from_high = low + (high - low) * share, high - (high - low) * (F.lit(1.0) - share)
         out.append(F.when(share >= F.lit(0.5), from_high).otherwise(from_low).alias(label))
-    return picked.select("category", F.col("n").cast("bigint").alias("n"), *out)
+    return state.select("category", F.col("n").cast("bigint").alias("n"), *out)
 
 
 def _quartiles_of(rows: DataFrame, weighted: bool, exact: bool, accuracy: int, single: bool) -> DataFrame:
-    if rows.isEmpty():
-        raise ValueError("the frame holds no data for the diagram")
-    if weighted:
-        if not exact:
-            raise ValueError("weights need exact=True")
-        _require_rows(rows.agg(F.count(F.when(F.col("w") != 0, 1)).alias("n"), _bad_weights("w")).first())
+    if weighted and not exact:
+        raise ValueError("weights need exact=True")
     if exact:
         return _exact_quartiles(rows, weighted, accuracy, single)
+    if rows.isEmpty():
+        raise ValueError("the frame holds no data for the diagram")
     probabilities = F.array(*[F.lit(p) for _, p in QUARTILES])
     found = rows.groupBy("category").agg(
         F.sum("w").alias("n"), F.percentile_approx("value", probabilities, accuracy).alias("_q"))
@@ -361,8 +398,7 @@ def quartiles(
     """Per-category ``n, q1, median, q3`` (the first half of D2).
 
     ``accuracy`` is that of the quantile sketch: the result with ``exact=False``, and the width of
-    the brackets otherwise (about 8/accuracy of a category's rows are folded by value around each
-    quartile). Weights must be whole counts, not null and not negative. A frame without rows raises
+    the first brackets otherwise, which decides how many rounds are needed, not the result. Weights must be whole counts, not null and not negative. A frame without rows raises
     ValueError. A floating category reads as Spark casts it to text (``1.0E7``).
     """
     rows = _box_input(df, value, category, weight, max_rows)

@@ -246,3 +246,85 @@ def test_histogram_bins_finer_than_floats(spark):
     df = spark.createDataFrame([(1.0,), (1.0 + 2.2e-16,)], "v double")
     with pytest.raises(ValueError):
         histogram(df, "v", bins=50)
+
+
+def _wide_rows():
+    import random
+
+    rng = random.Random(4)
+    rows = [("wide", rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300)) for _ in range(300)]
+    rows += [("wide", 0.0)] * 9 + [("wide", -0.0)] * 3 + [("wide", 5e-324)] * 4 + [("wide", 1.7e308), ("wide", -1.7e308)]
+    rows += [("near", 1.0 + i * 2.0 ** -52) for i in range(101)]  # neighbours in floating point
+    rows += [("same", 7.25)] * 50 + [("one", 3.0)] + [("two", -1.0), ("two", 2.0)]
+    rows += [("heavy", rng.random()) for _ in range(100)] + [("heavy", 1e300)] * 2
+    return rows
+
+
+@pytest.mark.parametrize("cells,weighted", [(4, False), (4, True), (4096, True)])
+def test_quartiles_by_rounds(spark, monkeypatch, cells, weighted):
+    """Few cells mean many rounds; the result stays that of NumPy, and spans stay bounded."""
+    from foldline.operators import describe
+
+    monkeypatch.setattr(describe, "CELLS", cells)
+    spans, sizes = describe._spans, []
+
+    def counted(*arguments):
+        found = spans(*arguments)
+        sizes.append(max(r["count"] for r in found.groupBy("category").count().collect()))
+        return found
+
+    monkeypatch.setattr(describe, "_spans", counted)
+    rows = _wide_rows()
+    groups = {}
+    if weighted:
+        frame = spark.createDataFrame([(c, v, 1 + i % 3) for i, (c, v) in enumerate(rows)] + [("none", 1.0, 0)], "cat string, v double, w int")
+        for i, (c, v) in enumerate(rows):
+            groups.setdefault(c, []).extend([v] * (1 + i % 3))
+    else:
+        frame = spark.createDataFrame(rows, "cat string, v double")
+        for c, v in rows:
+            groups.setdefault(c, []).append(v)
+    got = quartiles(frame, "v", "cat", weight="w" if weighted else None, accuracy=20).collect()
+    assert {r.category: (r.n, r.q1, r.median, r.q3) for r in got} == {
+        c: (len(v), *np.percentile(np.array(v), [25, 50, 75])) for c, v in groups.items()}
+    assert max(sizes) <= 3 * (cells + 1) + 1
+    if cells == 4:
+        assert len(sizes) > 3
+
+
+def test_more_categories_than_may_be_broadcast(spark, monkeypatch):
+    """Beyond SMALL_STATE rows of state the frame is written once and joined."""
+    from foldline.operators import describe
+
+    monkeypatch.setattr(describe, "SMALL_STATE", 3)
+    written, freeze = [], describe._freeze
+    monkeypatch.setattr(describe, "_freeze", lambda df, purpose, *rest: written.append(purpose) or freeze(df, purpose, *rest))
+    rows = [(f"c{i % 7}", float((i * 37) % 101)) for i in range(500)] + [("c0", 1e6)]
+    frame = spark.createDataFrame(rows, "cat string, v double")
+    groups = {}
+    for c, v in rows:
+        groups.setdefault(c, []).append(v)
+    expected = _brute_box(groups)
+    _check_box(box_stats(frame, "v", "cat").collect(), expected)
+    assert set(written) == {"category-state"}
+    assert sorted((r.cat, r.v) for r in outliers(frame, "v", "cat").collect()) == sorted((c, v) for c, e in expected.items() for v in e[6])
+
+
+def test_category_order_spreads_over_partitions(spark, monkeypatch):
+    """All categories begin alike; they are still placed in as many tasks as there are ranges."""
+    from foldline.operators import describe
+
+    frozen, freeze = [], describe._freeze
+    monkeypatch.setattr(describe, "_freeze", lambda df, purpose, *rest: frozen.append(freeze(df, purpose, *rest)) or frozen[-1])
+    names = [f"Customer#{i:05d}" for i in range(3000)] + ["customer#00007", "CUSTOMER#00007", None, "customer#00007"]
+    frame = spark.createDataFrame([(n,) for n in names], "name string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.category: r.position for r in ordered_categories(frame, "name").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    expected = sorted({n for n in names if n}, key=lambda n: (n.lower(), n))
+    assert got == {n: i + 1 for i, n in enumerate(expected)}
+    sizes = [r["count"] for r in frozen[0].selectExpr("shiftright(_id, 33) AS p").groupBy("p").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < len(expected) / 3
+    assert ordered_categories(frame.limit(0), "name").collect() == []
