@@ -13,7 +13,8 @@ batch. The table always holds the finished result; each trigger rewrites it.
 and writes them into its own ``query_id``/``batch_id`` partition of the table (dynamic
 partition overwrite, so a retried batch replaces its earlier attempt). A
 trigger costs O(batch) however large the result has grown; readers fold the
-ledger with ``read_ingested`` (one more partial aggregate).
+ledger with ``read_ingested`` (one more partial aggregate). Older batches are
+folded into segments, so their number stays bounded (``ledger``).
 
 The checkpoint location is required: with it a restart, also in a new process with an
 empty catalog, resumes where the last batch ended and finds the stored table again.
@@ -32,11 +33,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.names import check_unique, col, cols, positive_int
 from ..plans.transform import transform_frame
 from ..session import session_conf
-from ..sinks.tables import save_table, stored_folders
+from ..sinks.tables import save_table
+from ..sinks.versions import stored_paths
 from ..sources.catalog import read_table
 from ..sources.files import checked_format
+from .ledger import BATCH_COLUMN, QUERY_COLUMN, compact_ledger, is_ledger, read_ledger
 
-QUERY_COLUMN, BATCH_COLUMN = "query_id", "batch_id"
+COMPACT_EVERY = 16
 OUTPUTS = ("complete", "ledger")
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -61,6 +64,7 @@ def start_ingest(
     rocksdb_state: bool = True,
     output: str = "complete",
     state_partitions: int | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Keep ``database.table`` equal to the consolidation of all files so far.
 
@@ -73,7 +77,12 @@ def start_ingest(
     the number of state-store partitions, fixed for the life of the checkpoint. It and the
     state-store provider apply to this query only: the stream copies the session's settings
     when it starts, and the caller's values are restored.
+
+    ``compact_every`` (ledger output) is the number of batches, and of segments of one size class,
+    that are folded into one; at least 2.
     """
+    if positive_int(compact_every, "compact_every") < 2:
+        raise ValueError("compact_every must be at least 2")
     if not checkpoint_location:
         raise ValueError("a checkpoint location is required")
     if not isinstance(poll_interval, (int, float)) or poll_interval <= 0:
@@ -114,6 +123,8 @@ def start_ingest(
                 folded, database, table, warehouse_dir=warehouse_dir, mode="overwrite",
                 partition_columns=[QUERY_COLUMN, BATCH_COLUMN],
             )
+            # batches before this one are committed and never run again
+            compact_ledger(batch.sparkSession, database, table, query_id, batch_id - 1, compact_every)
 
         output_mode = "append"
 
@@ -143,7 +154,7 @@ def _refuse_foreign_ledger(
     spark: SparkSession, database: str, table: str, warehouse_dir: str | None, query_id: str
 ) -> None:
     warehouse = (warehouse_dir or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-    for folder in stored_folders(spark, f"{warehouse}/{database}.db/{table}/{QUERY_COLUMN}=*"):
+    for folder in stored_paths(spark, f"{warehouse}/{database}.db/{table}/{QUERY_COLUMN}=*"):
         if not folder.endswith(f"{QUERY_COLUMN}={query_id}"):
             raise ValueError(f"the ledger {database}.{table} belongs to another checkpoint: {folder}")
 
@@ -171,12 +182,8 @@ def stop_ingest(query: StreamingQuery | None, wait_timeout: float = 30.0) -> boo
 def read_ingested(spark: SparkSession, database: str, table: str) -> DataFrame:
     """The consolidated rows of an ingest table, for either output mode.
 
-    A ledger (``query_id``/``batch_id`` partitions) is folded: occurrences of the same row
-    in different batches are summed (a partial aggregate, no hot-key issue).
+    A ledger (``query_id``/``batch_id`` partitions, and segments of older batches) is folded:
+    occurrences of the same row are summed (a partial aggregate, no hot-key issue).
     """
     data = read_table(spark, database, table)
-    if data.columns[-2:] != [QUERY_COLUMN, BATCH_COLUMN]:
-        return data
-    # Ledger layout: row columns, the multiplicity, then query_id and batch_id.
-    *keys, count = data.columns[:-2]
-    return data.groupBy(*cols(keys)).agg(F.sum(col(count)).alias(count))
+    return read_ledger(spark, database, table) if is_ledger(data) else data

@@ -1,11 +1,12 @@
 """T1, T2, T4-T6 for sources rewritten in place: fingerprint, refresh, poll loop.
 
 Spark's streaming file source only notices *new* files, so a source that is overwritten under the
-same path is tracked by a content fingerprint instead: one distributed aggregate over the lines, each
-hashed with its position, so exchanged lines count as a change. It costs a scan but no shuffle. Files
-that are split or named differently may give another fingerprint for equal content: such an extra
-refresh is harmless, whereas sizes and times alone could hide a change, so they decide nothing. The
-last state is kept in a one-row Parquet table in a shared folder and is replaced only after the
+same path is tracked by a content fingerprint instead: a polynomial digest of the sequence of line
+hashes. Digests of stretches of lines combine to that of the whole (value and number of lines: a
+stretch counts with the base to the power of the lines before it), so every split is digested where
+it is read, and the result depends on the lines and their order alone, not on how files are split. It
+costs a scan and one row a split. Sizes and times alone could hide a change, so they decide nothing.
+The last state is kept in a one-row Parquet table in a shared folder and is replaced only after the
 refresh action succeeded (at-least-once with idempotent outputs).
 """
 
@@ -17,7 +18,9 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -47,24 +50,82 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, hex_digits:
     )
 
 
-def source_fingerprint(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """T1 on files: ``(lines, hash sum)`` of everything at ``path``; None when absent.
+# Two digests modulo the prime 2**31 - 1, each with its own base.
+_PRIME = (1 << 31) - 1
+_BASES = (1_103_515_245, 1_664_525_771)
+
+
+def _digesters():
+    """The two functions that run in tasks; made here, so that they travel by value and executors need
+    not have this package."""
+
+    def digest_splits(batches):
+        """(file, start, n, d0, d1): lines and digests of each split's lines; its batches follow one another."""
+        tables = [np.ones(1, np.uint64) for _ in _BASES]  # powers of the bases
+        prime = np.uint64(_PRIME)
+        split, n, digests = None, 0, [0, 0]
+
+        def row():
+            columns = ([split[0]], [split[1]], [n], [digests[0]], [digests[1]])
+            kinds = (pa.string(), *[pa.int64()] * 4)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "start", "n", "d0", "d1"])
+
+        for batch in batches:
+            files = batch.column(0).dictionary_encode()
+            start, hashes = batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+            code = files.indices.to_numpy()
+            edges = np.flatnonzero((np.diff(code) != 0) | (np.diff(start) != 0)) + 1
+            while len(tables[0]) < len(hashes):
+                for i, base in enumerate(_BASES):
+                    step = np.uint64(pow(base, len(tables[i]), _PRIME))
+                    tables[i] = np.concatenate([tables[i], tables[i] * step % prime])
+            residues = ((hashes >> np.uint64(33)) % prime, (hashes & np.uint64(_PRIME)) % prime)
+            for a, b in zip([0, *edges], [*edges, len(hashes)]):
+                if a == b:
+                    continue
+                own = (files.dictionary[int(code[a])].as_py(), int(start[a]))
+                if own != split:
+                    if split is not None:
+                        yield row()
+                    split, n, digests = own, 0, [0, 0]
+                for i, base in enumerate(_BASES):
+                    part = int((residues[i][a:b] * tables[i][: b - a] % prime).sum())
+                    digests[i] = (digests[i] + pow(base, n, _PRIME) * part) % _PRIME
+                n += b - a
+        if split is not None:
+            yield row()
+
+    def shift_splits(batches):
+        """Digests of splits as parts of the whole: times the bases to the power of the lines ``before``."""
+        for batch in batches:
+            before = batch.column(0).to_pylist()
+            shifted = [
+                pa.array([d * pow(base, n, _PRIME) % _PRIME for d, n in zip(batch.column(i + 2).to_pylist(), before)], pa.int64())
+                for i, base in enumerate(_BASES)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), *shifted], ["n", "d0", "d1"])
+
+    return digest_splits, shift_splits
 
-    Each line is hashed (64 bits) with its scan position, so the sum depends on the order.
-    """
+
+def source_fingerprint(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """T1 on files: ``(lines, digest)`` of everything at ``path``, files in the order of their paths;
+    None when absent. Lines are hashed to 64 bits; equal sequences of lines give equal results in any
+    number of splits or files, other sequences another one but for a chance of about 2**-60."""
     try:
         lines = spark.read.text(path, lineSep="\n")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "does not exist" in str(error):
             return None
         raise
-    row = lines.select(F.monotonically_increasing_id().alias("place"), "value").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(
-            F.sum(F.xxhash64("place", "value").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")
-        ).alias("h"),
-    ).first()
-    return int(row["n"]), str(row["h"])
+    hashed = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.xxhash64("value").alias("h"))
+    digest_splits, shift_splits = _digesters()
+    splits = hashed.mapInArrow(digest_splits, "file string, start long, n long, d0 long, d1 long")
+    order = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
+    placed = splits.select(F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"), "n", "d0", "d1")
+    row = placed.mapInArrow(shift_splits, "n long, d0 long, d1 long").agg(
+        *[F.coalesce(F.sum(F.col(c).cast("decimal(38,0)")), F.lit(0)).alias(c) for c in ("n", "d0", "d1")]).first()
+    return int(row["n"]), "".join(f"{int(row[c]) % _PRIME:08x}" for c in ("d0", "d1"))
 
 
 @dataclass(frozen=True)

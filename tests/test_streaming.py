@@ -272,3 +272,40 @@ def test_stop_lets_the_running_batch_finish(spark, tmp_dir):
     assert read_table(spark, "halt_db", "t").count() in (1000, 300_000)
     start_ingest(*args, available_now=True, **opts).awaitTermination()
     assert read_table(spark, "halt_db", "t").count() == 300_000
+
+
+def _lines_in_files(folder, lines, cuts):
+    os.makedirs(folder)
+    for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(lines)])):
+        with open(os.path.join(folder, f"part-{i:05d}.csv"), "w", encoding="utf-8") as out:
+            out.write("".join(line + "\n" for line in lines[a:b]))
+
+
+def test_source_fingerprint_does_not_depend_on_splits(spark, tmp_dir):
+    lines = [f"{i % 7},é{i}" for i in range(5000)] + ["", "", "last"]
+    layouts = {"one": [], "two": [2500], "fifty": list(range(100, 5000, 100)), "odd": [1, 1, 17, 4999, 5003]}
+    for name, cuts in layouts.items():
+        _lines_in_files(os.path.join(tmp_dir, name), lines, cuts)
+    found = {source_fingerprint(spark, os.path.join(tmp_dir, name)) for name in layouts}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")  # one file in many splits
+    try:
+        found.add(source_fingerprint(spark, os.path.join(tmp_dir, "one")))
+        found.add(source_fingerprint(spark, os.path.join(tmp_dir, "two")))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 1 and found.pop()[0] == 5003
+    others = set()
+    for k, change in enumerate([(0, 1), (10, 4000), (2499, 2500), (5000, 5002)]):  # exchanged lines
+        other = list(lines)
+        other[change[0]], other[change[1]] = other[change[1]], other[change[0]]
+        _lines_in_files(os.path.join(tmp_dir, f"x{k}"), other, [2500])
+        others.add(source_fingerprint(spark, os.path.join(tmp_dir, f"x{k}")))
+    for k, other in enumerate([lines[:-1], lines + [""], lines[1:], lines + lines]):
+        _lines_in_files(os.path.join(tmp_dir, f"y{k}"), other, [])
+        others.add(source_fingerprint(spark, os.path.join(tmp_dir, f"y{k}")))
+    assert len(others) == 8 and source_fingerprint(spark, os.path.join(tmp_dir, "one")) not in others
+    os.makedirs(os.path.join(tmp_dir, "none"))
+    with open(os.path.join(tmp_dir, "none", "a.csv"), "w"):
+        pass
+    assert source_fingerprint(spark, os.path.join(tmp_dir, "none")) == (0, "0" * 16)
