@@ -132,10 +132,12 @@ def flow(
     filter_value=None,
     schema=None,
     preview_rows: int | None = 20,
+    single_file: bool = False,
 ) -> FlowResult:
     """Transform -> table (K2), if named -> file (K1) -> preview.
 
-    ``preview_rows=None`` skips the preview (the row count is then not taken, -1).
+    ``preview_rows=None`` skips the preview (the row count is then not taken, -1). ``single_file``
+    publishes one file instead of a folder of parts.
     """
     with_table = table_wanted(database, table)
     result = transform(
@@ -152,7 +154,7 @@ def flow(
     if with_table:
         location = save_table(result, database, table, warehouse_dir=warehouse_dir, mode="overwrite")
         result = read_table(spark, database, table)
-    path = publish_file(result, source, output_dir, file_format, write_options)
+    path = publish_file(result, source, output_dir, file_format, write_options, single_file)
     if preview_rows is None:
         return FlowResult(location, path, -1)
     shown = result if with_table else read_source(spark, path, file_format, write_options, kind)

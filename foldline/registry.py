@@ -11,12 +11,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import (
     box_stats,
+    category_count,
     cell_text,
+    check_category_count,
     consolidate,
     drop_incomplete,
     histogram,
@@ -31,9 +33,20 @@ from .operators import (
 )
 from .plans import flow, land_source, transform, transform_frame
 from .session import scratch_dir
-from .sinks import publish_file, save_table
-from .sources import attach_table, preview_table, read_headerless_csv, read_source, read_table, require_nonempty
-from .streaming import fingerprint, read_ingested, read_state, refresh_if_changed, start_ingest
+from .sinks import TableConflict, TableLoadError, publish_file, save_table, table_location, table_version
+from .sources import (
+    attach_table,
+    describe_extended,
+    describe_table,
+    list_databases,
+    list_tables,
+    preview_table,
+    read_headerless_csv,
+    read_source,
+    read_table,
+    require_nonempty,
+)
+from .streaming import fingerprint, read_ingested, read_state, refresh_if_changed, start_ingest, stop_ingest
 
 CHECK_DATABASE = "foldline_checks"
 
@@ -105,6 +118,15 @@ def json_roundtrip_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(spark, path, schema="event_type string")
 
 
+def csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 as one file joined from parallel parts, replaced once -> S1."""
+    out = scratch_dir(spark, "single-file")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("words,\"text\""))
+    for parts in (3, 7):
+        path = publish_file(rows.repartition(parts), "documents.csv", out, write_options={"escape": '"'}, single_file=True)
+    return read_source(spark, path, read_options={"escape": '"'}, schema="doc_id bigint, words string")
+
+
 def headerless_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 + S6: a CSV without header, names and types given at read time."""
     out = scratch_dir(spark, "headerless")
@@ -215,6 +237,17 @@ def box_stats_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_box(box_stats(folded, "l_quantity", category="l_linestatus", weight="occurrences"))
 
 
+def box_stats_weighted_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 weighted by a whole count, over values of both signs and very different sizes."""
+    return _rounded_box(box_stats(_wide_lines(spark, sf_dir), "v", category="l_returnflag", weight="l_linenumber"))
+
+
+def _wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tall = F.col("l_extendedprice") * F.col("l_extendedprice") * F.col("l_extendedprice")
+    value = F.when(F.col("l_quantity") <= 10, -tall).when(F.col("l_quantity") <= 25, F.col("l_discount")).otherwise(tall)
+    return table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber", value.alias("v"))
+
+
 def box_stats_single_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D2 without a category: one group named after the value column."""
     return _rounded_box(box_stats(table(spark, sf_dir, "events"), "value"))
@@ -263,6 +296,106 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, CHECK_DATABASE, name)
 
 
+def table_two_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2, K3, S4 by two processes in turn: A overwrites, B overwrites, then A, whose own catalog
+    entry still has its version, reads and appends. All of B's and A's rows must be there."""
+    warehouse, name = scratch_dir(spark, "warehouse"), _unique("customer")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    save_table(customers, CHECK_DATABASE, name, warehouse_dir=warehouse)
+    seen_by_a = table_location(spark, CHECK_DATABASE, name)
+    save_table(customers.where("c_mktsegment = 'FURNITURE'"), CHECK_DATABASE, name, warehouse_dir=warehouse)
+
+    def as_a() -> None:
+        spark.sql(f"ALTER TABLE {CHECK_DATABASE}.{name} SET LOCATION '{seen_by_a}'")
+
+    as_a()
+    read = read_table(spark, CHECK_DATABASE, name).where("c_mktsegment <> 'FURNITURE'").count()
+    if read:
+        raise RuntimeError(f"{read} rows of a retired version were read")
+    as_a()
+    save_table(customers.where("c_mktsegment = 'BUILDING'"), CHECK_DATABASE, name, warehouse_dir=warehouse, mode="append")
+    as_a()
+    return read_table(spark, CHECK_DATABASE, name)
+
+
+def table_lost_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 of rows made from the table itself: refused if the table has moved on since it was read,
+    and made again from the new rows."""
+    warehouse, name = scratch_dir(spark, "warehouse"), _unique("orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    save_table(orders.where("o_orderstatus = 'F'"), CHECK_DATABASE, name, warehouse_dir=warehouse)
+    for attempt in range(2):
+        version = table_version(spark, CHECK_DATABASE, name)
+        doubled = read_table(spark, CHECK_DATABASE, name)
+        doubled = doubled.withColumn("o_orderkey", -F.col("o_orderkey"))
+        if attempt == 0:  # somebody else appends meanwhile
+            save_table(orders.where("o_orderstatus = 'O'"), CHECK_DATABASE, name, warehouse_dir=warehouse, mode="append")
+        try:
+            save_table(doubled, CHECK_DATABASE, name, warehouse_dir=warehouse, expected_version=version)
+        except TableConflict:
+            if attempt:
+                raise
+        else:
+            if not attempt:
+                raise RuntimeError("a lost update was not refused")
+    return read_table(spark, CHECK_DATABASE, name)
+
+
+def table_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4, K5, K6 refusals: what each attempt did, and the rows that are there after all of them."""
+    warehouse, name = scratch_dir(spark, "warehouse"), _unique("supplier")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    save_table(rows, CHECK_DATABASE, name, warehouse_dir=warehouse)
+    attempts = {
+        "K4 swapped": (rows.select("s_name", "s_suppkey", "s_nationkey"), warehouse),
+        "K4 retyped": (rows.withColumn("s_nationkey", F.col("s_nationkey").cast("bigint")), warehouse),
+        "K4 extra": (rows.withColumn("more", F.lit(1)), warehouse),
+        "K5 elsewhere": (rows, f"{warehouse}-other"),
+        "K6 nested": (rows.withColumn("s_nationkey", F.array("s_nationkey")), warehouse),
+    }
+    done = []
+    for attempt, (frame, place) in attempts.items():
+        for mode in ("append", "overwrite"):
+            try:
+                save_table(frame, CHECK_DATABASE, name, warehouse_dir=place, mode=mode)
+                done.append((attempt, mode, "stored"))
+            except TableLoadError:
+                done.append((attempt, mode, "refused"))
+    left = read_table(spark, CHECK_DATABASE, name)
+    counted = left.agg(F.count("*").alias("rows"), F.countDistinct("s_suppkey").alias("keys"))
+    return spark.createDataFrame(done, "attempt string, mode string, outcome string").crossJoin(counted)
+
+
+def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M4 of a stored table: its database and name in the listings, columns and types, place."""
+    warehouse, name = scratch_dir(spark, "warehouse"), _unique("part")
+    save_table(table(spark, sf_dir, "part"), CHECK_DATABASE, name, warehouse_dir=warehouse)
+    columns = describe_table(spark, CHECK_DATABASE, name).select("col_name", "data_type")
+    databases = list_databases(spark).where(F.col("namespace") == CHECK_DATABASE).select(
+        F.lit("database").alias("col_name"), F.col("namespace").alias("data_type"))
+    tables = list_tables(spark, CHECK_DATABASE).where(F.col("tableName") == name).select(
+        F.lit("tables").alias("col_name"), F.count("*").over(Window.partitionBy()).cast("string").alias("data_type"))
+    extended = describe_extended(spark, CHECK_DATABASE, name)
+    kind = extended.where(F.col("col_name").isin("Type", "Provider")).select("col_name", F.lower("data_type").alias("data_type"))
+    place = extended.where(F.col("col_name") == "Location").select(
+        "col_name", F.contains("data_type", F.lit(f"/{CHECK_DATABASE}.db/{name}/v-")).cast("string").alias("data_type"))
+    return columns.union(databases).union(tables).union(kind).union(place)
+
+
+def category_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 on columns of few and of many categories."""
+    customers = table(spark, sf_dir, "customer")
+    found = []
+    for column in ("c_mktsegment", "c_nationkey", "c_name"):
+        counted = category_count(customers, column)
+        try:
+            check_category_count(customers, column)
+            found.append((column, counted, True))
+        except ValueError:
+            found.append((column, counted, False))
+    return spark.createDataFrame(found, "category string, counted bigint, drawable boolean")
+
+
 # ------------------------------------------------------------------ change-driven
 
 
@@ -434,6 +567,43 @@ def _ingest_in_two_starts(spark: SparkSession, sf_dir: str, output: str) -> Data
     return read_ingested(spark, CHECK_DATABASE, name)
 
 
+def ingest_ledger_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 in many small batches: old batches are folded into segments while the stream runs on."""
+    root, name = scratch_dir(spark, "ingest-compacted"), _unique("event_users_compacted")
+    events = table(spark, sf_dir, "events").select("event_type", "user_id")
+    events.repartition(9).write.option("header", True).csv(f"{root}/inbox")
+    query = start_ingest(
+        spark, f"{root}/inbox", "event_type string, user_id bigint", CHECK_DATABASE, name, f"{root}/checkpoint",
+        warehouse_dir=f"{root}/warehouse", available_now=True, max_files_per_trigger=1, output="ledger", compact_every=2)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"ingest failed: {query.exception()}")
+    batches = read_table(spark, CHECK_DATABASE, name).select("batch_id").distinct().count()
+    if batches > 6:
+        raise RuntimeError(f"{batches} batches were left")
+    return read_ingested(spark, CHECK_DATABASE, name)
+
+
+def ingest_polled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream polls its folder, takes up files that come while it runs, and is stopped."""
+    root, name = scratch_dir(spark, "ingest-polled"), _unique("event_types")
+    events = table(spark, sf_dir, "events").select("event_type", "user_id")
+    half, schema = F.pmod(F.xxhash64("event_type", "user_id"), F.lit(2)), "event_type string, user_id bigint"
+    events.where(half == 0).write.option("header", True).csv(f"{root}/inbox")
+    query = start_ingest(
+        spark, f"{root}/inbox", schema, CHECK_DATABASE, name, f"{root}/checkpoint",
+        warehouse_dir=f"{root}/warehouse", poll_interval=0.2, output="ledger")
+    try:
+        query.processAllAvailable()
+        events.where(half == 1).write.mode("append").option("header", True).csv(f"{root}/inbox")
+        query.processAllAvailable()
+    finally:
+        stopped = stop_ingest(query)
+    if not stopped or query.isActive or stop_ingest(query):
+        raise RuntimeError("the ingest did not stop once")
+    return read_ingested(spark, CHECK_DATABASE, name)
+
+
 def ingest_restart_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingest_in_two_starts(spark, sf_dir, "ledger")
 
@@ -454,8 +624,8 @@ def refresh_reordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ran = []
     for order in (F.asc("doc_id"), F.desc("doc_id")):
-        # one ordered file, so that only the places of the lines differ
-        docs.repartition(1).sortWithinPartitions(order).write.mode("overwrite").json(source)
+        # ordered files, so that only the places of the lines differ
+        docs.repartitionByRange(4, order).sortWithinPartitions(order).write.mode("overwrite").json(source)
         ran += [refresh_if_changed(spark, source, state, action), refresh_if_changed(spark, source, state, action)]
     if ran != [True, False, True, False]:
         raise RuntimeError(f"refresh sequence went wrong: {ran}")
@@ -495,6 +665,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_count": row_count_query,
     "csv_roundtrip_consolidate": csv_roundtrip_consolidate,
     "json_roundtrip_consolidate": json_roundtrip_consolidate,
+    "csv_single_file": csv_single_file,
     "headerless_csv": headerless_csv,
     "land_and_transform": land_and_transform,
     "flow_end_to_end": flow_end_to_end,
@@ -505,6 +676,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "histogram_weighted": histogram_weighted,
     "box_stats": box_stats_query,
     "box_stats_weighted": box_stats_weighted,
+    "box_stats_weighted_wide": box_stats_weighted_wide,
     "box_stats_single_group": box_stats_single_group,
     "outliers": outliers_query,
     "outliers_single_group": outliers_single_group,
@@ -512,6 +684,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "categories_ordered": categories_ordered,
     "table_overwrite": table_overwrite,
     "table_append": table_append,
+    "table_two_processes": table_two_processes,
+    "table_lost_update": table_lost_update,
+    "table_refusals": table_refusals,
+    "catalog_listing": catalog_listing,
+    "category_cap": category_cap,
     "cell_text": cell_text_query,
     "fingerprint": fingerprint_query,
     "refresh_if_changed": refresh_if_changed_query,
@@ -527,6 +704,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_inferred": csv_inferred,
     "json_inferred": json_inferred,
     "cell_text_nested": cell_text_nested,
+    "ingest_ledger_compacted": ingest_ledger_compacted,
+    "ingest_polled": ingest_polled,
     "ingest_restart_ledger": ingest_restart_ledger,
     "ingest_restart_complete": ingest_restart_complete,
     "refresh_reordered_lines": refresh_reordered_lines,
@@ -679,6 +858,36 @@ FROM q JOIN lineitem ON l_suppkey = k GROUP BY k, n, q1, med, q3""",
         "WITH q", "WITH lines AS (SELECT *, l_extendedprice * l_extendedprice * l_extendedprice * l_extendedprice AS v FROM lineitem), q") + """
 SELECT l_suppkey, l_orderkey, l_linenumber FROM lines JOIN q ON l_suppkey = k
 WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)""",
+    "box_stats_weighted_wide": """
+WITH lines AS (SELECT l_returnflag AS k, CASE WHEN l_quantity <= 10 THEN -p WHEN l_quantity <= 25 THEN l_discount ELSE p END AS v
+  FROM (SELECT *, l_extendedprice * l_extendedprice * l_extendedprice AS p FROM lineitem) x, range(x.l_linenumber)),
+q AS (SELECT k, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med, quantile_cont(v, 0.75) AS q3
+  FROM lines GROUP BY k)
+SELECT q.k AS category, n, round(q1, 4) AS q1, round(med, 4) AS median, round(q3, 4) AS q3,
+  least(q1, min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1))) AS whisker_low,
+  greatest(q3, max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1))) AS whisker_high
+FROM q JOIN lines ON lines.k = q.k GROUP BY q.k, n, q1, med, q3""",
+    "csv_single_file": r"""
+SELECT doc_id, regexp_replace("text", '\s+', ' ', 'g') AS words FROM documents""",
+    "table_two_processes": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment IN ('FURNITURE', 'BUILDING')",
+    "table_lost_update": "SELECT -o_orderkey AS o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O')",
+    "table_refusals": """
+SELECT attempt, mode, 'refused' AS outcome, (SELECT count(*) FROM supplier) AS rows,
+  (SELECT count(DISTINCT s_suppkey) FROM supplier) AS keys
+FROM (VALUES ('K4 swapped'), ('K4 retyped'), ('K4 extra'), ('K5 elsewhere'), ('K6 nested')) a(attempt),
+  (VALUES ('append'), ('overwrite')) m(mode)""",
+    "catalog_listing": f"""
+SELECT column_name AS col_name, CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END AS data_type
+FROM information_schema.columns WHERE table_name = 'part'
+UNION ALL VALUES ('database', '{CHECK_DATABASE}'), ('tables', '1'), ('Type', 'external'), ('Provider', 'parquet'), ('Location', 'true')""",
+    "category_cap": """
+WITH c AS (SELECT 'c_mktsegment' AS category, count(DISTINCT c_mktsegment) AS n FROM customer
+  UNION ALL SELECT 'c_nationkey', count(DISTINCT c_nationkey) FROM customer UNION ALL SELECT 'c_name', count(DISTINCT c_name) FROM customer)
+SELECT category, least(n, 21) AS counted, n <= 20 AS drawable FROM c""",
+    "ingest_ledger_compacted": """
+SELECT event_type, user_id, count(*) AS occurrences FROM events GROUP BY event_type, user_id""",
+    "ingest_polled": """
+SELECT event_type, user_id, count(*) AS occurrences FROM events GROUP BY event_type, user_id""",
     "scatter_all_pairs": """
 SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_custkey AS DOUBLE) AS o_custkey FROM orders""",
     "categories_ordered_many": """

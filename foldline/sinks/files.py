@@ -6,14 +6,22 @@ version, a failure between them is undone. A reader that comes between the two r
 folder; on an object store, where a rename copies, that gap lasts as long as the copy. Readers that
 must never see it use a table (``sinks.tables``), whose overwrites switch in one step. The published
 name (``transformed_<source>``) is a folder of part files that ``spark.read`` reads as one dataset.
+
+With ``single_file`` it is one file instead. The parts are still written in parallel; then they are
+joined without passing through one task: HDFS joins files by their blocks (``concat``), and on a shared
+``file:`` system tasks copy parts to their known offsets. One rename replaces the old file, so readers
+see the old or the new one. Other file systems have no way to join files and are refused.
 """
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.files import SourceName
 
@@ -61,12 +69,14 @@ def publish_file(
     output_dir: str,
     file_format: str | None = None,
     write_options: Mapping | None = None,
+    single_file: bool = False,
 ) -> str:
     """Write ``df`` as CSV or JSON to ``<output_dir>/transformed_<name>``, a folder of part files
-    written in parallel; returns its path.
+    written in parallel or, with ``single_file``, one file joined from them; returns its path.
 
     The format follows the output name unless given; a given format does not change the name. CSV
-    gets a header unless the options say otherwise.
+    gets a header unless the options say otherwise. A single file is not compressed, and an empty
+    frame gives one with a header alone, or an empty one.
     """
     target = SourceName.of(output_name(source), file_format)
     options = dict(write_options or {})
@@ -74,10 +84,91 @@ def publish_file(
     out = output_dir.rstrip("/")
     staged = f"{out}/._stage-{uuid.uuid4().hex}"
     fs, staged_path, jvm = file_system(df.sparkSession, staged)
+    final = f"{out}/{target.name}"
     try:
-        df.write.format(target.format).options(**options).save(staged)
-        swap_in(df.sparkSession, staged, f"{out}/{target.name}")
+        if single_file:
+            folded = {k.casefold(): v for k, v in options.items()}
+            if str(folded.get("compression", "none")).casefold() not in ("none", "uncompressed"):
+                raise ValueError("a single file is not compressed")
+            headed = target.format == "csv" and str(folded.get("header")).casefold() == "true"
+            plain = {k: v for k, v in options.items() if k.casefold() not in ("header", "compression")}
+            df.write.format(target.format).options(**plain | {"compression": "none"} | ({"header": False} if target.format == "csv" else {})).save(staged)
+            if headed:  # a frame without rows gives the header line alone
+                df.limit(0).coalesce(1).write.options(**plain | {"header": True, "compression": "none"}).csv(f"{staged}/_head")
+            joined = _joined(df.sparkSession, staged)
+            if fs.isDirectory(jvm.org.apache.hadoop.fs.Path(final)):  # an earlier folder of parts
+                swap_in(df.sparkSession, joined, final)
+            else:
+                _replace(df.sparkSession, joined, final)
+        else:
+            df.write.format(target.format).options(**options).save(staged)
+            swap_in(df.sparkSession, staged, final)
     finally:
         if fs.exists(staged_path):
             fs.delete(staged_path, True)
-    return f"{out}/{target.name}"
+    return final
+
+
+COPY_BYTES = 8 << 20
+
+
+def _joined(spark: SparkSession, staged: str) -> str:
+    """One file, below ``staged``, of its head and parts in order."""
+    fs, _, jvm = file_system(spark, staged)
+    Path = jvm.org.apache.hadoop.fs.Path
+    pieces = []
+    for pattern in (f"{staged}/_head/part-*", f"{staged}/part-*"):
+        pieces += sorted((f.getPath().toString(), f.getLen()) for f in fs.globStatus(Path(pattern)) or [] if f.getLen())
+    joined = f"{staged}/joined"
+    if not pieces:
+        fs.create(Path(joined)).close()
+    elif fs.getUri().getScheme() == "file":
+        _copy_to_offsets(spark, [(Path(p).toUri().getPath(), size) for p, size in pieces], Path(joined).toUri().getPath())
+    else:
+        first, *rest = [Path(p) for p, _ in pieces]
+        fs.rename(first, Path(joined))
+        if rest:
+            others = spark.sparkContext._gateway.new_array(Path, len(rest))
+            for i, piece in enumerate(rest):
+                others[i] = piece
+            fs.concat(Path(joined), others)
+    return joined
+
+
+def _copy_to_offsets(spark: SparkSession, pieces: list[tuple[str, int]], target: str) -> None:
+    """Every task copies its pieces into ``target``, each at its place."""
+    rows, at = [], 0
+    for path, size in pieces:
+        rows += [(path, start, min(COPY_BYTES, size - start), at + start) for start in range(0, size, COPY_BYTES)]
+        at += size
+    with open(target, "wb") as out:
+        out.truncate(at)
+    copy_bytes = COPY_BYTES
+
+    def copy(batches):
+        for batch in batches:
+            for path, start, length, place in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                with open(path, "rb") as source, open(target, "r+b") as out:
+                    data = os.pread(source.fileno(), copy_bytes, start)[:length]
+                    done = 0
+                    while done < length:
+                        done += os.pwrite(out.fileno(), data[done:], place + done)
+                    os.fsync(out.fileno())
+            yield pa.RecordBatch.from_arrays([pa.array([sum(batch.column(2).to_pylist())], pa.int64())], ["copied"])
+
+    tasks = min(len(rows), 4 * spark.sparkContext.defaultParallelism)
+    frame = spark.createDataFrame(rows, "path string, start long, length long, place long").repartition(tasks)
+    copied = frame.mapInArrow(copy, "copied long").agg(F.sum("copied").alias("n")).first()["n"]
+    if copied != at:
+        raise RuntimeError(f"{copied} of {at} bytes were joined")
+
+
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file over another in one step."""
+    fs, source_path, jvm = file_system(spark, source)
+    target_path = jvm.org.apache.hadoop.fs.Path(target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    flags = spark.sparkContext._gateway.new_array(rename, 1)
+    flags[0] = rename.OVERWRITE
+    context.rename(source_path, target_path, flags)
