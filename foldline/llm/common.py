@@ -31,9 +31,12 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def release(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder whose rows nothing reads any more."""
-    _hadoop(spark, path, lambda fs, p: fs.delete(p, True))
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of frames that ``materialize`` wrote and nothing reads any more."""
+    for frame in frames:
+        path = getattr(frame, "_scratch_path", None)
+        if path is not None:
+            _hadoop(frame.sparkSession, path, lambda fs, p: fs.delete(p, True))
 
 
 def _hadoop(spark: SparkSession, path: str, action):
@@ -45,7 +48,9 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._scratch_path = path  # for ``discard``
+    return found
 
 
 def write_shared(uri: str, data: bytes) -> None:

@@ -2,21 +2,23 @@
 
 Which texts have word-shingle sets with a Jaccard similarity of at least ``threshold``?
 
-1. One pass takes each text's distinct 5-word shingles (64-bit hashes), their number and a digest
-   of the set. Texts with one digest are one class; copies never multiply work.
+1. One pass takes each text's distinct 5-word shingles (64-bit hashes), their number, a hashed bitmap
+   and a digest of the set. Texts with one digest are one class; copies never multiply work.
 2. Every class sends the shingles of its *prefix* (the first ``n - ceil(t n) + 1`` in one global
    order) to be grouped by shingle; two sets with a similarity of t or more share a prefix
-   shingle, so no link is lost. Shingles that whole batches share come last in that order, which
-   only makes groups smaller.
-3. A group is cut into tiles of sizes within a factor 1/t. Each tile pairs about log2(m) of its m
-   classes with the others, which connects families of near copies without all their pairs. Groups
-   of common shingles, and others of more than BLOCK rows, are not held in a task: Spark counts
-   them, folds groups of the same members, picks pivots as minima and joins blocks of members.
+   shingle, so no link is lost. Shingles that a sample has in several texts come last in that order,
+   so that passages which many texts share fill few prefixes. Any order gives the same links.
+3. A group is cut into tiles of sizes within a factor 1/t. Each tile pairs a few pivots with its
+   other classes, which connects families of near copies without all their pairs. Groups
+   of hot shingles, and others of more than BLOCK rows, are not held in a task: Spark counts
+   them, folds groups of the same members, and joins members with pivots in cells.
 4. Candidate pairs are bounded from above by the bit counts of hashed bitmaps, and survivors are
-   verified by the exact intersection of their shingle arrays.
-5. Groups whose classes are still in more than one component go to a second pass, in tiles of two
+   verified by the exact intersection of their shingle arrays, which only their texts are cut into.
+5. Groups whose classes are still in more than one component go to further passes, in tiles of two
    blocks with a bounded number of rows: bitmaps of all pairs from different components (sizes
-   permitting) are compared in numpy, and only pairs that pass are verified.
+   permitting) are compared in numpy. The first of these passes sends a spanning forest of the
+   pairs that pass, by falling margin, so at most one pair a component; where that left out pairs
+   and components remain apart, the last pass sends all pairs that pass and were not yet verified.
 
 The 64-bit hashes make the result exact up to hash collisions (for n distinct shingles or texts,
 n * n / 2**65 pairs are expected to collide).
@@ -32,16 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, batch_words, materialize, mix64, shingles, slices
-from .components import connected_components
+from .common import as_long, batch_words, discard, materialize, mix64, shingles, slices
+from .components import connected_components, join_components
 
 THRESHOLD = Fraction(3, 4)
 WIDTH = 5
 BLOCK = 4096
-PIVOT_CELLS = 32
-ORDER_SAMPLE = 20_000
-COMMON_IN_SAMPLE = 8
-COMMON_KEPT = 100_000
+BITS_A_SHINGLE = 4
+PIVOTS = 3
+CELLS = 32
+SAMPLE_OF = 4  # one text in so many shows which shingles are repeated
+SAMPLED_SHINGLES = np.uint64(1 << 63)  # and of its shingles those below, which prefixes mostly come from
+REPEATED_BITS = 26  # the bitmap of repeated shingles has a fixed size, whatever the corpus
+HOT_IN_SAMPLE = 64
+HOT_KEPT = 100_000
 
 
 def _set_digest(values: np.ndarray) -> int:
@@ -62,8 +68,8 @@ def _sets(column: pa.Array):
 
 
 def _bitmap(values: np.ndarray) -> bytes:
-    """Hashed bitmap of a set; its width is a power of two of at least four bits a shingle."""
-    bits = 1 << max(9, (4 * len(values) - 1).bit_length())
+    """Hashed bitmap of a set; its width is a power of two of at least BITS_A_SHINGLE bits a shingle."""
+    bits = 1 << max(9, (BITS_A_SHINGLE * len(values) - 1).bit_length())
     flags = np.zeros(bits, bool)
     flags[(values & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
@@ -73,59 +79,78 @@ def _prefix_length(n: int, threshold: Fraction) -> int:
     return n - math.ceil(threshold * n) + 1
 
 
-def _common_shingles(source: DataFrame, threshold: Fraction) -> np.ndarray:
-    """Shingles that lead many different texts, from a sample of about ORDER_SAMPLE rows; at most
-    COMMON_KEPT of them, sorted. They only move to the end of the global order,
-    which makes groups smaller: any choice, and so any sample, gives the same links."""
-    total = source.count()
-    share = min(1.0, ORDER_SAMPLE / max(total, 1))
-    picked = source.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < round(share * (1 << 20)))
+def _order(source: DataFrame, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """(bitmap of repeated shingles, sorted hot shingles), from a sample of one text in SAMPLE_OF.
+
+    Shingles that two or more different texts of the sample have are repeated, and come last in
+    the global order. Of those in HOT_IN_SAMPLE or more, the HOT_KEPT most frequent (up to equal
+    counts) are hot. Both only make groups smaller, or spread them: links do not depend on them."""
+    picked = source.where(F.pmod(F.xxhash64("id", "text"), F.lit(SAMPLE_OF)) == 0)
 
     def run(batches):
         for batch in batches:
-            distinct = {_set_digest(v): v[: _prefix_length(len(v), threshold)] for v in _sets(batch.column(0)) if len(v)}
+            distinct = {_set_digest(v): v[: np.searchsorted(v, SAMPLED_SHINGLES)] for v in _sets(batch.column(0)) if len(v)}
             if distinct:
                 found, df = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
-                found, df = found[df > 1], df[df > 1]
                 yield pa.RecordBatch.from_arrays([pa.array(as_long(found)), pa.array(df)], ["token", "df"])
 
-    rows = (
-        picked.select("text").mapInArrow(run, "token long, df long").groupBy("token")
-        .agg(F.sum("df").alias("df")).where(F.col("df") >= COMMON_IN_SAMPLE)
-        .orderBy(F.desc("df"), "token").limit(COMMON_KEPT).select("token").collect()
-    )
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
-
-
-def _prefix_rows(source: DataFrame, threshold: Fraction, common: np.ndarray) -> DataFrame:
-    """One pass over the texts: (kind 0) row id, digest and size of each row; (kind 1; 2 for the
-    shingles in ``common``) prefix shingle, digest and size of each different text of a task."""
+    counted = picked.select("text").mapInArrow(run, "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
+    repeated = materialize(counted.where("df > 1"), "ngram-repeated")
+    low = F.col("token").bitwiseAND(F.lit((1 << REPEATED_BITS) - 1))
+    words = repeated.groupBy(F.shiftright(low, 6).cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(token & 63 as int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (REPEATED_BITS - 6), np.uint64)
+    bitmap[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    size = F.floor(F.log2("df") * 8).cast("int")
+    hot, least, left = repeated.where(F.col("df") >= HOT_IN_SAMPLE), None, HOT_KEPT
+    for row in hot.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect():
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["size"]
+    tokens = [] if least is None else [r[0] for r in hot.where(size >= least).select("token").collect()]
+    discard(repeated)
+    return bitmap, np.sort(np.array(tokens, np.int64).view(np.uint64))
+
+
+def _is_repeated(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    low = values & np.uint64((1 << REPEATED_BITS) - 1)
+    set_bits = (bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)
+    return (set_bits == 1) & (values < SAMPLED_SHINGLES)
+
+
+def _prefix_rows(source: DataFrame, threshold: Fraction, bitmap: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """One pass over the texts: (kind 0) row id, digest and size of each row, with the bitmap of each
+    different set of a task; (kind 1; 2 for hot shingles) prefix shingle, digest and size of each
+    different set of a task."""
+    order = source.sparkSession.sparkContext.broadcast((bitmap, hot))
 
     def sent(parts):
+        repeated, hot = order.value
         tokens, ids, sizes = (np.concatenate(p) for p in parts)
         kinds = np.ones(len(tokens), np.int32)
-        if len(common):
-            at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-            kinds[common[at] == tokens] = 2
-        return _prefix_batch(kinds, as_long(tokens), ids, sizes)
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
+            kinds[hot[at] == tokens] = 2
+        return _prefix_batch(kinds, as_long(tokens), ids, sizes, pa.nulls(len(tokens), pa.binary()))
 
     def run(batches):
+        repeated = order.value[0]
         seen = set()  # digests this task has sent: copies send their shingles once a task
         for batch in batches:
-            kinds, tokens, ids, sizes, waiting = [], [], [], [], 0
-            rows_digest, rows_size = [], []
+            tokens, ids, sizes, waiting = [], [], [], 0
+            rows_digest, rows_size, rows_bitmap = [], [], []
             for values in _sets(batch.column(1)):
                 n, digest = len(values), _set_digest(values)
-                rows_digest.append(digest), rows_size.append(n)
-                if not n or digest in seen:
+                new = n > 0 and digest not in seen
+                rows_digest.append(digest), rows_size.append(n), rows_bitmap.append(_bitmap(values) if new else None)
+                if not new:
                     continue
                 seen.add(digest)
                 keep = _prefix_length(n, threshold)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, values), len(common) - 1)
-                    last = common[at] == values
-                    if last.any():
-                        values = np.concatenate([values[~last], values[last]])
+                last = _is_repeated(repeated, values)
+                if last.any():
+                    values = np.concatenate([values[~last], values[last]])
                 tokens.append(values[:keep]), ids.append(np.full(keep, digest)), sizes.append(np.full(keep, n))
                 waiting += keep
                 if waiting > 200_000:
@@ -133,16 +158,16 @@ def _prefix_rows(source: DataFrame, threshold: Fraction, common: np.ndarray) ->
                     tokens, ids, sizes, waiting = [], [], [], 0
             if waiting:
                 yield sent((tokens, ids, sizes))
-            yield _prefix_batch(0, batch.column(0), rows_digest, rows_size)
+            yield _prefix_batch(0, batch.column(0), rows_digest, rows_size, pa.array(rows_bitmap, pa.binary()))
 
-    return source.mapInArrow(run, "kind int, token long, id long, n int")
+    return source.mapInArrow(run, "kind int, token long, id long, n int, bitmap binary")
 
 
-def _prefix_batch(kind, tokens, ids, sizes):
+def _prefix_batch(kind, tokens, ids, sizes, bitmaps):
     tokens = tokens if isinstance(tokens, pa.Array) else pa.array(tokens)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.broadcast_to(kind, len(tokens)).astype(np.int32)), tokens, pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())],
-        ["kind", "token", "id", "n"])
+        [pa.array(np.broadcast_to(kind, len(tokens)).astype(np.int32)), tokens, pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), bitmaps],
+        ["kind", "token", "id", "n", "bitmap"])
 
 
 def _runs(batches, most: int):
@@ -175,10 +200,10 @@ def _runs(batches, most: int):
 
 
 def _stars(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of log2(m) pivots, two at least, with all m members. Pivots are the ids of least hash, which
+    """Pairs of PIVOTS pivots with all members. Pivots are the ids of least hash, which
     are mostly the same in all groups that one family of texts shares."""
     ranked = np.argsort(mix64(ids.view(np.uint64)), kind="stable")
-    pivots = ids[ranked[: min(len(ids) - 1, max(2, len(ids).bit_length() - 1))]]
+    pivots = ids[ranked[: min(len(ids) - 1, PIVOTS)]]
     a, b = np.repeat(pivots, len(ids)), np.tile(ids, len(pivots))
     keep = (a < b) | ((a > b) & ~np.isin(b, pivots))
     return a[keep], b[keep]
@@ -186,15 +211,16 @@ def _stars(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
     """Pairs (kind 0: a, b) of each tile's pivots with its others, members (kind 1: key, id, n) of
-    groups of three or more (equal members give equal keys), rows (kind 2: id, digest, n), and what
-    ``_large_groups`` takes (kind 3: token, id, n): common shingles and groups above BLOCK rows."""
+    groups of three or more (equal members give equal keys), rows (kind 2: id, digest, n, bitmap), and
+    what ``_large_groups`` takes (kind 3: token, id, n): hot shingles and groups above BLOCK rows."""
     up, down = threshold.numerator, threshold.denominator
 
-    def out(kind, key, a, b):
+    def out(kind, key, a, b, bitmaps=None):
         key = key if isinstance(key, pa.Array) else pa.array(key)
+        bitmaps = pa.nulls(len(key), pa.binary()) if bitmaps is None else bitmaps
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), kind, np.int32)), key, pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-            ["kind", "key", "a", "b"])
+            [pa.array(np.full(len(key), kind, np.int32)), key, pa.array(a, pa.int64()), pa.array(b, pa.int64()), bitmaps],
+            ["kind", "key", "a", "b", "bitmap"])
 
     most = BLOCK
 
@@ -207,7 +233,7 @@ def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
                 rows = int(np.searchsorted(own, 1))
                 if rows:
                     part = batch.slice(0, rows)
-                    passed.append(out(2, part.column(1), part.column(2), part.column(3).cast(pa.int64())))
+                    passed.append(out(2, part.column(1), part.column(2), part.column(3).cast(pa.int64()), part.column(4)))
                 single = int(np.searchsorted(own, 2))
                 if single < len(own):
                     part = batch.slice(single)
@@ -247,105 +273,86 @@ def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
                 yield out(1, *np.unique(np.concatenate(members, axis=1), axis=1))
         yield from passed
 
-    return sorted_rows.mapInArrow(run, "kind int, key long, a long, b long")
+    return sorted_rows.mapInArrow(run, "kind int, key long, a long, b long, bitmap binary")
 
 
-def _large_groups(tiles: DataFrame, threshold: Fraction) -> DataFrame:
-    """(kind, key, a, b) as of ``_tiles`` (kinds 0 and 1) for the groups of its kind 3.
+def _large_groups(large: DataFrame, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
+    """(pairs (a, b), members (key, id, n)) of the groups of ``large`` (token, id, n), as of ``_tiles``.
 
     Groups of the same members are folded to one. Members are banded by size; pivots are the least
-    ids (digests, so in random order) of a band and the band below, out of the minima of PIVOT_CELLS
-    cells. Members meet the pivots in blocks of about BLOCK rows, so no task holds a group."""
+    ids (digests, so in random order) of a band and the band below, out of the minima of CELLS
+    cells. Members meet the pivots cell by cell, so no task holds a group, nor a band's members."""
     step = math.log(threshold.denominator / threshold.numerator)
     rows = materialize(
-        tiles.where("kind = 3").select(F.col("key").alias("token"), F.col("a").alias("id"), F.col("b").alias("n"))
-        .distinct().withColumn("band", F.floor(F.log("n") / step)), "ngram-large")
+        large.distinct().withColumn("band", F.floor(F.log("n") / step)).withColumn("cell", F.pmod("id", F.lit(CELLS))), "ngram-large")
     same = (
         rows.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"),
                                   F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
         .where("m > 1").groupBy("m", "x", "y").agg(F.min("token").alias("token"))
         .select("token", F.xxhash64("m", "x", "y").alias("key"))
     )
-    cells = rows.groupBy("token", "band", F.pmod("id", F.lit(PIVOT_CELLS)).alias("cell")).agg(
-        F.min("id").alias("id"), F.count("*").alias("m"))
+    cells = rows.groupBy("token", "band", "cell").agg(F.min("id").alias("id"))
+    cells = materialize(cells.join(same.hint("merge"), "token"), "ngram-cells")
     bands = cells.groupBy("token", "band").agg(
-        F.sort_array(F.collect_list("id")).alias("least"), F.sum("m").alias("m"))
-    bands = materialize(
-        bands.join(same.hint("merge"), "token")
-        .withColumn("least", F.slice("least", 1, F.greatest(F.lit(2), F.floor(F.log2("m"))).cast("int"))), "ngram-bands")
+        F.slice(F.sort_array(F.collect_list("id")), 1, PIVOTS).alias("least"))  # of CELLS ids at most
     pivots = (
-        bands.select("token", "band", "key", "least")
-        .union(bands.select("token", F.col("band") + 1, "key", "least"))
-        .groupBy("token", "band", "key").agg(F.flatten(F.collect_list("least")).alias("pivots"))
-    )
-    blocks = bands.where(F.col("m") > BLOCK).select("token", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    dealt = (
-        rows.join(F.broadcast(blocks), ["token", "band"], "left")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int")).drop("blocks")
-    )
-    copied = (
-        pivots.join(F.broadcast(blocks), ["token", "band"], "left")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
+        bands.union(bands.select("token", F.col("band") + 1, "least"))
+        .groupBy("token", "band").agg(F.flatten(F.collect_list("least")).alias("pivots"))
     )
-    met = materialize(
-        dealt.hint("merge").join(copied, ["token", "band", "block"]).select("key", "id", "n", "pivots"), "ngram-met")
+    copied = cells.drop("id").hint("merge").join(pivots, ["token", "band"])
+    met = materialize(rows.hint("merge").join(copied, ["token", "band", "cell"]).select("key", "id", "n", "pivots"), "ngram-met")
     pairs = met.select("id", F.explode("pivots").alias("pivot")).where("id <> pivot").select(
-        F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"), F.least("id", "pivot").alias("a"),
-        F.greatest("id", "pivot").alias("b")).distinct()
-    return pairs.union(met.select(F.lit(1), "key", "id", "n"))
-
-
-def _class_sets(source: DataFrame, rows: DataFrame, tiles: DataFrame) -> DataFrame:
-    """(id = class digest, n, bitmap, text) of the classes that occur in tiles, written once. Texts
-    take less room than their shingles, which only pairs that pass the bitmaps need.
-
-    Each class is found by the smallest row id that has it."""
-    wanted = (
-        tiles.where("kind = 0").select(F.explode(F.array("a", "b")).alias("digest"))
-        .union(tiles.where("kind = 1").select(F.col("a").alias("digest"))).distinct()
-    )
-    named = (
-        rows.join(wanted, "digest", "left_semi").groupBy("digest")
-        .agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("m")).select(F.col("m.id").alias("id"))
-    )
-    # merge hints: texts are shuffled alike at every size, no side is broadcast for being small today
-    picked = source.join(named.hint("merge"), source["id"].eqNullSafe(named["id"]), "left_semi")
+        F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    return pairs, met.select("key", "id", F.col("n").cast("long").alias("n"))
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """(id = class digest, n, bitmap, row = smallest row id) of the classes with shingles, written once."""
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id"))
+    found = rows.where("n > 0").groupBy(F.col("digest").alias("class")).agg(
+        F.max("n").alias("n"), F.max("bitmap").alias("bitmap"), least.alias("m"))
+    return materialize(found.select(F.col("class").alias("id"), "n", "bitmap", F.col("m.id").alias("row")), "ngram-classes")
+
+
+def _shingle_arrays(source: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, shingles) of the classes ``wanted`` (id), from one more pass over the texts: a bitmap of fixed
+    size of their row ids says which texts to cut; no text is shuffled."""
+    spark = source.sparkSession
+    place = F.xxhash64("row").bitwiseAND(F.lit((1 << REPEATED_BITS) - 1))
+    named = classes.join(wanted.hint("merge"), "id", "left_semi").select(place.alias("place"))
+    words = named.groupBy(F.shiftright("place", 6).cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (REPEATED_BITS - 6), np.uint64)
+    bitmap[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(bitmap)
 
     def run(batches):
+        sent = set()
         for batch in batches:
-            columns = [[], [], []]
-            for found in _sets(batch.column(0)):
-                for column, value in zip(columns, (_set_digest(found), len(found), _bitmap(found))):
-                    column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, k) for c, k in zip(columns, kinds)), batch.column(0)], ["id", "n", "bitmap", "text"])
+            at = batch.column(0).to_numpy()
+            picked = np.flatnonzero((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+            ids, values = [], []
+            for found in _sets(batch.column(1).take(pa.array(picked))):
+                digest = _set_digest(found)
+                if len(found) and digest not in sent:
+                    sent.add(digest)
+                    ids.append(digest), values.append(as_long(found))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["id", "shingles"])
 
-    found = picked.select("text").mapInArrow(run, "id long, n long, bitmap binary, text string")
-    return materialize(found, "ngram-sets")
+    places = source.select(F.xxhash64("id").bitwiseAND(F.lit((1 << REPEATED_BITS) - 1)).alias("place"), "text")
+    arrays = places.mapInArrow(run, "id long, shingles array<long>")
+    return arrays.join(wanted.hint("merge"), "id", "left_semi").groupBy("id").agg(F.first("shingles").alias("shingles"))
 
 
-def _shingle_arrays(texts: DataFrame) -> DataFrame:
-    """(id, shingles) of (id, text)."""
-
-    def run(batches):
-        for batch in batches:
-            values = [as_long(v) for v in _sets(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values, pa.list_(pa.int64()))], ["id", "shingles"])
-
-    return texts.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
+def _bounds(both: np.ndarray, bits_here, bits_there, size_here, size_there) -> np.ndarray:
+    """Upper bounds of the overlap from the bits that both bitmaps have: a bit set on one side only
+    stands for a shingle missing on the other."""
+    return np.minimum(size_here - (bits_here - both), size_there - (bits_there - both))
 
 
-def _bounds(here: np.ndarray, there: np.ndarray, size_here, sizes_there) -> np.ndarray:
-    """Upper bounds of the overlap: a bit set on one side only stands for a shingle missing on the other."""
-    missing = np.bitwise_count(here & ~there).sum(axis=-1, dtype=np.int64)
-    extra = np.bitwise_count(there & ~here).sum(axis=-1, dtype=np.int64)
-    return np.minimum(size_here - missing, sizes_there - extra)
-
-
-def _folded(bitmap: np.ndarray, words: int) -> np.ndarray:
-    return np.bitwise_or.reduce(bitmap.reshape(-1, words), axis=0)
+def _folded(bitmaps: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) of a smaller width."""
+    return np.bitwise_or.reduce(bitmaps.reshape(len(bitmaps), -1, words), axis=1)
 
 
 def _allowed(pairs: DataFrame, threshold: Fraction) -> DataFrame:
@@ -354,84 +361,161 @@ def _allowed(pairs: DataFrame, threshold: Fraction) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
+            na, nb = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("na", "nb"))
             bound = np.zeros(len(na), np.int64)
             for i, (x, y) in enumerate(zip(batch.column("va"), batch.column("vb"))):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                words = min(len(x), len(y))
-                bound[i] = _bounds(_folded(x, words), _folded(y, words), na[i], nb[i])
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64)[None] for v in (x, y))
+                words = min(x.size, y.size)
+                x, y = _folded(x, words), _folded(y, words)
+                both, here, there = (int(np.bitwise_count(v).sum()) for v in (x & y, x, y))
+                bound[i] = _bounds(both, here, there, na[i], nb[i])
             yield batch.filter(pa.array(bound * (up + down) >= up * (na + nb))).select(["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches the threshold."""
+def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs (a, b; a below b, each once) whose exact similarity reaches the threshold, written."""
     up, down = threshold.numerator, threshold.denominator
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def side(table, end, value):
         names = {"id": end, "n": f"n{end}", value: f"v{end}"}
         return table.select(*[F.col(c).alias(names[c]) for c in table.columns if c in names])
 
     sized = (
-        pairs.hint("merge").join(side(sets, "a", "bitmap"), "a").hint("merge").join(side(sets, "b", "bitmap"), "b")
+        pairs.hint("merge").join(side(classes, "a", "bitmap"), "a").hint("merge").join(side(classes, "b", "bitmap"), "b")
         .where(F.least("na", "nb") * down >= F.greatest("na", "nb") * up)
     )
     survivors = materialize(_allowed(sized, threshold), "ngram-allowed")
-    ids = survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    arrays = materialize(_shingle_arrays(sets.join(ids.hint("merge"), "id", "left_semi")), "ngram-arrays")
+    if survivors.isEmpty():
+        return survivors
+    wanted = survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    arrays = materialize(_shingle_arrays(source, classes, wanted), "ngram-arrays")
     shared, both = F.size(F.array_intersect("va", "vb")), F.size("va") + F.size("vb")
-    return (
+    links = materialize(
         survivors.hint("merge").join(side(arrays, "a", "shingles"), "a").hint("merge")
         .join(side(arrays, "b", "shingles"), "b")
         .where(shared * down >= (both - shared) * up)
-        .select("a", "b")
-    )
-
-
-def _passing(tiles: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs from two blocks whose sizes and bitmaps allow the threshold (columns a, b)."""
+        .select("a", "b"), "ngram-links")
+    discard(survivors, arrays)
+    return links
+
+
+def _forest(a: np.ndarray, b: np.ndarray, margin: np.ndarray, vertices: int) -> np.ndarray:
+    """Numbers of the edges (a, b) of a spanning forest of largest margins, by Boruvka's rounds."""
+    order = np.argsort(margin, kind="stable")  # later edges win, equal margins by their place
+    label, chosen = np.arange(vertices), []
+    while len(order):
+        x, y = label[a[order]], label[b[order]]
+        apart = x != y
+        order, x, y = order[apart], x[apart], y[apart]
+        best = np.full(vertices, -1)
+        best[x] = np.arange(len(x))
+        np.maximum.at(best, y, np.arange(len(y)))
+        picked = np.unique(best[best >= 0])
+        chosen.append(order[picked])
+        for u, v in zip(x[picked], y[picked]):  # at most one edge a component
+            while label[u] != u:
+                u = label[u]
+            while label[v] != v:
+                v = label[v]
+            label[max(u, v)] = min(u, v)
+        while (label[label] != label).any():
+            label = label[label]
+    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+
+
+def _tile_pairs(ids, comps, sizes, sides, bitmaps: list, threshold: float):
+    """Batches of (i, j, margin): pairs of a tile's rows from different components, one of either
+    block (``sides``: bits 1 and 2), whose sizes and bitmaps allow the threshold, each pair once."""
+    share = threshold / (1 + threshold)
+    width = np.array([len(m) // 8 for m in bitmaps])
+    for words in np.unique(width):
+        here = np.flatnonzero(width == words)
+        flat = np.frombuffer(b"".join(bitmaps[i] for i in here), np.uint64).reshape(len(here), -1)
+        bits = np.bitwise_count(flat).sum(axis=1, dtype=np.int64)
+        for wide in np.unique(width[width >= words]):
+            there, other, other_bits = here, flat, bits
+            if wide > words:
+                there = np.flatnonzero(width == wide)
+                if threshold * sizes[there].min() > sizes[here].max():
+                    continue
+                other = _folded(np.frombuffer(b"".join(bitmaps[i] for i in there), np.uint64).reshape(len(there), -1), words)
+                other_bits = np.bitwise_count(other).sum(axis=1, dtype=np.int64)
+            step = max(1, (1 << 22) // max(1, len(there) * int(words)))
+            for at in range(0, len(here), step):
+                own = slice(at, at + step)
+                i, j = here[own, None], there[None]
+                ok = (comps[i] != comps[j]) & ((sides[i] | sides[j]) == 3)
+                ok &= np.minimum(sizes[i], sizes[j]) >= threshold * np.maximum(sizes[i], sizes[j]) - 1e-6
+                if wide == words:
+                    ok &= i < j
+                x, y = np.nonzero(ok)
+                x += at
+                for k in range(0, len(x), max(1, (1 << 21) // int(words))):
+                    u, v = x[k: k + (1 << 21) // int(words)], y[k: k + (1 << 21) // int(words)]
+                    both = np.bitwise_count(flat[u] & other[v]).sum(axis=1, dtype=np.int64)
+                    n, m = sizes[here[u]], sizes[there[v]]
+                    margin = _bounds(both, bits[u], other_bits[v], n, m) - share * (n + m)
+                    passed = margin >= -1e-6
+                    if passed.any():
+                        yield here[u[passed]], there[v[passed]], margin[passed]
+
+
+def _passing(tiles: DataFrame, threshold: Fraction, forest: bool) -> DataFrame:
+    """Pairs (kind 0: a, b) from two blocks whose sizes and bitmaps allow the threshold: all, or a
+    spanning forest of them, and then a row (kind 1: key) for tiles of which pairs were left out."""
     ratio = float(threshold)
-    share = ratio / (1 + ratio)
 
     def compare(key, frame):
-        block_a, block_b = key[1].as_py(), key[2].as_py()
-        ids, comps = frame.column("id").to_numpy(), frame.column("component").to_numpy()
-        sizes, blocks = frame.column("n").to_numpy(), frame.column("block").to_numpy()
-        maps = frame.column("value").to_pylist()
-        by_width: dict[int, list[int]] = {}
-        for i, m in enumerate(maps):
-            by_width.setdefault(len(m), []).append(i)
-        left, right = [], []
-        for width, rows in by_width.items():
-            own = np.array(rows)
-            flat = np.frombuffer(b"".join(maps[i] for i in rows), np.uint64).reshape(len(rows), -1)
-            wide = by_width.get(2 * width, [])
-            other, other_flat = own, flat
-            if wide:  # sizes within 3/4 differ by one doubling at most: fold the wider bitmaps
-                big = np.frombuffer(b"".join(maps[i] for i in wide), np.uint64).reshape(len(wide), 2, -1)
-                other = np.concatenate([own, np.array(wide)])
-                other_flat = np.concatenate([flat, big[:, 0] | big[:, 1]])
-            for x, i in enumerate(own):
-                ok = comps[other] != comps[i]
-                ok[: len(own)] &= ids[own] > ids[i]
-                ok &= np.minimum(sizes[other], sizes[i]) >= ratio * np.maximum(sizes[other], sizes[i]) - 1e-6
-                ok &= ((blocks[i] == block_a) & (blocks[other] == block_b)) | (
-                    (blocks[i] == block_b) & (blocks[other] == block_a))
-                at = np.flatnonzero(ok)
-                if not len(at):
-                    continue
-                bound = _bounds(flat[x], other_flat[at], sizes[i], sizes[other[at]])
-                at = at[bound >= share * (sizes[i] + sizes[other[at]]) - 1e-6]
-                left.append(np.full(len(at), ids[i]))
-                right.append(ids[other[at]])
-        a = np.concatenate(left) if left else np.zeros(0, np.int64)
-        b = np.concatenate(right) if right else np.zeros(0, np.int64)
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        names, x, y = (k.as_py() for k in key)
+        ids, comps, sizes, block = (frame.column(c).to_numpy() for c in ("id", "component", "n", "block"))
+        sides = np.where(block == x, 1, 0) | np.where(block == y, 2, 0)
+        vertex = np.unique(comps, return_inverse=True)[1]
+        kept, total = [], 0
+        for i, j, margin in _tile_pairs(ids, comps, sizes, sides, frame.column("bitmap").to_pylist(), ratio):
+            total += len(i)
+            kept.append((i, j, margin))
+            if forest and sum(len(k[0]) for k in kept) > 4 * len(ids):
+                kept = [_thinned(kept, vertex)]
+        if forest and kept:
+            kept = [_thinned(kept, vertex)]
+        i, j = (np.concatenate([k[c] for k in kept]) if kept else np.zeros(0, np.int64) for c in (0, 1))
+        a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+        more = 1 if forest and total > len(i) else 0
+        return pa.table({
+            "kind": pa.array(np.append(np.zeros(len(a), np.int32), np.ones(more, np.int32))),
+            "key": pa.array(np.full(len(a) + more, names, np.int64)),
+            "a": pa.array(np.append(a, np.zeros(more, np.int64))), "b": pa.array(np.append(b, np.zeros(more, np.int64)))})
+
+    def _thinned(kept, vertex):
+        i, j, margin = (np.concatenate(c) for c in zip(*kept))
+        edges = _forest(vertex[i], vertex[j], margin, int(vertex.max()) + 1)
+        return i[edges], j[edges], margin[edges]
+
+    return tiles.groupBy("key", "x", "y").applyInArrow(compare, "kind int, key long, a long, b long")
+
+
+def _open(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """``members`` (key, id, n) of groups with more than one component, with component, bitmap and the
+    number of blocks of their group, written."""
+    labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    keys = (
+        labelled.groupBy("key")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
+        .where("lo <> hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    )
+    found = labelled.join(keys, "key").join(classes.select("id", "bitmap"), "id")
+    return materialize(found.select("key", "id", "n", "component", "blocks", "bitmap"), "ngram-open")
+
 
-    return tiles.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long")
+def _blocked(members: DataFrame) -> DataFrame:
+    """Members of open groups, dealt to tiles of two blocks of about BLOCK rows."""
+    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return members.select(
+        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        "id", "n", "component", "block", "bitmap")
 
 
 def ngram_jaccard_join(
@@ -449,31 +533,7 @@ def ngram_jaccard_join(
     other, and rows are kept one for one. An empty table gives an empty table; other columns,
     whatever their names, are not read.
     """
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    prefix = _prefix_rows(source, threshold, _common_shingles(source, threshold))
-    dealt = prefix.repartition(F.when(F.col("kind") == 1, F.col("token")).otherwise(F.xxhash64("token", "id")))
-    tiles = materialize(_tiles(dealt.sortWithinPartitions("kind", "token", "id"), threshold), "ngram-tiles")
-    rows = tiles.where("kind = 2").select(
-        F.col("key").alias("id"), F.col("b").alias("n"), F.col("a").alias("digest"))
-    if not tiles.where("kind = 3").isEmpty():
-        tiles = tiles.where("kind < 2").union(materialize(_large_groups(tiles, threshold), "ngram-large-tiles"))
-    sets = _class_sets(source, rows, tiles)
-    links = materialize(_verified(tiles.where("kind = 0"), sets, threshold), "ngram-links")
-    labels = connected_components(links)
-    members = (
-        tiles.where("kind = 1").select("key", F.col("a").alias("id"), F.col("b").alias("n")).distinct()
-        .join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    )
-    open_keys = (
-        members.groupBy("key")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-        .where("lo <> hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    )
-    residual = materialize(members.join(open_keys, "key"), "ngram-residual")
-    if not residual.isEmpty():
-        more = _verified(_passing(_blocked(residual, sets), threshold), sets, threshold)
-        links = links.union(materialize(more, "ngram-more"))
-        labels = connected_components(links)
+    rows, labels = _linked(docs, id_column, text_column, threshold)
     grouped = (
         rows.groupBy("digest").agg(F.min("id").alias("least"))
         .join(labels.withColumnRenamed("id", "digest"), "digest", "left")
@@ -488,11 +548,41 @@ def ngram_jaccard_join(
     )
 
 
-def _blocked(residual: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members of open groups with their bitmaps, dealt to tiles of two blocks of about BLOCK rows."""
-    members = residual.join(sets.select("id", F.col("bitmap").alias("value")), "id")
-    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return members.select(
-        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        "id", "n", "component", "block", "value")
+def _linked(docs: DataFrame, id_column: str, text_column: str, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
+    """(rows (id, n, digest) of ``docs``, labels (id = digest, component) of the classes with links)."""
+    source = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text_column}`").alias("text"))
+    prefix = _prefix_rows(source, threshold, *_order(source, threshold))
+    dealt = prefix.repartition(F.when(F.col("kind") == 1, F.col("token")).otherwise(F.xxhash64("token", "id")))
+    tiles = materialize(_tiles(dealt.sortWithinPartitions("kind", "token", "id"), threshold), "ngram-tiles")
+    rows = tiles.where("kind = 2").select(
+        F.col("key").alias("id"), F.col("b").alias("n"), F.col("a").alias("digest"), "bitmap")
+    pairs = tiles.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    members = tiles.where("kind = 1").select("key", F.col("a").alias("id"), F.col("b").alias("n")).distinct()
+    large = tiles.where("kind = 3").select(F.col("key").alias("token"), F.col("a").alias("id"), F.col("b").alias("n"))
+    if not large.isEmpty():
+        more_pairs, more_members = _large_groups(large, threshold)
+        pairs, members = pairs.union(more_pairs).distinct(), members.union(more_members)
+    classes = _classes(rows)
+    rows = materialize(rows.drop("bitmap"), "ngram-rows")
+    links = _verified(pairs, source, classes, threshold)
+    labels = connected_components(links)
+    is_open = _open(members, labels, classes)
+    discard(tiles)
+    if not is_open.isEmpty():
+        found = materialize(_passing(_blocked(is_open), threshold, forest=True), "ngram-forest")
+        tried = found.where("kind = 0").select("a", "b").distinct()
+        links = _verified(tried, source, classes, threshold)
+        if not links.isEmpty():
+            labels = materialize(join_components(labels, links), "ngram-labels")
+        more = found.where("kind = 1").select("key").distinct()
+        if not more.isEmpty():
+            left = is_open.join(more, "key", "left_semi")
+            still = _open(left.select("key", "id", "n"), labels, classes)
+            rest = _passing(_blocked(still), threshold, forest=False).select("a", "b").distinct()
+            links = _verified(rest.join(tried, ["a", "b"], "left_anti"), source, classes, threshold)
+            if not links.isEmpty():
+                labels = join_components(labels, links)
+            discard(still)
+        discard(found)
+    discard(is_open, classes)
+    return rows, labels

@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
 from foldline.llm import common, ngram_join, quality  # noqa: E402
-from foldline.llm.components import connected_components  # noqa: E402
+from foldline.llm.components import connected_components, join_components  # noqa: E402
 from foldline.llm.decontaminate import drop_contaminated, find_items  # noqa: E402
 from foldline.llm.ngram_join import ngram_jaccard_join  # noqa: E402
 from foldline.llm.pii import estimate_reliabilities, pii_report, pii_spans, train_classifier  # noqa: E402
@@ -101,10 +101,11 @@ def test_bitmap_bound_is_never_too_low():
     for _ in range(200):
         pool = rng.integers(0, 1 << 62, 400).astype(np.uint64)
         a, b = np.unique(pool[: rng.integers(1, 300)]), np.unique(pool[rng.integers(0, 200): 350])
-        maps = [np.frombuffer(ngram_join._bitmap(x), np.uint64) for x in (a, b)]
-        width = min(map(len, maps))
-        bound = ngram_join._bounds(*(ngram_join._folded(m, width) for m in maps), len(a), len(b))
-        assert bound >= len(np.intersect1d(a, b))
+        maps = [np.frombuffer(ngram_join._bitmap(x), np.uint64)[None] for x in (a, b)]
+        width = min(m.size for m in maps)
+        here, there = (ngram_join._folded(m, width) for m in maps)
+        both, bits, other = (int(np.bitwise_count(m).sum()) for m in (here & there, here, there))
+        assert ngram_join._bounds(both, bits, other, len(a), len(b)) >= len(np.intersect1d(a, b))
 
 
 def test_decontamination_matches_brute_force(spark, texts):
@@ -227,10 +228,11 @@ def test_groups_are_not_carried_beyond_their_bound():
     assert sorted(whole + loose) == sorted(zip(tokens, ids))
 
 
-@pytest.mark.parametrize("common", [8, 10**9])
-def test_families_of_near_copies_are_linked_in_blocks(spark, monkeypatch, common):
+@pytest.mark.parametrize("hot,sample_of", [(8, 1), (8, 4), (10**9, 1), (10**9, 10**6)])
+def test_families_of_near_copies_are_linked_in_blocks(spark, monkeypatch, hot, sample_of):
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
-    monkeypatch.setattr(ngram_join, "COMMON_IN_SAMPLE", common)
+    monkeypatch.setattr(ngram_join, "HOT_IN_SAMPLE", hot)
+    monkeypatch.setattr(ngram_join, "SAMPLE_OF", sample_of)
     rows = []
     for family in range(2):
         body = " ".join(f"f{family}w{i}" for i in range(60))
@@ -238,3 +240,89 @@ def test_families_of_near_copies_are_linked_in_blocks(spark, monkeypatch, common
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_jaccard_join(docs).collect()}
     assert got == {i: i // 1000 * 1000 for i, _ in rows}
+
+
+def loose_family(size, seed, changed=9):
+    """Texts that each differ from one another in many words, so that few pairs are links."""
+    rng = random.Random(seed)
+    body = [f"s{seed}w{i}" for i in range(120)]
+    out = []
+    for i in range(size):
+        words = list(body)
+        for k in range(rng.randrange(1, changed)):
+            words[rng.randrange(len(words))] = f"own{seed}x{i}y{k}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("hot", [5, 10**9])
+def test_loose_families_against_brute_force(spark, monkeypatch, hot):
+    """Families without a middle, which pivots alone cannot link, and passages that strangers share."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 12)
+    monkeypatch.setattr(ngram_join, "HOT_IN_SAMPLE", hot)
+    passage = " ".join(f"p{i}" for i in range(55))
+    texts = loose_family(50, 1) + loose_family(30, 2, 14)
+    texts += [f"{passage} " + " ".join(f"z{i}q{k}" for k in range(10 + i)) for i in range(40)]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_jaccard_join(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = brute.components(texts)[0]
+    assert got == dict(enumerate(want)) and 5 < len(set(want[:80])) < 60
+
+
+def test_low_threshold_compares_sizes_far_apart(spark, monkeypatch):
+    """Below one half two sets may differ in size by more than one doubling of the bitmap."""
+    from fractions import Fraction
+
+    monkeypatch.setattr(ngram_join, "PIVOTS", 1)
+    words = [f"w{i}" for i in range(2400)]
+    texts = [" ".join(words[:n]) + f" end{n}" for n in (130, 320, 800, 2000, 2300)] + [" ".join(words[1900:2200])]
+    rows = ngram_jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), threshold=Fraction(1, 3)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 5}
+
+
+def test_forest_joins_what_the_edges_join_by_falling_margin():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        n, edges = int(rng.integers(2, 60)), int(rng.integers(0, 300))
+        a, b = rng.integers(0, n, edges), rng.integers(0, n, edges)
+        margin = rng.integers(0, 5, edges).astype(float)
+        picked = ngram_join._forest(a, b, margin, n)
+
+        def groups(use):
+            label = list(range(n))
+            for x, y in zip(a[use], b[use]):
+                low, high = sorted((label[x], label[y]))
+                label = [low if v == high else v for v in label]
+            return label
+
+        def weight(use):  # of a largest spanning forest
+            label, total = list(range(n)), 0.0
+            for e in sorted(use, key=lambda e: -margin[e]):
+                x, y = label[a[e]], label[b[e]]
+                if x != y:
+                    total += margin[e]
+                    label = [x if v == y else v for v in label]
+            return total
+
+        every = np.arange(edges)
+        assert groups(picked) == groups(every) and len(picked) == n - len(set(groups(every)))
+        assert margin[picked].sum() == weight(every)
+
+
+def test_forest_of_a_tile_has_an_edge_a_component_at_most(spark):
+    """All of m open near copies pass against each other; a tile sends m - 1 pairs and says that it left some out."""
+    sets = [np.unique(np.concatenate([np.arange(1000, 1100), [i]]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for i in range(200)]
+    rows = [(7, 0, 0, i, len(v), i, 0, bytearray(ngram_join._bitmap(v))) for i, v in enumerate(sets)]
+    tiles = spark.createDataFrame(rows, "key long, x int, y int, id long, n long, component long, block int, bitmap binary")
+    some = ngram_join._passing(tiles, ngram_join.THRESHOLD, forest=True).collect()
+    assert sum(r["kind"] == 0 for r in some) == 199 and [r["key"] for r in some if r["kind"] == 1] == [7]
+    every = ngram_join._passing(tiles, ngram_join.THRESHOLD, forest=False).collect()
+    assert len(every) == 200 * 199 // 2 and {r["kind"] for r in every} == {0}
+
+
+def test_join_components(spark):
+    labels = connected_components(spark.createDataFrame([(5, 1), (6, 1), (9, 8), (4, 3)], "a long, b long"))
+    joined = join_components(labels, spark.createDataFrame([(6, 9), (20, 21), (30, 4), (5, 6)], "a long, b long"))
+    assert dict(joined.collect()) == {1: 1, 5: 1, 6: 1, 8: 1, 9: 1, 3: 3, 4: 3, 30: 3, 20: 20, 21: 20}
+    none = spark.createDataFrame([], "a long, b long")
+    assert dict(join_components(labels, none).collect()) == dict(labels.collect()) and connected_components(none).collect() == []
