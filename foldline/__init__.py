@@ -23,9 +23,9 @@ from .operators import (
     row_count,
     scatter_points,
 )
-from .plans import FlowResult, flow, land_source, print_file, print_rows, transform, transform_frame
+from .plans import FlowResult, finish_flows, flow, land_source, print_file, print_rows, transform, transform_frame
 from .session import build_session, checkpoint_root, scratch_dir
-from .sinks import TableLoadError, publish_file, save_table
+from .sinks import TableConflict, TableLoadError, publish_file, save_table, table_version
 from .sources import (
     describe_extended,
     describe_table,
@@ -53,6 +53,7 @@ from .streaming import (
 __all__ = [
     "ChangeListener",
     "FlowResult",
+    "TableConflict",
     "TableLoadError",
     "box_stats",
     "build_session",
@@ -67,6 +68,7 @@ __all__ = [
     "fingerprint",
     "flow",
     "SourceName",
+    "finish_flows",
     "histogram",
     "land_source",
     "limit_rows",
@@ -98,6 +100,7 @@ __all__ = [
     "source_fingerprint",
     "start_ingest",
     "stop_ingest",
+    "table_version",
     "transform",
     "transform_frame",
 ]

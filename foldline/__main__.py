@@ -31,6 +31,7 @@ def _pipeline_args(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--names", help="comma-separated positional column names")
     parser.add_argument("--filter-column")
     parser.add_argument("--filter-value")
+    parser.add_argument("--single-file", action="store_true", help="publish one file instead of a folder of parts")
 
 
 def _table_args(parser: argparse.ArgumentParser) -> None:
@@ -101,6 +102,7 @@ def main(argv: list[str] | None = None) -> int:
                 column_names=_names(args.names),
                 filter_column=args.filter_column,
                 filter_value=args.filter_value,
+                single_file=args.single_file,
             )
             if args.command == "flow":
                 result = flow(

@@ -2,10 +2,16 @@
 
 The consolidation is evaluated once: the table is written first, if one is wanted, and the file and
 the preview are derived from it; otherwise the preview is read from the published file.
+
+Table and file are one commit. Both are written where no reader looks, then an intent record says
+what is to be published, then both are published, then the record goes. A flow that dies before the
+record leaves both as they were; one that dies after it is finished by the next flow into the same
+output folder (or ``finish_flows``), since publishing again changes nothing.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -14,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.names import positive_int
 from ..operators.columns import cell_text
-from ..sinks.files import file_system, publish_file, swap_in
-from ..sinks.tables import save_table
+from ..sinks.files import file_system, publish_file, publish_staged, stage_file, swap_in
+from ..sinks.tables import commit_table, prepare_table, prepared_rows
 from ..sources.catalog import read_table
 from ..sources.files import (
     SourceName,
@@ -115,6 +121,44 @@ def table_wanted(database: str | None, table: str | None) -> bool:
     return bool(database)
 
 
+INTENT = "._intent-"
+
+
+def _write_intent(spark: SparkSession, output_dir: str, what: dict) -> str:
+    """The record, whole or not at all: written aside, then renamed."""
+    name = uuid.uuid4().hex
+    fs, staged, jvm = file_system(spark, f"{output_dir.rstrip('/')}/._writing-{name}")
+    out = fs.create(staged)
+    out.write(bytearray(json.dumps(what), "utf-8"))
+    out.close()
+    intent = f"{output_dir.rstrip('/')}/{INTENT}{name}"
+    if not fs.rename(staged, jvm.org.apache.hadoop.fs.Path(intent)):
+        raise RuntimeError(f"could not write {intent}")
+    return intent
+
+
+def _publish_both(spark: SparkSession, intent: str, prepared: dict, staged: dict) -> tuple[str, str]:
+    location = commit_table(spark, prepared)
+    path = publish_staged(spark, staged)
+    fs, record, _ = file_system(spark, intent)
+    fs.delete(record, False)
+    return location, path
+
+
+def finish_flows(spark: SparkSession, output_dir: str) -> int:
+    """Publish what flows into ``output_dir`` had announced when they died; the number of them."""
+    fs, pattern, jvm = file_system(spark, f"{output_dir.rstrip('/')}/{INTENT}*")
+    found = sorted((f.getModificationTime(), f.getPath().toString()) for f in fs.globStatus(pattern) or [])
+    for _, intent in found:
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(intent))
+        try:
+            what = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        _publish_both(spark, intent, what["table"], what["file"])
+    return len(found)
+
+
 def flow(
     spark: SparkSession,
     input_path: str,
@@ -140,6 +184,7 @@ def flow(
     publishes one file instead of a folder of parts.
     """
     with_table = table_wanted(database, table)
+    finish_flows(spark, output_dir)
     result = transform(
         spark,
         input_path,
@@ -152,9 +197,14 @@ def flow(
     )
     location, kind = None, result.schema
     if with_table:
-        location = save_table(result, database, table, warehouse_dir=warehouse_dir, mode="overwrite")
+        prepared = prepare_table(result, database, table, warehouse_dir=warehouse_dir)
+        rows = prepared_rows(spark, prepared)
+        staged = stage_file(rows, source, output_dir, file_format, write_options, single_file)
+        intent = _write_intent(spark, output_dir, {"table": prepared, "file": staged})
+        location, path = _publish_both(spark, intent, prepared, staged)
         result = read_table(spark, database, table)
-    path = publish_file(result, source, output_dir, file_format, write_options, single_file)
+    else:
+        path = publish_file(result, source, output_dir, file_format, write_options, single_file)
     if preview_rows is None:
         return FlowResult(location, path, -1)
     shown = result if with_table else read_source(spark, path, file_format, write_options, kind)

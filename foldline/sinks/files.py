@@ -78,13 +78,27 @@ def publish_file(
     gets a header unless the options say otherwise. A single file is not compressed, and an empty
     frame gives one with a header alone, or an empty one.
     """
+    staged = stage_file(df, source, output_dir, file_format, write_options, single_file)
+    return publish_staged(df.sparkSession, staged)
+
+
+def stage_file(
+    df: DataFrame,
+    source: str,
+    output_dir: str,
+    file_format: str | None = None,
+    write_options: Mapping | None = None,
+    single_file: bool = False,
+) -> dict:
+    """The first half of ``publish_file``: everything is written, next to the target. What comes back is
+    plain data for ``publish_staged``, in this process or a later one."""
     target = SourceName.of(output_name(source), file_format)
     options = dict(write_options or {})
     options.setdefault(*(("header", True) if target.format == "csv" else ("ignoreNullFields", False)))
     out = output_dir.rstrip("/")
-    staged = f"{out}/._stage-{uuid.uuid4().hex}"
-    fs, staged_path, jvm = file_system(df.sparkSession, staged)
-    final = f"{out}/{target.name}"
+    folder = f"{out}/._stage-{uuid.uuid4().hex}"
+    fs, folder_path, _ = file_system(df.sparkSession, folder)
+    ready = folder
     try:
         if single_file:
             folded = {k.casefold(): v for k, v in options.items()}
@@ -92,20 +106,33 @@ def publish_file(
                 raise ValueError("a single file is not compressed")
             headed = target.format == "csv" and str(folded.get("header")).casefold() == "true"
             plain = {k: v for k, v in options.items() if k.casefold() not in ("header", "compression")}
-            df.write.format(target.format).options(**plain | {"compression": "none"} | ({"header": False} if target.format == "csv" else {})).save(staged)
+            bare = {"compression": "none"} | ({"header": False} if target.format == "csv" else {})
+            df.write.format(target.format).options(**plain | bare).save(folder)
             if headed:  # a frame without rows gives the header line alone
-                df.limit(0).coalesce(1).write.options(**plain | {"header": True, "compression": "none"}).csv(f"{staged}/_head")
-            joined = _joined(df.sparkSession, staged)
-            if fs.isDirectory(jvm.org.apache.hadoop.fs.Path(final)):  # an earlier folder of parts
-                swap_in(df.sparkSession, joined, final)
-            else:
-                _replace(df.sparkSession, joined, final)
+                df.limit(0).coalesce(1).write.options(**plain | {"header": True, "compression": "none"}).csv(f"{folder}/_head")
+            ready = _joined(df.sparkSession, folder)
+        else:
+            df.write.format(target.format).options(**options).save(folder)
+    except BaseException:
+        fs.delete(folder_path, True)
+        raise
+    return {"folder": folder, "ready": ready, "final": f"{out}/{target.name}"}
+
+
+def publish_staged(spark: SparkSession, staged: dict) -> str:
+    """The second half: the staged file or folder replaces the published one. Doing it again changes
+    nothing."""
+    fs, ready, jvm = file_system(spark, staged["ready"])
+    final, Path = staged["final"], jvm.org.apache.hadoop.fs.Path
+    if fs.exists(ready):
+        if fs.isDirectory(ready) or fs.isDirectory(Path(final)):
+            swap_in(spark, staged["ready"], final)
         else:
-            df.write.format(target.format).options(**options).save(staged)
-            swap_in(df.sparkSession, staged, final)
-    finally:
-        if fs.exists(staged_path):
-            fs.delete(staged_path, True)
+            _replace(spark, staged["ready"], final)
+    if fs.exists(Path(final)):
+        fs.delete(Path(staged["folder"]), True)
+        for old in fs.globStatus(Path(f"{final}._old-*")) or []:  # of a stop between two renames
+            fs.delete(old.getPath(), True)
     return final
 
 

@@ -89,8 +89,9 @@ def register_table(spark: SparkSession, database: str, table: str, warehouse_dir
     version, or its folder with all partitions. False if nothing is stored there."""
     base = _folder(warehouse_dir, database, table)
     now = versions.current(spark, base)
-    if now is None and not stored_paths(spark, f"{base}/*"):
-        return False
+    names = [path.rpartition("/")[2] for path in stored_paths(spark, f"{base}/*")]
+    if now is None and all(name.startswith(("v-", "_", ".")) for name in names):
+        return False  # nothing, or versions that no pointer has named
     _create_database(spark, database, warehouse_dir)
     if not spark.catalog.tableExists(f"{database}.{table}"):
         place = f"{base}/{now.folder}" if now else base
@@ -184,28 +185,76 @@ def save_table(
     if mode == "append" and known:
         return _append(df, database, table, warehouse, columns)
     _expect(seen, expected_version, database, table)
-    folder = f"v-{uuid.uuid4().hex}"
+    prepared = _prepared(df, database, table, warehouse, columns)
+    if not _commit(spark, prepared, seen, expected_version, again=mode == "overwrite"):
+        return _append(df, database, table, warehouse, columns)  # another process has created it meanwhile
+    return base
+
+
+def prepare_table(
+    df: DataFrame, database: str, table: str, *, warehouse_dir: str | None = None, ntz_as_timestamp: bool = False
+) -> dict:
+    """The first half of an overwrite: guards, then the rows in a folder that no reader sees yet. What
+    comes back is plain data for ``commit_table``, in this process or a later one."""
+    table_name(database, table)
+    _checked_schema(df.schema)
+    columns = {f.name: column_type(f.dataType, ntz_as_timestamp) for f in df.schema.fields}
+    df = df.select(*[df[quote(name)].cast(kind).alias(name) for name, kind in columns.items()])
+    warehouse = (warehouse_dir or df.sparkSession.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    _sql_text(_folder(warehouse, database, table))
+    _guarded(df.sparkSession, database, table, warehouse, columns)
+    return _prepared(df, database, table, warehouse, columns)
+
+
+def commit_table(spark: SparkSession, prepared: dict) -> str:
+    """The second half: the prepared folder becomes the table. Doing it again changes nothing."""
+    names = (prepared["database"], prepared["table"], prepared["warehouse"])
+    base = _folder(prepared["warehouse"], *names[:2])
+    if not stored_paths(spark, f"{base}/{prepared['folder']}") or versions.named(spark, base, prepared["folder"]):
+        register_table(spark, *names)  # committed before, and perhaps replaced since
+    else:
+        _, seen = _guarded(spark, *names, prepared["columns"])
+        _commit(spark, prepared, seen, None, again=True)
+    return base
+
+
+def prepared_rows(spark: SparkSession, prepared: dict) -> DataFrame:
+    base = _folder(prepared["warehouse"], prepared["database"], prepared["table"])
+    return spark.read.schema(_columns_sql(prepared["columns"])).parquet(f"{base}/{prepared['folder']}")
+
+
+def _prepared(df: DataFrame, database: str, table: str, warehouse: str, columns: dict[str, str]) -> dict:
+    spark, folder = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    place = f"{_folder(warehouse, database, table)}/{folder}"
     try:
-        df.write.parquet(f"{base}/{folder}")
+        df.write.parquet(place)
     except BaseException:
-        versions.delete(spark, f"{base}/{folder}")
+        versions.delete(spark, place)
         raise
-    while True:
-        now = versions.advance(spark, base, seen, folder)
-        if now is not None:
-            break
+    return {"database": database, "table": table, "warehouse": warehouse, "columns": columns, "folder": folder}
+
+
+def _commit(spark: SparkSession, prepared: dict, seen: Pointer | None, expected: int | None, again: bool) -> bool:
+    """Move the pointer to the prepared folder. If it has moved since ``seen``: once more from there
+    (``again``), or give up, with the folder deleted."""
+    names = (prepared["database"], prepared["table"], prepared["warehouse"])
+    columns, folder = prepared["columns"], prepared["folder"]
+    base = _folder(prepared["warehouse"], *names[:2])
+    now = versions.advance(spark, base, seen, folder)
+    while now is None:
         try:
-            _, seen = _guarded(spark, database, table, warehouse, columns)
-            _expect(seen, expected_version, database, table)
+            _, seen = _guarded(spark, *names, columns)
+            _expect(seen, expected, *names[:2])
         except TableLoadError:
             versions.delete(spark, f"{base}/{folder}")
             raise
-        if mode == "append":  # another process has created the table meanwhile
+        if not again:
             versions.delete(spark, f"{base}/{folder}")
-            return _append(df, database, table, warehouse, columns)
-    _publish(spark, database, table, warehouse, columns)
+            return False
+        now = versions.advance(spark, base, seen, folder)
+    _publish(spark, *names, columns)
     versions.retire(spark, base, now, seen)
-    return base
+    return True
 
 
 def _expect(seen: Pointer | None, expected: int | None, database: str, table: str) -> None:

@@ -124,6 +124,11 @@ def retire(spark: SparkSession, base: str, now: Pointer, before: Pointer | None)
         delete(spark, _file(base, number))
 
 
+def named(spark: SparkSession, base: str, folder: str) -> bool:
+    """Whether a pointer that is still kept names ``folder``."""
+    return any(_folder(spark, base, number) == folder for number in _numbers(spark, base))
+
+
 def forget(spark: SparkSession, base: str, number: int) -> None:
     """Remove pointers below ``number``."""
     for old in _numbers(spark, base):

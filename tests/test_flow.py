@@ -122,3 +122,62 @@ def test_flow_without_a_table(spark, tmp_dir, capsys):
     assert [tuple(r) for r in read_source(spark, result.file_path).collect()] == [(1, "x", 2)]
     with pytest.raises(ValueError):
         flow(spark, src, "s.csv", os.path.join(tmp_dir, "out"), "db_only")
+
+
+def _flow_in(spark, place, rows, **options):
+    src = os.path.join(place, "items.csv")
+    with open(src, "w") as handle:
+        handle.write("kind,size\n" + "".join(f"{k},{s}\n" for k, s in rows))
+    database = "flow_" + os.path.basename(place).replace("-", "_")
+    return flow(spark, src, "items.csv", os.path.join(place, "out"), database, "items",
+                warehouse_dir=os.path.join(place, "wh"), schema="kind string, size int", preview_rows=None, **options), database
+
+
+def _both(spark, place, database):
+    path = os.path.join(place, "out", "transformed_items.csv")
+    schema = "kind string, size int, occurrences long"
+    return (sorted(map(tuple, read_table(spark, database, "items").collect())),
+            sorted(map(tuple, read_source(spark, path, schema=schema).collect())))
+
+
+@pytest.mark.parametrize("single", [False, True])
+@pytest.mark.parametrize("dies_in", ["_write_intent", "commit_table", "publish_staged"])
+def test_a_flow_that_dies_leaves_both_old_or_both_new(spark, tmp_dir, monkeypatch, dies_in, single):
+    from foldline.plans import flow as flow_function  # noqa: F401
+    import sys
+
+    module = sys.modules["foldline.plans.flow"]
+    _, database = _flow_in(spark, tmp_dir, [("a", 1), ("a", 1)], single_file=single)
+    old, new = [("a", 1, 2)], [("b", 5, 1), ("b", 6, 1)]
+    assert _both(spark, tmp_dir, database) == (old, old)
+    real = getattr(module, dies_in)
+
+    def dies(*arguments, **named):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(module, dies_in, dies)
+    with pytest.raises(KeyboardInterrupt):
+        _flow_in(spark, tmp_dir, [("b", 5), ("b", 6)], single_file=single)
+    monkeypatch.setattr(module, dies_in, real)
+    out = os.path.join(tmp_dir, "out")
+    finished = module.finish_flows(spark, out)
+    assert (finished, _both(spark, tmp_dir, database)) == ((0, (old, old)) if dies_in == "_write_intent" else (1, (new, new)))
+    assert module.finish_flows(spark, out) == 0
+    _flow_in(spark, tmp_dir, [("c", 9)], single_file=single)
+    assert _both(spark, tmp_dir, database) == ([("c", 9, 1)], [("c", 9, 1)])
+    assert not [n for n in os.listdir(out) if "intent" in n or "_old" in n]
+
+
+def test_publishing_again_changes_nothing(spark, tmp_dir, monkeypatch):
+    """A flow that dies after both were published, before its record went, is not undone by later writes."""
+    import sys
+
+    module = sys.modules["foldline.plans.flow"]
+    records, real = [], module._write_intent
+    monkeypatch.setattr(module, "_write_intent", lambda spark, out, what: records.append(what) or real(spark, out, what))
+    _, database = _flow_in(spark, tmp_dir, [("a", 1)])
+    _flow_in(spark, tmp_dir, [("b", 2)])
+    for what in records[::-1]:
+        real(spark, os.path.join(tmp_dir, "out"), what)
+    assert module.finish_flows(spark, os.path.join(tmp_dir, "out")) == 2
+    assert _both(spark, tmp_dir, database) == ([("b", 2, 1)], [("b", 2, 1)])

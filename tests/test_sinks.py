@@ -199,3 +199,42 @@ def test_attach_finds_all_partitions_and_odd_paths(spark, tmp_dir):
         attach_table(spark, db, "missing", tmp_dir)
     with pytest.raises(ValueError):
         save_table(frame, db, "q", warehouse_dir=os.path.join(tmp_dir, "it's"))
+
+
+def test_single_file_is_joined_from_parts(spark, tmp_dir, monkeypatch):
+    from foldline.sinks import files
+
+    monkeypatch.setattr(files, "COPY_BYTES", 1000)  # more pieces than parts
+    rows = [(i, f'te"xt, {i} é', None if i % 5 else "") for i in range(2000)]
+    frame = spark.createDataFrame(rows, 'id int, `a,"b` string, c string').repartition(6)
+    cases = [("csv", {"escape": '"', "emptyValue": "e", "nullValue": "n"}), ("csv", {"sep": ";", "quoteAll": True}), ("json", {})]
+    for i, (suffix, options) in enumerate(cases):
+        folder = publish_file(frame, f"t.{suffix}", os.path.join(tmp_dir, f"folder{i}"), write_options=options)
+        path = publish_file(frame, f"t.{suffix}", os.path.join(tmp_dir, f"one{i}"), write_options=options, single_file=True)
+        assert os.path.isfile(path) and os.listdir(os.path.dirname(path)) == [os.path.basename(path)]
+        with open(path, encoding="utf-8") as handle:
+            lines = handle.read().splitlines()
+        parts = []
+        for name in _parts(folder):
+            with open(os.path.join(folder, name), encoding="utf-8") as handle:
+                parts.append(handle.read().splitlines())
+        header = parts[0][:1] if suffix == "csv" else []
+        assert lines[: len(header)] == header and len(lines) == len(header) + 2000
+        assert sorted(lines[len(header):]) == sorted(x for p in parts for x in p[len(header):])
+
+
+def test_single_file_replaces_files_and_folders(spark, tmp_dir):
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    path = publish_file(nation, "nation.csv", tmp_dir)
+    assert os.path.isdir(path)
+    for n in (25, 7):
+        assert publish_file(nation.where(f"n_nationkey < {n}"), "nation.csv", tmp_dir, single_file=True) == path
+        assert os.path.isfile(path) and read_source(spark, path, schema=nation.schema).count() == n
+    empty = publish_file(nation.limit(0), "nation.csv", tmp_dir, single_file=True)
+    assert open(empty).read() == "n_nationkey,n_name,n_regionkey\n"
+    assert read_source(spark, publish_file(nation, "nation.csv", tmp_dir), schema=nation.schema).count() == 25
+    with pytest.raises(ValueError):
+        publish_file(nation, "nation.csv", tmp_dir, write_options={"compression": "gzip"}, single_file=True)
+    nothing = publish_file(nation.limit(0), "n.json", tmp_dir, single_file=True)
+    assert os.path.getsize(nothing) == 0
+    assert sorted(n for n in os.listdir(tmp_dir) if not n.endswith(".crc")) == ["transformed_n.json", "transformed_nation.csv"]
