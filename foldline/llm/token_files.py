@@ -23,17 +23,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch, write_shared
+from .common import materialize, mix64, scratch, slices, text_buffers, write_shared
 from .simple8b import decode, encode
 
 MAGIC = b"S8BTOK01"
 FILE_IDS = 4_000_000
 CACHE_ENTRIES = 1_000_000
 CACHE_CHARS = 20_000_000
-SLICE_DOCS = 256
+SLICE_BYTES = 4 << 20
 NULL_ID = -(1 << 63)
 END_ID = 0
 # Characters whose class no Unicode version changes, the plain space and the line feed.
@@ -43,6 +44,16 @@ PLAIN = re.compile(f"[\n -~{_LETTERS}]+")
 PIECE = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+")
 GAP = re.compile(r"(?= \S)")
+# Texts that can be cut by the classes of neighbouring bytes: plain characters without apostrophes and
+# without two white-space characters in a row. There, every byte from 128 on belongs to a letter.
+SIMPLE = f"\\A[\n -&(-~{_LETTERS}]*\\z"
+_SPACE, _BREAK = 3, 4
+_CLASS = np.zeros(256, np.int8)
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_CLASS[48:58] = 2
+_CLASS[32], _CLASS[10] = _SPACE, _BREAK
+_BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FACTOR = 0xD6E8FEB86659FD93
 # Rule of byte-level vocabularies: printable bytes of Latin-1 stand for themselves, the others for
 # the characters from 256 on, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -62,7 +73,8 @@ class Encoder:
     string once: the pre-tokenizer's own pieces where all characters are plain, else the parts between
     gaps before a space that is followed by something else than white space, which it never joins.
     Texts that hold a special token's string go to the library whole, as do all texts if the tokenizer
-    is of another kind. At most CACHE_ENTRIES strings of CACHE_CHARS characters are remembered."""
+    is of another kind. At most CACHE_ENTRIES strings of CACHE_CHARS characters are remembered; pieces
+    of simple texts by a 64-bit hash of their bytes (n of them collide by a chance of n * n / 2**65)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -89,6 +101,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.hashes, self.hash_places = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by hash
         self.chars = 0
         self.lengths = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
@@ -106,7 +119,8 @@ class Encoder:
                 pieces.append(part)
         return pieces
 
-    def _learn(self, names: list[str]) -> None:
+    def _learn(self, names: list[str]) -> list[str]:
+        """Append the ids of the different strings of ``names``; they in the order of their places."""
         known = dict.fromkeys(names)
         odd = [n for n in known if not PLAIN.fullmatch(n)]
         for n in odd:
@@ -123,27 +137,97 @@ class Encoder:
         finally:
             if collecting:
                 gc.enable()
-        base = len(self.place)
-        self.place.update(zip(new, range(base, base + len(new))))
         self.chars += sum(map(len, new))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, ids])
+        return new
 
-    def _flat(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of the strings, one after the other; the first of each and the total)"""
-        if len(self.place) > CACHE_ENTRIES or self.chars > CACHE_CHARS:
-            self._forget()
+    def _places(self, names: list[str]) -> np.ndarray:
+        """Where the ids of the strings are; unknown strings are learnt first."""
+        self._make_room()
         which = np.fromiter(map(self.place.get, names, itertools.repeat(-1)), np.int64, len(names))
         missing = np.flatnonzero(which < 0)
         if len(missing):
-            wanted = [names[i] for i in missing]
-            self._learn(wanted)
+            wanted, base = [names[i] for i in missing], len(self.lengths)
+            new = self._learn(wanted)
+            self.place.update(zip(new, range(base, base + len(new))))
             which[missing] = np.fromiter(map(self.place.__getitem__, wanted), np.int64, len(wanted))
+        return which
+
+    def _flat(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the strings, one after the other; the first of each and the total)"""
+        return self._gathered(self._places(names))
+
+    def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.lengths[which]
-        first = np.concatenate([[0], np.cumsum(lengths)])
+        first = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         return self.ids[np.repeat(self.starts[which] - first[:-1], lengths) + np.arange(first[-1])], first
 
+    def _make_room(self) -> None:
+        if len(self.lengths) > CACHE_ENTRIES or self.chars > CACHE_CHARS:
+            self._forget()
+
+    def _cut_simple(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each piece of the column's texts, number of pieces of each text): a piece begins at
+        white space, at a text's first byte, and where the class changes but for behind a space."""
+        offsets, raw = text_buffers(column)
+        data, offsets = raw[offsets[0]: offsets[-1]], offsets - offsets[0]
+        kind = _CLASS[data]
+        begins = kind >= _SPACE
+        begins[1:] |= (kind[1:] != kind[:-1]) & (kind[:-1] != _SPACE)
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(begins)
+        edges = np.append(starts, len(data))
+        sizes = np.diff(edges)
+        powers = np.full(int(sizes.max(initial=0)) + 1, _FACTOR, np.uint64)
+        powers[0] = 1
+        with np.errstate(over="ignore"):
+            place = np.arange(len(data)) - np.repeat(starts, sizes)
+            running = np.append(np.uint64(0), np.cumsum(_BYTE_CODE[data] * np.cumprod(powers, dtype=np.uint64)[place], dtype=np.uint64))
+            hashes = mix64(running[edges[1:]] - running[edges[:-1]] + sizes.astype(np.uint64))
+        coded = pa.array(hashes).dictionary_encode()
+        codes, names = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+        self._make_room()
+        which = np.full(len(names), -1)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, names), len(self.hashes) - 1)
+            which = np.where(self.hashes[at] == names, self.hash_places[at], -1)
+        missing = np.flatnonzero(which < 0)
+        if len(missing):
+            seen = np.zeros(len(names), np.int64)
+            seen[codes[::-1]] = np.arange(len(codes))[::-1]  # where each piece occurs first
+            begin, end = edges[seen[missing]].tolist(), edges[seen[missing] + 1].tolist()
+            text, base = data.tobytes(), len(self.lengths)
+            self._learn([text[a:b].decode() for a, b in zip(begin, end)])  # all different and plain
+            which[missing] = np.arange(base, base + len(missing))
+            both, places = np.concatenate([self.hashes, names[missing]]), np.concatenate([self.hash_places, which[missing]])
+            order = np.argsort(both, kind="stable")
+            self.hashes, self.hash_places = both[order], places[order]
+        return which[codes], np.diff(np.searchsorted(starts, offsets))
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of a string column without nulls: simple texts are cut and looked up as arrays."""
+        match = pa.compute.match_substring_regex
+        simple = pa.compute.and_not(match(column, SIMPLE), match(column, r"\s\s"))
+        for special in self.special:
+            simple = pa.compute.and_not(simple, pa.compute.match_substring(column, special))
+        simple = simple.to_numpy(zero_copy_only=False) & self.by_piece
+        others = np.flatnonzero(~simple)
+        other_ids, other_sizes = self.encode(column.take(pa.array(others)).to_pylist())
+        which, counts = self._cut_simple(column.filter(pa.array(simple)))
+        flat, first = self._gathered(which)
+        sizes = np.empty(len(column), np.int64)
+        sizes[simple] = np.diff(first[np.append(0, np.cumsum(counts))]) + 1
+        sizes[others] = other_sizes
+        ends = np.cumsum(sizes)
+        out = np.full(int(ends[-1]) if len(ends) else 0, END_ID, np.uint32)
+        owner, inside = np.repeat(simple, sizes), np.ones(len(out), bool)
+        inside[ends - 1] = False
+        out[owner & inside] = flat
+        out[~owner] = other_ids
+        return out, sizes
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by END_ID; number of ids of each text with its end)."""
         whole, pieces, counts = {}, [], []
@@ -216,11 +300,10 @@ def write_token_files(
                 ["file", "part", "place", "documents", "ids"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_DOCS):
-                part = batch.slice(at, SLICE_DOCS)
-                flat, counts = encoder.encode(part.column(1).to_pylist())
+            for at, part in slices(batch.column(1), SLICE_BYTES):
+                flat, counts = encoder.encode_column(part)
                 ids.append(flat), sizes.append(counts)
-                names.append(part.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False))
+                names.append(batch.column(0).slice(at, len(part)).fill_null(NULL_ID).to_numpy(zero_copy_only=False))
                 waiting += len(flat)
                 if waiting >= FILE_IDS:
                     yield flush()
