@@ -10,6 +10,10 @@ about a thousand rows: range sums give offsets, and only rows of one range are c
 The global order is cut into equal ranges of virtual time in the same way; only the range in which
 the budget runs out is looked at row by row. What remains is, per source and repetition, the last
 hash that is taken, so the decision needs no join of documents and no shuffle of their texts.
+
+Rows of equal source, id and text have one hash. They are counted, and their copies from the first on
+get hashes of their own, spread over the whole order: a row that is a third of the table neither
+goes at once nor into one range. Only such rows are numbered, from counts by key and partition.
 """
 
 from __future__ import annotations
@@ -79,7 +83,7 @@ def mix_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int
     sums = queued.groupBy("rank", "part").agg(F.sum("size").alias("part_size"))
     offset = F.sum("part_size").over(Window.partitionBy("rank").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("rank", "part", F.coalesce(offset, F.lit(0)).alias("offset"))
-    inside = F.sum("size").over(Window.partitionBy("rank", "part").orderBy("key"))  # equal keys share it
+    inside = F.sum("size").over(Window.partitionBy("rank", "part").orderBy("key"))
     queued = queued.withColumn("inside", inside).join(sums, ["rank", "part"])
     queued = queued.select(
         "rank", "key", "size", "source_size", "target", "total", (F.col("offset") + F.col("inside")).alias("sent"))
@@ -122,6 +126,52 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str, source_column: str
     ]
 
 
+COPIES_TOGETHER = 1000
+
+
+def _copy_key(key: str, copy: str) -> Column:
+    return hash_key("copy", F.col(key), F.col(copy))
+
+
+def _repeated(narrow: DataFrame, *also: str) -> DataFrame:
+    """(source, key, size, n) and the columns ``also`` of rows of ``narrow`` that are there n > 1 times, written."""
+    counted = narrow.groupBy("source", "key").agg(F.count("*").alias("n"), F.max("size").alias("size"), *[F.max(c).alias(c) for c in also])
+    return materialize(counted.where("n > 1"), "mix-repeated")
+
+
+def _same(left: DataFrame, right: DataFrame) -> Column:
+    return left["source"].eqNullSafe(right["source"]) & (left["key"] == right["key"])
+
+
+def _singled(narrow: DataFrame, repeated: DataFrame, *also: str) -> DataFrame:
+    """``narrow`` with a key of its own for each copy of the repeated rows."""
+    if repeated.isEmpty():
+        return narrow
+    chunks = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES_TOGETHER))
+    chunked = repeated.withColumn("chunk", F.explode(chunks)).repartition("key", "chunk")  # a hot row's copies are dealt out
+    first = F.col("chunk") * COPIES_TOGETHER
+    copies = chunked.withColumn("copy", F.explode(F.sequence(first, F.least(first + COPIES_TOGETHER, F.col("n")) - 1)))
+    copies = copies.withColumn("key", _copy_key("key", "copy"))
+    names = ["source", "size", "key", *also]
+    return narrow.join(repeated, _same(narrow, repeated), "left_anti").select(*names).union(copies.select(*names))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (_row, source, size, key, and ``_place``, a monotonically increasing id; written) with
+    ``copy``: 0, 1, ... among equal source and key, from counts by partition; a window sees what one
+    task wrote of a key."""
+    rows = rows.withColumn("_part", F.shiftright("_place", 33))
+    counts = rows.groupBy("source", "key", "_part").count()
+    before = Window.partitionBy("source", "key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(
+        F.col("source").alias("_s"), F.col("key").alias("_k"), F.col("_part").alias("_p"),
+        F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("source", "key", "_part").orderBy("_place")) - 1
+    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("key") == F.col("_k")) & (F.col("_part") == F.col("_p"))
+    joined = rows.withColumn("_own", own).join(counts, same)
+    return joined.withColumn("copy", F.col("_before") + F.col("_own")).select("_row", "source", "size", "key", "copy")
+
+
 def mix_report(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = "mix",
     id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
@@ -129,13 +179,14 @@ def mix_report(
     """One row per row of ``docs``: id, size, source_size, target, taken (words, repeats counted).
 
     Null texts have size 0; a null source is a source of its own, last in order; null ids are
-    hashed with their text. Equal rows get equal decisions (they are taken or left together). An
-    empty table gives an empty result; other columns are not read. Reruns agree.
+    hashed with their text. Repeated rows are taken one by one, so a source of equal rows comes near
+    its target as well. An empty table gives an empty result; other columns are not read. Reruns agree.
     """
     narrow = docs.select(F.col(f"`{id_column}`").alias("id"), *_keyed(docs, id_column, text_column, source_column, seed))
     narrow = materialize(narrow, "mix-rows")
-    plan = mix_plan(narrow.select("source", "size", "key"), weights, max_repeats).withColumnRenamed("source", "s")
-    return narrow.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
+    rows = _singled(narrow, _repeated(narrow, "id"), "id")
+    plan = mix_plan(rows.select("source", "size", "key"), weights, max_repeats).withColumnRenamed("source", "s")
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
         F.col("id").alias(id_column), "size", "source_size", "target", (F.col("size") * _copies("key")).cast("long").alias("taken"))
 
 
@@ -144,12 +195,23 @@ def mix_documents(
     id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
 ) -> DataFrame:
     """The mixed rows, with the columns of ``docs``: each row as often as the mix takes it (not at
-    all, or up to ``max_repeats`` times). Rows without words are never taken."""
+    all, or up to ``max_repeats`` times). Rows without words are never taken.
+
+    Nulls are treated as in ``mix_report``; of rows with equal source, id and text, which may differ in
+    other columns, as many are taken as there. An empty table gives an empty result; columns of
+    any other names come back as they are."""
     keyed = _keyed(docs, id_column, text_column, source_column, seed)
-    plan = mix_plan(materialize(docs.select(*keyed), "mix-rows"), weights, max_repeats)
+    narrow = materialize(docs.select(*keyed), "mix-rows")
+    repeated = _repeated(narrow)
+    plan = mix_plan(_singled(narrow, repeated), weights, max_repeats)
     plan = plan.select(F.col("source").alias("_s"), "last_keys")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *keyed)
+    if not repeated.isEmpty():
+        copies = packed.join(repeated.select("source", "key"), _same(packed, repeated), "left_semi")
+        copies = materialize(copies.withColumn("_place", F.monotonically_increasing_id()), "mix-copies")
+        copies = _numbered(copies).withColumn("key", _copy_key("key", "copy"))
+        packed = packed.join(repeated, _same(packed, repeated), "left_anti").union(copies.select(*packed.columns))
     mixed = packed.join(plan, F.col("source").eqNullSafe(F.col("_s")))
     copies = F.when(F.col("size") > 0, _copies("key")).otherwise(F.lit(0))
-    repeated = mixed.withColumn("_copies", copies).where("_copies > 0")
-    return repeated.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_")).select("_row.*")
+    taken = mixed.withColumn("_copies", copies).where("_copies > 0")
+    return taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_")).select("_row.*")

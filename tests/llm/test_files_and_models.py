@@ -88,6 +88,38 @@ def test_mix_takes_targets_and_reruns_agree(spark):
             assert copies[i] == (took // size if size else 0)
 
 
+def test_mix_of_repeated_rows_comes_near_its_targets(spark, monkeypatch):
+    """A source of one row six hundred times, null id included, is taken copy by copy."""
+    from foldline.llm import mixing
+
+    monkeypatch.setattr(mixing, "COPIES_TOGETHER", 50)
+    rows = [(None, "a b c d", "x", i % 3) for i in range(600)]
+    rows += [(i, f"w{i} of y and", "y", i) for i in range(100)] + [(i, f"w{i} of z and", "z", i) for i in range(100, 200)]
+    rows += [(i, f"w{i} of n and", None, i) for i in range(200, 250)] + [(900, "n n n n", None, 5)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other int").repartition(6)
+    report = mix_report(docs).collect()
+    assert len(report) == len(rows)
+    assert sorted(map(tuple, report), key=repr) == sorted(map(tuple, mix_report(docs.repartition(2)).collect()), key=repr)
+    goals = targets({"x": 2400, "y": 400, "z": 400, None: 400})
+    mixed = mix_documents(docs)
+    assert mixed.columns == docs.columns
+    got = Counter()
+    for r in mixed.collect():
+        got[r["source"]] += 4
+        assert r["other"] in {o for i, _, s, o in rows if (i, s) == (r["doc_id"], r["source"])}
+    for source, goal in goals.items():
+        assert abs(got[source] - goal) <= 4 * 4
+    taken = Counter()
+    for r in report:
+        taken[r["source_size"], r["target"]] += r["taken"]
+    for (_, goal), n in taken.items():
+        assert abs(n - goal * sum(g == pytest.approx(goal) for g in goals.values())) <= 4 * 8
+    # no row more than three times, and of equal rows about as many of each kind
+    most = Counter((r["doc_id"], r["text"], r["source"], r["other"]) for r in mixed.collect())
+    given = Counter(rows)
+    assert all(n <= 3 * given[k] for k, n in most.items())
+
+
 def test_mix_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mix_report(empty).collect() == [] == mix_documents(empty).collect()
@@ -211,11 +243,37 @@ def test_encoder_equals_the_library():
         assert list(ids[edges[i]: edges[i + 1]]) == e.ids + [0], repr(texts[i])
 
 
+def test_columns_are_encoded_as_texts_are(monkeypatch):
+    """Simple texts, others between them, pieces met again, and a cache that is emptied on the way."""
+    import pyarrow as pa
+
+    from foldline.llm import token_files
+
+    monkeypatch.setattr(token_files, "CACHE_ENTRIES", 300)
+    rng = random.Random(9)
+    alphabet = list("aB1.;\n é") + [" ", " the", " of", "ß", "12", "--", " x"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 25))) for _ in range(3000)]
+    texts += ["", " ", "\n", "a ", " a", "it's", "a  b", "x <|endoftext|> y", "日本", "tab\there", "long " * 9000, "w" * 5000]
+    rng.shuffle(texts)
+    encoder, plain = Encoder(default_tokenizer()), Encoder(default_tokenizer())
+    assert encoder.by_piece
+    for a in range(0, len(texts), 400):
+        ids, sizes = encoder.encode_column(pa.array(["before", *texts[a: a + 400]]).slice(1))
+        want, lengths = plain.encode(texts[a: a + 400])
+        assert (ids == want).all() and (sizes == lengths).all()
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    for i, e in enumerate(encoder.library.encode_batch(texts[a: a + 400], add_special_tokens=False)):
+        assert list(ids[edges[i]: edges[i + 1]]) == e.ids + [0]
+    for none in ([], ["", ""], ["日本"]):
+        ids, sizes = encoder.encode_column(pa.array(none, pa.string()))
+        assert len(sizes) == len(none) and len(ids) == sizes.sum()
+
+
 def test_token_files_in_id_order(spark, monkeypatch):
     from foldline.llm import token_files
 
     monkeypatch.setattr(token_files, "FILE_IDS", 500)
-    monkeypatch.setattr(token_files, "SLICE_DOCS", 16)
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 2000)
     rng = random.Random(5)
     rows = [(rng.randrange(10 ** 9), " ".join(rng.choice(["the", "ñandú", "x\ny", "42"]) for _ in range(rng.randrange(60)))) for _ in range(150)]
     rows += [(None, "no id"), (5, None), (5, "five"), (5, "five"), (6, "long " * 4000)]
@@ -387,3 +445,59 @@ def test_training_reads_every_token(monkeypatch):
     monkeypatch.setattr(gru, "gradients", noted)
     gru.train(gru.new_model(np.bincount(ids, minlength=12), classes=3, hidden=4), ids, first, 0, lanes=8, window=8)
     assert Counter(read) == Counter(ids)
+
+
+def test_names_of_surroundings_do_not_drop_the_article():
+    body, noise = "<p>" + "the article goes on " * 6 + "</p>", "<p>" + "bad words " * 90 + "</p>"
+    want = ("the article goes on " * 6).strip()
+    for page in (
+        f'<body class="has-sidebar">{body}</body>', f'<main class="content no-sidebar">{body}</main>',
+        f'<article class="post comments-open">{body}</article>', f'<div id="menu-page">{body}</div>',
+        f'<div class="page-menu"><article>{body}</article><div class="comments-area">{noise}</div></div>',
+        f'<div id="comments" class="comments-area">{noise}</div>{body}', f'<div class="left-sidebar"><p>x</p></div>{body}',
+        f'<div class="menu"><p>{"go " * 100}</p></div>{body}', f'<body class="menu"><div class="share">no</div>{body}</body>',
+    ):
+        assert main_text(page, set()) == want, page
+
+
+def plain_placement(rows, shards, vnodes):
+    """(shard, slot) of each (id, text) row, by walking the ring one row at a time."""
+    from foldline.llm.sharding import CELL_BITS, SUB_BITS
+
+    def key(*parts):
+        return int(hashlib.md5(":".join(parts).encode()).hexdigest()[:15], 16)
+
+    points = ring(shards, vnodes)
+    arcs = [[] for _ in points]
+    for n, (i, text) in enumerate(rows):
+        digest = hashlib.md5((text or "").encode()).hexdigest()
+        place, order = key("place", digest), key("order", "" if i is None else str(i), digest)
+        cell = place >> (60 - CELL_BITS)
+        arc = next((a for a, (end, _) in enumerate(points) if cell < end), 0)
+        behind = cell >= points[-1][0]  # arc 0 begins behind the last point
+        arcs[arc].append((not behind, cell, order >> (60 - SUB_BITS), place, order, n))
+    free = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    used, placed = [0] * shards, {}
+    waiting = {a: [n for *_, n in sorted(own)] for a, own in enumerate(arcs)}
+    for hop in range(len(points) + 1):
+        for arc in range(len(points)):
+            shard = points[(arc + hop) % len(points)][1]
+            while waiting[arc] and free[shard]:
+                placed[waiting[arc].pop(0)] = (shard, used[shard])
+                free[shard] -= 1
+                used[shard] += 1
+    return [placed[n] for n in range(len(rows))]
+
+
+@pytest.mark.parametrize("shards,vnodes", [(5, 3), (40, 64)])
+def test_shards_against_a_walk_of_the_ring(spark, shards, vnodes):
+    rng = random.Random(12)
+    rows = [(i, f"text {rng.randrange(200)}") for i in range(500)] + [(1000 + i, "hot") for i in range(300)] + [(2000, None), (2001, "")]
+    rows += [(7, "again"), (7, "again"), (None, "again")]
+    want, got = plain_placement(rows, shards, vnodes), {}
+    for r in shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards, vnodes=vnodes).collect():
+        got.setdefault((r["doc_id"], r["text"]), []).append((r["shard"], r["slot"]))
+    expected = {}
+    for row, place in zip(rows, want):
+        expected.setdefault(row, []).append(place)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
