@@ -41,6 +41,8 @@ LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 # Words of class, id and role that name parts which are no article.
 HINTS = set("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs topbar toolbar footer masthead comment comments commentlist disqus respond replies share sharing social related recommended recommendations widget login search searchbox pagination pager skip complementary contentinfo".split())
 OUTSIDE_HINTS = {"header", "site-header", "banner"}
+# Elements that hold an article whatever their names say of their surroundings (has-sidebar, comments-open).
+HOLDERS = {"html", "body", "main", "article"}
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -56,12 +58,15 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def page_blocks(page: str) -> list[tuple[str, str, str, bool, bool]]:
-    """(path, presentation, text, named as no article, inside a marked article) of each text block,
-    in page order. Text is decoded, its white space joined."""
-    blocks: list[tuple[str, str, str, bool, bool]] = []
-    # open elements: name, path, no article, inside article, inline
-    stack = [("", "", False, False, False)]
+def page_blocks(page: str) -> list[tuple[str, str, str, bool, bool, tuple[int, ...]]]:
+    """(path, presentation, text, named as no article, inside a marked article, doubtful parts) of each
+    text block, in page order. Text is decoded, its white space joined.
+
+    A class, id or role that is a hint names a part that is no article; one that only has a hint among
+    its words (menu-page) is doubtful: the block lists the numbers of such parts, for ``_kept``."""
+    blocks: list[tuple[str, str, str, bool, bool, tuple[int, ...]]] = []
+    # open elements: name, path, no article, inside article, inline, doubtful parts
+    stack = [("", "", False, False, False, ())]
     text: list[str] = []
     inner: list[str] = []
 
@@ -69,8 +74,8 @@ def page_blocks(page: str) -> list[tuple[str, str, str, bool, bool]]:
         if text:
             joined = " ".join(entities.unescape("".join(text)).split())
             if joined:
-                _, path, dropped, article, _ = stack[-1]
-                blocks.append((path, ",".join(dict.fromkeys(inner)), joined, dropped, article))
+                _, path, dropped, article, _, doubtful = stack[-1]
+                blocks.append((path, ",".join(dict.fromkeys(inner)), joined, dropped, article, doubtful))
             text.clear()
         inner.clear()
 
@@ -120,8 +125,8 @@ def page_blocks(page: str) -> list[tuple[str, str, str, bool, bool]]:
                     elif stack[i][0] in stop or (not stop and not stack[i][4]):
                         break
             flush()
-        _, path, dropped, article, _ = stack[-1]
-        label, words = name, set()
+        _, path, dropped, article, _, doubtful = stack[-1]
+        label, words, names = name, set(), set()
         attributes = tag[3]
         if attributes.strip():
             for key, *values in ATTRIBUTE.findall(attributes):
@@ -133,14 +138,21 @@ def page_blocks(page: str) -> list[tuple[str, str, str, bool, bool]]:
                     label += "." + re.sub(r"[0-9]+", "", value)
                 if key in ("class", "id", "role"):
                     words.update(re.split(r"[^a-z]+", value))
-                    words.update(value.split())
+                    names.update(value.split())
         if name in VOID:
             if name in ("img", "input"):
                 inner.append(name)
             continue
-        dropped = dropped or name in NEVER or not words.isdisjoint(HINTS)
-        if not article and (name == "header" or not words.isdisjoint(OUTSIDE_HINTS)):
-            dropped = True
+        dropped = dropped or name in NEVER
+        if name not in HOLDERS:
+            dropped = dropped or not names.isdisjoint(HINTS)
+            if not article and (name == "header" or not (names | words).isdisjoint(OUTSIDE_HINTS)):
+                dropped = True
+            if not dropped and not words.isdisjoint(HINTS):
+                if inline:
+                    dropped = True
+                else:
+                    doubtful = (*doubtful, at)
         article = article or name in ARTICLE
         if inline:
             inner.append(name)
@@ -149,7 +161,7 @@ def page_blocks(page: str) -> list[tuple[str, str, str, bool, bool]]:
                 end = _skip(page, at, name)
                 at = at if end == len(page) else end  # without an end tag nothing is left out
                 continue
-        stack.append((name, path if inline else f"{path}/{label}", dropped, article, inline))
+        stack.append((name, path if inline else f"{path}/{label}", dropped, article, inline, doubtful))
     flush()
     return blocks
 
@@ -165,8 +177,20 @@ def _code(*parts: str) -> int:
 
 
 def _kept(blocks):
-    """Blocks that the markup does not exclude: those of the marked article, if it has any text."""
+    """Blocks that the markup does not exclude: those of the marked article, if it has any text. A
+    doubtful part goes unless it holds most of the text or the marked article: then it is a wrapper."""
     rest = [b for b in blocks if not b[3]]
+    if any(b[5] for b in rest):
+        total, own, wrappers = 0, {}, set()
+        for b in rest:
+            total += len(b[2])
+            for part in b[5]:
+                own[part] = own.get(part, 0) + len(b[2])
+        wrappers = {part for part, size in own.items() if 2 * size > total}
+        marked = [set(b[5]) for b in rest if b[4]]
+        if marked:
+            wrappers |= set.intersection(*marked)
+        rest = [b for b in rest if wrappers.issuperset(b[5])]
     return [b for b in rest if b[4]] or rest
 
 
