@@ -105,4 +105,29 @@ reach AS (SELECT r AS x, r AS y FROM dw UNION SELECT reach.x, edge.y FROM reach
 SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, c.component_id
 FROM dw d LEFT JOIN size USING (r)
 JOIN (SELECT x AS r, min(dw.doc_id) AS component_id FROM reach JOIN dw ON dw.r = reach.y GROUP BY x) c USING (r)""",
+    "op13_spelling_variants": """
+WITH RECURSIVE t AS MATERIALIZED (SELECT list_transform(range(256), lambda x: list_reduce(range(8),
+  lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS tab),
+runs AS MATERIALIZED (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS s, w, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-zÀ-ÿ]+')) AS w FROM documents) GROUP BY ALL),
+h AS MATERIALIZED (SELECT w, n, xor(list_reduce(
+  list_transform(range(strlen(s)), lambda i: CAST('0x' || substr(hex(encode(s)), 2 * i + 1, 2) AS BIGINT)),
+  lambda c, b: xor(c >> 8, tab[(xor(c, b) % 256) + 1]), 4294967295), 4294967295) AS h FROM runs, t),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+d AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS MATERIALIZED (SELECT a.word, b.word AS near FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.less = v.word
+  UNION SELECT v.word, d.word FROM d JOIN v ON d.less = v.word),
+best AS (SELECT near.word, count(*) AS n_near, first(near.near ORDER BY v.n DESC, near.near) AS near, max(v.n) AS near_n
+  FROM near JOIN v ON v.word = near.near GROUP BY near.word),
+f AS MATERIALIZED (SELECT v.word, v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+  CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+r AS (SELECT word, word AS at FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN r USING (word) JOIN f g ON g.word = r.at WHERE g.form IS NULL""",
 }
