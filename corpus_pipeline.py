@@ -24,13 +24,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by shingle similarity: the one of the smallest doc_id.
-
-    Rows repeated with one doc_id and text stay once. A row without an id is not dropped for a
-    neighbour's sake, since nothing names it; such rows stay once for each text."""
-    groups = ngram_jaccard_join(docs.select("doc_id", "text"))
-    drop = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """One document of each group linked by shingle similarity: that of the smallest doc_id, ids that
+    are null last. Each (doc_id, text) is judged by itself, so an id with two texts may keep both.
+
+    Rows repeated with one doc_id and text stay once, the least by their other columns. Null and
+    wordless texts are linked with nothing. An empty table stays empty; only doc_id and text are
+    read, and columns of any other names come back as they are."""
+    key = F.xxhash64("doc_id", "text").alias("key")
+    groups = ngram_jaccard_join(docs.select(key, "text"), "key").select("key", "component_id").distinct()
+    counted = docs.select(key, "doc_id").groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    named = materialize(groups.join(counted, "key"), "distinct-groups")
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    first = named.groupBy("component_id").agg(F.min(place).alias("first"))
+    dropped = named.join(first, "component_id").where(F.col("key") != F.col("first.key")).select("key")
+    dropped = materialize(dropped, "distinct-dropped")
+    repeated = named.where("n > 1").join(dropped, "key", "left_anti").select("key")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key)
+    kept = packed.join(dropped.union(repeated), "key", "left_anti").select("_row")
+    if not repeated.isEmpty():
+        kept = kept.union(packed.join(repeated, "key", "left_semi").groupBy("key").agg(F.min("_row").alias("_row")).select("_row"))
+    return kept.select("_row.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
