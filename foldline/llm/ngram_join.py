@@ -40,7 +40,7 @@ from .components import connected_components, join_components
 THRESHOLD = Fraction(3, 4)
 WIDTH = 5
 BLOCK = 4096
-BITS_A_SHINGLE = 4
+BITS_A_SHINGLE = 8
 PIVOTS = 3
 CELLS = 32
 SAMPLE_OF = 4  # one text in so many shows which shingles are repeated
