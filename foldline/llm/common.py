@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import checkpoint_root
 
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 15  # so that the arrays of a chunk stay in the cache
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_SOLID_TABLE, _LOWER_TABLE = (~_SPACE).tobytes(), _LOWER.tobytes()  # for bytes.translate
 _M64 = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -155,7 +156,7 @@ class Words:
 
 
 def batch_words(column: pa.Array, lower: bool = True) -> Words:
-    """Cut and hash the words of a string column, about a megabyte of bytes at a time, so the
+    """Cut and hash the words of a string column, about CHUNK_BYTES at a time, so the
     temporary arrays stay small for any text length (chunks end at white space or at a document's
     end, or, for one word longer than a chunk, at that word's end)."""
     offsets, raw = text_buffers(column)
@@ -189,9 +190,10 @@ def _cut(raw, offsets, a, b, stop):
 
 
 def _chunk_words(part, offsets, a, b, lower):
+    data = part.tobytes()
+    solid = np.frombuffer(data.translate(_SOLID_TABLE), bool)
     if lower:
-        part = _LOWER[part]
-    solid = ~_SPACE[part]
+        part = np.frombuffer(data.translate(_LOWER_TABLE), np.uint8)
     n = len(part)
     head = solid.copy()
     head[1:] &= ~solid[:-1]
@@ -203,8 +205,11 @@ def _chunk_words(part, offsets, a, b, lower):
     s, e = np.flatnonzero(head), np.flatnonzero(tail) + 1
     with np.errstate(over="ignore"):
         up, down = _powers(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_CODE[part] * up[:n], out=sums[1:])
+        sums = np.empty(n + 1, np.uint64)
+        sums[0] = 0
+        codes = _BYTE_CODE.take(part, mode="clip")
+        codes *= up[:n]
+        np.cumsum(codes, out=sums[1:])
         h = mix64((sums[e] - sums[s]) * down[s])
     return h, s + a, e + a
 

@@ -6,6 +6,9 @@ Ids are 0..K-1; some classes hold one id. All arrays are float32, sums of log-pr
 
 from __future__ import annotations
 
+from itertools import pairwise
+from typing import NamedTuple
+
 import numpy as np
 
 HIDDEN = 24
@@ -59,22 +62,46 @@ def unpack(model: dict, flat: np.ndarray) -> dict:
     return out
 
 
-def members(model: dict) -> list[np.ndarray]:
-    own = model["class"]
-    return [np.flatnonzero(own == c) for c in range(int(own.max()) + 1)]
+class Members(NamedTuple):
+    """The ids sorted by class, each id's place in that order and in its class, and where classes begin."""
+
+    ids: np.ndarray
+    rank: np.ndarray
+    place: np.ndarray
+    starts: list[int]
 
 
-def _sigmoid(x):
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def members(model: dict) -> Members:
+    ids = np.argsort(model["class"], kind="stable")
+    starts = np.searchsorted(model["class"][ids], np.arange(int(model["class"].max()) + 2))
+    rank = np.empty(len(ids), np.int64)
+    rank[ids] = np.arange(len(ids))
+    return Members(ids, rank, rank - starts[model["class"]], starts.tolist())
 
 
 def _cell(ut, x, h):
-    """One step on columns: ut is U transposed, x (3 hidden, lanes) the inputs, h (hidden, lanes)."""
+    """One step on columns: ut is U transposed, x (3 hidden, lanes) the inputs, h (hidden, lanes).
+
+    Returns the new state, z, r, n and the part of u that r lets through; z, r and n replace x."""
     hidden, u = len(h), ut @ h
-    zr = _sigmoid(x[: 2 * hidden] + u[: 2 * hidden])
+    zr, n, passed = x[: 2 * hidden], x[2 * hidden:], u[2 * hidden:]
+    zr += u[: 2 * hidden]
+    zr *= 0.5
+    np.tanh(zr, out=zr)
+    zr *= 0.5
+    zr += 0.5
     z, r = zr[:hidden], zr[hidden:]
-    n = np.tanh(x[2 * hidden:] + r * u[2 * hidden:])
-    return n + z * (h - n), z, r, n, u[2 * hidden:]
+    n += r * passed
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, z, r, n, passed
+
+
+def _inputs(model, previous):
+    """A new array of the rows of X for the previous ids (..., lanes), as columns (..., 3 hidden, lanes)."""
+    return np.ascontiguousarray(np.swapaxes(model["X"].take(previous, axis=0, mode="clip"), -1, -2))
 
 
 def _step(model, previous, h):
@@ -82,76 +109,104 @@ def _step(model, previous, h):
     return tuple(a.T for a in _cell(model["U"].T, model["X"][previous].T, h.T))
 
 
-def _output(model, groups, hidden, target, grads=None):
+STATES = 1 << 13  # columns of the class layer computed at once, so that they stay in the cache
+
+
+def _output(model, groups, hidden, target, grads=None, read=None):
     """log P of each target given its state; with ``grads``, adds gradients and returns dH too.
 
-    Works on columns sorted by the class of the target, so every class is one slice."""
+    ``read`` names the rows of ``hidden`` that have a target, in order, if not all have; dH is zero
+    in the others. Works on columns sorted by the class of the target, so every class is one slice,
+    with the parameters of the ids sorted alike."""
     own = model["class"][target]
     order = np.argsort(own.astype(np.int16), kind="stable")
-    own, target, hidden = own[order], target[order], hidden.T[:, order]
-    edges = np.searchsorted(own, np.arange(len(groups) + 1))
+    own, target, rows = own[order], target[order], len(hidden)
+    chosen = order if read is None else read[order]
+    hidden = hidden.take(chosen, axis=0, mode="clip").T
+    starts, place = groups.starts, groups.place[target]
+    edges = np.searchsorted(own, np.arange(len(starts))).tolist()
     at = np.arange(len(target))
-    e = model["V"].T @ hidden + model["v"][:, None]
-    e -= e.max(axis=0)
-    found = e[own, at]
-    total = np.exp(e, out=e).sum(axis=0)
+    found, total = np.empty((2, len(at)), hidden.dtype)
+    d_hidden = None if grads is None else np.empty(hidden.shape, hidden.dtype)
+    pieces = max(1, len(at) // STATES)
+    for a, b in pairwise(len(at) * i // pieces for i in range(pieces + 1)):
+        e = model["V"].T @ hidden[:, a:b]
+        e += model["v"][:, None]
+        e -= np.maximum.reduce(e, axis=0)
+        found[a:b] = e[own[a:b], at[: b - a]]
+        np.add.reduce(np.exp(e, out=e), axis=0, out=total[a:b])
+        if grads is not None:
+            e /= total[a:b]
+            e[own[a:b], at[: b - a]] -= 1
+            grads["V"] += hidden[:, a:b] @ e.T
+            grads["v"] += e.sum(axis=1)
+            np.matmul(model["V"], e, out=d_hidden[:, a:b])
     logp = (found - np.log(total)).astype(np.float64)
-    d_hidden = None
+    weights, biases = model["W"].take(groups.ids, axis=0), model["w"][groups.ids][:, None]
+    found.fill(0), total.fill(1)
     if grads is not None:
-        e /= total
-        e[own, at] -= 1
-        grads["V"] += hidden @ e.T
-        grads["v"] += e.sum(axis=1)
-        d_hidden = model["V"] @ e
-    for c, ids in enumerate(groups):
-        a, b = edges[c], edges[c + 1]
-        if len(ids) < 2 or a == b:
+        d_weights, d_biases = np.zeros_like(weights), np.zeros_like(model["w"])
+    for a, b, s, t in zip(edges[:-1], edges[1:], starts[:-1], starts[1:]):
+        if t - s < 2 or a == b:
             continue
-        weights, part = model["W"][ids], hidden[:, a:b]
-        e = weights @ part + model["w"][ids][:, None]
-        e -= e.max(axis=0)
-        place, within = np.searchsorted(ids, target[a:b]), at[: b - a]
-        found = e[place, within]
-        total = np.exp(e, out=e).sum(axis=0)
-        logp[a:b] += found - np.log(total)
+        part, inside, along = hidden[:, a:b], place[a:b], at[: b - a]
+        e = weights[s:t] @ part
+        e += biases[s:t]
+        e -= np.maximum.reduce(e, axis=0)
+        found[a:b] = e[inside, along]
+        np.add.reduce(np.exp(e, out=e), axis=0, out=total[a:b])
         if grads is not None:
-            e /= total
-            e[place, within] -= 1
-            grads["W"][ids] += e @ part.T
-            grads["w"][ids] += e.sum(axis=1)
-            d_hidden[:, a:b] += weights.T @ e
-    back = np.empty_like(order)
-    back[order] = at
-    return logp[back], None if d_hidden is None else d_hidden[:, back].T
+            e /= total[a:b]
+            e[inside, along] -= 1
+            np.matmul(e, part.T, out=d_weights[s:t])
+            np.add.reduce(e, axis=1, out=d_biases[s:t])
+            d_hidden[:, a:b] += weights[s:t].T @ e
+    logp += found - np.log(total)
+    result = np.empty_like(logp)
+    result[order] = logp
+    if grads is None:
+        return result, None
+    grads["W"] += d_weights.take(groups.rank, axis=0)
+    grads["w"] += d_biases[groups.rank]
+    back = np.full(rows, -1)
+    back[chosen] = at
+    d_hidden = d_hidden.take(back, axis=1, mode="clip")
+    if len(at) < rows:
+        d_hidden[:, back < 0] = 0
+    return result, d_hidden.T
 
 
 def score(model: dict, ids: np.ndarray, first: np.ndarray, start: int, lanes: int = 2048, window: int = 32) -> np.ndarray:
     """Natural-log probability of each text: ids[first[i]:first[i + 1]], read from ``start`` on.
 
-    Texts run side by side, longest first; the state is carried from window to window, so each text
-    is scored whole. Memory is lanes * window states, whatever the lengths."""
+    Texts run side by side, longest first; the state is carried from step to step, so each text
+    is scored whole. States are read window by window, or, where few texts are that long, when
+    STATES are gathered. Memory is lanes * window states, whatever the lengths."""
     groups, lengths = members(model), np.diff(first)
     order = np.argsort(-lengths, kind="stable")
     result = np.zeros(len(lengths), np.float64)
     hidden = model["U"].shape[0]
-    xt, ut = np.ascontiguousarray(model["X"].T), np.ascontiguousarray(model["U"].T)
+    ut = np.ascontiguousarray(model["U"].T)
+    states = np.empty((min(lanes, len(order)) * window, hidden), np.float32)
     for a in range(0, len(order), lanes):
         docs = order[a: a + lanes]
         length, base = lengths[docs], first[docs]
         h = np.zeros((hidden, len(docs)), np.float32)
         previous = np.full(len(docs), start, ids.dtype)
-        falling = -length
-        for t0 in range(0, int(length[0]) if len(length) else 0, window):
-            states, targets, who = [], [], []
-            for t in range(t0, min(t0 + window, int(length[0]))):
-                live = int(np.searchsorted(falling, -t, "left"))  # texts longer than t
-                h = _cell(ut, xt.take(previous[:live], axis=1), h[:, :live])[0]
-                target = ids[base[:live] + t]
-                states.append(h), targets.append(target), who.append(docs[:live])
-                previous = target
-            logp, _ = _output(model, groups, np.concatenate(states, axis=1).T, np.concatenate(targets))
-            who = np.concatenate(who)
-            result += np.bincount(who, logp, len(result))
+        steps = int(length[0]) if len(length) else 0
+        alive = np.searchsorted(-length, -np.arange(steps), "left").tolist()  # texts longer than t
+        size, targets, who = 0, [], []
+        for t, live in enumerate(alive):
+            h = _cell(ut, _inputs(model, previous[:live]), h[:, :live])[0]
+            previous = ids[base[:live] + t]
+            states[size: size + live] = h.T
+            size += live
+            targets.append(previous), who.append(docs[:live])
+            full = size + live > len(states) or (size >= STATES and (t + 1) % window == 0)
+            if full or t + 1 == steps:
+                logp, _ = _output(model, groups, states[:size], np.concatenate(targets))
+                result += np.bincount(np.concatenate(who), logp, len(result))
+                size, targets, who = 0, [], []
     return result
 
 
@@ -160,45 +215,45 @@ def gradients(model: dict, groups, inputs, targets, mask, h0):
 
     ``mask`` holds the first steps of each lane; the state after a lane's last step is not used."""
     steps, lanes, hidden = *inputs.shape, h0.shape[1]
-    xt, ut = np.ascontiguousarray(model["X"].T), np.ascontiguousarray(model["U"].T)
-    states = np.empty((hidden, steps + 1, lanes), h0.dtype)
-    states[:, 0] = h0.T
-    trace = []
-    for t in range(steps):
-        new, *gates = _cell(ut, xt.take(inputs[t], axis=1), states[:, t])
-        states[:, t + 1] = new
-        trace.append(gates)
+    ut, x = np.ascontiguousarray(model["U"].T), _inputs(model, inputs)
+    states = np.empty((steps + 1, hidden, lanes), h0.dtype)
+    states[0] = h0.T
+    passed = []
+    for t in range(steps):  # x becomes z, r and n
+        states[t + 1], *_, u = _cell(ut, x[t], states[t])
+        passed.append(u)
     grads = {k: np.zeros_like(model[k]) for k in PARAMETERS}
-    after = states[:, 1:].reshape(hidden, -1)
+    after = states[1:].transpose(0, 2, 1).reshape(-1, hidden)
     read = np.flatnonzero(mask)
-    logp, rows = _output(model, groups, after[:, read].T, targets.ravel()[read], grads)
-    d_out = np.zeros_like(after)
-    d_out[:, read] = rows.T
-    d_out = d_out.reshape(hidden, steps, lanes)
-    d_in = np.empty((3 * hidden, steps, lanes), h0.dtype)  # by input: z, r, n before their functions
-    d_n = np.empty((hidden, steps, lanes), h0.dtype)
+    logp, rows = _output(model, groups, after, targets.ravel()[read], grads, read)
+    d_out = np.ascontiguousarray(rows.T.reshape(hidden, steps, lanes).transpose(1, 0, 2))
+    d_in = np.empty((steps, 3 * hidden, lanes), h0.dtype)  # by input: z, r, n before their functions
+    d_n = np.empty((steps, hidden, lanes), h0.dtype)
+    change, slope = states[:-1] - x[:, 2 * hidden:], 1 - x[:, 2 * hidden:] * x[:, 2 * hidden:]
+    rest = 1 - x[:, : 2 * hidden]
     carry = np.zeros((hidden, lanes), h0.dtype)
     for t in range(steps - 1, -1, -1):
-        z, r, n, u = trace[t]
-        d = carry + d_out[:, t]
-        dz = d * z
-        carry = dz.copy()
-        dn = (d - dz) * (1 - n * n)
-        dr = dn * r
-        d_n[:, t] = dn
-        gate = d_in[:, t]
-        gate[2 * hidden:] = dr
-        gate[hidden: 2 * hidden] = dr * u * (1 - r)
-        gate[:hidden] = dz * (1 - z) * (states[:, t] - n)
-        carry += model["U"] @ gate
-    grads["U"] += states[:, :-1].reshape(hidden, -1) @ d_in.reshape(3 * hidden, -1).T
-    d_in[2 * hidden:] = d_n
+        gate, dn = d_in[t], d_n[t]
+        carry += d_out[t]
+        dz = carry * x[t, :hidden]
+        carry -= dz
+        np.multiply(carry, slope[t], out=dn)
+        np.multiply(dn, x[t, hidden: 2 * hidden], out=gate[2 * hidden:])
+        np.multiply(gate[2 * hidden:], passed[t], out=gate[hidden: 2 * hidden])
+        np.multiply(dz, rest[t, :hidden], out=gate[:hidden])
+        gate[hidden: 2 * hidden] *= rest[t, hidden:]
+        gate[:hidden] *= change[t]
+        carry = model["U"] @ gate
+        carry += dz
+    d_in = d_in.transpose(1, 0, 2).reshape(3 * hidden, -1)
+    grads["U"] += states[:-1].transpose(1, 0, 2).reshape(hidden, -1) @ d_in.T
+    d_in[2 * hidden:] = d_n.transpose(1, 0, 2).reshape(hidden, -1)
     flat = inputs.ravel()
-    order = np.argsort(flat.astype(np.int16) if len(xt[0]) < 1 << 15 else flat, kind="stable")
+    order = np.argsort(flat.astype(np.int16) if len(model["X"]) < 1 << 15 else flat, kind="stable")
     flat = flat[order]
     starts = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-    grads["X"][flat[starts]] = np.add.reduceat(d_in.reshape(3 * hidden, -1).take(order, axis=1), starts, axis=1).T
-    return logp.sum(), grads, states[:, -1].T
+    grads["X"][flat[starts]] = np.add.reduceat(d_in.take(order, axis=1, mode="clip"), starts, axis=1).T
+    return logp.sum(), grads, states[-1].T
 
 
 def train(model: dict, ids: np.ndarray, first: np.ndarray, start: int, memory: dict | None = None,
@@ -223,12 +278,16 @@ def train(model: dict, ids: np.ndarray, first: np.ndarray, start: int, memory: d
         _, grads, h = gradients(model, groups, inputs, targets, mask, h)
         count = np.float32(mask.sum())
         for k in PARAMETERS:
-            g = grads[k]
+            g, rows = grads[k], slice(None)
+            if len(g) > count:  # more rows than tokens: most have no gradient, and stay as they are
+                rows = np.flatnonzero(g.any(axis=1) if g.ndim > 1 else g)
+                g = g[rows]
             g /= count
-            memory[k] += g * g
+            squares = memory[k][rows] + g * g
+            memory[k][rows] = squares
             g *= rate
-            g /= np.sqrt(memory[k])
-            model[k] -= g
+            g /= np.sqrt(squares)
+            model[k][rows] -= g
         place, previous, h = place + window, targets[-1].astype(np.int64), np.ascontiguousarray(h)
         ended = np.flatnonzero(place >= stop)
         if len(ended):

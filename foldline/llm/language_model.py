@@ -27,6 +27,7 @@ from .gru import PARAMETERS, new_model, pack, score, train, unpack
 FREQUENT = 65_536
 VOCABULARY = 1024
 TRAIN_TOKENS = 4 << 20  # tokens a task gathers before it trains on them
+SCORE_BYTES = 16 << 20  # of texts that are scored side by side: few steps are spent on a long text alone
 AVERAGERS = 8
 HELD_OUT_OF, HELD_OUT = 7, 2
 END_WORD = int(mix64(np.array([0xE0D], np.uint64)).view(np.int64)[0])  # stands for the end token
@@ -182,7 +183,7 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def measure(batches):
         lookup = _Table(shared.value)
         for batch in batches:
-            for at, part in slices(batch.column(1)):
+            for at, part in slices(batch.column(1), SCORE_BYTES):
                 words, place, ids, first = _encoded(part, lookup)
                 counted = np.where(place >= 0, lookup.logs[place], 0.0) if len(lookup.words) else np.zeros(len(place))
                 other = (place < 0) | (lookup.ids[place] == OTHER) if len(lookup.words) else np.ones(len(place), bool)

@@ -447,6 +447,25 @@ def test_training_reads_every_token(monkeypatch):
     assert Counter(read) == Counter(ids)
 
 
+def test_a_long_text_is_not_scored_window_by_window(monkeypatch):
+    """The class layer is computed for many steps of a long text at once; its score stays the same."""
+    rng = np.random.default_rng(5)
+    first = np.append(0, np.cumsum([3000] + [20] * 300))
+    ids = rng.integers(0, 12, first[-1])
+    model = gru.new_model(np.bincount(ids, minlength=12), classes=3, hidden=4)
+    model["W"] += rng.standard_normal(model["W"].shape).astype(np.float32)
+    calls, output = [], gru._output
+
+    def noted(model, groups, hidden, target, *more):
+        calls.append(len(target))
+        return output(model, groups, hidden, target, *more)
+
+    monkeypatch.setattr(gru, "_output", noted)
+    scores = gru.score(model, ids, first, 0)
+    assert sum(calls) == len(ids) and len(calls) < 10
+    assert scores[0] == pytest.approx(gru.score(model, ids[:3000], first[:2], 0)[0], rel=1e-6)
+
+
 def test_names_of_surroundings_do_not_drop_the_article():
     body, noise = "<p>" + "the article goes on " * 6 + "</p>", "<p>" + "bad words " * 90 + "</p>"
     want = ("the article goes on " * 6).strip()
