@@ -12,11 +12,13 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_root
 
 WORD = r"[^\x20\x09-\x0D]+"
+JOINS_KEPT_PARTS = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 CHUNK_BYTES = 1 << 15  # so that the arrays of a chunk stay in the cache
 
 
@@ -32,8 +34,11 @@ def scratch(spark: SparkSession, purpose: str) -> str:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete the folders of frames that ``materialize`` wrote and nothing reads any more."""
+    """Delete the folders of frames that ``materialize`` wrote, and release those that ``keep`` kept, when
+    nothing reads them any more."""
     for frame in frames:
+        if frame.is_cached:
+            frame.unpersist()
         path = getattr(frame, "_scratch_path", None)
         if path is not None:
             _hadoop(frame.sparkSession, path, lambda fs, p: fs.delete(p, True))
@@ -44,15 +49,34 @@ def _hadoop(spark: SparkSession, path: str, action):
     return action(p.getFileSystem(spark._jsc.hadoopConfiguration()), p)
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
+def materialize(df: DataFrame, purpose: str, parts: int | None = None) -> DataFrame:
+    """Write once to the shared folder and read back: cuts lineage, survives lost executors.
+
+    ``parts``: shuffle the rows to so many files, instead of a file for each task that makes them."""
     path = scratch(df.sparkSession, purpose)
+    df = df if parts is None else df.repartition(parts)
     df.write.parquet(path)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     found._scratch_path = path  # for ``discard``
     return found
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Compute once and keep on the executors' disks until ``discard``, for what is read a few times and
+    released at once: the shuffles behind it stay as long. No file is made in the shared folder, which
+    costs a process a file on a local file system. Parts lost with an executor are computed anew. Small
+    shuffle partitions are joined to one part, as they are for written frames."""
+    conf = df.sparkSession.conf
+    before = conf.get(JOINS_KEPT_PARTS)
+    conf.set(JOINS_KEPT_PARTS, "true")
+    try:
+        kept = df.persist(StorageLevel.DISK_ONLY)
+    finally:
+        conf.set(JOINS_KEPT_PARTS, before)
+    kept.count()
+    return kept
+
+
 def write_shared(uri: str, data: bytes) -> None:
     """Write one file of a task's output below the shared folder (any file system pyarrow knows)."""
     with _open_shared(uri, "wb") as out:

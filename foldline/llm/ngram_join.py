@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, batch_words, discard, materialize, mix64, shingles, slices
+from .common import as_long, batch_words, discard, keep, materialize, mix64, shingles, slices
 from .components import connected_components, join_components
 
 THRESHOLD = Fraction(3, 4)
@@ -48,6 +48,8 @@ SAMPLED_SHINGLES = np.uint64(1 << 63)  # and of its shingles those below, which
 REPEATED_BITS = 26  # the bitmap of repeated shingles has a fixed size, whatever the corpus
 HOT_IN_SAMPLE = 64
 HOT_KEPT = 100_000
+ROWS_A_FILE = 1 << 14  # of the table, for each file of a written step
+LEAST_FILES = 4
 
 
 def _set_digest(values: np.ndarray) -> int:
@@ -95,7 +97,7 @@ def _order(source: DataFrame, threshold: Fraction) -> tuple[np.ndarray, np.ndarr
                 yield pa.RecordBatch.from_arrays([pa.array(as_long(found)), pa.array(df)], ["token", "df"])
 
     counted = picked.select("text").mapInArrow(run, "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
-    repeated = materialize(counted.where("df > 1"), "ngram-repeated")
+    repeated = keep(counted.where("df > 1"))
     low = F.col("token").bitwiseAND(F.lit((1 << REPEATED_BITS) - 1))
     words = repeated.groupBy(F.shiftright(low, 6).cast("int").alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(token & 63 as int))")).alias("bits")).toArrow()
@@ -276,7 +278,7 @@ def _tiles(sorted_rows: DataFrame, threshold: Fraction) -> DataFrame:
     return sorted_rows.mapInArrow(run, "kind int, key long, a long, b long, bitmap binary")
 
 
-def _large_groups(large: DataFrame, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
+def _large_groups(large: DataFrame, threshold: Fraction, files: int) -> tuple[DataFrame, DataFrame]:
     """(pairs (a, b), members (key, id, n)) of the groups of ``large`` (token, id, n), as of ``_tiles``.
 
     Groups of the same members are folded to one. Members are banded by size; pivots are the least
@@ -284,7 +286,7 @@ def _large_groups(large: DataFrame, threshold: Fraction) -> tuple[DataFrame, Dat
     cells. Members meet the pivots cell by cell, so no task holds a group, nor a band's members."""
     step = math.log(threshold.denominator / threshold.numerator)
     rows = materialize(
-        large.distinct().withColumn("band", F.floor(F.log("n") / step)).withColumn("cell", F.pmod("id", F.lit(CELLS))), "ngram-large")
+        large.distinct().withColumn("band", F.floor(F.log("n") / step)).withColumn("cell", F.pmod("id", F.lit(CELLS))), "ngram-large", files)
     same = (
         rows.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"),
                                   F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
@@ -292,7 +294,7 @@ def _large_groups(large: DataFrame, threshold: Fraction) -> tuple[DataFrame, Dat
         .select("token", F.xxhash64("m", "x", "y").alias("key"))
     )
     cells = rows.groupBy("token", "band", "cell").agg(F.min("id").alias("id"))
-    cells = materialize(cells.join(same.hint("merge"), "token"), "ngram-cells")
+    cells = materialize(cells.join(same.hint("merge"), "token"), "ngram-cells", files)
     bands = cells.groupBy("token", "band").agg(
         F.slice(F.sort_array(F.collect_list("id")), 1, PIVOTS).alias("least"))  # of CELLS ids at most
     pivots = (
@@ -300,18 +302,20 @@ def _large_groups(large: DataFrame, threshold: Fraction) -> tuple[DataFrame, Dat
         .groupBy("token", "band").agg(F.flatten(F.collect_list("least")).alias("pivots"))
     )
     copied = cells.drop("id").hint("merge").join(pivots, ["token", "band"])
-    met = materialize(rows.hint("merge").join(copied, ["token", "band", "cell"]).select("key", "id", "n", "pivots"), "ngram-met")
+    met = materialize(rows.hint("merge").join(copied, ["token", "band", "cell"]).select("key", "id", "n", "pivots"), "ngram-met", files)
+    discard(rows, cells)
     pairs = met.select("id", F.explode("pivots").alias("pivot")).where("id <> pivot").select(
         F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     return pairs, met.select("key", "id", F.col("n").cast("long").alias("n"))
 
 
-def _classes(rows: DataFrame) -> DataFrame:
+def _classes(rows: DataFrame, files: int) -> DataFrame:
     """(id = class digest, n, bitmap, row = smallest row id) of the classes with shingles, written once."""
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id"))
     found = rows.where("n > 0").groupBy(F.col("digest").alias("class")).agg(
         F.max("n").alias("n"), F.max("bitmap").alias("bitmap"), least.alias("m"))
-    return materialize(found.select(F.col("class").alias("id"), "n", "bitmap", F.col("m.id").alias("row")), "ngram-classes")
+    found = found.select(F.col("class").alias("id"), "n", "bitmap", F.col("m.id").alias("row"))
+    return materialize(found.coalesce(files), "ngram-classes")
 
 
 def _shingle_arrays(source: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -374,7 +378,7 @@ def _allowed(pairs: DataFrame, threshold: Fraction) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, threshold: Fraction) -> DataFrame:
+def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, threshold: Fraction, files: int) -> DataFrame:
     """The pairs (a, b; a below b, each once) whose exact similarity reaches the threshold, written."""
     up, down = threshold.numerator, threshold.denominator
 
@@ -386,17 +390,18 @@ def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, threshold
         pairs.hint("merge").join(side(classes, "a", "bitmap"), "a").hint("merge").join(side(classes, "b", "bitmap"), "b")
         .where(F.least("na", "nb") * down >= F.greatest("na", "nb") * up)
     )
-    survivors = materialize(_allowed(sized, threshold), "ngram-allowed")
+    survivors = keep(_allowed(sized, threshold))
     if survivors.isEmpty():
-        return survivors
+        discard(survivors)
+        return source.sparkSession.createDataFrame([], "a long, b long")
     wanted = survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    arrays = materialize(_shingle_arrays(source, classes, wanted), "ngram-arrays")
+    arrays = keep(_shingle_arrays(source, classes, wanted))
     shared, both = F.size(F.array_intersect("va", "vb")), F.size("va") + F.size("vb")
     links = materialize(
         survivors.hint("merge").join(side(arrays, "a", "shingles"), "a").hint("merge")
         .join(side(arrays, "b", "shingles"), "b")
         .where(shared * down >= (both - shared) * up)
-        .select("a", "b"), "ngram-links")
+        .select("a", "b"), "ngram-links", files)
     discard(survivors, arrays)
     return links
 
@@ -496,7 +501,7 @@ def _passing(tiles: DataFrame, threshold: Fraction, forest: bool) -> DataFrame:
     return tiles.groupBy("key", "x", "y").applyInArrow(compare, "kind int, key long, a long, b long")
 
 
-def _open(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def _open(members: DataFrame, labels: DataFrame, classes: DataFrame, files: int) -> DataFrame:
     """``members`` (key, id, n) of groups with more than one component, with component, bitmap and the
     number of blocks of their group, written."""
     labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -506,7 +511,8 @@ def _open(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFram
         .where("lo <> hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     )
     found = labelled.join(keys, "key").join(classes.select("id", "bitmap"), "id")
-    return materialize(found.select("key", "id", "n", "component", "blocks", "bitmap"), "ngram-open")
+    found = found.select("key", "id", "n", "component", "blocks", "bitmap")
+    return materialize(found.coalesce(files), "ngram-open")  # in the join's order, so that equal bitmaps are stored once
 
 
 def _blocked(members: DataFrame) -> DataFrame:
@@ -556,30 +562,31 @@ def _linked(docs: DataFrame, id_column: str, text_column: str, threshold: Fracti
     tiles = materialize(_tiles(dealt.sortWithinPartitions("kind", "token", "id"), threshold), "ngram-tiles")
     rows = tiles.where("kind = 2").select(
         F.col("key").alias("id"), F.col("b").alias("n"), F.col("a").alias("digest"), "bitmap")
+    bitmaps, rows = rows, materialize(rows.drop("bitmap"), "ngram-rows")
+    files = max(LEAST_FILES, -(-rows.count() // ROWS_A_FILE))
     pairs = tiles.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     members = tiles.where("kind = 1").select("key", F.col("a").alias("id"), F.col("b").alias("n")).distinct()
     large = tiles.where("kind = 3").select(F.col("key").alias("token"), F.col("a").alias("id"), F.col("b").alias("n"))
     if not large.isEmpty():
-        more_pairs, more_members = _large_groups(large, threshold)
+        more_pairs, more_members = _large_groups(large, threshold, files)
         pairs, members = pairs.union(more_pairs).distinct(), members.union(more_members)
-    classes = _classes(rows)
-    rows = materialize(rows.drop("bitmap"), "ngram-rows")
-    links = _verified(pairs, source, classes, threshold)
+    classes = _classes(bitmaps, files)
+    links = _verified(pairs, source, classes, threshold, files)
     labels = connected_components(links)
-    is_open = _open(members, labels, classes)
+    is_open = _open(members, labels, classes, files)
     discard(tiles)
     if not is_open.isEmpty():
-        found = materialize(_passing(_blocked(is_open), threshold, forest=True), "ngram-forest")
+        found = materialize(_passing(_blocked(is_open), threshold, forest=True), "ngram-forest", files)
         tried = found.where("kind = 0").select("a", "b").distinct()
-        links = _verified(tried, source, classes, threshold)
+        links = _verified(tried, source, classes, threshold, files)
         if not links.isEmpty():
-            labels = materialize(join_components(labels, links), "ngram-labels")
+            labels = materialize(join_components(labels, links), "ngram-labels", files)
         more = found.where("kind = 1").select("key").distinct()
         if not more.isEmpty():
             left = is_open.join(more, "key", "left_semi")
-            still = _open(left.select("key", "id", "n"), labels, classes)
+            still = _open(left.select("key", "id", "n"), labels, classes, files)
             rest = _passing(_blocked(still), threshold, forest=False).select("a", "b").distinct()
-            links = _verified(rest.join(tried, ["a", "b"], "left_anti"), source, classes, threshold)
+            links = _verified(rest.join(tried, ["a", "b"], "left_anti"), source, classes, threshold, files)
             if not links.isEmpty():
                 labels = join_components(labels, links)
             discard(still)

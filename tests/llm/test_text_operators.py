@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from foldline.llm import common, ngram_join, quality  # noqa: E402
+from foldline.llm import common, components, ngram_join, quality  # noqa: E402
 from foldline.llm.components import connected_components, join_components  # noqa: E402
 from foldline.llm.decontaminate import drop_contaminated, find_items  # noqa: E402
 from foldline.llm.ngram_join import ngram_jaccard_join  # noqa: E402
@@ -326,3 +326,35 @@ def test_join_components(spark):
     assert dict(joined.collect()) == {1: 1, 5: 1, 6: 1, 8: 1, 9: 1, 3: 3, 4: 3, 30: 3, 20: 20, 21: 20}
     none = spark.createDataFrame([], "a long, b long")
     assert dict(join_components(labels, none).collect()) == dict(labels.collect()) and connected_components(none).collect() == []
+
+
+def test_ngram_join_writes_few_files_and_keeps_nothing(spark, texts, monkeypatch):
+    """Each file is one more process of an executor on a local file system: files follow the rows, not
+    the shuffle partitions, but for the tiles, and what is kept instead is released."""
+    written, write = [], common.materialize
+
+    def counted(df, purpose, *parts):
+        found = write(df, purpose, *parts)
+        written.append((purpose, len(found.inputFiles())))
+        return found
+
+    for module in (ngram_join, components):
+        monkeypatch.setattr(module, "materialize", counted)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in (*conf, common.JOINS_KEPT_PARTS)}
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(docs).collect()}
+    finally:
+        for k in conf:
+            spark.conf.set(k, before[k])
+    roots, sizes = brute.components(texts)
+    assert got == {i: (sizes[i], roots[i]) for i in range(len(texts))}
+    assert {purpose for purpose, _ in written} >= {"ngram-tiles", "components"}
+    assert all(n <= components.LEAST_PARTS for purpose, n in written if purpose != "ngram-tiles")
+    assert sum(n for _, n in written) < 140
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    assert {k: spark.conf.get(k) for k in before} == before
