@@ -80,16 +80,15 @@ def members(model: dict) -> Members:
 
 
 def _cell(ut, x, h):
-    """One step on columns: ut is U transposed, x (3 hidden, lanes) the inputs, h (hidden, lanes).
+    """One step on columns: ut is ``_across``, x (3 hidden, lanes) the ``_inputs``, h (hidden, lanes).
 
     Returns the new state, z, r, n and the part of u that r lets through; z, r and n replace x."""
     hidden, u = len(h), ut @ h
     zr, n, passed = x[: 2 * hidden], x[2 * hidden:], u[2 * hidden:]
     zr += u[: 2 * hidden]
-    zr *= 0.5
     np.tanh(zr, out=zr)
-    zr *= 0.5
-    zr += 0.5
+    zr *= HALF
+    zr += HALF
     z, r = zr[:hidden], zr[hidden:]
     n += r * passed
     np.tanh(n, out=n)
@@ -99,21 +98,39 @@ def _cell(ut, x, h):
     return new, z, r, n, passed
 
 
-def _inputs(model, previous):
-    """A new array of the rows of X for the previous ids (..., lanes), as columns (..., 3 hidden, lanes)."""
-    return np.ascontiguousarray(np.swapaxes(model["X"].take(previous, axis=0, mode="clip"), -1, -2))
+def _across(model):
+    """U transposed, z and r halved: their sigmoid is (1 + tanh(x / 2)) / 2, and halves are exact."""
+    ut = np.array(model["U"].T, order="C")
+    ut[: 2 * model["U"].shape[0]] *= 0.5
+    return ut
+
+
+def _inputs(x, previous):
+    """A new array of the rows of x, X or ``_halved`` X, for the previous ids (..., lanes), as columns
+    (..., 3 hidden, lanes)."""
+    return np.array(np.swapaxes(x.take(previous, axis=0, mode="clip"), -1, -2), order="C")
+
+
+def _halved(model):
+    """X with z and r halved, like ``_across``."""
+    x = model["X"].copy()
+    x[:, : 2 * model["U"].shape[0]] *= 0.5
+    return x
 
 
 def _step(model, previous, h):
     """One step on rows (lanes, hidden)."""
-    return tuple(a.T for a in _cell(model["U"].T, model["X"][previous].T, h.T))
+    return tuple(a.T for a in _cell(_across(model), _halved(model)[previous].T, h.T))
 
 
+HALF = np.array(0.5, np.float32)  # an array, since a plain number is converted at each use
 STATES = 1 << 13  # columns of the class layer computed at once, so that they stay in the cache
+INPUTS = 1 << 10  # columns of inputs that are gathered for several steps at once
 
 
 def _output(model, groups, hidden, target, grads=None, read=None):
-    """log P of each target given its state; with ``grads``, adds gradients and returns dH too.
+    """log P of each target given its state; with ``grads``, adds gradients, notes in ``grads["rows"]``
+    which ids have one in W and w, and returns dH too.
 
     ``read`` names the rows of ``hidden`` that have a target, in order, if not all have; dH is zero
     in the others. Works on columns sorted by the class of the target, so every class is one slice,
@@ -145,7 +162,7 @@ def _output(model, groups, hidden, target, grads=None, read=None):
     weights, biases = model["W"].take(groups.ids, axis=0), model["w"][groups.ids][:, None]
     found.fill(0), total.fill(1)
     if grads is not None:
-        d_weights, d_biases = np.zeros_like(weights), np.zeros_like(model["w"])
+        d_weights, d_biases, used = np.empty_like(weights), np.empty_like(model["w"]), [np.arange(0)]
     for a, b, s, t in zip(edges[:-1], edges[1:], starts[:-1], starts[1:]):
         if t - s < 2 or a == b:
             continue
@@ -161,13 +178,17 @@ def _output(model, groups, hidden, target, grads=None, read=None):
             np.matmul(e, part.T, out=d_weights[s:t])
             np.add.reduce(e, axis=1, out=d_biases[s:t])
             d_hidden[:, a:b] += weights[s:t].T @ e
+            used.append(np.arange(s, t))
     logp += found - np.log(total)
     result = np.empty_like(logp)
     result[order] = logp
     if grads is None:
         return result, None
-    grads["W"] += d_weights.take(groups.rank, axis=0)
-    grads["w"] += d_biases[groups.rank]
+    used = np.concatenate(used)
+    rows_used = groups.ids[used]
+    grads["W"][rows_used] += d_weights[used]
+    grads["w"][rows_used] += d_biases[used]
+    grads["rows"] = {"W": rows_used, "w": rows_used}
     back = np.full(rows, -1)
     back[chosen] = at
     d_hidden = d_hidden.take(back, axis=1, mode="clip")
@@ -186,24 +207,31 @@ def score(model: dict, ids: np.ndarray, first: np.ndarray, start: int, lanes: in
     order = np.argsort(-lengths, kind="stable")
     result = np.zeros(len(lengths), np.float64)
     hidden = model["U"].shape[0]
-    ut = np.ascontiguousarray(model["U"].T)
+    ut, inputs = _across(model), _halved(model)
     states = np.empty((min(lanes, len(order)) * window, hidden), np.float32)
     for a in range(0, len(order), lanes):
         docs = order[a: a + lanes]
         length, base = lengths[docs], first[docs]
         h = np.zeros((hidden, len(docs)), np.float32)
-        previous = np.full(len(docs), start, ids.dtype)
+        previous = np.full((1, len(docs)), start, ids.dtype)
         steps = int(length[0]) if len(length) else 0
-        alive = np.searchsorted(-length, -np.arange(steps), "left").tolist()  # texts longer than t
-        size, targets, who = 0, [], []
-        for t, live in enumerate(alive):
-            h = _cell(ut, _inputs(model, previous[:live]), h[:, :live])[0]
-            previous = ids[base[:live] + t]
-            states[size: size + live] = h.T
-            size += live
-            targets.append(previous), who.append(docs[:live])
-            full = size + live > len(states) or (size >= STATES and (t + 1) % window == 0)
-            if full or t + 1 == steps:
+        alive = np.searchsorted(-length, -np.arange(steps), "left")  # texts longer than t
+        same = (steps - np.searchsorted(alive[::-1], alive, "left")).tolist()  # where fewer are
+        alive = alive.tolist()
+        t, size, targets, who = 0, 0, [], []
+        while t < steps:
+            live = alive[t]  # as many for so many steps, of which the inputs are gathered at once
+            run = min(same[t] - t, window - t % window, (len(states) - size) // live, max(1, INPUTS // live))
+            target = ids[base[:live] + np.arange(t, t + run)[:, None]]
+            x = _inputs(inputs, np.concatenate([previous[:, :live], target[:-1]]))
+            for k in range(run):
+                h = _cell(ut, x[k], h[:, :live])[0]
+                states[size: size + live] = h.T
+                size += live
+            t, previous = t + run, target[-1:]
+            targets.append(target.ravel()), who.append(np.tile(docs[:live], run))
+            full = size + live > len(states) or (size >= STATES and t % window == 0)
+            if full or t == steps:
                 logp, _ = _output(model, groups, states[:size], np.concatenate(targets))
                 result += np.bincount(np.concatenate(who), logp, len(result))
                 size, targets, who = 0, [], []
@@ -213,16 +241,18 @@ def score(model: dict, ids: np.ndarray, first: np.ndarray, start: int, lanes: in
 def gradients(model: dict, groups, inputs, targets, mask, h0):
     """(sum of log P, gradients, last state) of one window: arrays (steps, lanes).
 
+    ``rows`` of the gradients names the ids that may have one in X, W and w; the others have none.
     ``mask`` holds the first steps of each lane; the state after a lane's last step is not used."""
     steps, lanes, hidden = *inputs.shape, h0.shape[1]
-    ut, x = np.ascontiguousarray(model["U"].T), _inputs(model, inputs)
+    ut, x = _across(model), _inputs(model["X"], inputs)
+    x[:, : 2 * hidden] *= 0.5
     states = np.empty((steps + 1, hidden, lanes), h0.dtype)
     states[0] = h0.T
     passed = []
     for t in range(steps):  # x becomes z, r and n
         states[t + 1], *_, u = _cell(ut, x[t], states[t])
         passed.append(u)
-    grads = {k: np.zeros_like(model[k]) for k in PARAMETERS}
+    grads = {k: np.zeros(model[k].shape, model[k].dtype) for k in PARAMETERS}
     after = states[1:].transpose(0, 2, 1).reshape(-1, hidden)
     read = np.flatnonzero(mask)
     logp, rows = _output(model, groups, after, targets.ravel()[read], grads, read)
@@ -246,13 +276,14 @@ def gradients(model: dict, groups, inputs, targets, mask, h0):
         carry = model["U"] @ gate
         carry += dz
     d_in = d_in.transpose(1, 0, 2).reshape(3 * hidden, -1)
-    grads["U"] += states[:-1].transpose(1, 0, 2).reshape(hidden, -1) @ d_in.T
+    grads["U"] += (d_in @ states[:-1].transpose(1, 0, 2).reshape(hidden, -1).T).T
     d_in[2 * hidden:] = d_n.transpose(1, 0, 2).reshape(hidden, -1)
     flat = inputs.ravel()
     order = np.argsort(flat.astype(np.int16) if len(model["X"]) < 1 << 15 else flat, kind="stable")
     flat = flat[order]
     starts = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-    grads["X"][flat[starts]] = np.add.reduceat(d_in.take(order, axis=1, mode="clip"), starts, axis=1).T
+    grads["rows"]["X"] = flat[starts]
+    grads["X"][flat[starts]] = np.add.reduceat(d_in.take(order, axis=1, mode="wrap"), starts, axis=1).T
     return logp.sum(), grads, states[-1].T
 
 
@@ -278,10 +309,10 @@ def train(model: dict, ids: np.ndarray, first: np.ndarray, start: int, memory: d
         _, grads, h = gradients(model, groups, inputs, targets, mask, h)
         count = np.float32(mask.sum())
         for k in PARAMETERS:
-            g, rows = grads[k], slice(None)
-            if len(g) > count:  # more rows than tokens: most have no gradient, and stay as they are
-                rows = np.flatnonzero(g.any(axis=1) if g.ndim > 1 else g)
-                g = g[rows]
+            rows = grads["rows"].get(k)  # the others have no gradient, and stay as they are
+            if rows is None or 2 * len(rows) > len(grads[k]):
+                rows = slice(None)
+            g = grads[k][rows]
             g /= count
             squares = memory[k][rows] + g * g
             memory[k][rows] = squares

@@ -53,25 +53,41 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("count"))
 
 
+def _by_bits(words: np.ndarray) -> tuple[np.ndarray, int]:
+    """For each value of the leading bits of sorted hashes, the first place that may hold it, and the
+    number of the bits that are not read: about a quarter of the values occur."""
+    bits = max(1, (2 * len(words)).bit_length())
+    counts = np.bincount((words >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return (np.cumsum(counts) - counts).astype(np.int32), 64 - bits
+
+
 class _Table:
-    """Lookups in the broadcast table of frequent words."""
+    """Lookups in the broadcast table of frequent words; place -1 has no word, no count and the id OTHER."""
 
     def __init__(self, shared: dict):
-        self.words, self.logs, self.ids = shared["words"], shared["logs"], shared["ids"]
+        self.words, (self.starts, self.shift) = shared["words"], shared["starts"]
+        self.logs, self.ids = np.append(shared["logs"], 0.0), np.append(shared["ids"], np.int32(OTHER))
 
-    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in the table, or -1)"""
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash in the table, or -1."""
         if not len(self.words):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
+        last = len(self.words) - 1
+        at = np.minimum(self.starts[hashes >> np.uint64(self.shift)], last)
+        found = self.words[at]
+        behind = np.flatnonzero((found < hashes) & (at < last))
+        while len(behind):  # words with equal leading bits
+            at[behind] += 1
+            found[behind] = self.words[at[behind]]
+            behind = behind[(found[behind] < hashes[behind]) & (at[behind] < last)]
+        return np.where(found == hashes, at, -1)
 
 
 def _encoded(column: pa.Array, table: _Table):
     """(words, places, ids with ends, first id of each text) of a part of a column."""
     words = batch_words(column)
     place = table(words.hash)
-    ids = np.where(place >= 0, table.ids[place], OTHER) if len(table.words) else np.full(len(place), OTHER, np.int32)
+    ids = table.ids[place]
     counts = np.diff(words.first)
     first = np.concatenate([[0], np.cumsum(counts + 1)]).astype(np.int64)
     out = np.full(first[-1], END, np.int32)
@@ -111,7 +127,8 @@ def _table(counts: DataFrame) -> tuple[dict, dict]:
     order = np.argsort(words, kind="stable")
     ends = int(end["count"]) if end is not None else 0
     rest = n - ends - int(number[:known].sum())
-    shared = {"words": words[order], "logs": np.log10(number[order] + 1.0), "ids": ids[order]}
+    words = words[order]
+    shared = {"words": words, "starts": _by_bits(words), "logs": np.log10(number[order] + 1.0), "ids": ids[order]}
     unigram = np.concatenate([[ends, max(rest, 0)], number[:known]]).astype(np.float64)
     sizes = {"n": n, "v": v, "ends": ends, "rest": rest, "rest_words": v - (1 if ends else 0) - known, "unigram": unigram}
     return shared, sizes
@@ -185,8 +202,8 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
         for batch in batches:
             for at, part in slices(batch.column(1), SCORE_BYTES):
                 words, place, ids, first = _encoded(part, lookup)
-                counted = np.where(place >= 0, lookup.logs[place], 0.0) if len(lookup.words) else np.zeros(len(place))
-                other = (place < 0) | (lookup.ids[place] == OTHER) if len(lookup.words) else np.ones(len(place), bool)
+                counted = lookup.logs[place]
+                other = lookup.ids[place] == OTHER
                 doc = np.repeat(np.arange(len(part)), np.diff(words.first))
 
                 def by_doc(values, doc=doc, size=len(part)):
