@@ -18,7 +18,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_long, batch_words, materialize, mix64, slices, text_buffers
@@ -27,7 +27,8 @@ from .gru import PARAMETERS, new_model, pack, score, train, unpack
 FREQUENT = 65_536
 VOCABULARY = 1024
 TRAIN_TOKENS = 4 << 20  # tokens a task gathers before it trains on them
-SCORE_BYTES = 16 << 20  # of texts that are scored side by side: few steps are spent on a long text alone
+SCORE_BYTES = 32 << 20  # of texts that are scored side by side: few steps are spent on a long text alone
+ENCODE_BYTES = 2 << 20  # of texts whose words are held at once
 AVERAGERS = 8
 HELD_OUT_OF, HELD_OUT = 7, 2
 END_WORD = int(mix64(np.array([0xE0D], np.uint64)).view(np.int64)[0])  # stands for the end token
@@ -101,7 +102,7 @@ def _gathered(batches, table: _Table):
     """(ids with ends, first id of each text) of all rows of a task, about TRAIN_TOKENS at a time."""
     parts, sizes, tokens = [], [], 0
     for batch in batches:
-        for _, part in slices(batch.column(0), 2 << 20):
+        for _, part in slices(batch.column(0), ENCODE_BYTES):
             _, _, ids, first = _encoded(part, table)
             parts.append(ids), sizes.append(np.diff(first))
             tokens += len(ids)
@@ -197,10 +198,20 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     network = spark.sparkContext.broadcast({k: model[k] for k in [*PARAMETERS, "class"]})
     end_log = math.log10(sizes["ends"] + 1)
 
+    def scored(waiting):
+        """The rows of parts that were encoded one by one; the network reads all their texts side by side."""
+        sizes = np.concatenate([size for _, _, size in waiting])
+        network_score = score(network.value, np.concatenate([ids for _, ids, _ in waiting]), np.append(0, np.cumsum(sizes)), END)
+        end = 0
+        for columns, _, size in waiting:
+            start, end = end, end + len(size)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(network_score[start:end] / math.log(10))], names)
+
     def measure(batches):
         lookup = _Table(shared.value)
+        waiting, held_bytes = [], 0
         for batch in batches:
-            for at, part in slices(batch.column(1), SCORE_BYTES):
+            for at, part in slices(batch.column(1), ENCODE_BYTES):
                 words, place, ids, first = _encoded(part, lookup)
                 counted = lookup.logs[place]
                 other = lookup.ids[place] == OTHER
@@ -209,15 +220,19 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 def by_doc(values, doc=doc, size=len(part)):
                     return np.bincount(doc, values, size)
 
-                named = batch.column(0).slice(at, len(part))
-                columns = [
-                    named, pa.array(_row_key(named.to_pylist(), *text_buffers(part))), batch.column(2).slice(at, len(part)),
+                named, (offsets, raw) = batch.column(0).slice(at, len(part)), text_buffers(part)
+                waiting.append(([
+                    named, pa.array(_row_key(named.to_pylist(), offsets, raw)), batch.column(2).slice(at, len(part)),
                     pa.array(np.diff(first)), pa.array(by_doc(place >= 0).astype(np.int64)),
                     pa.array(by_doc(counted) + end_log), pa.array(by_doc(np.where(other, counted, 0.0))),
                     pa.array(by_doc(other).astype(np.int64)),
-                    pa.array(score(network.value, ids, first, END) / math.log(10)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                ], ids, np.diff(first)))
+                held_bytes += int(offsets[-1] - offsets[0])
+                if held_bytes >= SCORE_BYTES:
+                    yield from scored(waiting)
+                    waiting, held_bytes = [], 0
+        if waiting:
+            yield from scored(waiting)
 
     names = ["id", "key", "held", "n_tokens", "frequent", "counted", "other_counted", "n_other", "network"]
     measured = materialize(source.mapInArrow(
@@ -245,20 +260,21 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
                      pa.array(np.diff(np.append(starts, len(doc))).astype(np.int32))], ["word", "key", "times"])
 
     rare = source.select("id", "text").mapInArrow(tail, "word long, key long, times int")
-    joined = rare.join(counts, "word", "left").dropDuplicates(["word", "key"])
-    sums = joined.groupBy("key").agg(
+    sums = rare.join(counts, "word", "left").groupBy("key").agg(  # of all rows with a key
         F.sum(F.col("times") * F.log10(F.coalesce("count", F.lit(0)) + 1)).alias("tail"),
         F.sum(F.when(F.col("count") > 0, F.col("times")).otherwise(0)).alias("tail_known"))
-    rows = measured.join(sums, "key", "left")
+    copies = F.count("*").over(Window.partitionBy("key"))
+    rows = measured.withColumn("copies", copies).join(sums, "key", "left")
     base_log = math.log10(sizes["n"] + sizes["v"] + 1)
     other_log = math.log10(max(sizes["rest"], 0) + max(sizes["rest_words"], 0) + 1)
-    tail_sum = F.coalesce("tail", F.lit(0.0))
+    tail_sum = F.coalesce(F.col("tail") / F.col("copies"), F.lit(0.0))
+    tail_known = F.coalesce(F.col("tail_known") / F.col("copies"), F.lit(0))
     end_known = 1 if sizes["ends"] else 0
     return rows.select(
         F.col("id").alias(id_column),
         F.col("held").alias("held_out"),
         "n_tokens",
-        (F.col("frequent") + end_known + F.coalesce("tail_known", F.lit(0))).cast("long").alias("n_known"),
+        (F.col("frequent") + end_known + tail_known).cast("long").alias("n_known"),
         F.lit(sizes["n"]).cast("long").alias("train_tokens"),
         (F.col("counted") + tail_sum - F.col("n_tokens") * base_log).alias("base_score"),
         (F.col("network") + F.col("other_counted") + tail_sum - F.col("n_other") * other_log).alias("score"),
